@@ -192,3 +192,10 @@ def dense(vec: DataFrame, wdf: DataFrame, bdf: DataFrame, act: str | None = None
     if act == "softmax":
         return softmax_cells(z)
     return z.withColumn("v", A.scalar(act, F.col("v")))
+
+
+def with_channel(df: DataFrame, data_col: str, h: int, w: int, c: int = 1, out: str = "data") -> DataFrame:
+    """Narrow to float32 and attach the (H, W, C) shape of each packed row (adds the channel axis)."""
+    return df.withColumn(out, F.col(data_col).cast("array<float>")).withColumns(
+        {"h": F.lit(h), "w": F.lit(w), "c": F.lit(c)}
+    )
