@@ -19,3 +19,60 @@ def best_cell(scores: DataFrame, by: str = "single") -> DataFrame:
         m = scores.groupBy("grid_idx").agg(F.avg("accuracy").alias("accuracy"))
         return m.orderBy(F.col("accuracy").desc(), F.col("grid_idx")).limit(1)
     raise ValueError("by must be 'single' or 'mean'")
+
+
+def cv_scores(
+    df: DataFrame,
+    layers: list[dict],
+    cfg,
+    in_shape: tuple,
+    n_classes: int,
+    k: int = 5,
+    seed: int = 42,
+    id_col: str = "id",
+    label_col: str = "label",
+    data_col: str = "data",
+    fold_col: str = "fold",
+) -> list[tuple]:
+    """Stratified k-fold: train on k−1 folds, score both sides. Returns (fold, set, loss, accuracy).
+
+    Folds come from one exact distributed rank; the fold table is persisted once and each
+    fold's train/validation sides are filters of it.
+    """
+    from pyspark import StorageLevel
+
+    from ..operators.splits import kfold
+    from .training import evaluate, train_network
+
+    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col)
+    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    out = []
+    try:
+        for f in range(k):
+            tr = folded.where(F.col(fold_col) != f)
+            va = folded.where(F.col(fold_col) == f)
+            res = train_network(tr, layers, cfg, in_shape, n_classes, params=None, id_col=id_col,
+                                label_col=label_col, data_col=data_col, evaluate_every=cfg.epochs)
+            both = tr.withColumn("_set", F.lit("train")).unionByName(va.withColumn("_set", F.lit("val")))
+            ev = evaluate(both, res.layers, res.params, in_shape, cfg.eps_mode, data_col, label_col, "_set")
+            for s in ("train", "val"):
+                out.append((f, s, float(ev[s][0]), float(ev[s][1])))
+    finally:
+        folded.unpersist()
+    return out
+
+
+def cv_grid_scores(df: DataFrame, layers, base_cfg, in_shape, n_classes, lrs: list[float], lams: list[float],
+                   k: int = 5, seed: int = 42, **cols) -> list[tuple]:
+    """lr × λ grid of :func:`cv_scores`, grid order lr-major. Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
+    from dataclasses import replace
+
+    out = []
+    g = 0
+    for lr in lrs:
+        for lam in lams:
+            cfg = replace(base_cfg, learning_rate=lr, lam=lam)
+            for fold, s, loss, acc in cv_scores(df, layers, cfg, in_shape, n_classes, k, seed, **cols):
+                out.append((g, lr, lam, fold, s, loss, acc))
+            g += 1
+    return out
