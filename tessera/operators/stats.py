@@ -82,6 +82,76 @@ def _in_bracket(x, lo, hi):
     return cond
 
 
+def _narrow(df, val, targets, max_collect, accuracy):
+    """Shrink brackets that still hold too many rows: approximate quantile inside the bracket,
+    then count below / inside the candidate bracket; repeat (two jobs per round)."""
+    for _ in range(MAX_ROUNDS):
+        pending = [t for t in targets if t.inside > max_collect and not (t.lo is not None and t.lo == t.hi)]
+        if not pending:
+            return
+        d = 3.0 / accuracy
+        aggs = []
+        for j, t in enumerate(pending):
+            x = val(t.col)
+            q = (t.rank - t.below) / max(t.inside - 1, 1)
+            aggs.append(F.percentile_approx(F.when(_in_bracket(x, t.lo, t.hi), x), [max(0.0, q - d), min(1.0, q + d)], accuracy).alias(f"b{j}"))
+        brow = df.agg(*aggs).first()
+        cand = [(t, *brow[f"b{j}"]) for j, t in enumerate(pending)]
+        caggs = []
+        for j, (t, lo, hi) in enumerate(cand):
+            x = val(t.col)
+            caggs += [F.count_if(x < F.lit(lo)).alias(f"u{j}"), F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"i{j}")]
+        crow = df.agg(*caggs).first()
+        progressed = False
+        for j, (t, lo, hi) in enumerate(cand):
+            below, inside = int(crow[f"u{j}"]), int(crow[f"i{j}"])
+            if below <= t.rank < below + inside and inside < t.inside:
+                t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
+                progressed = True
+        if not progressed:
+            return
+
+
+def _resolve(df, val, targets) -> dict[tuple[str, int], float]:
+    """Two jobs for all brackets: rows below each bracket (conditional counts), and the value
+    counts inside each bracket (only bracket rows are emitted, then counted with partial
+    aggregation). Returns the value at each target rank, or nothing for a target whose rank
+    fell outside its bracket (the caller widens it)."""
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.col, t.lo, t.hi), []).append(t)
+    keys = list(groups)
+    below_aggs = [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo, hi) in enumerate(keys) if lo is not None]
+    below = df.agg(*below_aggs).first() if below_aggs else None
+    tagged = F.array(
+        *[F.when(_in_bracket(val(c), lo, hi), F.struct(F.lit(k).alias("g"), val(c).alias("v"))) for k, (c, lo, hi) in enumerate(keys)]
+    )
+    counts = (
+        df.select(F.explode(F.filter(tagged, lambda s: s.isNotNull())).alias("s"))
+        .select("s.g", "s.v")
+        .groupBy("g", "v")
+        .count()
+        .collect()
+    )
+    by_group: dict[int, list[tuple[float, int]]] = {}
+    for r in counts:
+        by_group.setdefault(r["g"], []).append((r["v"], r["count"]))
+    out = {}
+    for k, (c, lo, hi) in enumerate(keys):
+        n_below = int(below[f"u{k}"]) if lo is not None else 0
+        vc = sorted(by_group.get(k, []))
+        for t in groups[(c, lo, hi)]:
+            pos, acc = t.rank - n_below, 0
+            if pos < 0:
+                continue
+            for v, cnt in vc:
+                acc += cnt
+                if acc > pos:
+                    out[(t.col, t.rank)] = v
+                    break
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],
@@ -93,8 +163,13 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
-    ``where`` optionally maps a column to a Column predicate restricting which values count
-    (e.g. non-zero values only). Nulls are ignored. Returns ``{col: [q(p) for p in probs]}``.
+    One job measures each column (count, approximate distinct count, approximate quantiles
+    just below and above each target). Low-cardinality columns are then resolved from their
+    value counts; the others from the value counts inside a bracket around each target,
+    whose rank error is bounded by the sketch accuracy. Brackets that would still be too
+    large (huge columns) are narrowed iteratively first. The driver only ever receives
+    bounded value counts. ``where`` maps a column to a predicate restricting which values
+    count (e.g. non-zero only). Nulls are ignored. Returns ``{col: [q(p) for p in probs]}``.
     """
     if not cols:
         return {}
@@ -106,83 +181,52 @@ def exact_quantiles(
             x = F.when(where[c], x)
         return x
 
-    counts = df.agg(*[F.count(val(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    n_of = {c: int(counts[f"n{i}"]) for i, c in enumerate(cols)}
-
-    targets: dict[tuple[str, int], _Target] = {}
-    for c in cols:
+    d = 4.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + s * d)) for p in probs for s in (-1, 1)})
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [
+            F.count(val(c)).alias(f"n{i}"),
+            F.approx_count_distinct(val(c)).alias(f"nd{i}"),
+            F.percentile_approx(val(c), edges, accuracy).alias(f"e{i}"),
+        ]
+    row = df.agg(*aggs).first()
+    n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
+    pending: list[_Target] = []
+    for i, c in enumerate(cols):
         n = n_of[c]
         if n == 0:
             continue
+        small = row[f"nd{i}"] <= max_collect // 2 or n <= max_collect
+        ev = dict(zip(edges, row[f"e{i}"] or []))
         for p in probs:
             h = (n - 1) * p
-            for r in {int(math.floor(h)), int(math.ceil(h))}:
-                targets.setdefault((c, r), _Target(c, r, inside=n))
+            for r in sorted({int(math.floor(h)), int(math.ceil(h))}):
+                if small:
+                    pending.append(_Target(c, r, None, None, 0, n))
+                else:
+                    lo, hi = ev[min(1.0, max(0.0, p - d))], ev[min(1.0, max(0.0, p + d))]
+                    pending.append(_Target(c, r, lo, hi, 0, int(2 * d * n) + 1))
 
-    # Narrow brackets until each holds few enough rows to count value by value.
-    for _ in range(MAX_ROUNDS):
-        pending = [t for t in targets.values() if t.inside > max_collect and not (t.lo is not None and t.lo == t.hi)]
-        if not pending:
-            break
-        aggs = []
-        for j, t in enumerate(pending):
-            x = val(t.col)
-            xb = F.when(_in_bracket(x, t.lo, t.hi), x)
-            q = (t.rank - t.below) / max(t.inside - 1, 1)
-            d = 3.0 / accuracy
-            aggs.append(
-                F.percentile_approx(xb, [max(0.0, q - d), min(1.0, q + d)], accuracy).alias(f"b{j}")
-            )
-        brow = df.agg(*aggs).first()
-        cand = []
-        for j, t in enumerate(pending):
-            lo, hi = brow[f"b{j}"]
-            cand.append((t, lo, hi))
-        caggs = []
-        for j, (t, lo, hi) in enumerate(cand):
-            x = val(t.col)
-            caggs.append(F.count_if(x < F.lit(lo)).alias(f"u{j}"))
-            caggs.append(F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"i{j}"))
-        crow = df.agg(*caggs).first()
-        progressed = False
-        for j, (t, lo, hi) in enumerate(cand):
-            below, inside = int(crow[f"u{j}"]), int(crow[f"i{j}"])
-            if below <= t.rank < below + inside and inside < t.inside:
-                t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
-                progressed = True
-        if not progressed:
+    resolved: dict[tuple[str, int], float] = {}
+    for attempt in range(4):
+        todo = [t for t in pending if (t.col, t.rank) not in resolved]
+        if not todo:
             break
+        big = [t for t in todo if t.lo is not None and 2 * d * n_of[t.col] > max_collect]
+        if big:  # exact counts below/inside, then shrink
+            for t in big:
+                t.below, t.inside = 0, n_of[t.col]
+                t.lo = t.hi = None
+            _narrow(df, val, big, max_collect, accuracy)
+        resolved.update(_resolve(df, val, todo))
+        for t in todo:  # a rank outside its bracket (sketch error): fall back to narrowing from the full range
+            if (t.col, t.rank) not in resolved:
+                t.lo = t.hi = None
+                t.below, t.inside = 0, n_of[t.col]
+                if t.inside > max_collect:
+                    _narrow(df, val, [t], max_collect, accuracy)
 
-    # Final pass: value counts inside each bracket (bounded), resolved on the driver.
-    groups: dict[tuple, list[_Target]] = {}
-    for t in targets.values():
-        groups.setdefault((t.col, t.lo, t.hi), []).append(t)
-    parts = []
-    keys = list(groups)
-    for k, (c, lo, hi) in enumerate(keys):
-        x = val(c)
-        parts.append(
-            df.select(x.alias("v")).where(_in_bracket(F.col("v"), lo, hi)).groupBy("v").count().withColumn("g", F.lit(k))
-        )
-    resolved: dict[tuple[str, int], float] = {}
-    if parts:
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        rows = union.collect()
-        by_group: dict[int, list[tuple[float, int]]] = {}
-        for r in rows:
-            by_group.setdefault(r["g"], []).append((r["v"], r["count"]))
-        for k, key in enumerate(keys):
-            vc = sorted(by_group.get(k, []))
-            for t in groups[key]:
-                pos = t.rank - t.below
-                acc = 0
-                for v, cnt in vc:
-                    acc += cnt
-                    if acc > pos:
-                        resolved[(t.col, t.rank)] = v
-                        break
     out: dict[str, list[float | None]] = {}
     for c in cols:
         n = n_of[c]
@@ -194,8 +238,7 @@ def exact_quantiles(
             h = (n - 1) * p
             lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
             a, b = resolved[(c, lo_r)], resolved[(c, hi_r)]
-            frac = h - lo_r
-            vals.append(a + (b - a) * frac)
+            vals.append(a + (b - a) * (h - lo_r))
         out[c] = vals
     return out
 

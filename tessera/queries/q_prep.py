@@ -360,3 +360,48 @@ def tabular_job(spark, sf):
 
 
 register("prep_tabular_fit_transform", _tabular_sql())(tabular_job)
+
+
+# ----------------------------------------------------------------------------- tabular job at volume
+_LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem_tabular_sql() -> str:
+    qcols = ", ".join(
+        f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3, avg({c}) AS {c}_mu" for c in _LI_NUM
+    )
+    treat = ", ".join(
+        f"CASE WHEN {c} < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) OR {c} > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) THEN {c}_mu ELSE {c} END AS {c}"
+        for c in _LI_NUM
+    )
+    mm = ", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in _LI_NUM)
+    scaled = ", ".join(
+        f"round(({c} - {c}_lo) / CASE WHEN {c}_hi = {c}_lo THEN 1 ELSE {c}_hi - {c}_lo END, 6) + 0.0 AS {c}" for c in _LI_NUM
+    )
+    return f"""
+WITH src AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem),
+z AS (SELECT median(l_discount) FILTER (WHERE l_discount <> 0) AS md, median(l_tax) FILTER (WHERE l_tax <> 0) AS mt FROM src),
+s1 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+              CASE WHEN l_discount = 0 THEN md ELSE l_discount END AS l_discount,
+              CASE WHEN l_tax = 0 THEN mt ELSE l_tax END AS l_tax, l_returnflag, l_linestatus FROM src, z),
+q AS (SELECT {qcols} FROM s1),
+s2 AS (SELECT l_orderkey, l_linenumber, {treat}, l_returnflag, l_linestatus FROM s1, q),
+mm AS (SELECT {mm} FROM s2),
+s3 AS (SELECT l_orderkey, l_linenumber, {scaled}, 'l_returnflag_' || l_returnflag AS lvl,
+              CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS BIGINT) AS l_linestatus FROM s2, mm)
+PIVOT (SELECT *, 1.0 AS one FROM s3) ON lvl USING coalesce(max(one), 0.0)
+GROUP BY l_orderkey, l_linenumber, {", ".join(_LI_NUM)}, l_linestatus
+"""
+
+
+@register("prep_tabular_lineitem", _lineitem_tabular_sql())
+def q_prep_tabular_lineitem(spark, sf):
+    """The tabular job at volume: invalid zeros → median, outliers → mean, min-max scaling,
+    least-frequent fill, one-hot flag, label-encoded target."""
+    li = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", *_LI_NUM, "l_returnflag", "l_linestatus"
+    )
+    opts = TabularOptions(outliers="mean", scaling="normalisation", numeric_nulls="median", categorical_nulls="less",
+                          invalid_zeros=["l_discount", "l_tax"])
+    out = TabularPrep(opts, key_columns=["l_orderkey", "l_linenumber"]).fit_transform(li, target="l_linestatus")
+    return out.select(*[r6(c).alias(c) if c in _LI_NUM else F.col(c) for c in out.columns])
