@@ -50,9 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path inside the shared checkpoint folder (for written intermediate tables)."""
+    """A path inside the shared checkpoint folder (for written intermediate tables/files).
+
+    ``file:`` URIs become plain paths; other schemes (hdfs://, s3a://, …) are kept as URIs.
+    """
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts) if not base.startswith(("hdfs:", "s3", "gs:", "abfs")) else "/".join([base, *parts])
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
+    return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
