@@ -2,27 +2,78 @@
 
 ``row_number() over (partition by g order by k)`` puts every row of a group in one task, and
 an unpartitioned ``row_number()`` puts the whole table in one task. With few groups (class
-labels) or one hot group that does not scale. Instead we
+labels) or one hot group that does not scale. Two exact, deterministic plans instead:
 
-1. range-partition on (g, k) and sort within partitions (a distributed sort, sampled bounds),
-2. tag each row with its in-partition position (``monotonically_increasing_id`` after the
-   sort is ``partition_id << 33 | position``),
-3. count rows per (partition, g) — at most partitions × groups-per-partition rows,
-4. turn those counts into offsets with a window over that small table, and
-5. add ``offset + position-in-partition``.
-
-A group that spans many partitions is handled by many tasks; only the count table is
-broadcast, and only after its size has been checked.
+* **Hash-ordered keys** (splits, folds, epoch shuffles order by an md5 hex digest): the first
+  ``L`` hex digits of the digest form a bucket that is monotone in the sort order. Rows are
+  numbered inside each (group, bucket) by a window — a hot group is spread over 16^L buckets —
+  and a small (group, bucket) count table, turned into offsets by a window over that table
+  and broadcast after a size check, shifts them to the group-wide number.
+* **Any other order**: a range partitioning on (group, keys) and a sort within partitions;
+  each row's in-partition position (``monotonically_increasing_id``) plus the count of the
+  group's rows in earlier partitions is its number. Range bounds come from sampling, so the
+  sorted data is cut from its lineage with ``checkpoint()`` (reliable, in the shared
+  checkpoint folder): the counted partitions and the numbered ones are the same even if an
+  executor is lost.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 BROADCAST_ROWS = 2_000_000
+DEFAULT_HEX_DIGITS = 3  # 4096 buckets per group
+
+
+def _stage_order(df: DataFrame, order_by: list):
+    order_cols, staged = [], df
+    for i, o in enumerate(order_by):
+        if isinstance(o, str):
+            order_cols.append(o)
+        else:
+            name = f"_ord{i}"
+            staged = staged.withColumn(name, o)
+            order_cols.append(name)
+    return staged, order_cols
+
+
+def _attach_offsets(df: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    offsets = offsets.cache()
+    n_off = offsets.count()
+    side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
+    return df.join(side, on=keys, how="inner")
+
+
+def hash_row_number(
+    df: DataFrame,
+    hex_key,
+    tie_breaker: str,
+    partition_by: list[str] | None = None,
+    out: str = "rn",
+    hex_digits: int | None = None,
+) -> DataFrame:
+    """Row number ordered by (``hex_key``, ``tie_breaker``) within ``partition_by``, where
+    ``hex_key`` is a lowercase hex digest (uniformly distributed)."""
+    partition_by = list(partition_by or [])
+    L = hex_digits or DEFAULT_HEX_DIGITS
+    staged, (kcol,) = _stage_order(df, [hex_key])
+    staged = staged.withColumn("_bkt", F.substring(F.col(kcol), 1, L))
+    grp = partition_by + ["_bkt"]
+    counts = staged.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"))
+    w_off = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()).orderBy("_bkt")
+    offsets = counts.withColumn(
+        "_off", F.coalesce(F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(*grp, "_off")
+    local = staged.withColumn("_loc", F.row_number().over(Window.partitionBy(*grp).orderBy(kcol, tie_breaker)))
+    res = _attach_offsets(local, offsets, grp)
+    res = res.withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint"))
+    drop = ["_bkt", "_off", "_loc"] + ([kcol] if kcol.startswith("_ord") else [])
+    return res.drop(*drop)
 
 
 def exact_row_number(
@@ -35,34 +86,32 @@ def exact_row_number(
     """Add ``out`` = 1-based row number within ``partition_by`` ordered by ``order_by``.
 
     ``order_by`` must make the order total (end it with a unique id), exactly as a
-    deterministic ``row_number`` needs. Columns may be names or Column expressions with
-    an alias; all sort ascending.
+    deterministic ``row_number`` needs. Columns may be names or Column expressions; all sort
+    ascending.
     """
     partition_by = list(partition_by or [])
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n_parts = num_partitions or shuffle_partitions(spark)
-    order_cols = []
-    staged = df
-    for i, o in enumerate(order_by):
-        if isinstance(o, str):
-            order_cols.append(o)
-        else:
-            name = f"_ord{i}"
-            staged = staged.withColumn(name, o)
-            order_cols.append(name)
+    staged, order_cols = _stage_order(df, order_by)
     keys = partition_by + order_cols
     ranged = staged.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = tagged.checkpoint(eager=True)
 
     counts = tagged.groupBy("_pid", *partition_by).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = Window.partitionBy(*partition_by).orderBy("_pid") if partition_by else Window.orderBy("_pid")
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).select("_pid", *partition_by, "_off", "_first")
-    offsets = offsets.cache()
-    n_off = offsets.count()
-    side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
-    joined = tagged.join(side, on=["_pid", *partition_by], how="inner")
+    joined = _attach_offsets(tagged, offsets, ["_pid", *partition_by])
     res = joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
     drop = ["_pid", "_mid", "_off", "_first"] + [c for c in order_cols if c.startswith("_ord")]
     return res.drop(*drop)
+
+
+def hex_digits_for(n_rows: int, target_per_bucket: int = 2_000_000) -> int:
+    """Hex digits so that a group of ``n_rows`` is split into buckets of ≲ target rows."""
+    if n_rows <= target_per_bucket:
+        return 1
+    return max(1, min(8, math.ceil(math.log(n_rows / target_per_bucket, 16))))

@@ -1,9 +1,9 @@
 """Repeatable splits, stratified folds, epoch shuffles and mini-batch assignment.
 
 Membership is decided by a seeded hash key ``md5(concat_ws('-', seed, id))`` (with the epoch
-for shuffles), ranked exactly within each class by :func:`exact_row_number` — a distributed
-sort, not a single-task window, so a class holding a third of the rows is still spread over
-many tasks. Per-class quotas come from a class-count table (one row per class) that is
+for shuffles), ranked exactly within each class by :func:`hash_row_number` — numbered inside
+(class, digest-prefix) buckets and shifted by bucket offsets, not a single-task window, so a
+class holding a third of the rows is still spread over many tasks. Per-class quotas come from a class-count table (one row per class) that is
 broadcast only after its size is checked.
 """
 
@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import exact_row_number
+from .ranking import hash_row_number, hex_digits_for
 
 BROADCAST_ROWS = 2_000_000
 
@@ -76,14 +76,15 @@ def three_way_split(
         raise ValueError("sizes must be fractions with val + test < 1")
     grp = "_g"
     staged = df.withColumn(grp, F.col(label) if stratify else F.lit(0))
-    counts = staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n"))
+    counts = staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n")).cache()
+    digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
     q = _quota_table(counts, grp, test_size, out="q_test")
     if val_size > 0:
         q = q.withColumn("n_rest", F.col("n") - F.col("q_test"))
         q = _quota_table(q, grp, val_size / (1.0 - test_size), n_col="n_rest", out="q_val").drop("n_rest")
     else:
         q = q.withColumn("q_val", F.lit(0).cast("bigint"))
-    ranked = exact_row_number(staged, [split_key(id_col, seed), id_col], [grp], out="_rn")
+    ranked = hash_row_number(staged, split_key(id_col, seed), id_col, [grp], out="_rn", hex_digits=digits)
     joined = _attach(ranked, q.select(grp, "q_test", "q_val"), [grp])
     res = joined.withColumn(
         out,
@@ -105,24 +106,27 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, ou
     labels, so every fold holds a near-equal share of every class and totals differ by ≤ 1."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).cache()
+    digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
     offs = counts.withColumn(
         "_off",
         F.coalesce(F.sum("n").over(Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(label, "_off")
-    ranked = exact_row_number(df, [split_key(id_col, seed), id_col], [label], out="_rn")
+    ranked = hash_row_number(df, split_key(id_col, seed), id_col, [label], out="_rn", hex_digits=digits)
     joined = _attach(ranked, offs, [label])
     return joined.withColumn(out, ((F.col("_off") + F.col("_rn") - 1) % k).cast("bigint")).drop("_off", "_rn")
 
 
-def epoch_order(df: DataFrame, id_col: str, seed: int, epoch: int, out: str = "pos") -> DataFrame:
+def epoch_order(df: DataFrame, id_col: str, seed: int, epoch: int, out: str = "pos", n_rows: int | None = None) -> DataFrame:
     """A fresh permutation per epoch: 1-based position in ``md5(seed-epoch-id)`` order."""
-    return exact_row_number(df, [split_key(id_col, seed, epoch), id_col], out=out)
+    n = n_rows if n_rows is not None else df.count()
+    return hash_row_number(df, split_key(id_col, seed, epoch), id_col, out=out, hex_digits=hex_digits_for(n))
 
 
-def assign_batches(df: DataFrame, id_col: str, seed: int, epoch: int, batch_size: int, out: str = "batch") -> DataFrame:
+def assign_batches(df: DataFrame, id_col: str, seed: int, epoch: int, batch_size: int, out: str = "batch",
+                   n_rows: int | None = None) -> DataFrame:
     """Consecutive slices of the epoch order; the last short batch is kept."""
-    ordered = epoch_order(df, id_col, seed, epoch, out="_pos")
+    ordered = epoch_order(df, id_col, seed, epoch, out="_pos", n_rows=n_rows)
     return ordered.withColumn(out, ((F.col("_pos") - 1) / F.lit(batch_size)).cast("bigint")).drop("_pos")
 
 

@@ -305,7 +305,7 @@ def train_network(
                     batches = [data]
                     batched = None
                 else:
-                    batched = assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size).persist(StorageLevel.MEMORY_AND_DISK)
+                    batched = assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size, n_rows=total).persist(StorageLevel.MEMORY_AND_DISK)
                     n_b = math.ceil(total / cfg.batch_size)
                     batches = [batched.where(F.col("batch") == b) for b in range(n_b)]
                 for bdf in batches:

@@ -122,7 +122,7 @@ def q_prep_image_batch(spark, sf):
 @register(
     "prep_image_sets",
     "WITH " + split_sql("SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings", "vec_id", "label", 0.2, 0.2, SEED,
-                        "vec_id, label, CAST(10 AS INTEGER) AS n_classes"),
+                        "vec_id, label, CAST((SELECT max(label) + 1 FROM embeddings) AS INTEGER) AS n_classes"),
 )
 def q_prep_image_sets(spark, sf):
     """Image job end to end: manifest → decode → label encode → stratified train/val/test →

@@ -49,7 +49,10 @@ def list_image_dir(spark: SparkSession, root: str, glob: str | None = None) -> D
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(root).select(uri_to_path("path").alias("image_path"))
+    try:
+        files = reader.load(root).select(uri_to_path("path").alias("image_path"))
+    except AnalysisException as e:
+        raise ValueError(f"no images under {root}") from e
     base = root.rstrip("/")
     if base.startswith("file:"):
         base = "/" + base[5:].lstrip("/")
