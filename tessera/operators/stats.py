@@ -112,17 +112,24 @@ def _narrow(df, val, targets, max_collect, accuracy):
             return
 
 
-def _resolve(df, val, targets) -> dict[tuple[str, int], float]:
-    """Two jobs for all brackets: rows below each bracket (conditional counts), and the value
-    counts inside each bracket (only bracket rows are emitted, then counted with partial
-    aggregation). Returns the value at each target rank, or nothing for a target whose rank
-    fell outside its bracket (the caller widens it)."""
+def _resolve(df, val, targets, below_known: bool = False) -> dict[tuple[str, int], float]:
+    """Values at the target ranks from the value counts inside each bracket.
+
+    Rows below each bracket are counted with conditional counts (skipped when the caller
+    already knows them); only rows inside a bracket are emitted, then counted per value with
+    partial aggregation, so repeated values collapse before the shuffle. A target whose rank
+    fell outside its bracket is left out (the caller widens it).
+    """
     groups: dict[tuple, list[_Target]] = {}
     for t in targets:
         groups.setdefault((t.col, t.lo, t.hi), []).append(t)
     keys = list(groups)
-    below_aggs = [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo, hi) in enumerate(keys) if lo is not None]
-    below = df.agg(*below_aggs).first() if below_aggs else None
+    below = {}
+    if not below_known:
+        aggs = [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo, hi) in enumerate(keys) if lo is not None]
+        if aggs:
+            row = df.agg(*aggs).first()
+            below = {k: int(row[f"u{k}"]) for k, (c, lo, hi) in enumerate(keys) if lo is not None}
     tagged = F.array(
         *[F.when(_in_bracket(val(c), lo, hi), F.struct(F.lit(k).alias("g"), val(c).alias("v"))) for k, (c, lo, hi) in enumerate(keys)]
     )
@@ -138,9 +145,9 @@ def _resolve(df, val, targets) -> dict[tuple[str, int], float]:
         by_group.setdefault(r["g"], []).append((r["v"], r["count"]))
     out = {}
     for k, (c, lo, hi) in enumerate(keys):
-        n_below = int(below[f"u{k}"]) if lo is not None else 0
         vc = sorted(by_group.get(k, []))
         for t in groups[(c, lo, hi)]:
+            n_below = t.below if below_known else below.get(k, 0)
             pos, acc = t.rank - n_below, 0
             if pos < 0:
                 continue
@@ -163,13 +170,15 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
-    One job measures each column (count, approximate distinct count, approximate quantiles
-    just below and above each target). Low-cardinality columns are then resolved from their
-    value counts; the others from the value counts inside a bracket around each target,
-    whose rank error is bounded by the sketch accuracy. Brackets that would still be too
-    large (huge columns) are narrowed iteratively first. The driver only ever receives
-    bounded value counts. ``where`` maps a column to a predicate restricting which values
-    count (e.g. non-zero only). Nulls are ignored. Returns ``{col: [q(p) for p in probs]}``.
+    Job 1 measures every column at once: count, approximate distinct count and approximate
+    quantiles just below and above each target. Job 2: columns with few distinct values (or
+    few rows) take Spark's exact ``percentile`` — its value→count buffer is bounded by the
+    distinct count just measured — and for the others the rows below each bracket are
+    counted. Job 3 counts values inside the brackets (about 8·n/accuracy rows each). Columns
+    so large that a bracket would exceed ``max_collect`` rows are narrowed iteratively first.
+    The driver only ever receives bounded value counts. ``where`` maps a column to a predicate
+    restricting which values count (e.g. non-zero only). Nulls are ignored.
+    Returns ``{col: [q(p) for p in probs]}``.
     """
     if not cols:
         return {}
@@ -192,49 +201,55 @@ def exact_quantiles(
         ]
     row = df.agg(*aggs).first()
     n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
-    pending: list[_Target] = []
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    direct, bracketed = [], []
     for i, c in enumerate(cols):
         n = n_of[c]
         if n == 0:
             continue
-        small = row[f"nd{i}"] <= max_collect // 2 or n <= max_collect
+        if row[f"nd{i}"] <= max_collect // 2 or n <= max_collect:
+            direct.append(c)
+            continue
         ev = dict(zip(edges, row[f"e{i}"] or []))
         for p in probs:
             h = (n - 1) * p
+            lo, hi = ev[min(1.0, max(0.0, p - d))], ev[min(1.0, max(0.0, p + d))]
             for r in sorted({int(math.floor(h)), int(math.ceil(h))}):
-                if small:
-                    pending.append(_Target(c, r, None, None, 0, n))
-                else:
-                    lo, hi = ev[min(1.0, max(0.0, p - d))], ev[min(1.0, max(0.0, p + d))]
-                    pending.append(_Target(c, r, lo, hi, 0, int(2 * d * n) + 1))
+                bracketed.append(_Target(c, r, lo, hi, 0, int(2 * d * n) + 1))
+
+    # Job 2: exact percentiles of low-cardinality columns + rows below each bracket.
+    aggs2 = [F.percentile(val(c), list(probs)).alias(f"p{j}") for j, c in enumerate(direct)]
+    small = [t for t in bracketed if 2 * d * n_of[t.col] <= max_collect]
+    bkeys = sorted({(t.col, t.lo) for t in small}, key=str)
+    aggs2 += [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo) in enumerate(bkeys)]
+    if aggs2:
+        row2 = df.agg(*aggs2).first()
+        for j, c in enumerate(direct):
+            out[c] = [float(v) for v in row2[f"p{j}"]]
+        below = {key: int(row2[f"u{k}"]) for k, key in enumerate(bkeys)}
+        for t in small:
+            t.below = below[(t.col, t.lo)]
 
     resolved: dict[tuple[str, int], float] = {}
-    for attempt in range(4):
-        todo = [t for t in pending if (t.col, t.rank) not in resolved]
-        if not todo:
+    if small:
+        resolved.update(_resolve(df, val, small, below_known=True))
+    retry = [t for t in bracketed if (t.col, t.rank) not in resolved]
+    for _ in range(3):
+        if not retry:
             break
-        big = [t for t in todo if t.lo is not None and 2 * d * n_of[t.col] > max_collect]
-        if big:  # exact counts below/inside, then shrink
-            for t in big:
-                t.below, t.inside = 0, n_of[t.col]
-                t.lo = t.hi = None
-            _narrow(df, val, big, max_collect, accuracy)
-        resolved.update(_resolve(df, val, todo))
-        for t in todo:  # a rank outside its bracket (sketch error): fall back to narrowing from the full range
-            if (t.col, t.rank) not in resolved:
-                t.lo = t.hi = None
-                t.below, t.inside = 0, n_of[t.col]
-                if t.inside > max_collect:
-                    _narrow(df, val, [t], max_collect, accuracy)
-
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
+        for t in retry:  # huge column, or a rank outside its bracket: narrow from the full range
+            t.lo = t.hi = None
+            t.below, t.inside = 0, n_of[t.col]
+        _narrow(df, val, retry, max_collect, accuracy)
+        resolved.update(_resolve(df, val, retry))
+        retry = [t for t in retry if (t.col, t.rank) not in resolved]
+    if retry:
+        raise RuntimeError("exact quantile selection did not converge")
+
+    for c in {t.col for t in bracketed}:
         n = n_of[c]
         vals = []
         for p in probs:
-            if n == 0:
-                vals.append(None)
-                continue
             h = (n - 1) * p
             lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
             a, b = resolved[(c, lo_r)], resolved[(c, hi_r)]
