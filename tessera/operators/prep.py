@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from ..functions.numeric import safe_div
 from .stats import exact_quantiles, frequency_extremes, medians, moments, null_counts
 
-MAX_LITERAL_LEVELS = 10_000  # levels encoded through a literal array; above that a rank join
+MAX_INLINE_LEVELS = 64  # levels looked up through a literal array inside the projection
+MAX_LITERAL_LEVELS = 100_000  # collected level list → broadcast (value, code) table; above: rank join
 MAX_ONEHOT_LEVELS = 1_000  # one output column per level, so the level count is checked
 
 
@@ -216,8 +217,9 @@ def scale(df: DataFrame, cols: list[str], strategy: str = "standardisation", exc
 
 
 # ----------------------------------------------------------------------------- encoding
-def fit_levels(df: DataFrame, col: str, limit: int = MAX_LITERAL_LEVELS) -> list | None:
+def fit_levels(df: DataFrame, col: str, limit: int | None = None) -> list | None:
     """Sorted distinct non-null values, or None when there are more than ``limit``."""
+    limit = MAX_LITERAL_LEVELS if limit is None else limit
     vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col).limit(limit + 1).collect()]
     return None if len(vals) > limit else vals
 
@@ -230,13 +232,22 @@ def level_index(col: str, levels: list) -> Column:
 def label_encode(df: DataFrame, col: str, out: str | None = None, levels: list | None = None) -> DataFrame:
     """Value → rank in sorted distinct order (0-based, bigint).
 
-    Few levels (the usual case) are encoded through a literal array; above the literal limit
-    the levels are ranked distributed and joined back without a broadcast.
+    Up to ``MAX_INLINE_LEVELS`` levels are encoded by a literal array lookup inside the
+    projection; up to ``MAX_LITERAL_LEVELS`` by a broadcast hash join with a (value, code)
+    table built from the collected, counted level list; beyond that the distinct values are
+    ranked distributed and joined back with a shuffle join.
     """
     out = out or col
     levels = levels if levels is not None else fit_levels(df, col)
-    if levels is not None:
+    if levels is not None and len(levels) <= MAX_INLINE_LEVELS:
         return df.withColumn(out, F.when(F.col(col).isNotNull(), level_index(col, levels)))
+    if levels is not None:
+        spark = df.sparkSession
+        dtype = df.schema[col].dataType
+        codes = spark.createDataFrame([(v, i) for i, v in enumerate(levels)], T.StructType(
+            [T.StructField("_lv", dtype), T.StructField("_code", T.LongType())]))
+        joined = df.join(F.broadcast(codes), F.col(col) == F.col("_lv"), "left")
+        return joined.withColumn(out, F.col("_code")).drop("_lv", "_code")
     from .ranking import exact_row_number
 
     ranks = exact_row_number(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out="_lvl")
@@ -281,14 +292,18 @@ def encode_categoricals(df: DataFrame, cols: list[str], ordinal: list[str] | Non
 
 
 # ----------------------------------------------------------------------------- alignment
-def align_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def align_columns(left: DataFrame, right: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
     """Column-wise concatenation of two projections of one table, aligned on a row key.
 
-    Inside one pipeline we never split a table, so this join is only needed when two
-    independently prepared projections must be put side by side; it is an equi-join on the
-    key (full outer, like an index-aligned concat), planned by Catalyst (sort-merge or, when
-    one side is small, broadcast via AQE statistics).
+    Inside one job we never split a table, so this join is only needed when two separately
+    prepared projections must be put side by side: a full outer equi-join on the key, like an
+    index-aligned concat. The key must be unique on both sides (a repeated key would pair its
+    rows); ``check_unique`` verifies that with one aggregate per side before joining.
     """
+    if check_unique:
+        for side, name in ((left, "left"), (right, "right")):
+            if side.groupBy(key).count().where(F.col("count") > 1).limit(1).count():
+                raise ValueError(f"{name} side has repeated values of {key!r}; alignment needs a unique row key")
     return left.join(right, on=key, how="full_outer")
 
 

@@ -127,7 +127,7 @@ class TabularPrep:
                 cur = prep.apply_categorical_fill(cur, f["cat_fill"])
             for c in f["cat"]:
                 if c == target or c in o.ordinal:
-                    cur = cur.withColumn(c, prep.level_index(c, f["levels"][c]))
+                    cur = prep.label_encode(cur, c, out=c, levels=f["levels"][c])
                     if c in o.ordinal:
                         cur = cur.withColumn(c, cur[c].cast("double"))
             onehot = [c for c in f["cat"] if c != target and c not in o.ordinal]

@@ -62,3 +62,31 @@ def test_exact_row_number_global_and_partition_independent(spark):
     r5 = {(r.id, r.rn) for r in exact_row_number(df, ["t", "id"], num_partitions=5).select("id", "rn").collect()}
     assert r1 == r5
     assert sorted(rn for _, rn in r1) == list(range(1, 2001))
+
+
+def test_label_encode_tiers_agree(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from tessera.operators import prep
+
+    c = spark.read.parquet("/root/testdata/sf0.01/customer.parquet").select("c_custkey", "c_name")
+    ref = c.withColumn("code", (F.dense_rank().over(Window.orderBy("c_name")) - 1).cast("bigint"))
+    want = {(r.c_custkey, r.code) for r in ref.collect()}
+    levels = prep.fit_levels(c, "c_name")
+    assert len(levels) > prep.MAX_INLINE_LEVELS  # broadcast-table tier
+    got = {(r.c_custkey, r.code) for r in prep.label_encode(c, "c_name", out="code", levels=levels).collect()}
+    assert got == want
+    monkeypatch.setattr(prep, "MAX_LITERAL_LEVELS", 100)  # force the distributed-rank tier
+    got_rank = {(r.c_custkey, r.code) for r in prep.label_encode(c, "c_name", out="code").collect()}
+    assert got_rank == want
+
+
+def test_align_requires_unique_key(spark):
+    import pytest
+
+    from tessera.operators import prep
+
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, x double")
+    b = spark.createDataFrame([(1, "a")], "k int, s string")
+    with pytest.raises(ValueError):
+        prep.align_columns(a, b, "k")
