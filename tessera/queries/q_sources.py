@@ -135,3 +135,27 @@ def q_prep_image_sets(spark, sf):
     s = splits.three_way_split(b, "label", "vec_id", 0.2, 0.2, SEED)
     s = s.withColumn("y", splits.label_onehot("label", k))
     return s.select("vec_id", "label", "set", F.size("y").cast("int").alias("n_classes"))
+
+
+@register("lenet5_image_run")
+def q_lenet5_image_run(spark, sf):
+    """The reference notebook's flow on Spark: image folder → grey decode resized to 32×32 →
+    stratified 60/20/20 split → LeNet-5 trained with Adam (batch 64, local mini-batches per
+    partition, weights averaged per epoch) → accuracy and macro P/R/F1 per set."""
+    from ..operators.metrics import metrics_report
+    from ..plans.networks import lenet5
+    from ..plans.scoring import score
+    from ..plans.training import cnn_config, train_network
+
+    base = image_folder(spark, sf)
+    listing = list_image_dir(spark, base + "/images")
+    imgs = decode_images(spark, base + "/images", size=(32, 32), mode="gray")
+    b = image_batch(listing, imgs).withColumn("id", _vec_id())
+    k = int(b.agg(F.max("label")).first()[0]) + 1
+    s = splits.three_way_split(b.select("id", "label", "data"), "label", "id", 0.2, 0.2, SEED).cache()
+    layers = lenet5(k)
+    cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="local")
+    res = train_network(s.where(F.col("set") == "train"), layers, cfg, (32, 32, 1), k, val_df=s.where(F.col("set") == "val"))
+    pred = score(s, res.layers, res.params, (32, 32, 1), keep=["id", "label", "set"])
+    rep = metrics_report(pred.withColumn("label", F.col("label").cast("bigint")), "label", "predicted")
+    return rep.select("metric", *[r6(c).alias(c) for c in ("train", "val", "test")])

@@ -73,3 +73,21 @@ def test_shapes_checked():
         K.output_shapes([K.conv(2, 3, 3)], (8, 8, 1))
     with pytest.raises(ValueError):
         K.output_shapes([K.flatten(), K.dense(10, 2)], (8, 8, 1))
+
+
+def test_lenet5_parameter_count():
+    from tessera.plans.networks import lenet5, mlp
+
+    layers = lenet5(33)
+    assert K.n_params(K.init_params(layers)) == 156 + 2416 + 48120 + 10164 + 2805
+    with pytest.raises(ValueError):
+        mlp([8, 1])
+    assert [ly["act"] for ly in mlp([8, 16, 8, 3])] == ["relu", "relu", "softmax"]
+
+
+def test_init_scales():
+    layers = [K.conv(8, 3, 5), K.flatten(), K.dense(8 * 4 * 4 * 0 + 128, 64)]
+    p = K.init_params([layers[0]], 42)[0]
+    assert abs(p["W"].std() - np.sqrt(2 / (3 * 25))) < 0.02 and np.all(p["b"] == 0)
+    small = K.init_params([K.dense(200, 100)], 42, scheme="small")[0]
+    assert abs(small["W"].std() - 0.01) < 0.001
