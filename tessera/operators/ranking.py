@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
+from .common import bounded_side
 
-BROADCAST_ROWS = 2_000_000
 DEFAULT_HEX_DIGITS = 3  # 4096 buckets per group
 
 
@@ -43,10 +43,7 @@ def _stage_order(df: DataFrame, order_by: list):
 
 
 def _attach_offsets(df: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
-    offsets = offsets.cache()
-    n_off = offsets.count()
-    side = F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets
-    return df.join(side, on=keys, how="inner")
+    return df.join(bounded_side(offsets), on=keys, how="inner")
 
 
 def hash_row_number(

@@ -14,10 +14,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded_side
 from .ranking import hash_row_number, hex_digits_for
 
-BROADCAST_ROWS = 2_000_000
-
 
 def split_key(id_col: str, seed: int, *extra) -> Column:
     parts = [F.lit(str(seed))] + [F.lit(str(e)) for e in extra] + [F.col(id_col).cast("string")]
@@ -25,10 +24,8 @@ def split_key(id_col: str, seed: int, *extra) -> Column:
 
 
 def _attach(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Join a small per-class table; broadcast only when its row count is checked."""
-    small = small.cache()
-    n = small.count()
-    return df.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on=on, how="inner")
+    """Join a small per-class table; broadcast only after its row count is checked."""
+    return df.join(bounded_side(small), on=on, how="inner")
 
 
 def _quota_table(counts: DataFrame, label: str, frac: float, n_col: str = "n", out: str = "quota") -> DataFrame:
@@ -76,7 +73,7 @@ def three_way_split(
         raise ValueError("sizes must be fractions with val + test < 1")
     grp = "_g"
     staged = df.withColumn(grp, F.col(label) if stratify else F.lit(0))
-    counts = staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n")).cache()
+    counts = bounded_side(staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n")))
     digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
     q = _quota_table(counts, grp, test_size, out="q_test")
     if val_size > 0:
@@ -106,7 +103,7 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, ou
     labels, so every fold holds a near-equal share of every class and totals differ by ≤ 1."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).cache()
+    counts = bounded_side(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
     offs = counts.withColumn(
         "_off",
