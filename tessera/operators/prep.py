@@ -56,11 +56,12 @@ def drop_null_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(cond)
 
 
-def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str) -> dict[str, float | None]:
+def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None) -> dict[str, float | None]:
     """Fill value per column that has nulls (columns without nulls keep their type)."""
     if strategy not in ("mean", "median"):
         raise ValueError("strategy must be 'mean' or 'median'")
-    missing = [c for c, z in null_counts(df, cols).items() if z > 0]
+    nulls = nulls if nulls is not None else null_counts(df, cols)
+    missing = [c for c in cols if nulls.get(c, 0) > 0]
     if not missing:
         return {}
     if strategy == "mean":
@@ -89,8 +90,10 @@ def impute_numeric(df: DataFrame, cols: list[str], strategy: str = "mean") -> Da
     return apply_fill(df, fit_numeric_fill(df, cols, strategy), as_double=True)
 
 
-def fit_categorical_fill(df: DataFrame, cols: list[str], strategy: str) -> dict[str, object]:
-    missing = [c for c, z in null_counts(df, cols).items() if z > 0]
+def fit_categorical_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None) -> dict[str, object]:
+    """Fill value per column with nulls (``nulls`` may carry counts measured earlier)."""
+    nulls = nulls if nulls is not None else null_counts(df, cols)
+    missing = [c for c in cols if nulls.get(c, 0) > 0]
     return frequency_extremes(df, missing, "most" if strategy == "most" else "less")
 
 
@@ -140,15 +143,15 @@ def fit_outliers(df: DataFrame, cols: list[str], strategy: str) -> dict[str, dic
     """Tukey fences (Q1 − 1.5·IQR, Q3 + 1.5·IQR) and the replacement (mean or median, with outliers)."""
     if strategy == "keep" or not cols:
         return {}
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    mom = moments(df, cols) if strategy == "mean" else {}
+    mean: dict = {}
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], means=mean)
     out = {}
     for c in cols:
         q1, q2, q3 = q[c]
         if q1 is None:
             continue
         iqr = q3 - q1
-        centre = mom[c]["mean"] if strategy == "mean" else q2
+        centre = mean[c] if strategy == "mean" else q2
         out[c] = {"lower": q1 - 1.5 * iqr, "upper": q3 + 1.5 * iqr, "centre": centre}
     return out
 

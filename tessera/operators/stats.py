@@ -167,6 +167,7 @@ def exact_quantiles(
     where: dict[str, object] | None = None,
     max_collect: int = MAX_COLLECT,
     accuracy: int = APPROX_ACCURACY,
+    means: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
@@ -178,7 +179,8 @@ def exact_quantiles(
     so large that a bracket would exceed ``max_collect`` rows are narrowed iteratively first.
     The driver only ever receives bounded value counts. ``where`` maps a column to a predicate
     restricting which values count (e.g. non-zero only). Nulls are ignored.
-    Returns ``{col: [q(p) for p in probs]}``.
+    Returns ``{col: [q(p) for p in probs]}``; when a dict is passed as ``means`` it receives
+    each column's mean from job 1 (no extra pass).
     """
     if not cols:
         return {}
@@ -198,8 +200,11 @@ def exact_quantiles(
             F.count(val(c)).alias(f"n{i}"),
             F.approx_count_distinct(val(c)).alias(f"nd{i}"),
             F.percentile_approx(val(c), edges, accuracy).alias(f"e{i}"),
+            F.avg(val(c)).alias(f"mu{i}"),
         ]
     row = df.agg(*aggs).first()
+    if means is not None:
+        means.update({c: row[f"mu{i}"] for i, c in enumerate(cols)})
     n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
     direct, bracketed = [], []

@@ -70,12 +70,18 @@ class TabularPrep:
         f: dict = {"num": num, "cat": cat, "target": target, "target_numeric": target_numeric}
         try:
             cur = src
+            # One pass counts nulls of every column; numeric steps never drop or fill
+            # categorical values, so these counts serve both halves (a row drop can only
+            # remove nulls, which at worst makes a categorical fill a no-op).
+            from ..operators.stats import null_counts
+
+            nulls = null_counts(cur, num_treat + cat_treat)
             if num:
                 if o.numeric_nulls == "drop":
                     cur = prep.drop_null_rows(cur, num_treat)
                     f["num_fill"] = {}
                 else:
-                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls)
+                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, nulls)
                     cur = prep.apply_fill(cur, f["num_fill"])
                 f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros) if o.invalid_zeros else {}
                 cur = prep.apply_zero_replace(cur, f["zero_med"])
@@ -89,7 +95,7 @@ class TabularPrep:
                     cur = prep.drop_null_rows(cur, cat_treat)
                     f["cat_fill"] = {}
                 else:
-                    f["cat_fill"] = prep.fit_categorical_fill(cur, cat_treat, o.categorical_nulls)
+                    f["cat_fill"] = prep.fit_categorical_fill(cur, cat_treat, o.categorical_nulls, nulls)
                     cur = prep.apply_categorical_fill(cur, f["cat_fill"])
                 f["levels"] = {}
                 for c in cat:
