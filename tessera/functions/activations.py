@@ -55,8 +55,13 @@ def scalar(name: str, v: Column) -> Column:
 
 
 def array_softmax(arr: Column) -> Column:
-    """Max-shifted softmax over an array<double> column, in one projection."""
-    m = F.array_max(arr)
-    e = F.transform(arr, lambda z: F.exp(z - m))
+    """Max-shifted softmax over an array<double> column, in one projection.
+
+    Row-level scalars (max, sum) enter the element-wise step through ``array_repeat`` +
+    ``zip_with`` instead of being referenced inside a lambda, so each is evaluated once per
+    row rather than once per element (linear, not quadratic, in the array length).
+    """
+    n = F.size(arr)
+    e = F.zip_with(arr, F.array_repeat(F.array_max(arr), n), lambda z, m: F.exp(z - m))
     total = F.aggregate(e, F.lit(0.0), lambda acc, z: acc + z)
-    return F.transform(e, lambda z: z / total)
+    return F.zip_with(e, F.array_repeat(total, F.size(e)), lambda z, t: z / t)
