@@ -26,13 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.splits import assign_batches
 from . import kernels as K
-from .scoring import arrow_matrix, check_model_size
+from .scoring import arrow_list, arrow_matrix, check_model_size
 
 DRIVER_SUM_LIMIT = 20_000_000  # partitions × parameters summed directly on the driver
 
@@ -147,20 +148,26 @@ def gradient_rows(df: DataFrame, layers, params, in_shape, n_classes, eps_mode,
             n, loss, correct = n + len(y), loss + ls, correct + cr
         if n:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([loss]), pa.array([correct], pa.int64()),
-                 pa.array([acc.tolist()], pa.list_(pa.float64()))],
+                [pa.array([n], pa.int64()), pa.array([loss]), pa.array([correct], pa.int64()), arrow_list(acc[None, :])],
                 names=["n", "loss", "correct", "grad"],
             )
 
     return df.select(label_col, data_col).mapInArrow(run, _GRAD_SCHEMA)
 
 
+def _vectors(table: pa.Table, col: str, size: int) -> np.ndarray:
+    """A list<double> column of a collected Arrow table → (rows, size) matrix, no Python lists."""
+    arr = table.column(col).combine_chunks()
+    if len(arr) == 0:
+        return np.zeros((0, size))
+    offs = arr.offsets.to_numpy()
+    return arr.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].reshape(len(arr), size)
+
+
 def _sum_partials(rows: DataFrame, size: int, n_parts: int):
-    """Add per-partition gradient rows. Small: collect and add. Large: a tree level on
-    executors first (≈√P groups, each adding ≈√P vectors), then collect √P vectors."""
-    if n_parts * max(size, 1) <= DRIVER_SUM_LIMIT:
-        got = rows.collect()
-    else:
+    """Add per-partition gradient rows. Small: collect (as Arrow) and add. Large: a tree level
+    on executors first (≈√P groups, each adding ≈√P vectors), then collect √P vectors."""
+    if n_parts * max(size, 1) > DRIVER_SUM_LIMIT:
         groups = max(2, int(math.isqrt(n_parts)))
 
         def add(pdf):
@@ -168,18 +175,15 @@ def _sum_partials(rows: DataFrame, size: int, n_parts: int):
 
             g = np.sum(np.stack(pdf["grad"].to_numpy()), axis=0)
             return pd.DataFrame({"n": [int(pdf["n"].sum())], "loss": [float(pdf["loss"].sum())],
-                                 "correct": [int(pdf["correct"].sum())], "grad": [g.tolist()]})
+                                 "correct": [int(pdf["correct"].sum())], "grad": [g]})
 
-        got = (
-            rows.withColumn("_g", F.spark_partition_id() % groups)
-            .groupBy("_g")
-            .applyInPandas(add, _GRAD_SCHEMA)
-            .collect()
-        )
-    if not got:
+        rows = rows.withColumn("_g", F.spark_partition_id() % groups).groupBy("_g").applyInPandas(add, _GRAD_SCHEMA)
+    t = rows.toArrow()
+    if t.num_rows == 0:
         return np.zeros(size), 0, 0.0, 0
-    grad = np.sum([np.asarray(r["grad"]) for r in got], axis=0)
-    return grad, sum(r["n"] for r in got), sum(r["loss"] for r in got), sum(r["correct"] for r in got)
+    grad = _vectors(t, "grad", size).sum(axis=0)
+    return (grad, int(pa.compute.sum(t.column("n")).as_py()), float(pa.compute.sum(t.column("loss")).as_py()),
+            int(pa.compute.sum(t.column("correct")).as_py()))
 
 
 def evaluate(df: DataFrame, layers, params, in_shape, eps_mode="clip", data_col="data", label_col="label",
@@ -241,8 +245,7 @@ def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, e
             steps += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([len(y)], pa.int64()), pa.array([steps], pa.int64()), pa.array([loss]),
-             pa.array([theta.tolist()], pa.list_(pa.float64())),
-             pa.array([opt.m.tolist()], pa.list_(pa.float64())), pa.array([opt.v.tolist()], pa.list_(pa.float64())),
+             arrow_list(theta[None, :]), arrow_list(opt.m[None, :]), arrow_list(opt.v[None, :]),
              pa.array([opt.t], pa.int64())],
             names=["n", "steps", "loss", "theta", "m", "v", "t"],
         )
@@ -292,14 +295,15 @@ def train_network(
             raise ValueError("no training rows")
         for epoch in range(cfg.epochs):
             if cfg.mode == "local":
-                rows = _local_epoch_rows(data, layers, K.unpack(theta, params), opt.state(), cfg, in_shape, n_classes,
-                                         epoch, data_col, label_col).collect()
-                n_tot = sum(r["n"] for r in rows)
-                theta = sum(np.asarray(r["theta"]) * r["n"] for r in rows) / n_tot
-                opt.m = sum(np.asarray(r["m"]) * r["n"] for r in rows) / n_tot
-                opt.v = sum(np.asarray(r["v"]) * r["n"] for r in rows) / n_tot
-                opt.t = max(r["t"] for r in rows)
-                steps += max(r["steps"] for r in rows)
+                t = _local_epoch_rows(data, layers, K.unpack(theta, params), opt.state(), cfg, in_shape, n_classes,
+                                      epoch, data_col, label_col).toArrow()
+                w = t.column("n").to_numpy().astype(float)
+                n_tot = w.sum()
+                theta = (_vectors(t, "theta", size) * w[:, None]).sum(axis=0) / n_tot
+                opt.m = (_vectors(t, "m", size) * w[:, None]).sum(axis=0) / n_tot
+                opt.v = (_vectors(t, "v", size) * w[:, None]).sum(axis=0) / n_tot
+                opt.t = int(t.column("t").to_numpy().max())
+                steps += int(t.column("steps").to_numpy().max())
             else:
                 if cfg.batch_size is None or cfg.batch_size >= total:
                     batches = [data]

@@ -96,3 +96,16 @@ def test_model_roundtrip_and_structure_check(spark):
         load_model(spark, path, expect_layers=layers[:-1])
     with pytest.raises(ValueError):
         load_model(spark, path, expect_layers=[K.dense(1, 1)] + layers[1:])
+
+
+def test_tree_reduction_matches_driver_sum(spark, monkeypatch):
+    from tessera.plans import training
+
+    layers = [K.dense(64, 10, "softmax")]
+    params = K.init_params(layers, 2)
+    cfg = cnn_config(optimizer="sgd", learning_rate=0.01)
+    e = _emb(spark).repartition(9)
+    a = K.pack(one_step_params(e, layers, params, cfg, (64,), 10))
+    monkeypatch.setattr(training, "DRIVER_SUM_LIMIT", 1)  # force the executor-side tree level
+    b = K.pack(one_step_params(e, layers, params, cfg, (64,), 10))
+    assert np.allclose(a, b, atol=1e-12)
