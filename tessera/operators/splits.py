@@ -15,7 +15,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_side
-from .ranking import hash_row_number, hex_digits_for
+from .ranking import exact_row_number, hash_row_number, hex_digits_for
+
+
+def resolve_seed(seed: int | None) -> int:
+    """``None`` asks for a different split each run (the reference's non-repeatable option)."""
+    if seed is None:
+        import secrets
+
+        return secrets.randbelow(2**31)
+    return int(seed)
 
 
 def split_key(id_col: str, seed: int, *extra) -> Column:
@@ -71,6 +80,7 @@ def three_way_split(
     ``val_size / (1 − test_size)``; each quota by largest remainder per class."""
     if not (0 <= val_size < 1 and 0 < test_size < 1 and val_size + test_size < 1):
         raise ValueError("sizes must be fractions with val + test < 1")
+    seed = resolve_seed(seed)
     grp = "_g"
     staged = df.withColumn(grp, F.col(label) if stratify else F.lit(0))
     counts = bounded_side(staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n")))
@@ -98,9 +108,13 @@ def hash_split(df: DataFrame, id_col: str, val_size: float, test_size: float, se
     return df.withColumn(out, F.when(u < test_size, "test").when(u < test_size + val_size, "val").otherwise("train"))
 
 
-def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None = 42, out: str = "fold",
+          shuffle: bool = True) -> DataFrame:
     """Stratified k folds: ``(offset(label) + rank − 1) % k`` with ``offset`` = rows of smaller
-    labels, so every fold holds a near-equal share of every class and totals differ by ≤ 1."""
+    labels, so every fold holds a near-equal share of every class and totals differ by ≤ 1.
+
+    Rows are ranked within their class by the seeded hash (``shuffle=True``) or by ``id_col``
+    (``shuffle=False``: folds follow the stored order)."""
     if k < 2:
         raise ValueError("k must be at least 2")
     counts = bounded_side(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
@@ -109,7 +123,10 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 42, ou
         "_off",
         F.coalesce(F.sum("n").over(Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(label, "_off")
-    ranked = hash_row_number(df, split_key(id_col, seed), id_col, [label], out="_rn", hex_digits=digits)
+    if shuffle:
+        ranked = hash_row_number(df, split_key(id_col, resolve_seed(seed)), id_col, [label], out="_rn", hex_digits=digits)
+    else:
+        ranked = exact_row_number(df, [id_col], [label], out="_rn")
     joined = _attach(ranked, offs, [label])
     return joined.withColumn(out, ((F.col("_off") + F.col("_rn") - 1) % k).cast("bigint")).drop("_off", "_rn")
 

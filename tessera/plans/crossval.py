@@ -33,6 +33,7 @@ def cv_scores(
     label_col: str = "label",
     data_col: str = "data",
     fold_col: str = "fold",
+    shuffle: bool = True,
 ) -> list[tuple]:
     """Stratified k-fold: train on k−1 folds, score both sides. Returns (fold, set, loss, accuracy).
 
@@ -44,7 +45,7 @@ def cv_scores(
     from ..operators.splits import kfold
     from .training import evaluate, train_network
 
-    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col)
+    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     out = []
     try:

@@ -62,3 +62,32 @@ def test_hash_split_no_shuffle(spark):
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert 0.1 < s.where("set = 'test'").count() / 500 < 0.3
+
+
+def test_kfold_without_shuffle_follows_id_order(spark):
+    e = _emb(spark)
+    f = splits.kfold(e, "label", "vec_id", 4, shuffle=False).collect()
+    by_label = {}
+    for r in sorted(f, key=lambda r: r.vec_id):
+        by_label.setdefault(r.label, []).append(r.fold)
+    offset = 0
+    for lab in sorted(by_label):
+        folds = by_label[lab]
+        assert folds == [(offset + i) % 4 for i in range(len(folds))]
+        offset += len(folds)
+
+
+def test_random_seed_split_is_valid(spark):
+    e = _emb(spark)
+    s = splits.stratified_split(e, "label", "vec_id", 0.2, seed=None)
+    assert s.where("set = 'test'").count() == 100
+
+
+def test_hot_class_split_quota(spark):
+    """One class holds 60% of the rows: per-class quotas and exact sizes still hold."""
+    e = _emb(spark).withColumn("label", F.when(F.col("vec_id") % 5 < 3, F.lit(99)).otherwise(F.col("label")))
+    s = splits.stratified_split(e, "label", "vec_id", 0.25, 3)
+    per = {r.label: (r.t, r.n) for r in s.groupBy("label").agg(
+        F.sum((F.col("set") == "test").cast("int")).alias("t"), F.count("*").alias("n")).collect()}
+    assert sum(t for t, _ in per.values()) == 125
+    assert all(abs(t - 0.25 * n) < 1 for t, n in per.values())
