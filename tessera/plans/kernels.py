@@ -76,10 +76,23 @@ def output_shapes(layers: list[dict], in_shape: tuple[int, int, int]) -> list[tu
 
 
 def init_params(layers: list[dict], seed: int = 42, scheme: str = "he") -> list[dict | None]:
-    """He-normal conv/dense weights (std √(2/fan_in)), or 'small' = 0.01·N(0,1); zero biases.
+    """Initial parameters with zero biases.
 
-    Each trainable layer draws from its own generator (seed + layer index).
+    'he': conv/dense weights ~ N(0, 2/fan_in), each trainable layer from its own generator
+    (seed + layer index). 'small': 0.01·N(0, 1), same generators. 'mlp_sequential': the MLP
+    rule of the reference — one legacy Mersenne-Twister stream seeded once, 0.01·randn drawn
+    layer after layer — so a dense-only network starts from identical weights.
     """
+    if scheme == "mlp_sequential":
+        rs = np.random.RandomState(seed)
+        out = []
+        for ly in layers:
+            if ly["type"] != "dense":
+                raise ValueError("'mlp_sequential' initialises dense-only networks")
+            out.append({"W": rs.randn(ly["in"], ly["out"]) * 0.01, "b": np.zeros(ly["out"])})
+        return out
+    if scheme not in ("he", "small"):
+        raise ValueError("scheme must be 'he', 'small' or 'mlp_sequential'")
     out = []
     for i, ly in enumerate(layers):
         rng = np.random.default_rng(seed + i)

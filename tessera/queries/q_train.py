@@ -120,7 +120,7 @@ def _mlp_run(spark, sf, epochs=5):
     tr, va = s.where(F.col("set") == "train"), s.where(F.col("set") == "val")
     layers = [K.dense(64, 32, "relu"), K.dense(32, 10, "softmax")]
     cfg = mlp_config(epochs=epochs, learning_rate=0.5, lam=0.01, batch_size=64, mode="local")
-    res = train_network(tr, layers, cfg, (64,), 10, val_df=va, init_scheme="small")
+    res = train_network(tr, layers, cfg, (64,), 10, val_df=va, init_scheme="mlp_sequential")
     return s, res
 
 

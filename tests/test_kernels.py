@@ -91,3 +91,13 @@ def test_init_scales():
     assert abs(p["W"].std() - np.sqrt(2 / (3 * 25))) < 0.02 and np.all(p["b"] == 0)
     small = K.init_params([K.dense(200, 100)], 42, scheme="small")[0]
     assert abs(small["W"].std() - 0.01) < 0.001
+
+
+def test_mlp_sequential_init_is_one_seeded_stream():
+    layers = [K.dense(8, 16), K.dense(16, 3, "softmax")]
+    p = K.init_params(layers, 42, scheme="mlp_sequential")
+    np.random.seed(42)
+    w1 = np.random.randn(8, 16) * 0.01
+    w2 = np.random.randn(16, 3) * 0.01
+    assert np.array_equal(p[0]["W"], w1) and np.array_equal(p[1]["W"], w2)
+    assert p[1]["b"].shape == (3,) and not p[1]["b"].any()
