@@ -130,9 +130,13 @@ def _labels(rb: pa.RecordBatch, col: str) -> np.ndarray:
     return rb.column(rb.schema.get_field_index(col)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def gradient_rows(df: DataFrame, layers, params, in_shape, n_classes, eps_mode, data_col="data", label_col="label") -> DataFrame:
-    """One row per partition: (rows, loss sum, correct, gradient sum)."""
+def gradient_rows(df: DataFrame, layers, params, in_shape, n_classes, eps_mode, data_col="data", label_col="label",
+                  broadcasts: list | None = None) -> DataFrame:
+    """One row per partition: (rows, loss sum, correct, gradient sum). The model broadcast is
+    appended to ``broadcasts`` so the caller can release it once the step has run."""
     bc = df.sparkSession.sparkContext.broadcast((layers, params))
+    if broadcasts is not None:
+        broadcasts.append(bc)
     width = int(np.prod(in_shape))
 
     def run(batches):
@@ -190,6 +194,13 @@ def evaluate(df: DataFrame, layers, params, in_shape, eps_mode="clip", data_col=
              set_col: str | None = None) -> dict:
     """Loss and accuracy per set in one scoring job: {set: (loss, accuracy, n)}."""
     bc = df.sparkSession.sparkContext.broadcast((layers, params))
+    try:
+        return _evaluate(df, bc, in_shape, eps_mode, data_col, label_col, set_col)
+    finally:
+        bc.destroy()
+
+
+def _evaluate(df, bc, in_shape, eps_mode, data_col, label_col, set_col) -> dict:
     width = int(np.prod(in_shape))
     cols = [label_col, data_col] + ([set_col] if set_col else [])
 
@@ -212,9 +223,10 @@ def evaluate(df: DataFrame, layers, params, in_shape, eps_mode="clip", data_col=
     return {r["set"]: (r["loss"], r["acc"], r["n"]) for r in agg.collect()}
 
 
-def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, epoch, data_col, label_col):
+def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, epoch, data_col, label_col, broadcasts):
     """One job: each partition runs mini-batch steps over its rows; emits its final state."""
     bc = df.sparkSession.sparkContext.broadcast((layers, params, opt_state, cfg))
+    broadcasts.append(bc)
     width = int(np.prod(in_shape))
 
     def run(batches):
@@ -254,6 +266,13 @@ def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, e
     return df.select(label_col, data_col).mapInArrow(run, schema)
 
 
+def _release(broadcasts: list) -> None:
+    """Drop a finished step's model broadcast from executors and driver (one per step)."""
+    for bc in broadcasts:
+        bc.destroy()
+    broadcasts.clear()
+
+
 # ----------------------------------------------------------------------------- driver loop
 @dataclass
 class TrainResult:
@@ -277,13 +296,32 @@ def train_network(
     id_col: str = "id",
     init_scheme: str = "he",
     evaluate_every: int = 1,
+    checkpoint_path: str | None = None,
+    resume: bool = False,
 ) -> TrainResult:
-    """Train ``layers`` on ``train_df`` (rows: id, label, packed data)."""
+    """Train ``layers`` on ``train_df`` (rows: id, label, packed data).
+
+    With ``checkpoint_path`` (a folder on shared storage) the model table and optimizer state
+    are written after every epoch to ``epoch=<n>`` sub-folders (a failed write never replaces a
+    committed one); ``resume=True`` restarts after the last committed epoch.
+    """
+    from ..sources.model_store import load_extra, load_model, save_model
+
+    spark = train_df.sparkSession
     K.output_shapes(layers, in_shape)
     params = params if params is not None else K.init_params(layers, cfg.seed, init_scheme)
     size = check_model_size(params)
-    theta = K.pack(params)
     opt = Optimizer(cfg, size, weight_mask(params))
+    start = 0
+    if resume and checkpoint_path:
+        last = _last_epoch(spark, checkpoint_path)
+        if last is not None:
+            where = f"{checkpoint_path}/epoch={last}"
+            _, params = load_model(spark, where, expect_layers=layers)
+            st = load_extra(spark, where)
+            opt.load({"m": st["m"], "v": st["v"], "t": int(st["t"][0])})
+            start = last + 1
+    theta = K.pack(params)
 
     data = train_df.select(id_col, label_col, data_col).persist(StorageLevel.MEMORY_AND_DISK)
     val = val_df.select(id_col, label_col, data_col) if val_df is not None else None
@@ -293,10 +331,12 @@ def train_network(
         total = data.count()
         if total == 0:
             raise ValueError("no training rows")
-        for epoch in range(cfg.epochs):
+        for epoch in range(start, cfg.epochs):
             if cfg.mode == "local":
+                bcs: list = []
                 t = _local_epoch_rows(data, layers, K.unpack(theta, params), opt.state(), cfg, in_shape, n_classes,
-                                      epoch, data_col, label_col).toArrow()
+                                      epoch, data_col, label_col, bcs).toArrow()
+                _release(bcs)
                 w = t.column("n").to_numpy().astype(float)
                 n_tot = w.sum()
                 theta = (_vectors(t, "theta", size) * w[:, None]).sum(axis=0) / n_tot
@@ -314,9 +354,12 @@ def train_network(
                     batches = [batched.where(F.col("batch") == b) for b in range(n_b)]
                 for bdf in batches:
                     cur = K.unpack(theta, params)
+                    bcs = []
                     g, m_rows, _, _ = _sum_partials(
-                        gradient_rows(bdf, layers, cur, in_shape, n_classes, cfg.eps_mode, data_col, label_col), size, n_parts
+                        gradient_rows(bdf, layers, cur, in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
+                        size, n_parts,
                     )
+                    _release(bcs)
                     if m_rows:
                         theta = opt.step(theta, g, m_rows)
                         steps += 1
@@ -333,11 +376,25 @@ def train_network(
                         curves.append((epoch, s, float(res[s][0]), float(res[s][1])))
             if not np.all(np.isfinite(theta)):
                 raise FloatingPointError(f"non-finite parameters after epoch {epoch}")
+            if checkpoint_path:
+                save_model(spark, f"{checkpoint_path}/epoch={epoch}", layers, K.unpack(theta, params),
+                           extra={"m": opt.m, "v": opt.v, "t": [opt.t], "epoch": [epoch]})
     finally:
         data.unpersist()
     return TrainResult(layers, K.unpack(theta, params), curves, steps, opt.state())
 
 
+def _last_epoch(spark, path: str) -> int | None:
+    """Highest committed ``epoch=<n>`` checkpoint under ``path`` (partition discovery)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        row = spark.read.parquet(path).agg(F.max("epoch")).first()
+    except AnalysisException:
+        return None
+    return None if row[0] is None else int(row[0])
+
+
 def curves_frame(spark, result: TrainResult) -> DataFrame:
     return spark.createDataFrame(
         [(int(e), s, float(l), float(a)) for e, s, l, a in result.curves], "epoch bigint, set string, loss double, accuracy double"
@@ -352,9 +409,11 @@ def one_step_params(df: DataFrame, layers, params, cfg: TrainConfig, in_shape, n
     opt = Optimizer(cfg, size, weight_mask(params))
     n_parts = df.rdd.getNumPartitions()
     for _ in range(steps):
+        bcs: list = []
         g, m_rows, _, _ = _sum_partials(
-            gradient_rows(df, layers, K.unpack(theta, params), in_shape, n_classes, cfg.eps_mode, data_col, label_col),
+            gradient_rows(df, layers, K.unpack(theta, params), in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
             size, n_parts,
         )
+        _release(bcs)
         theta = opt.step(theta, g, m_rows)
     return K.unpack(theta, params)

@@ -28,14 +28,26 @@ def model_frame(spark: SparkSession, layers: list[dict], params: list) -> DataFr
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def save_model(spark: SparkSession, path: str, layers: list[dict], params: list) -> None:
-    """Persist the layer list and trainable parameters (overwrite)."""
-    model_frame(spark, layers, params).coalesce(1).write.mode("overwrite").parquet(path)
+def save_model(spark: SparkSession, path: str, layers: list[dict], params: list, extra: dict | None = None) -> None:
+    """Persist the layer list and trainable parameters (overwrite). ``extra`` maps names to
+    arrays stored as rows with ``layer_idx = -1`` (e.g. optimizer state for a resumable run)."""
+    df = model_frame(spark, layers, params)
+    if extra:
+        rows = [(-1, "state", "{}", k, [int(x) for x in np.shape(v)], np.ravel(np.asarray(v, dtype=float)).tolist())
+                for k, v in extra.items()]
+        df = df.unionByName(spark.createDataFrame(rows, SCHEMA))
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_extra(spark: SparkSession, path: str) -> dict:
+    """The ``layer_idx = -1`` rows written by :func:`save_model` as arrays."""
+    rows = spark.read.parquet(path).where("layer_idx = -1").collect()
+    return {r["param"]: np.asarray(r["values"], dtype=float).reshape(tuple(r["shape"])) for r in rows}
 
 
 def load_model(spark: SparkSession, path: str, expect_layers: list[dict] | None = None):
     """Read back; check layer count and each layer's type against ``expect_layers`` when given."""
-    rows = spark.read.parquet(path).collect()  # model-sized
+    rows = spark.read.parquet(path).where("layer_idx >= 0").collect()  # model-sized
     by_layer: dict[int, dict] = {}
     for r in rows:
         d = by_layer.setdefault(r["layer_idx"], {"type": r["layer_type"], "spec": json.loads(r["spec"]), "p": {}})

@@ -109,3 +109,16 @@ def test_tree_reduction_matches_driver_sum(spark, monkeypatch):
     monkeypatch.setattr(training, "DRIVER_SUM_LIMIT", 1)  # force the executor-side tree level
     b = K.pack(one_step_params(e, layers, params, cfg, (64,), 10))
     assert np.allclose(a, b, atol=1e-12)
+
+
+def test_checkpoint_and_resume(spark):
+    layers = [K.dense(64, 10, "softmax")]
+    cfg2 = cnn_config(epochs=2, optimizer="adam", learning_rate=0.01, batch_size=None, mode="sync")
+    cfg3 = cnn_config(epochs=3, optimizer="adam", learning_rate=0.01, batch_size=None, mode="sync")
+    e = _emb(spark)
+    path = shared_path(spark, "test-ckpt", "adam")
+    full = train_network(e, layers, cfg3, (64,), 10)
+    train_network(e, layers, cfg2, (64,), 10, checkpoint_path=path)
+    resumed = train_network(e, layers, cfg3, (64,), 10, checkpoint_path=path, resume=True)
+    assert resumed.steps == 1
+    assert np.allclose(K.pack(full.params), K.pack(resumed.params), atol=1e-12)
