@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import safe_div
-from .stats import exact_quantiles, frequency_extremes, medians, moments, null_counts
+from .stats import frequency_extremes, medians, moments, null_counts, quantiles
 
 MAX_INLINE_LEVELS = 64  # levels looked up through a literal array inside the projection
 MAX_LITERAL_LEVELS = 100_000  # collected level list → broadcast (value, code) table; above: rank join
@@ -56,7 +56,8 @@ def drop_null_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(cond)
 
 
-def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None) -> dict[str, float | None]:
+def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None,
+                     approx: bool = False) -> dict[str, float | None]:
     """Fill value per column that has nulls (columns without nulls keep their type)."""
     if strategy not in ("mean", "median"):
         raise ValueError("strategy must be 'mean' or 'median'")
@@ -66,7 +67,7 @@ def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[
         return {}
     if strategy == "mean":
         return {c: m["mean"] for c, m in moments(df, missing).items()}
-    return medians(df, missing)
+    return medians(df, missing, approx=approx)
 
 
 def apply_fill(df: DataFrame, fills: dict[str, object], as_double: bool = True) -> DataFrame:
@@ -118,9 +119,9 @@ def impute_categorical(df: DataFrame, cols: list[str], strategy: str = "most") -
 
 
 # ----------------------------------------------------------------------------- zeros, outliers
-def fit_zero_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+def fit_zero_medians(df: DataFrame, cols: list[str], approx: bool = False) -> dict[str, float | None]:
     """Median of the non-zero values of each column."""
-    return medians(df, cols, where={c: F.col(c) != 0 for c in cols})
+    return medians(df, cols, where={c: F.col(c) != 0 for c in cols}, approx=approx)
 
 
 def apply_zero_replace(df: DataFrame, med: dict[str, float | None]) -> DataFrame:
@@ -139,12 +140,12 @@ def zeros_to_median(df: DataFrame, cols: list[str]) -> DataFrame:
     return apply_zero_replace(df, fit_zero_medians(df, cols))
 
 
-def fit_outliers(df: DataFrame, cols: list[str], strategy: str) -> dict[str, dict[str, float]]:
+def fit_outliers(df: DataFrame, cols: list[str], strategy: str, approx: bool = False) -> dict[str, dict[str, float]]:
     """Tukey fences (Q1 − 1.5·IQR, Q3 + 1.5·IQR) and the replacement (mean or median, with outliers)."""
     if strategy == "keep" or not cols:
         return {}
     mean: dict = {}
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], means=mean)
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], means=mean, approx=approx)
     out = {}
     for c in cols:
         q1, q2, q3 = q[c]

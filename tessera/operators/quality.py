@@ -28,7 +28,8 @@ def dq_summary(df: DataFrame, array_shapes: dict[str, int] | None = None) -> Dat
         else:
             aggs.append(F.lit(0).cast("bigint").alias(f"nan{i}"))
         if numeric:
-            aggs += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+            finite = F.when(~F.isnan(c), c) if floating else c  # NaN would otherwise be the maximum
+            aggs += [F.min(finite).cast("double").alias(f"lo{i}"), F.max(finite).cast("double").alias(f"hi{i}")]
         else:
             aggs += [F.lit(None).cast("double").alias(f"lo{i}"), F.lit(None).cast("double").alias(f"hi{i}")]
         meta.append((i, f.name))
@@ -62,3 +63,27 @@ def assert_clean(df: DataFrame, cols: list[str] | None = None, lo: float | None
             raise ValueError(f"{r['col_name']}: minimum {r['min_value']} < {lo}")
         if hi is not None and r["max_value"] is not None and r["max_value"] > hi:
             raise ValueError(f"{r['col_name']}: maximum {r['max_value']} > {hi}")
+
+
+def observe_quality(df: DataFrame, name: str, cols: list[str] | None = None):
+    """Attach the same checks to a job that runs anyway (``DataFrame.observe``): row count,
+    nulls/NaNs per column, numeric min/max — collected as a side effect of the next action,
+    with no extra pass. Returns (observed DataFrame, Observation); read ``obs.get`` after the action."""
+    from pyspark.sql import Observation
+
+    cols = cols or df.columns
+    exprs = [F.count(F.lit(1)).alias("rows")]
+    for f in df.schema.fields:
+        if f.name not in cols:
+            continue
+        bad = F.col(f.name).isNull()
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            bad = bad | F.isnan(F.col(f.name))
+        exprs.append(F.count_if(bad).alias(f"{f.name}__bad"))
+        if isinstance(f.dataType, T.NumericType):
+            x = F.col(f.name)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+                x = F.when(~F.isnan(x), x)
+            exprs += [F.min(x).cast("double").alias(f"{f.name}__min"), F.max(x).cast("double").alias(f"{f.name}__max")]
+    obs = Observation(name)
+    return df.observe(obs, *exprs), obs

@@ -263,8 +263,39 @@ def exact_quantiles(
     return out
 
 
-def medians(df: DataFrame, cols: list[str], where: dict | None = None) -> dict[str, float | None]:
-    q = exact_quantiles(df, cols, [0.5], where=where)
+def quantiles(
+    df: DataFrame,
+    cols: list[str],
+    probs: list[float],
+    *,
+    approx: bool = False,
+    where: dict[str, object] | None = None,
+    means: dict | None = None,
+    accuracy: int = APPROX_ACCURACY,
+) -> dict[str, list[float | None]]:
+    """Exact quantiles (default) or, with ``approx=True``, one ``percentile_approx`` pass whose
+    rank error is at most n/accuracy (no interpolation between neighbours)."""
+    if not approx:
+        return exact_quantiles(df, cols, probs, where=where, means=means, accuracy=accuracy)
+    if not cols:
+        return {}
+    where = where or {}
+
+    def val(c):
+        x = F.col(c).cast("double")
+        return F.when(where[c], x) if c in where else x
+
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.percentile_approx(val(c), list(probs), accuracy).alias(f"q{i}"), F.avg(val(c)).alias(f"mu{i}")]
+    row = df.agg(*aggs).first()
+    if means is not None:
+        means.update({c: row[f"mu{i}"] for i, c in enumerate(cols)})
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
+
+
+def medians(df: DataFrame, cols: list[str], where: dict | None = None, approx: bool = False) -> dict[str, float | None]:
+    q = quantiles(df, cols, [0.5], where=where, approx=approx)
     return {c: v[0] for c, v in q.items()}
 
 

@@ -26,6 +26,7 @@ class TabularOptions:
     ordinal: list[str] = field(default_factory=list)
     invalid_zeros: list[str] = field(default_factory=list)
     protect_target: bool = False  # keep the target out of imputation and outlier treatment
+    approx_quantiles: bool = False  # medians / quartiles from one percentile_approx pass
 
     def __post_init__(self):
         checks = {
@@ -81,11 +82,11 @@ class TabularPrep:
                     cur = prep.drop_null_rows(cur, num_treat)
                     f["num_fill"] = {}
                 else:
-                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, nulls)
+                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, nulls, o.approx_quantiles)
                     cur = prep.apply_fill(cur, f["num_fill"])
-                f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros) if o.invalid_zeros else {}
+                f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros, o.approx_quantiles) if o.invalid_zeros else {}
                 cur = prep.apply_zero_replace(cur, f["zero_med"])
-                f["fences"] = prep.fit_outliers(cur, num_treat, o.outliers)
+                f["fences"] = prep.fit_outliers(cur, num_treat, o.outliers, o.approx_quantiles)
                 cur = prep.apply_outliers(cur, f["fences"])
                 scale_cols = [c for c in num if c != target]
                 f["scaler"] = prep.fit_scaler(cur, scale_cols, o.scaling)

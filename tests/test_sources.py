@@ -87,3 +87,13 @@ def test_dq_summary_and_assert_clean(spark):
     with pytest.raises(ValueError):
         assert_clean(df.select("x"))
     assert_clean(df.select("s").where("s is not null"))
+
+
+def test_observe_quality_rides_on_the_main_job(spark):
+    from tessera.operators.quality import observe_quality
+
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (3.0, "c")], "x double, s string")
+    observed, obs = observe_quality(df.where("x > 0 or isnan(x)"), "q1")
+    observed.write.format("noop").mode("overwrite").save()
+    got = obs.get
+    assert got["rows"] == 3 and got["x__bad"] == 1 and got["s__bad"] == 1 and got["x__max"] == 3.0

@@ -90,3 +90,12 @@ def test_align_requires_unique_key(spark):
     b = spark.createDataFrame([(1, "a")], "k int, s string")
     with pytest.raises(ValueError):
         prep.align_columns(a, b, "k")
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    from tessera.operators.stats import quantiles
+
+    pdf, df = _frame(spark, n=20000, seed=5)
+    got = quantiles(df, ["x"], [0.25, 0.5, 0.75], approx=True, accuracy=1000)["x"]
+    ranks = [(pdf["x"] < v).mean() for v in got]
+    assert all(abs(r - p) <= 1 / 1000 + 1e-9 for r, p in zip(ranks, [0.25, 0.5, 0.75]))
