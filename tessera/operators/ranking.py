@@ -46,6 +46,16 @@ def _attach_offsets(df: DataFrame, offsets: DataFrame, keys: list[str]) -> DataF
     return df.join(bounded_side(offsets), on=keys, how="inner")
 
 
+def bucket_counts(df: DataFrame, hex_col: str, partition_by: list[str] | None = None, hex_digits: int = DEFAULT_HEX_DIGITS) -> DataFrame:
+    """Rows per (group, digest-prefix bucket): one aggregate over the data, materialised as a
+    bounded join side. Summing it over buckets gives the group sizes without another scan."""
+    partition_by = list(partition_by or [])
+    b = df.groupBy(*partition_by, F.substring(F.col(hex_col), 1, hex_digits).alias("_bkt")).agg(
+        F.count(F.lit(1)).alias("_cnt")
+    )
+    return bounded_side(b)
+
+
 def hash_row_number(
     df: DataFrame,
     hex_key,
@@ -53,15 +63,18 @@ def hash_row_number(
     partition_by: list[str] | None = None,
     out: str = "rn",
     hex_digits: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Row number ordered by (``hex_key``, ``tie_breaker``) within ``partition_by``, where
-    ``hex_key`` is a lowercase hex digest (uniformly distributed)."""
+    ``hex_key`` is a lowercase hex digest (uniformly distributed). ``counts`` may carry the
+    :func:`bucket_counts` table already computed with the same digits."""
     partition_by = list(partition_by or [])
     L = hex_digits or DEFAULT_HEX_DIGITS
     staged, (kcol,) = _stage_order(df, [hex_key])
     staged = staged.withColumn("_bkt", F.substring(F.col(kcol), 1, L))
     grp = partition_by + ["_bkt"]
-    counts = staged.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt"))
+    if counts is None:
+        counts = bucket_counts(staged, kcol, partition_by, L)
     w_off = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()).orderBy("_bkt")
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -107,8 +120,25 @@ def exact_row_number(
     return res.drop(*drop)
 
 
-def hex_digits_for(n_rows: int, target_per_bucket: int = 2_000_000) -> int:
+TARGET_BUCKET_ROWS = 2_000_000
+
+
+def hex_digits_for(n_rows: int, target_per_bucket: int = TARGET_BUCKET_ROWS) -> int:
     """Hex digits so that a group of ``n_rows`` is split into buckets of ≲ target rows."""
     if n_rows <= target_per_bucket:
         return 1
     return max(1, min(8, math.ceil(math.log(n_rows / target_per_bucket, 16))))
+
+
+def ranked_buckets(df: DataFrame, hex_col: str, partition_by: list[str]):
+    """Bucket counts at the default digits (one scan), refined only when the largest group
+    would leave buckets above the target size. Returns (counts, digits, group sizes)."""
+    L = DEFAULT_HEX_DIGITS
+    counts = bucket_counts(df, hex_col, partition_by, L)
+    sizes = counts.groupBy(*partition_by).agg(F.sum("_cnt").alias("n")) if partition_by else counts.agg(F.sum("_cnt").alias("n"))
+    biggest = sizes.agg(F.max("n")).first()[0] or 0
+    need = hex_digits_for(biggest)
+    if need > L:
+        L = need
+        counts = bucket_counts(df, hex_col, partition_by, L)
+    return counts, L, sizes

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_side
-from .ranking import exact_row_number, hash_row_number, hex_digits_for
+from .ranking import DEFAULT_HEX_DIGITS, exact_row_number, hash_row_number, hex_digits_for, ranked_buckets
 
 
 def resolve_seed(seed: int | None) -> int:
@@ -82,16 +82,16 @@ def three_way_split(
         raise ValueError("sizes must be fractions with val + test < 1")
     seed = resolve_seed(seed)
     grp = "_g"
-    staged = df.withColumn(grp, F.col(label) if stratify else F.lit(0))
-    counts = bounded_side(staged.groupBy(grp).agg(F.count(F.lit(1)).alias("n")))
-    digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
+    staged = df.withColumn(grp, F.col(label) if stratify else F.lit(0)).withColumn("_key", split_key(id_col, seed))
+    # One scan gives the (class, bucket) counts; class sizes are their sums.
+    bcounts, digits, counts = ranked_buckets(staged, "_key", [grp])
     q = _quota_table(counts, grp, test_size, out="q_test")
     if val_size > 0:
         q = q.withColumn("n_rest", F.col("n") - F.col("q_test"))
         q = _quota_table(q, grp, val_size / (1.0 - test_size), n_col="n_rest", out="q_val").drop("n_rest")
     else:
         q = q.withColumn("q_val", F.lit(0).cast("bigint"))
-    ranked = hash_row_number(staged, split_key(id_col, seed), id_col, [grp], out="_rn", hex_digits=digits)
+    ranked = hash_row_number(staged, "_key", id_col, [grp], out="_rn", hex_digits=digits, counts=bcounts)
     joined = _attach(ranked, q.select(grp, "q_test", "q_val"), [grp])
     res = joined.withColumn(
         out,
@@ -99,7 +99,7 @@ def three_way_split(
         .when(F.col("_rn") <= F.col("q_test") + F.col("q_val"), "val")
         .otherwise("train"),
     )
-    return res.drop(grp, "_rn", "q_test", "q_val")
+    return res.drop(grp, "_key", "_rn", "q_test", "q_val")
 
 
 def hash_split(df: DataFrame, id_col: str, val_size: float, test_size: float, seed: int = 42, out: str = "set") -> DataFrame:
@@ -117,14 +117,17 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None =
     (``shuffle=False``: folds follow the stored order)."""
     if k < 2:
         raise ValueError("k must be at least 2")
-    counts = bounded_side(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
-    digits = hex_digits_for(counts.agg(F.max("n")).first()[0] or 0)
+    if shuffle:
+        staged = df.withColumn("_key", split_key(id_col, resolve_seed(seed)))
+        bcounts, digits, counts = ranked_buckets(staged, "_key", [label])
+    else:
+        counts = bounded_side(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
     offs = counts.withColumn(
         "_off",
         F.coalesce(F.sum("n").over(Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(label, "_off")
     if shuffle:
-        ranked = hash_row_number(df, split_key(id_col, resolve_seed(seed)), id_col, [label], out="_rn", hex_digits=digits)
+        ranked = hash_row_number(staged, "_key", id_col, [label], out="_rn", hex_digits=digits, counts=bcounts).drop("_key")
     else:
         ranked = exact_row_number(df, [id_col], [label], out="_rn")
     joined = _attach(ranked, offs, [label])
@@ -133,8 +136,12 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None =
 
 def epoch_order(df: DataFrame, id_col: str, seed: int, epoch: int, out: str = "pos", n_rows: int | None = None) -> DataFrame:
     """A fresh permutation per epoch: 1-based position in ``md5(seed-epoch-id)`` order."""
-    n = n_rows if n_rows is not None else df.count()
-    return hash_row_number(df, split_key(id_col, seed, epoch), id_col, out=out, hex_digits=hex_digits_for(n))
+    staged = df.withColumn("_key", split_key(id_col, seed, epoch))
+    if n_rows is not None:
+        digits = max(DEFAULT_HEX_DIGITS, hex_digits_for(n_rows))
+        return hash_row_number(staged, "_key", id_col, out=out, hex_digits=digits).drop("_key")
+    bcounts, digits, _ = ranked_buckets(staged, "_key", [])
+    return hash_row_number(staged, "_key", id_col, out=out, hex_digits=digits, counts=bcounts).drop("_key")
 
 
 def assign_batches(df: DataFrame, id_col: str, seed: int, epoch: int, batch_size: int, out: str = "batch",
