@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_div
+from .common import bounded_side
 
 CLIP_EPS = 1e-15
 MAX_LABELS = 2_000  # labels per set for the zero-completed matrix (K² cells)
@@ -49,18 +50,25 @@ def accuracy(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
     return df.groupBy(*by).agg(F.avg((F.col(actual) == F.col(predicted)).cast("double")).alias("accuracy"))
 
 
-def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None) -> DataFrame:
+def pair_counts(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None) -> DataFrame:
+    """(by…, actual, predicted, n): the one aggregate over the prediction rows that every
+    metric below derives from; materialised as a bounded side (≤ sets × K² rows)."""
+    by = by or []
+    a, p = F.col(actual).cast("bigint"), F.col(predicted).cast("bigint")
+    return bounded_side(df.groupBy(*by, a.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None,
+              counts: DataFrame | None = None) -> DataFrame:
     """Long confusion matrix ``(by…, actual, predicted, n)`` with zero cells kept.
 
-    Counts are one grouped aggregate. The zero cells come from the union of labels of each
-    group (collected per group as a bounded array, checked ≤ MAX_LABELS) exploded twice —
-    a generator, not a cross join.
+    The data is scanned once for the pair counts; the label union of each group and the
+    zero-completed K×K grid (labels exploded twice — a generator, not a cross join) are built
+    from that small table after K is checked against ``MAX_LABELS``.
     """
     by = by or []
-    a, p = F.col(actual).cast("bigint"), F.col(predicted).cast("bigint")
-    counts = df.groupBy(*by, a.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    labs = df.select(*by, F.explode(F.array(a, p)).alias("lab")).where(F.col("lab").isNotNull()).distinct()
-    # The zero-completed matrix has K² cells per group: check K before building any label set.
+    counts = counts if counts is not None else pair_counts(df, actual, predicted, by)
+    labs = counts.select(*by, F.explode(F.array("actual", "predicted")).alias("lab")).where(F.col("lab").isNotNull()).distinct()
     widest = labs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if widest > MAX_LABELS:
         raise ValueError(f"{widest} labels in a set (limit {MAX_LABELS}); use the sparse counts instead")
@@ -97,12 +105,14 @@ def macro_scores(df: DataFrame, actual: str, predicted: str, by: list[str] | Non
     if not keys:  # one group: give it a constant key so the two summaries join on it
         df = df.withColumn("_all", F.lit(0))
         keys = ["_all"]
-    conf = confusion(df, actual, predicted, keys)
+    counts = pair_counts(df, actual, predicted, keys)
+    conf = confusion(df, actual, predicted, keys, counts=counts)
     pcs = per_class_scores(conf, keys)
     macro = pcs.groupBy(*keys).agg(
         F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1")
     )
-    acc = accuracy(df, actual, predicted, keys)
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0))
+    acc = counts.groupBy(*keys).agg((F.sum(hit).cast("double") / F.sum("n").cast("double")).alias("accuracy"))
     res = macro.join(acc, on=keys, how="inner")
     return res.drop("_all") if not by else res
 
