@@ -34,11 +34,13 @@ def cv_scores(
     data_col: str = "data",
     fold_col: str = "fold",
     shuffle: bool = True,
+    init: list | None = None,
 ) -> list[tuple]:
     """Stratified k-fold: train on k−1 folds, score both sides. Returns (fold, set, loss, accuracy).
 
     Folds come from one exact distributed rank; the fold table is persisted once and each
-    fold's train/validation sides are filters of it.
+    fold's train/validation sides are filters of it. ``init`` fixes the starting parameters of
+    every fold (default: a fresh seeded initialisation per fold).
     """
     from pyspark import StorageLevel
 
@@ -52,8 +54,9 @@ def cv_scores(
         for f in range(k):
             tr = folded.where(F.col(fold_col) != f)
             va = folded.where(F.col(fold_col) == f)
-            res = train_network(tr, layers, cfg, in_shape, n_classes, params=None, id_col=id_col,
-                                label_col=label_col, data_col=data_col, evaluate_every=cfg.epochs)
+            start = None if init is None else [None if p is None else {k: v.copy() for k, v in p.items()} for p in init]
+            res = train_network(tr, layers, cfg, in_shape, n_classes, params=start, id_col=id_col,
+                                label_col=label_col, data_col=data_col, evaluate_every=0)
             both = tr.withColumn("_set", F.lit("train")).unionByName(va.withColumn("_set", F.lit("val")))
             ev = evaluate(both, res.layers, res.params, in_shape, cfg.eps_mode, data_col, label_col, "_set")
             for s in ("train", "val"):
@@ -64,7 +67,7 @@ def cv_scores(
 
 
 def cv_grid_scores(df: DataFrame, layers, base_cfg, in_shape, n_classes, lrs: list[float], lams: list[float],
-                   k: int = 5, seed: int = 42, **cols) -> list[tuple]:
+                   k: int = 5, seed: int = 42, **kw) -> list[tuple]:
     """lr × λ grid of :func:`cv_scores`, grid order lr-major. Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
     from dataclasses import replace
 
@@ -73,7 +76,7 @@ def cv_grid_scores(df: DataFrame, layers, base_cfg, in_shape, n_classes, lrs: li
     for lr in lrs:
         for lam in lams:
             cfg = replace(base_cfg, learning_rate=lr, lam=lam)
-            for fold, s, loss, acc in cv_scores(df, layers, cfg, in_shape, n_classes, k, seed, **cols):
+            for fold, s, loss, acc in cv_scores(df, layers, cfg, in_shape, n_classes, k, seed, **kw):
                 out.append((g, lr, lam, fold, s, loss, acc))
             g += 1
     return out

@@ -295,7 +295,7 @@ def train_network(
     label_col: str = "label",
     id_col: str = "id",
     init_scheme: str = "he",
-    evaluate_every: int = 1,
+    evaluate_every: int = 1,  # 0: no per-epoch scoring (no curves)
     checkpoint_path: str | None = None,
     resume: bool = False,
 ) -> TrainResult:
@@ -365,7 +365,7 @@ def train_network(
                         steps += 1
                 if batched is not None:
                     batched.unpersist()
-            if (epoch + 1) % evaluate_every == 0 or epoch == cfg.epochs - 1:
+            if evaluate_every and ((epoch + 1) % evaluate_every == 0 or epoch == cfg.epochs - 1):
                 cur = K.unpack(theta, params)
                 both = data.withColumn("_set", F.lit("train"))
                 if val is not None:

@@ -42,8 +42,9 @@ def _params_frame(spark, params):
     return df.select("param", "i", "j", r6("value").alias("value"))
 
 
-def _step_sql(opt: str, steps: int) -> str:
-    """SQL text of ``steps`` full-batch optimizer steps from the formula weights."""
+def _step_sql(opt: str, steps: int, predict: bool = False) -> str:
+    """SQL text of ``steps`` full-batch optimizer steps from the formula weights; with
+    ``predict`` the text ends with every row's arg-max class under the updated weights."""
     f = lambda v: f"CAST('{v!r}' AS DOUBLE)"
     lr, lam, gm, b1, b2, eps = f(LR), f(LAM), f(GAMMA), f(B1), f(B2), f(EPS)
     ctes = [VEC, f"w0 AS (SELECT i, j, w FROM ({dense_weights_sql(64, 10)}))", f"b0 AS ({dense_bias_sql(10)})",
@@ -83,6 +84,12 @@ def _step_sql(opt: str, steps: int) -> str:
                     f"FROM {kind}{p} JOIN {st}{k} USING ({keys}))"
                 )
     s = steps
+    if predict:
+        ctes += [
+            f"zf AS (SELECT id, j, sum(v * w) + b AS z FROM vec JOIN w{s} USING (i) JOIN b{s} USING (j) GROUP BY id, j, b)",
+            "rk AS (SELECT id, j, row_number() OVER (PARTITION BY id ORDER BY z DESC, j) AS r FROM zf)",
+        ]
+        return ("WITH " + ",\n".join(ctes) + "\nSELECT id, label, CAST(j AS BIGINT) AS predicted FROM rk JOIN lab USING (id) WHERE r = 1")
     return (
         "WITH " + ",\n".join(ctes)
         + f"\nSELECT 'W' AS param, i, j, round(w, 6) + 0.0 AS value FROM w{s}"
@@ -161,36 +168,108 @@ def q_train_cnn(spark, sf):
     return curves_frame(spark, res)
 
 
-@register("cv_scores")
+CV_GRID = [(0.1, 0.0), (0.1, 0.1), (1.0, 0.0), (1.0, 0.1)]  # (lr, λ) in grid order, lr-major
+CV_FOLDS, CV_STEPS = 3, 2
+
+
+def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42) -> str:
+    """SQL of k-fold CV for a softmax-regression MLP: ``steps`` full-batch MLP steps (mean
+    gradient + λW/m) per (grid cell, fold) from the formula weights, then loss (−ln(p+ε)) and
+    accuracy on the training folds and on the held-out fold."""
+    f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    values = ", ".join(f"({g}, {f(lr)}, {f(lam)})" for g, (lr, lam) in enumerate(grid))
+    ctes = [
+        VEC,
+        f"w0 AS (SELECT i, j, w FROM ({dense_weights_sql(64, 10)}))",
+        f"b0 AS ({dense_bias_sql(10)})",
+        "lab AS (SELECT CAST(vec_id AS BIGINT) AS id, label FROM embeddings)",
+        "cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY label)",
+        "off AS (SELECT label, coalesce(sum(n) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM cnt)",
+        f"rk AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('-', '{seed}', CAST(id AS VARCHAR))), id) AS rn FROM lab)",
+        f"folds AS (SELECT id, label, CAST((o + rn - 1) % {k} AS BIGINT) AS fold FROM rk JOIN off USING (label))",
+        f"grid AS (SELECT * FROM (VALUES {values}) g(grid_idx, lr, lam))",
+        f"fk AS (SELECT CAST(range AS BIGINT) AS f FROM range({k}))",
+        "cell AS (SELECT grid_idx, lr, lam, f FROM grid, fk)",
+        "m AS (SELECT f, CAST(count(*) AS DOUBLE) AS m FROM fk JOIN folds ON folds.fold <> fk.f GROUP BY f)",
+        "tr AS (SELECT f, id, label FROM fk JOIN folds ON folds.fold <> fk.f)",
+        "cw0 AS (SELECT grid_idx, f, i, j, w FROM cell, w0)",
+        "cb0 AS (SELECT grid_idx, f, j, b FROM cell, b0)",
+    ]
+    for s in range(1, steps + 1):
+        p = s - 1
+        ctes += [
+            f"z{s} AS (SELECT grid_idx, f, id, j, sum(v * w) + b AS z FROM tr JOIN vec USING (id) JOIN cw{p} USING (f, i) "
+            f"JOIN cb{p} USING (grid_idx, f, j) GROUP BY grid_idx, f, id, j, b)",
+            f"e{s} AS (SELECT grid_idx, f, id, j, exp(z - max(z) OVER (PARTITION BY grid_idx, f, id)) AS e FROM z{s})",
+            f"d{s} AS (SELECT grid_idx, f, id, j, e / sum(e) OVER (PARTITION BY grid_idx, f, id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g "
+            f"FROM e{s} JOIN lab USING (id))",
+            f"gw{s} AS (SELECT grid_idx, f, i, j, sum(v * g) AS g FROM d{s} JOIN vec USING (id) GROUP BY grid_idx, f, i, j)",
+            f"gb{s} AS (SELECT grid_idx, f, j, sum(g) AS g FROM d{s} GROUP BY grid_idx, f, j)",
+            f"cw{s} AS (SELECT grid_idx, f, i, j, w - lr * (g / m + lam * w / m) AS w FROM cw{p} JOIN gw{s} USING (grid_idx, f, i, j) "
+            "JOIN m USING (f) JOIN grid USING (grid_idx))",
+            f"cb{s} AS (SELECT grid_idx, f, j, b - lr * (g / m) AS b FROM cb{p} JOIN gb{s} USING (grid_idx, f, j) "
+            "JOIN m USING (f) JOIN grid USING (grid_idx))",
+        ]
+    S = steps
+    ctes += [
+        f"zf AS (SELECT grid_idx, f, id, j, sum(v * w) + b AS z FROM cell JOIN cw{S} USING (grid_idx, f) JOIN vec USING (i) "
+        f"JOIN cb{S} USING (grid_idx, f, j) GROUP BY grid_idx, f, id, j, b)",
+        "ef AS (SELECT grid_idx, f, id, j, z, exp(z - max(z) OVER (PARTITION BY grid_idx, f, id)) AS e FROM zf)",
+        "pf AS (SELECT grid_idx, f, id, j, e / sum(e) OVER (PARTITION BY grid_idx, f, id) AS p, "
+        "row_number() OVER (PARTITION BY grid_idx, f, id ORDER BY z DESC, j) AS r FROM ef)",
+        "per AS (SELECT grid_idx, f, id, CASE WHEN folds.fold = f THEN 'val' ELSE 'train' END AS set, "
+        "max(CASE WHEN j = folds.label THEN -ln(p + 1e-15) END) AS loss, "
+        "max(CASE WHEN r = 1 THEN CAST(j = folds.label AS DOUBLE) END) AS ok FROM pf JOIN folds USING (id) GROUP BY grid_idx, f, id, folds.fold)",
+        "scores AS (SELECT grid_idx, f, set, avg(loss) AS loss, avg(ok) AS accuracy FROM per GROUP BY grid_idx, f, set)",
+    ]
+    return "WITH " + ",\n".join(ctes)
+
+
+def _cv_select(with_grid: bool) -> str:
+    g = "CAST(grid_idx AS BIGINT) AS grid_idx, lr, lam AS lambda, " if with_grid else ""
+    return (f"\nSELECT {g}f AS fold, set, round(loss, 6) + 0.0 AS loss, round(accuracy, 6) + 0.0 AS accuracy "
+            "FROM scores JOIN grid USING (grid_idx)" + ("" if with_grid else " WHERE grid_idx = 0"))
+
+
+def _cv_run(spark, sf, grid):
+    layers, params = _softreg()
+    cfg = mlp_config(epochs=CV_STEPS, batch_size=None, mode="sync")
+    return cv_grid_scores(_emb(spark, sf), layers, cfg, (64,), 10, sorted({lr for lr, _ in grid}),
+                          sorted({lam for _, lam in grid}), k=CV_FOLDS, init=params)
+
+
+@register("cv_scores", _cv_sql(CV_GRID[:1], CV_FOLDS, CV_STEPS) + _cv_select(False))
 def q_cv_scores(spark, sf):
-    """Stratified 3-fold CV of the reference MLP (train on two folds, score both sides)."""
-    layers = [K.dense(64, 16, "relu"), K.dense(16, 10, "softmax")]
-    cfg = mlp_config(epochs=2, learning_rate=0.5, lam=0.01, batch_size=64, mode="local")
-    rows = cv_scores(_emb(spark, sf), layers, cfg, (64,), 10, k=3)
-    return spark.createDataFrame([(f, s, r6_py(l), r6_py(a)) for f, s, l, a in rows], "fold bigint, set string, loss double, accuracy double")
+    """Stratified 3-fold CV of the reference MLP (softmax output, mean gradient + λW/m, two
+    full-batch steps from fixed weights): train on two folds, score both sides."""
+    layers, params = _softreg()
+    lr, lam = CV_GRID[0]
+    cfg = mlp_config(epochs=CV_STEPS, learning_rate=lr, lam=lam, batch_size=None, mode="sync")
+    rows = cv_scores(_emb(spark, sf), layers, cfg, (64,), 10, k=CV_FOLDS, init=params)
+    return spark.createDataFrame([(f, s, r6_py(l), r6_py(a)) for f, s, l, a in rows],
+                                 "fold bigint, set string, loss double, accuracy double")
 
 
 def r6_py(x: float) -> float:
     return round(float(x), 6) + 0.0
 
 
-def _grid(spark, sf):
-    layers = [K.dense(64, 10, "softmax")]
-    cfg = mlp_config(epochs=1, batch_size=None, mode="sync")
-    return cv_grid_scores(_emb(spark, sf), layers, cfg, (64,), 10, [0.1, 1.0], [0.0, 0.1], k=3)
-
-
-@register("cv_grid_scores")
+@register("cv_grid_scores", _cv_sql(CV_GRID, CV_FOLDS, CV_STEPS) + _cv_select(True))
 def q_cv_grid_scores(spark, sf):
-    """lr × λ grid (2×2) × 3 stratified folds of the MLP; validation and training accuracy."""
-    rows = _grid(spark, sf)
+    """lr × λ grid (2×2) × 3 stratified folds of the MLP; training and validation scores."""
+    rows = _cv_run(spark, sf, CV_GRID)
     return spark.createDataFrame(
         [(g, lr, lam, f, s, r6_py(l), r6_py(a)) for g, lr, lam, f, s, l, a in rows],
         "grid_idx bigint, lr double, lambda double, fold bigint, set string, loss double, accuracy double",
     )
 
 
-@register("cv_grid_search")
+@register(
+    "cv_grid_search",
+    _cv_sql(CV_GRID, CV_FOLDS, CV_STEPS)
+    + "\nSELECT CAST(grid_idx AS BIGINT) AS grid_idx, lr, lam AS lambda, f AS fold, round(accuracy, 6) + 0.0 AS accuracy "
+    "FROM scores JOIN grid USING (grid_idx) WHERE set = 'val' ORDER BY round(accuracy, 6) DESC, grid_idx, f LIMIT 1",
+)
 def q_cv_grid_search(spark, sf):
     """Grid search end to end: the grid's validation scores, then the reference's best-cell rule."""
     scores = q_cv_grid_scores(spark, sf).where(F.col("set") == "val")
@@ -198,7 +277,7 @@ def q_cv_grid_search(spark, sf):
 
 
 # ----------------------------------------------------------------------------- model table
-@register("model_roundtrip")
+@register("model_roundtrip", _step_sql("sgd", 1, predict=True))
 def q_model_roundtrip(spark, sf):
     """Train one step, write the model table to the shared folder, read it back with the
     structure check, and score all rows with the loaded model."""
@@ -213,7 +292,7 @@ def q_model_roundtrip(spark, sf):
 
 
 # ----------------------------------------------------------------------------- streaming
-@register("stream_score_mlp")
+@register("stream_score_mlp", _step_sql("sgd", 1, predict=True))
 def q_stream_score_mlp(spark, sf):
     """Score the embeddings table as a file stream (available-now trigger) with a model
     trained on it; the same scoring operator as the batch path."""
