@@ -146,11 +146,57 @@ def q_train_mlp(spark, sf):
     )
 
 
-@register("learning_curves")
+CURVE_EPOCHS, CURVE_LR, CURVE_LAM = 3, 0.5, 0.01
+
+
+def _curves_sql(epochs: int, lr: float, lam: float) -> str:
+    """SQL of full-batch MLP training (softmax output, mean gradient + λW/m) on the training
+    set of the stratified 60/20/20 split, scored on train and validation after every epoch."""
+    from .q_splits import split_sql
+
+    f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    ctes = [
+        "sets AS (WITH " + split_sql("SELECT vec_id, label FROM embeddings", "vec_id", "label", 0.2, 0.2, 42,
+                                     "CAST(vec_id AS BIGINT) AS id, label") + ")",
+        VEC,
+        f"w0 AS (SELECT i, j, w FROM ({dense_weights_sql(64, 10)}))",
+        f"b0 AS ({dense_bias_sql(10)})",
+        "tr AS (SELECT id, label FROM sets WHERE set = 'train')",
+        "ev AS (SELECT id, label, set FROM sets WHERE set IN ('train', 'val'))",
+        "m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM tr)",
+    ]
+    outs = []
+    for s in range(1, epochs + 1):
+        p = s - 1
+        ctes += [
+            f"z{s} AS (SELECT id, j, sum(v * w) + b AS z FROM tr JOIN vec USING (id) JOIN w{p} USING (i) JOIN b{p} USING (j) GROUP BY id, j, b)",
+            f"e{s} AS (SELECT id, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM z{s})",
+            f"d{s} AS (SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g FROM e{s} JOIN tr USING (id))",
+            f"gw{s} AS (SELECT i, j, sum(v * g) AS g FROM d{s} JOIN vec USING (id) GROUP BY i, j)",
+            f"gb{s} AS (SELECT j, sum(g) AS g FROM d{s} GROUP BY j)",
+            f"w{s} AS (SELECT i, j, w - {f(lr)} * (g / m + {f(lam)} * w / m) AS w FROM w{p} JOIN gw{s} USING (i, j), m)",
+            f"b{s} AS (SELECT j, b - {f(lr)} * (g / m) AS b FROM b{p} JOIN gb{s} USING (j), m)",
+            f"q{s} AS (SELECT id, j, sum(v * w) + b AS z FROM ev JOIN vec USING (id) JOIN w{s} USING (i) JOIN b{s} USING (j) GROUP BY id, j, b)",
+            f"qe{s} AS (SELECT id, j, z, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM q{s})",
+            f"qp{s} AS (SELECT id, j, e / sum(e) OVER (PARTITION BY id) AS p, row_number() OVER (PARTITION BY id ORDER BY z DESC, j) AS r FROM qe{s})",
+            f"qr{s} AS (SELECT ev.set, max(CASE WHEN j = ev.label THEN -ln(p + 1e-15) END) AS loss, "
+            f"max(CASE WHEN r = 1 THEN CAST(j = ev.label AS DOUBLE) END) AS ok FROM qp{s} JOIN ev USING (id) GROUP BY id, ev.set)",
+        ]
+        outs.append(f"SELECT CAST({p} AS BIGINT) AS epoch, set, round(avg(loss), 6) + 0.0 AS loss, "
+                    f"round(avg(ok), 6) + 0.0 AS accuracy FROM qr{s} GROUP BY set")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(outs)
+
+
+@register("learning_curves", _curves_sql(CURVE_EPOCHS, CURVE_LR, CURVE_LAM))
 def q_learning_curves(spark, sf):
-    """Per-epoch loss and accuracy on train and validation (the reference's four curves)."""
-    _, res = _mlp_run(spark, sf, epochs=4)
-    return curves_frame(spark, res)
+    """Per-epoch loss and accuracy on train and validation (the reference's four curves) for
+    full-batch MLP training from fixed weights on the stratified training split."""
+    s = _sets(spark, sf).cache()
+    tr, va = s.where(F.col("set") == "train"), s.where(F.col("set") == "val")
+    layers, params = _softreg()
+    cfg = mlp_config(epochs=CURVE_EPOCHS, learning_rate=CURVE_LR, lam=CURVE_LAM, batch_size=None, mode="sync")
+    res = train_network(tr, layers, cfg, (64,), 10, val_df=va, params=params)
+    return curves_frame(spark, res).select("epoch", "set", r6("loss").alias("loss"), r6("accuracy").alias("accuracy"))
 
 
 def _cnn_layers():
