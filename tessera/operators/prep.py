@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import safe_div
 from .stats import frequency_extremes, medians, moments, null_counts, quantiles
 
 MAX_INLINE_LEVELS = 64  # levels looked up through a literal array inside the projection
@@ -318,7 +317,3 @@ def features_target(
     keep = list(keep or [])
     feats = features or [c for c in df.columns if c != target and c not in keep]
     return df.select(*keep, F.array(*[F.col(c).cast("double") for c in feats]).alias(out), F.col(target))
-
-
-def safe_ratio(a, b) -> Column:
-    return safe_div(a, b)

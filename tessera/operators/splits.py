@@ -9,8 +9,6 @@ broadcast only after its size is checked.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,7 +157,3 @@ def hash_batches(df: DataFrame, id_col: str, seed: int, epoch: int, n_batches: i
 def label_onehot(label_col: str, n_classes: int) -> Column:
     """Integer label → array<double> of width ``n_classes`` (fixed from the whole data)."""
     return F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)), lambda k: F.when(k == F.col(label_col), 1.0).otherwise(0.0))
-
-
-def n_test_rows(n: int, test_size: float) -> int:
-    return int(math.ceil(test_size * n))

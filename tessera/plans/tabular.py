@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from ..operators import prep
 
@@ -143,8 +142,3 @@ class TabularPrep:
 
     def fit_transform(self, df: DataFrame, target: str) -> DataFrame:
         return self.fit(df, target).transform(df)
-
-
-def split_kinds(df: DataFrame) -> tuple[list[str], list[str]]:
-    num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    return num, [c for c in df.columns if c not in num]

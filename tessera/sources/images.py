@@ -18,7 +18,8 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.strings import normalise_path, strip_prefix
 
 MANIFEST_SCHEMA = T.StructType([T.StructField("image_path", T.StringType()), T.StructField("label", T.StringType())])
-GREY_WEIGHTS = (0.299, 0.587, 0.114)  # R, G, B
+# ITU-R BT.601 luma weights for R, G, B (grey level of a colour image).
+GREY_WEIGHTS = (0.299, 0.587, 0.114)
 
 
 def uri_to_path(col) -> F.Column:
