@@ -27,9 +27,19 @@ def _bcast(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- layout
-def to_cells(df: DataFrame, id_col: str, data_col: str, h: int, w: int, c: int = 1) -> DataFrame:
-    """Packed row-major HWC array → cells. ``pos = (y·W + x)·C + c``."""
-    e = df.select(F.col(id_col).cast("bigint").alias("id"), F.posexplode(F.col(data_col)).alias("pos", "v"))
+def to_cells(df: DataFrame, id_col: str, data_col: str, h: int, w: int, c: int = 1, partition: bool = True,
+             num_partitions: int | None = None) -> DataFrame:
+    """Packed row-major HWC array → cells. ``pos = (y·W + x)·C + c``.
+
+    With ``partition`` the packed rows are hash-partitioned by id *before* exploding: one
+    shuffle of compact rows, after which every per-example operator downstream (window
+    sums, pooling, dense sums, softmax windows, per-id gradient joins) finds its input
+    already clustered and plans no further exchange. Leave it off for element-wise use only.
+    """
+    key = F.col(id_col).cast("bigint")
+    if partition:
+        df = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
+    e = df.select(key.alias("id"), F.posexplode(F.col(data_col)).alias("pos", "v"))
     return e.select(
         "id",
         F.floor(F.col("pos") / (w * c)).cast("bigint").alias("y"),
@@ -39,6 +49,15 @@ def to_cells(df: DataFrame, id_col: str, data_col: str, h: int, w: int, c: int =
     )
 
 
+def to_vectors(df: DataFrame, id_col: str, data_col: str, partition: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """Packed vector → (id, i, v) rows, optionally clustered by id first (see :func:`to_cells`)."""
+    key = F.col(id_col).cast("bigint")
+    if partition:
+        df = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
+    e = df.select(key.alias("id"), F.posexplode(F.col(data_col)).alias("i", "v"))
+    return e.select("id", F.col("i").cast("bigint").alias("i"), F.col("v").cast("double").alias("v"))
+
+
 def to_packed(cells: DataFrame, h: int, w: int, c: int = 1, out: str = "data") -> DataFrame:
     """Cells → one array per id (group size is bounded by the image size H·W·C)."""
     pos = (F.col("y") * w + F.col("x")) * c + F.col("c")

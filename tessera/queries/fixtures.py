@@ -43,11 +43,11 @@ def customer_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def image_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def image_cells(spark: SparkSession, sf_dir: str, partition: bool = True) -> DataFrame:
     from ..operators.tensor import to_cells
 
     e = read_table(spark, sf_dir, "embeddings")
-    return to_cells(e, "vec_id", "embedding", IMG_H, IMG_W, IMG_C)
+    return to_cells(e, "vec_id", "embedding", IMG_H, IMG_W, IMG_C, partition=partition)
 
 
 def conv_weights(n_filters: int = 2, channels: int = 1, k: int = 3) -> tuple[np.ndarray, np.ndarray]:

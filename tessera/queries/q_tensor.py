@@ -139,7 +139,7 @@ FROM embeddings, range(100) t(pos)
 def q_tensor_pad(spark, sf):
     e = read_table(spark, sf, "embeddings")
     p = T.pad_dense_packed(e, "embedding", IMG_H, IMG_W, IMG_C, 1, out="padded")
-    return _cells_out(T.to_cells(p, "vec_id", "padded", IMG_H + 2, IMG_W + 2, IMG_C))
+    return _cells_out(T.to_cells(p, "vec_id", "padded", IMG_H + 2, IMG_W + 2, IMG_C, partition=False))
 
 
 @register("tensor_im2col", f"WITH cells AS ({CELLS_SQL}) SELECT id, oy, ox, c, dy, dx, {R.format('v')} AS v FROM ({_win_sql('cells', 3, 2, 8, 8)})")
@@ -193,7 +193,8 @@ def _act_sql(expr: str) -> str:
 
 def _act_query(fn):
     def q(spark, sf):
-        return _cells_out(T.activate(_cells(spark, sf).withColumn("v", F.col("v") * 10.0), fn))
+        cells = image_cells(spark, sf, partition=False)  # element-wise: no clustering needed
+        return _cells_out(T.activate(cells.withColumn("v", F.col("v") * 10.0), fn))
 
     return q
 
@@ -268,9 +269,7 @@ def q_tensor_flatten(spark, sf):
 )
 def q_tensor_unflatten(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    vec = e.select(F.col("vec_id").cast("bigint").alias("id"), F.posexplode("embedding").alias("i", "v")).select(
-        "id", F.col("i").cast("bigint").alias("i"), F.col("v").cast("double").alias("v")
-    )
+    vec = T.to_vectors(e, "vec_id", "embedding", partition=False)
     return _cells_out(T.unflatten(vec, 4, 4))
 
 
@@ -281,9 +280,7 @@ SELECT id, j, {R.format('greatest(sum(v * w) + b, 0.0)')} AS v FROM vec JOIN w1
 )
 def q_tensor_dense(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    vec = e.select(F.col("vec_id").cast("bigint").alias("id"), F.posexplode("embedding").alias("i", "v")).select(
-        "id", F.col("i").cast("bigint").alias("i"), F.col("v").cast("double").alias("v")
-    )
+    vec = T.to_vectors(e, "vec_id", "embedding")
     w, b = dense_weights(64, 16)
     wdf, bdf = T.dense_weight_table(spark, w, b)
     return T.dense(vec, wdf, bdf, "relu", n_params=w.size).withColumn("v", r6("v"))
@@ -394,9 +391,7 @@ def _mlp_dense2_grads(spark, sf):
     """Backward through the MLP's output layer, all in cell form."""
     layers, params = _mlp_net()
     e = read_table(spark, sf, "embeddings")
-    vec = e.select(F.col("vec_id").cast("bigint").alias("id"), F.posexplode("embedding").alias("i", "v")).select(
-        "id", F.col("i").cast("bigint").alias("i"), F.col("v").cast("double").alias("v")
-    )
+    vec = T.to_vectors(e, "vec_id", "embedding")
     w1, b1 = T.dense_weight_table(spark, params[0]["W"], params[0]["b"])
     w2, b2 = T.dense_weight_table(spark, params[1]["W"], params[1]["b"])
     hid = T.dense(vec, w1, b1, "relu", n_params=64 * 16).select("id", F.col("j").alias("i"), "v")

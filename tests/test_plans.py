@@ -49,3 +49,19 @@ def test_cell_conv_broadcasts_parameters(spark):
     out = T.conv2d(image_cells(spark, SF_MID), wdf, bdf, 3, 3, 1, 8, 8, n_params=w.size)
     plan = _plan(out)
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_cell_network_shuffles_once(spark):
+    """Clustering packed rows by id before exploding leaves every later per-example operator
+    (window sums, pooling, dense sums, softmax window) without an exchange."""
+    w, b = conv_weights()
+    wdf, bdf = T.conv_weight_table(spark, w, b)
+    from tessera.queries.fixtures import dense_weights
+
+    dw, db = dense_weights(18, 10)
+    dwdf, dbdf = T.dense_weight_table(spark, dw, db)
+    conv = T.conv2d(image_cells(spark, SF_MID), wdf, bdf, 3, 3, 1, 8, 8, n_params=w.size)
+    pooled = T.pool(T.activate(conv, "relu"), 2, 2, 6, 6, "avg")
+    probs = T.dense(T.flatten(pooled, 3, 2), dwdf, dbdf, "softmax", n_params=dw.size)
+    plan = _plan(probs)
+    assert plan.count("Exchange hashpartitioning") == 1
