@@ -349,7 +349,13 @@ def train_network(
                     batches = [data]
                     batched = None
                 else:
-                    batched = assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size, n_rows=total).persist(StorageLevel.MEMORY_AND_DISK)
+                    # Sorted by batch inside each partition, the cached column batches carry tight
+                    # min/max statistics, so each step's filter skips the other batches' data.
+                    batched = (
+                        assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size, n_rows=total)
+                        .sortWithinPartitions("batch")
+                        .persist(StorageLevel.MEMORY_AND_DISK)
+                    )
                     n_b = math.ceil(total / cfg.batch_size)
                     batches = [batched.where(F.col("batch") == b) for b in range(n_b)]
                 for bdf in batches:
