@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +48,14 @@ def cv_scores(
     from ..operators.splits import kfold
     from .training import evaluate, train_network
 
+    from .training import right_size
+
     folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    # Fewer, fuller partitions over the cache (a narrow coalesce): each training step and
+    # scoring pass costs one Arrow round trip per partition.
+    folded = right_size(cached, n, int(np.prod(in_shape)))
     out = []
     try:
         for f in range(k):
@@ -62,7 +69,7 @@ def cv_scores(
             for s in ("train", "val"):
                 out.append((f, s, float(ev[s][0]), float(ev[s][1])))
     finally:
-        folded.unpersist()
+        cached.unpersist()
     return out
 
 

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import kernels as K
 
 MAX_BROADCAST_PARAMS = 50_000_000  # doubles (400 MB); larger models do not fit this design
@@ -60,6 +61,7 @@ def score(
     keep = list(keep or [])
     check_model_size(params)
     spark = df.sparkSession
+    ship_package(spark)
     bc = spark.sparkContext.broadcast((layers, params))
     width = int(np.prod(in_shape))
     shape = tuple(in_shape)
@@ -90,6 +92,7 @@ def feature_maps(df: DataFrame, layers: list[dict], params, in_shape: tuple, upt
     """Output of layer ``upto`` (0-based) for every row, as cells (id, y, x, c, v)."""
     check_model_size(params)
     spark = df.sparkSession
+    ship_package(spark)
     bc = spark.sparkContext.broadcast((layers[: upto + 1], params[: upto + 1]))
     width = int(np.prod(in_shape))
     shape = tuple(in_shape)

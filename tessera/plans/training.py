@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.splits import assign_batches
+from ..session import ship_package
 from . import kernels as K
 from .scoring import arrow_list, arrow_matrix, check_model_size
 
@@ -134,6 +135,7 @@ def gradient_rows(df: DataFrame, layers, params, in_shape, n_classes, eps_mode,
                   broadcasts: list | None = None) -> DataFrame:
     """One row per partition: (rows, loss sum, correct, gradient sum). The model broadcast is
     appended to ``broadcasts`` so the caller can release it once the step has run."""
+    ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast((layers, params))
     if broadcasts is not None:
         broadcasts.append(bc)
@@ -193,6 +195,7 @@ def _sum_partials(rows: DataFrame, size: int, n_parts: int):
 def evaluate(df: DataFrame, layers, params, in_shape, eps_mode="clip", data_col="data", label_col="label",
              set_col: str | None = None) -> dict:
     """Loss and accuracy per set in one scoring job: {set: (loss, accuracy, n)}."""
+    ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast((layers, params))
     try:
         return _evaluate(df, bc, in_shape, eps_mode, data_col, label_col, set_col)
@@ -225,6 +228,7 @@ def _evaluate(df, bc, in_shape, eps_mode, data_col, label_col, set_col) -> dict:
 
 def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, epoch, data_col, label_col, broadcasts):
     """One job: each partition runs mini-batch steps over its rows; emits its final state."""
+    ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast((layers, params, opt_state, cfg))
     broadcasts.append(bc)
     width = int(np.prod(in_shape))
@@ -273,6 +277,25 @@ def _release(broadcasts: list) -> None:
     broadcasts.clear()
 
 
+TARGET_PARTITION_BYTES = 64 << 20  # packed rows per training partition (held in memory in 'local' mode)
+
+
+def right_size(df: DataFrame, n_rows: int, width: int) -> DataFrame:
+    """Partition count for Python-side training work: enough partitions to keep each one
+    ≲ TARGET_PARTITION_BYTES and to give every core a task, no more (each partition costs an
+    Arrow round trip per step). Shrinks with ``coalesce`` (no shuffle), grows with a
+    hash repartition."""
+    sc = df.sparkSession.sparkContext
+    by_size = math.ceil(n_rows * (8 * width + 32) / TARGET_PARTITION_BYTES)
+    target = max(1, by_size, min(sc.defaultParallelism, n_rows))
+    current = df.rdd.getNumPartitions()
+    if current > target:
+        return df.coalesce(target)
+    if current < by_size:
+        return df.repartition(target)
+    return df
+
+
 # ----------------------------------------------------------------------------- driver loop
 @dataclass
 class TrainResult:
@@ -323,14 +346,25 @@ def train_network(
             start = last + 1
     theta = K.pack(params)
 
-    data = train_df.select(id_col, label_col, data_col).persist(StorageLevel.MEMORY_AND_DISK)
-    val = val_df.select(id_col, label_col, data_col) if val_df is not None else None
+    width = int(np.prod(in_shape))
+    cached = train_df.select(id_col, label_col, data_col).persist(StorageLevel.MEMORY_AND_DISK)
+    total = cached.count()
+    if total == 0:
+        cached.unpersist()
+        raise ValueError("no training rows")
+    data = right_size(cached, total, width)
+    if data.rdd.getNumPartitions() > cached.rdd.getNumPartitions():  # grown by a shuffle: keep that
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data.count()
+        cached.unpersist()
+        cached = data
+    val = None
+    if val_df is not None:
+        v = val_df.select(id_col, label_col, data_col)
+        val = right_size(v, max(1, total // 4), width)
     n_parts = data.rdd.getNumPartitions()
     curves, steps = [], 0
     try:
-        total = data.count()
-        if total == 0:
-            raise ValueError("no training rows")
         for epoch in range(start, cfg.epochs):
             if cfg.mode == "local":
                 bcs: list = []
@@ -353,6 +387,7 @@ def train_network(
                     # min/max statistics, so each step's filter skips the other batches' data.
                     batched = (
                         assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size, n_rows=total)
+                        .coalesce(n_parts)  # as many partitions as the training data, not shuffle-sized
                         .sortWithinPartitions("batch")
                         .persist(StorageLevel.MEMORY_AND_DISK)
                     )
@@ -386,7 +421,7 @@ def train_network(
                 save_model(spark, f"{checkpoint_path}/epoch={epoch}", layers, K.unpack(theta, params),
                            extra={"m": opt.m, "v": opt.v, "t": [opt.t], "epoch": [epoch]})
     finally:
-        data.unpersist()
+        cached.unpersist()
     return TrainResult(layers, K.unpack(theta, params), curves, steps, opt.state())
 
 

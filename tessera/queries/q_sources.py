@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..operators import splits
-from ..session import shared_path
+from ..session import shared_path, ship_package
 from ..sources.images import decode_images, image_batch, list_image_dir, read_manifest_csv
 from ..sources.png import encode_png, write_bytes
 from ..sources.tables import read_table
@@ -33,6 +33,7 @@ def image_folder(spark, sf: str) -> str:
     key = (sf, shared_path(spark))
     if key in _MADE:
         return _MADE[key]
+    ship_package(spark)
     base = shared_path(spark, "images", uuid.uuid4().hex)
     root = base + "/images"
     e = read_table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
@@ -182,7 +183,8 @@ def q_lenet5_image_run(spark, sf):
     imgs = decode_images(spark, base + "/images", size=(32, 32), mode="gray")
     b = image_batch(listing, imgs).withColumn("id", _vec_id())
     k = int(b.agg(F.max("label")).first()[0]) + 1
-    s = splits.three_way_split(b.select("id", "label", "data"), "label", "id", 0.2, 0.2, SEED).cache()
+    s = splits.three_way_split(b.select("id", "label", "data"), "label", "id", 0.2, 0.2, SEED)
+    s = s.coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     layers = lenet5(k)
     cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="local")
     res = train_network(s.where(F.col("set") == "train"), layers, cfg, (32, 32, 1), k, val_df=s.where(F.col("set") == "val"))

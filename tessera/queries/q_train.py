@@ -123,7 +123,7 @@ def _sets(spark, sf):
 
 
 def _mlp_run(spark, sf, epochs=5):
-    s = _sets(spark, sf).cache()
+    s = _sets(spark, sf).coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     tr, va = s.where(F.col("set") == "train"), s.where(F.col("set") == "val")
     layers = [K.dense(64, 32, "relu"), K.dense(32, 10, "softmax")]
     cfg = mlp_config(epochs=epochs, learning_rate=0.5, lam=0.01, batch_size=64, mode="local")
@@ -191,7 +191,7 @@ def _curves_sql(epochs: int, lr: float, lam: float) -> str:
 def q_learning_curves(spark, sf):
     """Per-epoch loss and accuracy on train and validation (the reference's four curves) for
     full-batch MLP training from fixed weights on the stratified training split."""
-    s = _sets(spark, sf).cache()
+    s = _sets(spark, sf).coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     tr, va = s.where(F.col("set") == "train"), s.where(F.col("set") == "val")
     layers, params = _softreg()
     cfg = mlp_config(epochs=CURVE_EPOCHS, learning_rate=CURVE_LR, lam=CURVE_LAM, batch_size=None, mode="sync")
@@ -207,7 +207,7 @@ def _cnn_layers():
 def q_train_cnn(spark, sf):
     """Small CNN (conv 4@3×3 → ReLU → avg-pool → dense softmax), Adam, synchronous batches of
     128 rows (exact per-epoch shuffle); returns the learning curves."""
-    s = _sets(spark, sf).cache()
+    s = _sets(spark, sf).coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     tr, va = s.where(F.col("set") == "train"), s.where(F.col("set") == "val")
     cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.01, batch_size=128, mode="sync")
     res = train_network(tr, _cnn_layers(), cfg, (IMG_H, IMG_W, IMG_C), 10, val_df=va)

@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,5 +60,39 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in every Python worker.
+
+    Arrow-batched functions are pickled by reference to this package, so executors must be
+    able to import it. The package is zipped (content-addressed) into the shared folder and
+    registered once per SparkContext with ``addPyFile``, which distributes it to executors.
+    """
+    import hashlib
+    import io
+    import pathlib
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for f in sorted(root.rglob("*.py")):
+            info = zipfile.ZipInfo(str(pathlib.Path("tessera") / f.relative_to(root)), date_time=(2020, 1, 1, 0, 0, 0))
+            zf.writestr(info, f.read_bytes())
+    data = buf.getvalue()
+    path = shared_path(spark, "pyfiles", f"tessera-{hashlib.sha1(data).hexdigest()[:16]}.zip")
+    from .sources.png import write_bytes
+
+    write_bytes(path, data)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.strings import normalise_path, strip_prefix
+from ..session import ship_package
 
 MANIFEST_SCHEMA = T.StructType([T.StructField("image_path", T.StringType()), T.StructField("label", T.StringType())])
 # ITU-R BT.601 luma weights for R, G, B (grey level of a colour image).
@@ -132,6 +133,7 @@ def decode_images(
     """
     if mode not in ("gray", "color"):
         raise ValueError("mode must be 'gray' or 'color'")
+    ship_package(spark)
     src = (
         spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(paths)
         .select(uri_to_path("image.origin").alias("image_path"), "image.height", "image.width", "image.nChannels", "image.data")
