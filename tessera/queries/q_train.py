@@ -7,6 +7,7 @@ job runs in Arrow tasks, the update on the driver, and the oracle repeats both i
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
@@ -354,3 +355,80 @@ def q_stream_score_mlp(spark, sf):
     name = f"stream_score_{uuid.uuid4().hex[:12]}"
     out = run_available(spark, score_stream(stream, layers, trained, (64,), keep=["id", "label"]), name)
     return out.select("id", "label", "predicted")
+
+
+# ----------------------------------------------------------------------------- CNN training step
+CNN_LR, CNN_LAM, CNN_STEPS = 0.001, 0.01, 2
+
+
+def _cnn_step_sql(steps: int, lr: float, lam: float) -> str:
+    """SQL of full-batch SGD (+L2 on weights) steps of conv 2@3×3 → ReLU → avg-pool 2×2 →
+    dense 18→10 → softmax, gradients summed over all rows (the reference CNN's rule)."""
+    from .fixtures import CELLS_SQL, conv_bias_sql, conv_weights_sql
+    from .q_tensor import _win_sql
+
+    f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    LR, LM = f(lr), f(lam)
+    ctes = [
+        f"cells AS ({CELLS_SQL})",
+        f"win AS ({_win_sql('cells', 3, 1, 8, 8)})",
+        "lab AS (SELECT CAST(vec_id AS BIGINT) AS id, label FROM embeddings)",
+        f"cw0 AS ({conv_weights_sql()})",
+        f"cb0 AS ({conv_bias_sql()})",
+        f"dw0 AS (SELECT i, j, w FROM ({dense_weights_sql(18, 10)}))",
+        f"db0 AS ({dense_bias_sql(10)})",
+    ]
+    for s in range(1, steps + 1):
+        p = s - 1
+        ctes += [
+            # forward
+            f"z{s} AS (SELECT id, oy AS y, ox AS x, f, sum(v * w) + b AS z FROM win JOIN cw{p} USING (c, dy, dx) "
+            f"JOIN cb{p} USING (f) GROUP BY id, oy, ox, f, b)",
+            f"pl{s} AS (SELECT id, py, px, f, sum(greatest(z, 0.0)) / 4.0 AS a FROM "
+            f"(SELECT id, y // 2 AS py, x // 2 AS px, f, z FROM z{s} WHERE y < 6 AND x < 6) GROUP BY id, py, px, f)",
+            f"fl{s} AS (SELECT id, CAST((py * 3 + px) * 2 + f AS BIGINT) AS i, a FROM pl{s})",
+            f"lg{s} AS (SELECT id, j, sum(a * w) + b AS z FROM fl{s} JOIN dw{p} USING (i) JOIN db{p} USING (j) GROUP BY id, j, b)",
+            f"ex{s} AS (SELECT id, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM lg{s})",
+            f"dz{s} AS (SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g "
+            f"FROM ex{s} JOIN lab USING (id))",
+            # dense backward
+            f"gdw{s} AS (SELECT i, j, sum(a * g) AS g FROM fl{s} JOIN dz{s} USING (id) GROUP BY i, j)",
+            f"gdb{s} AS (SELECT j, sum(g) AS g FROM dz{s} GROUP BY j)",
+            f"dfl{s} AS (SELECT id, i, sum(g * w) AS g FROM dz{s} JOIN dw{p} USING (j) GROUP BY id, i)",
+            # pool (stride = size, no overlap) and ReLU backward
+            f"dzc{s} AS (SELECT z.id, z.y, z.x, z.f, CASE WHEN z.z > 0 THEN d.g / 4.0 ELSE 0.0 END AS g FROM z{s} z "
+            f"JOIN dfl{s} d ON d.id = z.id AND d.i = ((z.y // 2) * 3 + (z.x // 2)) * 2 + z.f WHERE z.y < 6 AND z.x < 6)",
+            # conv backward
+            f"gcw{s} AS (SELECT f, c, dy, dx, sum(v * g) AS g FROM win JOIN dzc{s} d ON d.id = win.id AND d.y = win.oy AND d.x = win.ox "
+            f"GROUP BY f, c, dy, dx)",
+            f"gcb{s} AS (SELECT f, sum(g) AS g FROM dzc{s} GROUP BY f)",
+            # SGD with L2 on weights
+            f"cw{s} AS (SELECT f, c, dy, dx, w - {LR} * (g + {LM} * w) AS w FROM cw{p} JOIN gcw{s} USING (f, c, dy, dx))",
+            f"cb{s} AS (SELECT f, b - {LR} * g AS b FROM cb{p} JOIN gcb{s} USING (f))",
+            f"dw{s} AS (SELECT i, j, w - {LR} * (g + {LM} * w) AS w FROM dw{p} JOIN gdw{s} USING (i, j))",
+            f"db{s} AS (SELECT j, b - {LR} * g AS b FROM db{p} JOIN gdb{s} USING (j))",
+        ]
+    S = steps
+    final = (
+        f"SELECT 'conv_W' AS param, CAST(((f * 1 + c) * 3 + dy) * 3 + dx AS BIGINT) AS idx, round(w, 6) + 0.0 AS value FROM cw{S}\n"
+        f"UNION ALL SELECT 'conv_b', CAST(f AS BIGINT), round(b, 6) + 0.0 FROM cb{S}\n"
+        f"UNION ALL SELECT 'dense_W', CAST(i * 10 + j AS BIGINT), round(w, 6) + 0.0 FROM dw{S}\n"
+        f"UNION ALL SELECT 'dense_b', CAST(j AS BIGINT), round(b, 6) + 0.0 FROM db{S}"
+    )
+    return "WITH " + ",\n".join(ctes) + "\n" + final
+
+
+@register("train_step_cnn", _cnn_step_sql(CNN_STEPS, CNN_LR, CNN_LAM))
+def q_train_step_cnn(spark, sf):
+    """Two full-batch SGD steps of the small CNN from fixed weights: the Arrow gradient job
+    (conv, ReLU, average-pool and dense backward in NumPy) and the driver update."""
+    from .q_tensor import _cnn_net
+
+    layers, params = _cnn_net()
+    cfg = cnn_config(optimizer="sgd", learning_rate=CNN_LR, lam=CNN_LAM)
+    new = one_step_params(_emb(spark, sf), layers, params, cfg, (IMG_H, IMG_W, IMG_C), 10, steps=CNN_STEPS)
+    rows = []
+    for name, arr in (("conv_W", new[0]["W"]), ("conv_b", new[0]["b"]), ("dense_W", new[4]["W"]), ("dense_b", new[4]["b"])):
+        rows += [(name, int(k), float(v)) for k, v in enumerate(np.ravel(arr))]
+    df = spark.createDataFrame(rows, "param string, idx bigint, value double")
+    return df.select("param", "idx", r6("value").alias("value"))
