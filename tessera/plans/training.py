@@ -43,6 +43,7 @@ DRIVER_SUM_LIMIT = 20_000_000  # partitions × parameters summed directly on the
 class TrainConfig:
     epochs: int = 10
     batch_size: int | None = None
+    batches_per_epoch: int | None = None  # alternative to batch_size: ceil(rows / batches) rows each
     optimizer: str = "sgd"  # sgd | momentum | adam
     learning_rate: float = 0.01
     lam: float = 0.0
@@ -67,6 +68,8 @@ class TrainConfig:
             raise ValueError("learning rate and epochs must be positive, lambda non-negative")
         if self.batch_size is not None and self.batch_size <= 0:
             raise ValueError("batch_size must be positive")
+        if self.batches_per_epoch is not None and (self.batches_per_epoch <= 0 or self.batch_size is not None):
+            raise ValueError("batches_per_epoch must be positive and excludes batch_size")
 
 
 def cnn_config(**kw) -> TrainConfig:
@@ -251,7 +254,12 @@ def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, e
         theta = K.pack(prm)
         opt = Optimizer(c, theta.size, weight_mask(prm))
         opt.load({"m": st["m"].copy(), "v": st["v"].copy(), "t": st["t"]})
-        bs = c.batch_size or len(y)
+        if c.batch_size:
+            bs = c.batch_size
+        elif c.batches_per_epoch:
+            bs = math.ceil(len(y) / c.batches_per_epoch)  # per partition in local mode
+        else:
+            bs = len(y)
         loss, steps = 0.0, 0
         for s in range(0, len(y), bs):
             cur = K.unpack(theta, prm)
@@ -379,19 +387,20 @@ def train_network(
                 opt.t = int(t.column("t").to_numpy().max())
                 steps += int(t.column("steps").to_numpy().max())
             else:
-                if cfg.batch_size is None or cfg.batch_size >= total:
+                bsize = cfg.batch_size if cfg.batches_per_epoch is None else math.ceil(total / cfg.batches_per_epoch)
+                if bsize is None or bsize >= total:
                     batches = [data]
                     batched = None
                 else:
                     # Sorted by batch inside each partition, the cached column batches carry tight
                     # min/max statistics, so each step's filter skips the other batches' data.
                     batched = (
-                        assign_batches(data, id_col, cfg.seed, epoch, cfg.batch_size, n_rows=total)
+                        assign_batches(data, id_col, cfg.seed, epoch, bsize, n_rows=total)
                         .coalesce(n_parts)  # as many partitions as the training data, not shuffle-sized
                         .sortWithinPartitions("batch")
                         .persist(StorageLevel.MEMORY_AND_DISK)
                     )
-                    n_b = math.ceil(total / cfg.batch_size)
+                    n_b = math.ceil(total / bsize)
                     batches = [batched.where(F.col("batch") == b) for b in range(n_b)]
                 for bdf in batches:
                     cur = K.unpack(theta, params)

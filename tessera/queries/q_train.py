@@ -432,3 +432,87 @@ def q_train_step_cnn(spark, sf):
         rows += [(name, int(k), float(v)) for k, v in enumerate(np.ravel(arr))]
     df = spark.createDataFrame(rows, "param string, idx bigint, value double")
     return df.select("param", "idx", r6("value").alias("value"))
+
+
+# ----------------------------------------------------------------------------- exact mini-batch MLP
+MB_HIDDEN, MB_EPOCHS, MB_BATCHES, MB_LR, MB_LAM = 8, 2, 5, 0.5, 0.01
+
+
+def _mb_net():
+    w1, b1 = dense_weights(64, MB_HIDDEN)
+    w2, b2 = dense_weights(MB_HIDDEN, 10)
+    return [K.dense(64, MB_HIDDEN, "relu"), K.dense(MB_HIDDEN, 10, "softmax")], [{"W": w1, "b": b1}, {"W": w2, "b": b2}]
+
+
+def _minibatch_sql() -> str:
+    """SQL of the reference MLP's mini-batch training on the stratified training split: every
+    epoch a fresh md5 order cut into ``MB_BATCHES`` consecutive batches of ceil(n/5) rows; per
+    batch a ReLU-hidden / softmax forward, the backward pass, and the mean-gradient + λW/m step."""
+    from .q_splits import split_sql
+
+    f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    LR, LM = f(MB_LR), f(MB_LAM)
+    ctes = [
+        "sets AS (WITH " + split_sql("SELECT vec_id, label FROM embeddings", "vec_id", "label", 0.2, 0.2, 42,
+                                     "CAST(vec_id AS BIGINT) AS id, label") + ")",
+        VEC,
+        "tr AS (SELECT id, label FROM sets WHERE set = 'train')",
+        f"bs AS (SELECT CAST(ceil(count(*) / {MB_BATCHES}.0) AS BIGINT) AS bs FROM tr)",
+        f"w1_0 AS (SELECT i, j, w FROM ({dense_weights_sql(64, MB_HIDDEN)}))",
+        f"b1_0 AS ({dense_bias_sql(MB_HIDDEN)})",
+        f"w2_0 AS (SELECT i, j, w FROM ({dense_weights_sql(MB_HIDDEN, 10)}))",
+        f"b2_0 AS ({dense_bias_sql(10)})",
+    ]
+    for e in range(MB_EPOCHS):
+        ctes.append(
+            f"ord{e} AS (SELECT id, label, CAST((row_number() OVER (ORDER BY md5(concat_ws('-', '42', '{e}', CAST(id AS VARCHAR))), id) - 1) "
+            f"// bs AS BIGINT) AS batch FROM tr, bs)"
+        )
+    s = 0
+    for e in range(MB_EPOCHS):
+        for b in range(MB_BATCHES):
+            p, s = s, s + 1
+            ctes += [
+                f"r{s} AS (SELECT id, label FROM ord{e} WHERE batch = {b})",
+                f"m{s} AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM r{s})",
+                f"z1_{s} AS (SELECT id, j AS h, sum(v * w) + b AS z FROM r{s} JOIN vec USING (id) JOIN w1_{p} USING (i) "
+                f"JOIN b1_{p} USING (j) GROUP BY id, j, b)",
+                f"z2_{s} AS (SELECT id, w.j, sum(greatest(z, 0.0) * w.w) + bb.b AS z FROM z1_{s} JOIN w2_{p} w ON w.i = z1_{s}.h "
+                f"JOIN b2_{p} bb ON bb.j = w.j GROUP BY id, w.j, bb.b)",
+                f"e_{s} AS (SELECT id, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM z2_{s})",
+                f"d2_{s} AS (SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g "
+                f"FROM e_{s} JOIN r{s} USING (id))",
+                f"gw2_{s} AS (SELECT h AS i, j, sum(greatest(z, 0.0) * g) AS g FROM z1_{s} JOIN d2_{s} USING (id) GROUP BY h, j)",
+                f"gb2_{s} AS (SELECT j, sum(g) AS g FROM d2_{s} GROUP BY j)",
+                f"d1_{s} AS (SELECT z1.id, z1.h, CASE WHEN z1.z > 0 THEN sum(d.g * w.w) ELSE 0.0 END AS g FROM z1_{s} z1 "
+                f"JOIN d2_{s} d ON d.id = z1.id JOIN w2_{p} w ON w.i = z1.h AND w.j = d.j GROUP BY z1.id, z1.h, z1.z)",
+                f"gw1_{s} AS (SELECT i, h AS j, sum(v * g) AS g FROM d1_{s} JOIN vec USING (id) GROUP BY i, h)",
+                f"gb1_{s} AS (SELECT h AS j, sum(g) AS g FROM d1_{s} GROUP BY h)",
+                f"w1_{s} AS (SELECT i, j, w - {LR} * (g / m + {LM} * w / m) AS w FROM w1_{p} JOIN gw1_{s} USING (i, j), m{s})",
+                f"b1_{s} AS (SELECT j, b - {LR} * (g / m) AS b FROM b1_{p} JOIN gb1_{s} USING (j), m{s})",
+                f"w2_{s} AS (SELECT i, j, w - {LR} * (g / m + {LM} * w / m) AS w FROM w2_{p} JOIN gw2_{s} USING (i, j), m{s})",
+                f"b2_{s} AS (SELECT j, b - {LR} * (g / m) AS b FROM b2_{p} JOIN gb2_{s} USING (j), m{s})",
+            ]
+    final = (
+        f"SELECT 'W1' AS param, CAST(i * {MB_HIDDEN} + j AS BIGINT) AS idx, round(w, 6) + 0.0 AS value FROM w1_{s}\n"
+        f"UNION ALL SELECT 'b1', CAST(j AS BIGINT), round(b, 6) + 0.0 FROM b1_{s}\n"
+        f"UNION ALL SELECT 'W2', CAST(i * 10 + j AS BIGINT), round(w, 6) + 0.0 FROM w2_{s}\n"
+        f"UNION ALL SELECT 'b2', CAST(j AS BIGINT), round(b, 6) + 0.0 FROM b2_{s}"
+    )
+    return "WITH " + ",\n".join(ctes) + "\n" + final
+
+
+@register("train_mlp_minibatch", _minibatch_sql())
+def q_train_mlp_minibatch(spark, sf):
+    """The reference MLP's mini-batch SGD, run as synchronous Spark steps: per epoch an exact
+    seeded permutation of the training split cut into 5 consecutive batches, one gradient
+    job and one update per batch; returns the final weights."""
+    s = _sets(spark, sf)
+    tr = s.where(F.col("set") == "train")
+    layers, params = _mb_net()
+    cfg = mlp_config(epochs=MB_EPOCHS, learning_rate=MB_LR, lam=MB_LAM, batches_per_epoch=MB_BATCHES, mode="sync")
+    res = train_network(tr, layers, cfg, (64,), 10, params=params, evaluate_every=0)
+    rows = []
+    for name, arr in (("W1", res.params[0]["W"]), ("b1", res.params[0]["b"]), ("W2", res.params[1]["W"]), ("b2", res.params[1]["b"])):
+        rows += [(name, int(k), float(v)) for k, v in enumerate(np.ravel(arr))]
+    return spark.createDataFrame(rows, "param string, idx bigint, value double").select("param", "idx", r6("value").alias("value"))
