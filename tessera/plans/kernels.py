@@ -12,7 +12,6 @@ Window matrices are ordered (C, KH, KW), matching the filter reshape.
 from __future__ import annotations
 
 import numpy as np
-from numpy.lib.stride_tricks import sliding_window_view
 
 CLIP_EPS = 1e-15
 
@@ -156,9 +155,15 @@ def _act_grad(fn: str, z: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 # ----------------------------------------------------------------------------- windows
 def _windows(x: np.ndarray, k: int, stride: int) -> np.ndarray:
-    """(N, H, W, C) → (N, OH, OW, C, K, K) view."""
-    v = sliding_window_view(x, (k, k), axis=(1, 2))
-    return v[:, ::stride, ::stride]
+    """(N, H, W, C) → (N, OH, OW, C, K, K): one strided slice per kernel offset (dy, dx),
+    the same offset-by-offset gathering as the cell-form window generator."""
+    n, h, w, c = x.shape
+    oh, ow = (h - k) // stride + 1, (w - k) // stride + 1
+    out = np.empty((n, oh, ow, c, k, k), dtype=x.dtype)
+    for dy in range(k):
+        for dx in range(k):
+            out[..., dy, dx] = x[:, dy:dy + stride * (oh - 1) + 1:stride, dx:dx + stride * (ow - 1) + 1:stride, :]
+    return out
 
 
 def _scatter_windows(shape, dwin: np.ndarray, k: int, stride: int) -> np.ndarray:
