@@ -142,3 +142,12 @@ class TabularPrep:
 
     def fit_transform(self, df: DataFrame, target: str) -> DataFrame:
         return self.fit(df, target).transform(df)
+
+    def split(self, prepared: DataFrame, id_col: str, test_size: float = 0.2, stratify: bool = True,
+              seed: int | None = 42) -> DataFrame:
+        """Train / test sets of a prepared table (``set`` column), stratified on the target."""
+        from ..operators.splits import stratified_split
+
+        if self.fitted is None:
+            raise RuntimeError("fit first")
+        return stratified_split(prepared, self.fitted["target"], id_col, test_size, seed, stratify)

@@ -352,11 +352,18 @@ SELECT c_custkey, c_acctbal, c_nationkey, CAST(dense_rank() OVER (ORDER BY seg)
 """
 
 
-def tabular_job(spark, sf):
+def tabular_fit(spark, sf):
+    """The fitted tabular job on customer (nulls by rule) and its prepared output."""
     df = customer_with_nulls(spark, sf)
     opts = TabularOptions(outliers="median", scaling="standardisation", numeric_nulls="mean", categorical_nulls="most")
-    out = TabularPrep(opts, key_columns=["c_custkey"]).fit_transform(df, target="c_mktsegment")
-    return out.select("c_custkey", r6("c_acctbal").alias("c_acctbal"), r6("c_nationkey").alias("c_nationkey"), "c_mktsegment")
+    prep_job = TabularPrep(opts, key_columns=["c_custkey"])
+    out = prep_job.fit_transform(df, target="c_mktsegment")
+    out = out.select("c_custkey", r6("c_acctbal").alias("c_acctbal"), r6("c_nationkey").alias("c_nationkey"), "c_mktsegment")
+    return prep_job, out
+
+
+def tabular_job(spark, sf):
+    return tabular_fit(spark, sf)[1]
 
 
 register("prep_tabular_fit_transform", _tabular_sql())(tabular_job)

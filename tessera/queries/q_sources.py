@@ -158,14 +158,12 @@ def q_prep_image_batch(spark, sf):
 def q_prep_image_sets(spark, sf):
     """Image job end to end: manifest → decode → label encode → stratified train/val/test →
     one-hot labels with the class count fixed from the whole data."""
+    from ..plans.images import prepare_image_sets
+
     base = image_folder(spark, sf)
-    m = read_manifest_csv(spark, base + "/manifest", root=base + "/images", prefix="./images/")
-    imgs = decode_images(spark, base + "/images", size=(8, 8), mode="gray")
-    b = image_batch(m, imgs).withColumn("vec_id", _vec_id())
-    k = int(b.agg(F.max("label")).first()[0]) + 1
-    s = splits.three_way_split(b, "label", "vec_id", 0.2, 0.2, SEED)
-    s = s.withColumn("y", splits.label_onehot("label", k))
-    return s.select("vec_id", "label", "set", F.size("y").cast("int").alias("n_classes"))
+    s = prepare_image_sets(spark, base + "/images", (8, 8), "gray", 0.2, 0.2, SEED,
+                           manifest=base + "/manifest", prefix="./images/", id_expr=_vec_id())
+    return s.select(F.col("id").alias("vec_id"), "label", "set", F.size("y").cast("int").alias("n_classes"))
 
 
 @register("lenet5_image_run")

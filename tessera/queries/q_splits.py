@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import splits
 from ..sources.tables import read_table
 from . import register
-from .fixtures import N_CLASSES
-from .q_prep import _tabular_sql, tabular_job
+from .q_prep import _tabular_sql, tabular_fit
 
 SEED = 42
 
@@ -62,8 +61,8 @@ def _split_tabular_sql() -> str:
 
 @register("split_tabular", _split_tabular_sql())
 def q_split_tabular(spark, sf):
-    prepared = tabular_job(spark, sf)
-    return splits.stratified_split(prepared, "c_mktsegment", "c_custkey", 0.25, SEED)
+    prep_job, prepared = tabular_fit(spark, sf)
+    return prep_job.split(prepared, "c_custkey", test_size=0.25, seed=SEED)
 
 
 @register(
@@ -103,9 +102,9 @@ def q_batch_assign(spark, sf):
 
 @register(
     "label_onehot",
-    f"""
+    """
 SELECT vec_id, CAST(k AS BIGINT) AS k, CASE WHEN k = label THEN 1.0 ELSE 0.0 END AS y
-FROM embeddings, range({N_CLASSES}) t(k)
+FROM embeddings, (SELECT unnest(range(CAST((SELECT max(label) + 1 FROM embeddings) AS BIGINT))) AS k) t
 """,
 )
 def q_label_onehot(spark, sf):
