@@ -9,6 +9,8 @@ labels) or one hot group that does not scale. Two exact, deterministic plans ins
   numbered inside each (group, bucket) by a window — a hot group is spread over 16^L buckets —
   and a small (group, bucket) count table, turned into offsets by a window over that table
   and broadcast after a size check, shifts them to the group-wide number.
+* **One numeric key** (ids, integer labels): value-range buckets from approximate quantiles
+  (MLlib ``Bucketizer``), the same window-per-bucket + offsets plan, no checkpoint.
 * **Any other order**: a range partitioning on (group, keys) and a sort within partitions;
   each row's in-partition position (``monotonically_increasing_id``) plus the count of the
   group's rows in earlier partitions is its number. Range bounds come from sampling, so the
@@ -142,3 +144,42 @@ def ranked_buckets(df: DataFrame, hex_col: str, partition_by: list[str]):
         L = need
         counts = bucket_counts(df, hex_col, partition_by, L)
     return counts, L, sizes
+
+
+def numeric_row_number(
+    df: DataFrame,
+    key: str,
+    partition_by: list[str] | None = None,
+    out: str = "rn",
+    tie_breaker: str | None = None,
+    n_rows: int | None = None,
+) -> DataFrame:
+    """Row number ordered by one numeric ``key`` (then ``tie_breaker``) within ``partition_by``,
+    without a checkpoint: value-range buckets from approximate quantiles of the key (any
+    boundaries give the exact answer; good ones only balance the work), a window inside each
+    (group, bucket), and offsets from the small (group, bucket) count table. A group holding
+    a third of the rows is spread over many buckets as long as its keys differ."""
+    from pyspark.ml.feature import Bucketizer
+
+    partition_by = list(partition_by or [])
+    n = n_rows if n_rows is not None else df.count()
+    n_buckets = max(1, min(1 << 16, math.ceil(n / TARGET_BUCKET_ROWS) * 16))
+    kd = "_kd"
+    staged = df.withColumn(kd, F.col(key).cast("double"))
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        bounds = staged.agg(F.percentile_approx(kd, probs, max(10_000, 10 * n_buckets))).first()[0] or []
+        splits = [-float("inf")] + sorted(set(float(b) for b in bounds)) + [float("inf")]
+    else:
+        splits = [-float("inf"), float("inf")]
+    staged = Bucketizer(splits=splits, inputCol=kd, outputCol="_bkt", handleInvalid="keep").transform(staged)
+    grp = partition_by + ["_bkt"]
+    counts = bounded_side(staged.groupBy(*grp).agg(F.count(F.lit(1)).alias("_cnt")))
+    w_off = (Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()).orderBy("_bkt")
+    offsets = counts.withColumn(
+        "_off", F.coalesce(F.sum("_cnt").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(*grp, "_off")
+    order = [key] + ([tie_breaker] if tie_breaker else [])
+    local = staged.withColumn("_loc", F.row_number().over(Window.partitionBy(*grp).orderBy(*order)))
+    res = _attach_offsets(local, offsets, grp)
+    return res.withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint")).drop("_bkt", "_off", "_loc", kd)

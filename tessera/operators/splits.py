@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_side
-from .ranking import DEFAULT_HEX_DIGITS, exact_row_number, hash_row_number, hex_digits_for, ranked_buckets
+from .ranking import DEFAULT_HEX_DIGITS, hash_row_number, hex_digits_for, numeric_row_number, ranked_buckets
 
 
 def resolve_seed(seed: int | None) -> int:
@@ -127,7 +127,7 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None =
     if shuffle:
         ranked = hash_row_number(staged, "_key", id_col, [label], out="_rn", hex_digits=digits, counts=bcounts).drop("_key")
     else:
-        ranked = exact_row_number(df, [id_col], [label], out="_rn")
+        ranked = numeric_row_number(df, id_col, [label], out="_rn")
     joined = _attach(ranked, offs, [label])
     return joined.withColumn(out, ((F.col("_off") + F.col("_rn") - 1) % k).cast("bigint")).drop("_off", "_rn")
 

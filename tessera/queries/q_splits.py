@@ -119,10 +119,10 @@ def q_label_onehot(spark, sf):
     "SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS idx, label FROM (SELECT DISTINCT label FROM embeddings)",
 )
 def q_distinct_labels(spark, sf):
-    from ..operators.ranking import exact_row_number
+    from ..operators.ranking import numeric_row_number
 
     d = _emb(spark, sf).select("label").distinct()
-    return exact_row_number(d, ["label"], out="idx").select((F.col("idx") - 1).cast("bigint").alias("idx"), "label")
+    return numeric_row_number(d, "label", out="idx").select((F.col("idx") - 1).cast("bigint").alias("idx"), "label")
 
 
 @register("summary_dataset", "SELECT count(*) AS n_rows, count(DISTINCT label) AS n_labels FROM embeddings")

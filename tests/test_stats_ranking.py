@@ -99,3 +99,16 @@ def test_approx_quantiles_within_rank_error(spark):
     got = quantiles(df, ["x"], [0.25, 0.5, 0.75], approx=True, accuracy=1000)["x"]
     ranks = [(pdf["x"] < v).mean() for v in got]
     assert all(abs(r - p) <= 1 / 1000 + 1e-9 for r, p in zip(ranks, [0.25, 0.5, 0.75]))
+
+
+def test_numeric_row_number_equals_window(spark, monkeypatch):
+    from tessera.operators import ranking
+
+    _, df = _frame(spark, n=3000)
+    monkeypatch.setattr(ranking, "TARGET_BUCKET_ROWS", 50)  # many buckets even on small data
+    ours = ranking.numeric_row_number(df, "x", ["g"], out="rn", tie_breaker="id")
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("x", "id")))
+    assert {(r.id, r.rn) for r in ours.select("id", "rn").collect()} == {(r.id, r.rn) for r in ref.select("id", "rn").collect()}
+    ties = ranking.numeric_row_number(df, "t", out="rn", tie_breaker="id")  # heavy ties in the key
+    ref2 = df.withColumn("rn", F.row_number().over(Window.orderBy("t", "id")))
+    assert {(r.id, r.rn) for r in ties.select("id", "rn").collect()} == {(r.id, r.rn) for r in ref2.select("id", "rn").collect()}
