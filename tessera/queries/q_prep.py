@@ -412,3 +412,19 @@ def q_prep_tabular_lineitem(spark, sf):
                           invalid_zeros=["l_discount", "l_tax"])
     out = TabularPrep(opts, key_columns=["l_orderkey", "l_linenumber"]).fit_transform(li, target="l_linestatus")
     return out.select(*[r6(c).alias(c) if c in _LI_NUM else F.col(c) for c in out.columns])
+
+
+@register(
+    "prep_outliers_doc_lengths",
+    """
+WITH q AS (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.75) AS q3, median(n_chars) AS centre FROM documents)
+SELECT doc_id,
+       round(CASE WHEN n_chars < q1 - 1.5 * (q3 - q1) OR n_chars > q3 + 1.5 * (q3 - q1) THEN centre ELSE CAST(n_chars AS DOUBLE) END, 6) + 0.0 AS n_chars
+FROM documents, q
+""",
+)
+def q_prep_outliers_doc_lengths(spark, sf):
+    """Median replacement of document-length outliers (an integer column with a long tail)."""
+    d = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    out = prep.treat_outliers(d, ["n_chars"], "median")
+    return out.select("doc_id", r6("n_chars").alias("n_chars"))
