@@ -128,3 +128,23 @@ def q_distinct_labels(spark, sf):
 @register("summary_dataset", "SELECT count(*) AS n_rows, count(DISTINCT label) AS n_labels FROM embeddings")
 def q_summary_dataset(spark, sf):
     return _emb(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("label").alias("n_labels"))
+
+
+@register(
+    "sink_split_sets",
+    "WITH " + split_sql(_tabular_sql().strip(), "c_custkey", "c_mktsegment", 0.0, 0.25, SEED,
+                        "c_custkey, c_acctbal, c_nationkey, c_mktsegment")
+    .rstrip() .replace("FROM r JOIN qv USING (g)", "FROM r JOIN qv USING (g) WHERE rn <= q_test"),
+)
+def q_sink_split_sets(spark, sf):
+    """Prepared and split customers written partitioned by set into the shared folder; the
+    test set read back through partition pruning."""
+    import uuid
+
+    from ..session import shared_path
+    from ..sources.sinks import read_set, write_sets
+
+    prep_job, prepared = tabular_fit(spark, sf)
+    path = shared_path(spark, "sets", uuid.uuid4().hex)
+    write_sets(prep_job.split(prepared, "c_custkey", test_size=0.25, seed=SEED), path)
+    return read_set(spark, path, "test").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment", "set")

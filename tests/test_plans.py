@@ -65,3 +65,16 @@ def test_cell_network_shuffles_once(spark):
     probs = T.dense(T.flatten(pooled, 3, 2), dwdf, dbdf, "softmax", n_params=dw.size)
     plan = _plan(probs)
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_reading_one_set_prunes_partitions(spark):
+    from tessera.session import shared_path
+    from tessera.sources.sinks import read_set, write_sets
+
+    e = spark.read.parquet(f"{SF_MID}/embeddings.parquet").select("vec_id", "label")
+    path = shared_path(spark, "test-sets", "emb")
+    write_sets(splits.three_way_split(e, "label", "vec_id", 0.2, 0.2, 42), path)
+    df = read_set(spark, path, "val")
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(set" in plan and "(set#" in plan
+    assert df.count() == 100
