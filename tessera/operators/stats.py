@@ -19,13 +19,19 @@ APPROX_ACCURACY = 20_000
 MAX_ROUNDS = 8
 
 
+def _finite(c: str):
+    """The column as double with NaN read as missing (pandas skips both)."""
+    x = F.col(c).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
 def moments(df: DataFrame, cols: list[str]) -> dict[str, dict[str, float | None]]:
     """mean, population std, min, max and non-null count for each column, in one pass."""
     if not cols:
         return {}
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = _finite(c)
         aggs += [
             F.avg(x).alias(f"m{i}"),
             F.stddev_pop(x).alias(f"s{i}"),
@@ -187,7 +193,7 @@ def exact_quantiles(
     where = where or {}
 
     def val(c):
-        x = F.col(c).cast("double")
+        x = _finite(c)
         if c in where:
             x = F.when(where[c], x)
         return x
@@ -282,7 +288,7 @@ def quantiles(
     where = where or {}
 
     def val(c):
-        x = F.col(c).cast("double")
+        x = _finite(c)
         return F.when(where[c], x) if c in where else x
 
     aggs = []

@@ -112,3 +112,13 @@ def test_numeric_row_number_equals_window(spark, monkeypatch):
     ties = ranking.numeric_row_number(df, "t", out="rn", tie_breaker="id")  # heavy ties in the key
     ref2 = df.withColumn("rn", F.row_number().over(Window.orderBy("t", "id")))
     assert {(r.id, r.rn) for r in ties.select("id", "rn").collect()} == {(r.id, r.rn) for r in ref2.select("id", "rn").collect()}
+
+
+def test_nan_is_missing_like_pandas(spark):
+    from tessera.operators.stats import exact_quantiles, moments
+
+    vals = [1.0, 2.0, float("nan"), 4.0, None, 10.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    s = pd.Series(vals, dtype=float)
+    assert np.isclose(moments(df, ["v"])["v"]["mean"], s.mean())
+    assert np.allclose(exact_quantiles(df, ["v"], [0.25, 0.5])["v"], s.quantile([0.25, 0.5]).tolist())
