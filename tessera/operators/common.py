@@ -9,18 +9,21 @@ LOCAL_ROWS = 100_000  # small tables up to this size become a local relation (no
 BROADCAST_ROWS = 2_000_000  # beyond this a small side is joined with a shuffle
 
 
-def bounded_side(df: DataFrame) -> DataFrame:
+def bounded_side(df: DataFrame, with_rows: bool = False):
     """Materialise a (usually tiny) derived table once and return a join side for it.
 
     Up to ``LOCAL_ROWS`` rows: collected and rebuilt as a local relation, broadcast — the
     big input that produced it is scanned once and nothing stays cached. Up to
     ``BROADCAST_ROWS``: kept cached and broadcast. Larger: returned as is, for a shuffle join.
+    ``with_rows`` also returns the collected rows (or None when the table was too large).
     """
     cached = df.cache()
     rows = cached.limit(LOCAL_ROWS + 1).collect()
     if len(rows) <= LOCAL_ROWS:
         local = df.sparkSession.createDataFrame(rows, df.schema)
         cached.unpersist()
-        return F.broadcast(local)
+        side = F.broadcast(local)
+        return (side, rows) if with_rows else side
     n = cached.count()
-    return F.broadcast(cached) if n <= BROADCAST_ROWS else cached
+    side = F.broadcast(cached) if n <= BROADCAST_ROWS else cached
+    return (side, None) if with_rows else side

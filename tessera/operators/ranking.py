@@ -48,14 +48,15 @@ def _attach_offsets(df: DataFrame, offsets: DataFrame, keys: list[str]) -> DataF
     return df.join(bounded_side(offsets), on=keys, how="inner")
 
 
-def bucket_counts(df: DataFrame, hex_col: str, partition_by: list[str] | None = None, hex_digits: int = DEFAULT_HEX_DIGITS) -> DataFrame:
+def bucket_counts(df: DataFrame, hex_col: str, partition_by: list[str] | None = None, hex_digits: int = DEFAULT_HEX_DIGITS,
+                  with_rows: bool = False):
     """Rows per (group, digest-prefix bucket): one aggregate over the data, materialised as a
     bounded join side. Summing it over buckets gives the group sizes without another scan."""
     partition_by = list(partition_by or [])
     b = df.groupBy(*partition_by, F.substring(F.col(hex_col), 1, hex_digits).alias("_bkt")).agg(
         F.count(F.lit(1)).alias("_cnt")
     )
-    return bounded_side(b)
+    return bounded_side(b, with_rows=with_rows)
 
 
 def hash_row_number(
@@ -136,9 +137,16 @@ def ranked_buckets(df: DataFrame, hex_col: str, partition_by: list[str]):
     """Bucket counts at the default digits (one scan), refined only when the largest group
     would leave buckets above the target size. Returns (counts, digits, group sizes)."""
     L = DEFAULT_HEX_DIGITS
-    counts = bucket_counts(df, hex_col, partition_by, L)
+    counts, rows = bucket_counts(df, hex_col, partition_by, L, with_rows=True)
     sizes = counts.groupBy(*partition_by).agg(F.sum("_cnt").alias("n")) if partition_by else counts.agg(F.sum("_cnt").alias("n"))
-    biggest = sizes.agg(F.max("n")).first()[0] or 0
+    if rows is not None:  # the bounded count table is already on the driver
+        per: dict = {}
+        for r in rows:
+            k = tuple(r[c] for c in partition_by)
+            per[k] = per.get(k, 0) + r["_cnt"]
+        biggest = max(per.values(), default=0)
+    else:
+        biggest = sizes.agg(F.max("n")).first()[0] or 0
     need = hex_digits_for(biggest)
     if need > L:
         L = need
