@@ -186,7 +186,7 @@ WITH s AS (SELECT avg(c_acctbal) AS ma, stddev_pop(c_acctbal) AS sa, avg(c_natio
 SELECT c_custkey,
        round((c_acctbal - ma) / CASE WHEN sa = 0 THEN 1 ELSE sa END, 6) + 0.0 AS c_acctbal,
        round((c_nationkey - mn) / CASE WHEN sn = 0 THEN 1 ELSE sn END, 6) + 0.0 AS c_nationkey,
-       0.0 AS k
+       CAST(0.0 AS DOUBLE) AS k
 FROM customer, s
 """,
 )
@@ -203,7 +203,7 @@ WITH s AS (SELECT min(c_acctbal) AS a0, max(c_acctbal) AS a1, min(c_nationkey) A
 SELECT c_custkey,
        round((c_acctbal - a0) / CASE WHEN a1 = a0 THEN 1 ELSE a1 - a0 END, 6) + 0.0 AS c_acctbal,
        round((c_nationkey - n0) / CASE WHEN n1 = n0 THEN 1 ELSE n1 - n0 END, 6) + 0.0 AS c_nationkey,
-       0.0 AS k
+       CAST(0.0 AS DOUBLE) AS k
 FROM customer, s
 """,
 )
@@ -255,7 +255,7 @@ def q_prep_ordinal(spark, sf):
 def _onehot_sql() -> str:
     # Level names come from the data, so the oracle pivots the same way: one column per level.
     return """
-PIVOT (SELECT p_partkey, 'p_type_' || p_type AS lvl, 1.0 AS one FROM part) ON lvl USING coalesce(max(one), 0.0) GROUP BY p_partkey
+PIVOT (SELECT p_partkey, 'p_type_' || p_type AS lvl, CAST(1.0 AS DOUBLE) AS one FROM part) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE)) GROUP BY p_partkey
 """
 
 
@@ -272,7 +272,7 @@ WITH base AS (
   SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS o_orderpriority,
          'o_orderstatus_' || o_orderstatus AS lvl
   FROM orders)
-PIVOT (SELECT o_orderkey, o_orderpriority, lvl, 1.0 AS one FROM base) ON lvl USING coalesce(max(one), 0.0)
+PIVOT (SELECT o_orderkey, o_orderpriority, lvl, CAST(1.0 AS DOUBLE) AS one FROM base) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE))
 GROUP BY o_orderkey, o_orderpriority
 """,
 )
@@ -318,7 +318,7 @@ def _dq_sql() -> str:
         mx = f"round(max({c}), 6) + 0.0" if num else "CAST(NULL AS DOUBLE)"
         nan = f"count_if(isnan({c}))" if num else "CAST(0 AS BIGINT)"
         parts.append(
-            f"SELECT '{c}' AS col_name, count(*) AS n_rows, count_if({c} IS NULL) AS n_null, CAST({nan} AS BIGINT) AS n_nan, "
+            f"SELECT '{c}' AS col_name, count(*) AS n_rows, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, CAST({nan} AS BIGINT) AS n_nan, "
             f"{mn} AS min_value, {mx} AS max_value FROM lineitem"
         )
     return "\nUNION ALL\n".join(parts)
@@ -396,7 +396,7 @@ s2 AS (SELECT l_orderkey, l_linenumber, {treat}, l_returnflag, l_linestatus FROM
 mm AS (SELECT {mm} FROM s2),
 s3 AS (SELECT l_orderkey, l_linenumber, {scaled}, 'l_returnflag_' || l_returnflag AS lvl,
               CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS BIGINT) AS l_linestatus FROM s2, mm)
-PIVOT (SELECT *, 1.0 AS one FROM s3) ON lvl USING coalesce(max(one), 0.0)
+PIVOT (SELECT *, CAST(1.0 AS DOUBLE) AS one FROM s3) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE))
 GROUP BY l_orderkey, l_linenumber, {", ".join(_LI_NUM)}, l_linestatus
 """
 

@@ -103,7 +103,7 @@ def q_batch_assign(spark, sf):
 @register(
     "label_onehot",
     """
-SELECT vec_id, CAST(k AS BIGINT) AS k, CASE WHEN k = label THEN 1.0 ELSE 0.0 END AS y
+SELECT vec_id, CAST(k AS BIGINT) AS k, CAST(CASE WHEN k = label THEN 1.0 ELSE 0.0 END AS DOUBLE) AS y
 FROM embeddings, (SELECT unnest(range(CAST((SELECT max(label) + 1 FROM embeddings) AS BIGINT))) AS k) t
 """,
 )

@@ -203,7 +203,7 @@ for _name, _fn, _expr in [
     ("act_relu", "relu", "greatest(v * 10.0, 0.0)"),
     ("act_tanh", "tanh", "tanh(v * 10.0)"),
     ("act_sigmoid", "sigmoid", "1.0 / (1.0 + exp(-(v * 10.0)))"),
-    ("act_relu_grad", "relu_grad", "CASE WHEN v * 10.0 > 0 THEN 1.0 ELSE 0.0 END"),
+    ("act_relu_grad", "relu_grad", "CAST(CASE WHEN v * 10.0 > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE)"),
     ("act_tanh_grad", "tanh_grad", "1.0 - tanh(v * 10.0) * tanh(v * 10.0)"),
     ("act_sigmoid_grad", "sigmoid_grad", "(1.0 / (1.0 + exp(-(v * 10.0)))) * (1.0 - 1.0 / (1.0 + exp(-(v * 10.0))))"),
 ]:
