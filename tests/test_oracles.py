@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from tessera.sources.tables import TABLES
-from tools.oracle_check import table_hash
+from tools.oracle_check import SPARK_TO_DUCK, table_hash
 
 from .conftest import SF_SMALL
 
@@ -34,6 +34,8 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in rel.description]
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(dcols, con.sql(ORACLES[name]).types)}
     assert len(srows) == len(drows)
     assert table_hash(sdf.columns, srows)[0] == table_hash(dcols, drows)[0]
 
