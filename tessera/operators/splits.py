@@ -100,9 +100,16 @@ def three_way_split(
     return res.drop(grp, "_key", "_rn", "q_test", "q_val")
 
 
-def hash_split(df: DataFrame, id_col: str, val_size: float, test_size: float, seed: int = 42, out: str = "set") -> DataFrame:
-    """Approximate split with no shuffle at all: threshold the hash (expected fractions)."""
-    u = (F.xxhash64(F.lit(seed), F.col(id_col)).bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53))
+def split_uniform(id_col: str, seed: int, *extra) -> Column:
+    """A seeded uniform number in [0, 1) per row: the first 13 hex digits (52 bits, exact in a
+    double) of the split digest."""
+    return F.conv(F.substring(split_key(id_col, seed, *extra), 1, 13), 16, 10).cast("double") / float(16**13)
+
+
+def hash_split(df: DataFrame, id_col: str, val_size: float, test_size: float, seed: int | None = 42, out: str = "set") -> DataFrame:
+    """Approximate split with no shuffle at all: threshold a seeded uniform per row (expected,
+    not exact, fractions) — the scale path when exact quotas are not needed."""
+    u = split_uniform(id_col, resolve_seed(seed))
     return df.withColumn(out, F.when(u < test_size, "test").when(u < test_size + val_size, "val").otherwise("train"))
 
 

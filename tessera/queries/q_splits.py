@@ -148,3 +148,18 @@ def q_sink_split_sets(spark, sf):
     path = shared_path(spark, "sets", uuid.uuid4().hex)
     write_sets(prep_job.split(prepared, "c_custkey", test_size=0.25, seed=SEED), path)
     return read_set(spark, path, "test").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment", "set")
+
+
+@register(
+    "split_hash",
+    f"""
+WITH u AS (SELECT vec_id, label,
+                  CAST(CAST(('0x' || substr(md5(concat_ws('-', '{SEED}', CAST(vec_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE)
+                  / CAST(4503599627370496 AS DOUBLE) AS u
+           FROM embeddings)
+SELECT vec_id, label, CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.2 + 0.2 THEN 'val' ELSE 'train' END AS set FROM u
+""",
+)
+def q_split_hash(spark, sf):
+    """Approximate three-way split without a shuffle (threshold on a seeded uniform)."""
+    return splits.hash_split(_emb(spark, sf), "vec_id", 0.2, 0.2, SEED)
