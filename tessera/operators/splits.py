@@ -157,8 +157,9 @@ def assign_batches(df: DataFrame, id_col: str, seed: int, epoch: int, batch_size
 
 
 def hash_batches(df: DataFrame, id_col: str, seed: int, epoch: int, n_batches: int, out: str = "batch") -> DataFrame:
-    """Scale path: batch = pmod(xxhash64(seed, epoch, id), n_batches); no shuffle."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), F.col(id_col)), F.lit(n_batches)).cast("bigint"))
+    """Scale path for mini-batches: batch = floor(u · n_batches) for a seeded per-epoch uniform u;
+    no shuffle, batch sizes equal only in expectation."""
+    return df.withColumn(out, F.floor(split_uniform(id_col, seed, epoch) * n_batches).cast("bigint"))
 
 
 def label_onehot(label_col: str, n_classes: int) -> Column:

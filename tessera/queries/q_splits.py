@@ -163,3 +163,16 @@ SELECT vec_id, label, CASE WHEN u < 0.2 THEN 'test' WHEN u < 0.2 + 0.2 THEN 'val
 def q_split_hash(spark, sf):
     """Approximate three-way split without a shuffle (threshold on a seeded uniform)."""
     return splits.hash_split(_emb(spark, sf), "vec_id", 0.2, 0.2, SEED)
+
+
+@register(
+    "batch_hash",
+    f"""
+SELECT vec_id, CAST(floor(CAST(CAST(('0x' || substr(md5(concat_ws('-', '{SEED}', '3', CAST(vec_id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE)
+                    / CAST(4503599627370496 AS DOUBLE) * 8) AS BIGINT) AS batch
+FROM embeddings
+""",
+)
+def q_batch_hash(spark, sf):
+    """Shuffle-free batch assignment for epoch 3 into 8 batches (expected sizes)."""
+    return splits.hash_batches(_emb(spark, sf).select("vec_id"), "vec_id", SEED, 3, 8)
