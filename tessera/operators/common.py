@@ -27,3 +27,14 @@ def bounded_side(df: DataFrame, with_rows: bool = False):
     n = cached.count()
     side = F.broadcast(cached) if n <= BROADCAST_ROWS else cached
     return (side, None) if with_rows else side
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join on ``keys`` where NULL matches NULL (``<=>``), so rows whose group key is
+    null (e.g. an unlabelled row) keep their group instead of vanishing. The right side's
+    hints (a checked broadcast) are kept."""
+    from functools import reduce
+
+    renamed = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_rk_{k}"]) for k in keys])
+    return left.join(renamed, cond, "inner").drop(*[f"_rk_{k}" for k in keys])

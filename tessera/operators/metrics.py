@@ -55,7 +55,8 @@ def pair_counts(df: DataFrame, actual: str, predicted: str, by: list[str] | None
     metric below derives from; materialised as a bounded side (≤ sets × K² rows)."""
     by = by or []
     a, p = F.col(actual).cast("bigint"), F.col(predicted).cast("bigint")
-    return bounded_side(df.groupBy(*by, a.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    rows = df.where(a.isNotNull() & p.isNotNull())  # an unlabelled row is not classified: no metric counts it
+    return bounded_side(rows.groupBy(*by, a.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None,
@@ -68,7 +69,7 @@ def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
     """
     by = by or []
     counts = counts if counts is not None else pair_counts(df, actual, predicted, by)
-    labs = counts.select(*by, F.explode(F.array("actual", "predicted")).alias("lab")).where(F.col("lab").isNotNull()).distinct()
+    labs = counts.select(*by, F.explode(F.array("actual", "predicted")).alias("lab")).distinct()
     widest = labs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if widest > MAX_LABELS:
         raise ValueError(f"{widest} labels in a set (limit {MAX_LABELS}); use the sparse counts instead")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
-from .common import bounded_side
+from .common import bounded_side, join_null_safe
 
 DEFAULT_HEX_DIGITS = 3  # 4096 buckets per group
 
@@ -45,7 +45,7 @@ def _stage_order(df: DataFrame, order_by: list):
 
 
 def _attach_offsets(df: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(bounded_side(offsets), on=keys, how="inner")
+    return join_null_safe(df, bounded_side(offsets), keys)
 
 
 def bucket_counts(df: DataFrame, hex_col: str, partition_by: list[str] | None = None, hex_digits: int = DEFAULT_HEX_DIGITS,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_side
+from .common import bounded_side, join_null_safe
 from .ranking import DEFAULT_HEX_DIGITS, hash_row_number, hex_digits_for, numeric_row_number, ranked_buckets
 
 
@@ -32,7 +32,7 @@ def split_key(id_col: str, seed: int, *extra) -> Column:
 
 def _attach(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     """Join a small per-class table; broadcast only after its row count is checked."""
-    return df.join(bounded_side(small), on=on, how="inner")
+    return join_null_safe(df, bounded_side(small), on)
 
 
 def _quota_table(counts: DataFrame, label: str, frac: float, n_col: str = "n", out: str = "quota") -> DataFrame:

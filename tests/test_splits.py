@@ -91,3 +91,13 @@ def test_hot_class_split_quota(spark):
         F.sum((F.col("set") == "test").cast("int")).alias("t"), F.count("*").alias("n")).collect()}
     assert sum(t for t, _ in per.values()) == 125
     assert all(abs(t - 0.25 * n) < 1 for t, n in per.values())
+
+
+def test_null_labels_keep_their_rows(spark):
+    e = _emb(spark).withColumn("label", F.when(F.col("vec_id") % 7 == 0, None).otherwise(F.col("label")))
+    s = splits.three_way_split(e, "label", "vec_id", 0.2, 0.2, 5)
+    assert s.count() == 500
+    nulls = s.where(F.col("label").isNull())
+    assert nulls.count() == e.where(F.col("label").isNull()).count() and nulls.where("set = 'test'").count() > 0
+    f = splits.kfold(e, "label", "vec_id", 4, 5)
+    assert f.count() == 500
