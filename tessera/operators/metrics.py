@@ -83,12 +83,21 @@ def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
 
 
 def per_class_scores(conf: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Per-class precision, recall, F1 (0 when undefined) from a zero-completed matrix."""
+    """Per-class precision, recall, F1 (0 when undefined) from a zero-completed matrix.
+
+    Each cell (actual a, predicted p, n) adds n to class a's actual total, to class p's
+    predicted total and, when a = p, to its true positives — one grouped aggregate, no joins.
+    """
     by = by or []
-    tp = conf.where(F.col("actual") == F.col("predicted")).select(*by, F.col("actual").alias("label"), F.col("n").alias("tp"))
-    pred_tot = conf.groupBy(*by, F.col("predicted").alias("label")).agg(F.sum("n").alias("pred_n"))
-    act_tot = conf.groupBy(*by, F.col("actual").alias("label")).agg(F.sum("n").alias("act_n"))
-    s = tp.join(pred_tot, [*by, "label"]).join(act_tot, [*by, "label"])
+    z = F.lit(0).cast("bigint")
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(z)
+    parts = F.explode(F.array(
+        F.struct(F.col("actual").alias("label"), F.col("n").alias("act"), z.alias("pred"), hit.alias("tp")),
+        F.struct(F.col("predicted").alias("label"), z.alias("act"), F.col("n").alias("pred"), z.alias("tp")),
+    ))
+    s = conf.select(*by, parts.alias("s")).select(*by, "s.*").groupBy(*by, "label").agg(
+        F.sum("tp").alias("tp"), F.sum("pred").alias("pred_n"), F.sum("act").alias("act_n")
+    )
     fp = F.col("pred_n") - F.col("tp")
     fn = F.col("act_n") - F.col("tp")
     return s.select(
