@@ -516,3 +516,105 @@ def q_train_mlp_minibatch(spark, sf):
     for name, arr in (("W1", res.params[0]["W"]), ("b1", res.params[0]["b"]), ("W2", res.params[1]["W"]), ("b2", res.params[1]["b"])):
         rows += [(name, int(k), float(v)) for k, v in enumerate(np.ravel(arr))]
     return spark.createDataFrame(rows, "param string, idx bigint, value double").select("param", "idx", r6("value").alias("value"))
+
+
+# ----------------------------------------------------------------------------- exact mini-batch CNN with Adam
+CNN_MB_EPOCHS, CNN_MB_BATCHES, CNN_MB_LR = 2, 3, 0.01
+
+
+def _cnn_minibatch_sql() -> str:
+    """SQL of mini-batch Adam training of the small CNN on the stratified training split:
+    per epoch a fresh md5 order cut into 3 consecutive batches; per batch the summed
+    gradients (conv / ReLU / pool / dense backward) and a bias-corrected Adam step."""
+    from .fixtures import CELLS_SQL, conv_bias_sql, conv_weights_sql
+    from .q_splits import split_sql
+    from .q_tensor import _win_sql
+
+    f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
+    LR, SB1, SB2, SEPS = f(CNN_MB_LR), f(B1), f(B2), f(EPS)
+    ctes = [
+        "sets AS (WITH " + split_sql("SELECT vec_id, label FROM embeddings", "vec_id", "label", 0.2, 0.2, 42,
+                                     "CAST(vec_id AS BIGINT) AS id, label") + ")",
+        "tr AS (SELECT id, label FROM sets WHERE set = 'train')",
+        f"bs AS (SELECT CAST(ceil(count(*) / {CNN_MB_BATCHES}.0) AS BIGINT) AS bs FROM tr)",
+        f"cells AS ({CELLS_SQL})",
+        f"win AS ({_win_sql('cells', 3, 1, 8, 8)})",
+        f"cw0 AS ({conv_weights_sql()})",
+        f"cb0 AS ({conv_bias_sql()})",
+        f"dw0 AS (SELECT i, j, w FROM ({dense_weights_sql(18, 10)}))",
+        f"db0 AS ({dense_bias_sql(10)})",
+        "scw0 AS (SELECT f, c, dy, dx, 0.0 AS m1, 0.0 AS m2 FROM cw0)",
+        "scb0 AS (SELECT f, 0.0 AS m1, 0.0 AS m2 FROM cb0)",
+        "sdw0 AS (SELECT i, j, 0.0 AS m1, 0.0 AS m2 FROM dw0)",
+        "sdb0 AS (SELECT j, 0.0 AS m1, 0.0 AS m2 FROM db0)",
+    ]
+    for e in range(CNN_MB_EPOCHS):
+        ctes.append(
+            f"ord{e} AS (SELECT id, label, CAST((row_number() OVER (ORDER BY md5(concat_ws('-', '42', '{e}', CAST(id AS VARCHAR))), id) - 1) "
+            f"// bs AS BIGINT) AS batch FROM tr, bs)"
+        )
+
+    def adam(name, keys, prev_w, state, grad, col, t):
+        return [
+            f"s{name}{t} AS (SELECT {keys}, {SB1} * m1 + (1 - {SB1}) * g AS m1, {SB2} * m2 + (1 - {SB2}) * g * g AS m2 "
+            f"FROM s{name}{t - 1} JOIN {grad} USING ({keys}))",
+            f"{name}{t} AS (SELECT {keys}, {col} - {LR} * (m1 / (1 - pow({SB1}, {t}))) / (sqrt(m2 / (1 - pow({SB2}, {t}))) + {SEPS}) AS {col} "
+            f"FROM {prev_w} JOIN s{name}{t} USING ({keys}))",
+        ]
+
+    s = 0
+    for e in range(CNN_MB_EPOCHS):
+        for b in range(CNN_MB_BATCHES):
+            p, s = s, s + 1
+            ctes += [
+                f"r{s} AS (SELECT id, label FROM ord{e} WHERE batch = {b})",
+                f"z{s} AS (SELECT id, oy AS y, ox AS x, f, sum(v * w) + b AS z FROM win JOIN r{s} USING (id) JOIN cw{p} USING (c, dy, dx) "
+                f"JOIN cb{p} USING (f) GROUP BY id, oy, ox, f, b)",
+                f"pl{s} AS (SELECT id, py, px, f, sum(greatest(z, 0.0)) / 4.0 AS a FROM "
+                f"(SELECT id, y // 2 AS py, x // 2 AS px, f, z FROM z{s} WHERE y < 6 AND x < 6) GROUP BY id, py, px, f)",
+                f"fl{s} AS (SELECT id, CAST((py * 3 + px) * 2 + f AS BIGINT) AS i, a FROM pl{s})",
+                f"lg{s} AS (SELECT id, j, sum(a * w) + b AS z FROM fl{s} JOIN dw{p} USING (i) JOIN db{p} USING (j) GROUP BY id, j, b)",
+                f"ex{s} AS (SELECT id, j, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM lg{s})",
+                f"dz{s} AS (SELECT id, j, e / sum(e) OVER (PARTITION BY id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g "
+                f"FROM ex{s} JOIN r{s} USING (id))",
+                f"gdw{s} AS (SELECT i, j, sum(a * g) AS g FROM fl{s} JOIN dz{s} USING (id) GROUP BY i, j)",
+                f"gdb{s} AS (SELECT j, sum(g) AS g FROM dz{s} GROUP BY j)",
+                f"dfl{s} AS (SELECT id, i, sum(g * w) AS g FROM dz{s} JOIN dw{p} USING (j) GROUP BY id, i)",
+                f"dzc{s} AS (SELECT z.id, z.y, z.x, z.f, CASE WHEN z.z > 0 THEN d.g / 4.0 ELSE 0.0 END AS g FROM z{s} z "
+                f"JOIN dfl{s} d ON d.id = z.id AND d.i = ((z.y // 2) * 3 + (z.x // 2)) * 2 + z.f WHERE z.y < 6 AND z.x < 6)",
+                f"gcw{s} AS (SELECT f, c, dy, dx, sum(v * g) AS g FROM win JOIN dzc{s} d ON d.id = win.id AND d.y = win.oy AND d.x = win.ox "
+                f"GROUP BY f, c, dy, dx)",
+                f"gcb{s} AS (SELECT f, sum(g) AS g FROM dzc{s} GROUP BY f)",
+            ]
+            ctes += adam("cw", "f, c, dy, dx", f"cw{p}", "scw", f"gcw{s}", "w", s)
+            ctes += adam("cb", "f", f"cb{p}", "scb", f"gcb{s}", "b", s)
+            ctes += adam("dw", "i, j", f"dw{p}", "sdw", f"gdw{s}", "w", s)
+            ctes += adam("db", "j", f"db{p}", "sdb", f"gdb{s}", "b", s)
+    S = s
+    final = (
+        f"SELECT 'conv_W' AS param, CAST(((f * 1 + c) * 3 + dy) * 3 + dx AS BIGINT) AS idx, round(w, 6) + 0.0 AS value FROM cw{S}\n"
+        f"UNION ALL SELECT 'conv_b', CAST(f AS BIGINT), round(b, 6) + 0.0 FROM cb{S}\n"
+        f"UNION ALL SELECT 'dense_W', CAST(i * 10 + j AS BIGINT), round(w, 6) + 0.0 FROM dw{S}\n"
+        f"UNION ALL SELECT 'dense_b', CAST(j AS BIGINT), round(b, 6) + 0.0 FROM db{S}"
+    )
+    return "WITH " + ",\n".join(ctes) + "\n" + final
+
+
+@register("train_cnn_minibatch", _cnn_minibatch_sql())
+def q_train_cnn_minibatch(spark, sf):
+    """The reference CNN's mini-batch training with Adam, as synchronous Spark steps: per
+    epoch an exact seeded permutation of the training split in 3 consecutive batches, one
+    Arrow gradient job (summed gradients) and one Adam step per batch; final weights."""
+    from .q_tensor import _cnn_net
+
+    s = _sets(spark, sf)
+    tr = s.where(F.col("set") == "train")
+    layers, params = _cnn_net()
+    cfg = cnn_config(epochs=CNN_MB_EPOCHS, optimizer="adam", learning_rate=CNN_MB_LR, beta1=B1, beta2=B2, epsilon=EPS,
+                     batches_per_epoch=CNN_MB_BATCHES, mode="sync")
+    res = train_network(tr, layers, cfg, (IMG_H, IMG_W, IMG_C), 10, params=params, evaluate_every=0)
+    new = res.params
+    rows = []
+    for name, arr in (("conv_W", new[0]["W"]), ("conv_b", new[0]["b"]), ("dense_W", new[4]["W"]), ("dense_b", new[4]["b"])):
+        rows += [(name, int(k), float(v)) for k, v in enumerate(np.ravel(arr))]
+    return spark.createDataFrame(rows, "param string, idx bigint, value double").select("param", "idx", r6("value").alias("value"))
