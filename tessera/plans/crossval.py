@@ -22,6 +22,41 @@ def best_cell(scores: DataFrame, by: str = "single") -> DataFrame:
     raise ValueError("by must be 'single' or 'mean'")
 
 
+def fold_table(df: DataFrame, k: int, seed: int | None, in_shape: tuple, id_col: str = "id", label_col: str = "label",
+               data_col: str = "data", fold_col: str = "fold", shuffle: bool = True):
+    """Stratified fold assignment, persisted once and right-sized for Arrow work.
+    Returns (cached table to unpersist later, table to read)."""
+    from pyspark import StorageLevel
+
+    from ..operators.splits import kfold
+    from .training import right_size
+
+    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
+    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    # Fewer, fuller partitions over the cache (a narrow coalesce): each training step and
+    # scoring pass costs one Arrow round trip per partition.
+    return cached, right_size(cached, n, int(np.prod(in_shape)))
+
+
+def _scores_on_folds(folded: DataFrame, k: int, layers, cfg, in_shape, n_classes, init, id_col, label_col, data_col,
+                     fold_col) -> list[tuple]:
+    from .training import evaluate, train_network
+
+    out = []
+    for f in range(k):
+        tr = folded.where(F.col(fold_col) != f)
+        va = folded.where(F.col(fold_col) == f)
+        start = None if init is None else [None if p is None else {name: v.copy() for name, v in p.items()} for p in init]
+        res = train_network(tr, layers, cfg, in_shape, n_classes, params=start, id_col=id_col,
+                            label_col=label_col, data_col=data_col, evaluate_every=0)
+        both = tr.withColumn("_set", F.lit("train")).unionByName(va.withColumn("_set", F.lit("val")))
+        ev = evaluate(both, res.layers, res.params, in_shape, cfg.eps_mode, data_col, label_col, "_set")
+        for s in ("train", "val"):
+            out.append((f, s, float(ev[s][0]), float(ev[s][1])))
+    return out
+
+
 def cv_scores(
     df: DataFrame,
     layers: list[dict],
@@ -43,47 +78,31 @@ def cv_scores(
     fold's train/validation sides are filters of it. ``init`` fixes the starting parameters of
     every fold (default: a fresh seeded initialisation per fold).
     """
-    from pyspark import StorageLevel
-
-    from ..operators.splits import kfold
-    from .training import evaluate, train_network
-
-    from .training import right_size
-
-    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
-    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    # Fewer, fuller partitions over the cache (a narrow coalesce): each training step and
-    # scoring pass costs one Arrow round trip per partition.
-    folded = right_size(cached, n, int(np.prod(in_shape)))
-    out = []
+    cached, folded = fold_table(df, k, seed, in_shape, id_col, label_col, data_col, fold_col, shuffle)
     try:
-        for f in range(k):
-            tr = folded.where(F.col(fold_col) != f)
-            va = folded.where(F.col(fold_col) == f)
-            start = None if init is None else [None if p is None else {k: v.copy() for k, v in p.items()} for p in init]
-            res = train_network(tr, layers, cfg, in_shape, n_classes, params=start, id_col=id_col,
-                                label_col=label_col, data_col=data_col, evaluate_every=0)
-            both = tr.withColumn("_set", F.lit("train")).unionByName(va.withColumn("_set", F.lit("val")))
-            ev = evaluate(both, res.layers, res.params, in_shape, cfg.eps_mode, data_col, label_col, "_set")
-            for s in ("train", "val"):
-                out.append((f, s, float(ev[s][0]), float(ev[s][1])))
+        return _scores_on_folds(folded, k, layers, cfg, in_shape, n_classes, init, id_col, label_col, data_col, fold_col)
     finally:
         cached.unpersist()
-    return out
 
 
 def cv_grid_scores(df: DataFrame, layers, base_cfg, in_shape, n_classes, lrs: list[float], lams: list[float],
-                   k: int = 5, seed: int = 42, **kw) -> list[tuple]:
-    """lr × λ grid of :func:`cv_scores`, grid order lr-major. Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
+                   k: int = 5, seed: int = 42, id_col: str = "id", label_col: str = "label", data_col: str = "data",
+                   fold_col: str = "fold", shuffle: bool = True, init: list | None = None) -> list[tuple]:
+    """lr × λ grid of k-fold CV, grid order lr-major, on one fold table shared by all cells.
+    Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
     from dataclasses import replace
 
+    cached, folded = fold_table(df, k, seed, in_shape, id_col, label_col, data_col, fold_col, shuffle)
     out = []
-    g = 0
-    for lr in lrs:
-        for lam in lams:
-            cfg = replace(base_cfg, learning_rate=lr, lam=lam)
-            for fold, s, loss, acc in cv_scores(df, layers, cfg, in_shape, n_classes, k, seed, **kw):
-                out.append((g, lr, lam, fold, s, loss, acc))
-            g += 1
+    try:
+        g = 0
+        for lr in lrs:
+            for lam in lams:
+                cfg = replace(base_cfg, learning_rate=lr, lam=lam)
+                for fold, s_, loss, acc in _scores_on_folds(folded, k, layers, cfg, in_shape, n_classes, init,
+                                                            id_col, label_col, data_col, fold_col):
+                    out.append((g, lr, lam, fold, s_, loss, acc))
+                g += 1
+    finally:
+        cached.unpersist()
     return out
