@@ -99,24 +99,42 @@ def resize_bilinear(img: np.ndarray, h: int, w: int) -> np.ndarray:
     return top * (1 - wy)[:, None, None] + bot * wy[:, None, None]
 
 
-def convert_pixels(raw: bytes, height: int, width: int, n_channels: int, size: tuple[int, int] | None, mode: str,
-                   channel_order: str = "rgb") -> np.ndarray:
-    """Decoded bytes (Spark image source: row-major, BGR(A) order) → float32 HWC in [0, 1]."""
-    a = np.frombuffer(raw, dtype=np.uint8).reshape(height, width, n_channels).astype(np.float64)
+def convert_batch(a: np.ndarray, size: tuple[int, int] | None, mode: str, channel_order: str = "rgb") -> np.ndarray:
+    """(N, H, W, C) uint8 images of one shape (Spark image source: BGR(A) order) → float32
+    (N, h, w, C') in [0, 1]: channel order / grey level, bilinear resize, /255 — vectorised."""
+    a = a.astype(np.float64)
+    n_channels = a.shape[3]
     if n_channels >= 3:
-        bgr = a[:, :, :3]
+        bgr = a[..., :3]
         if mode == "gray":
-            b, g, r = bgr[:, :, 0], bgr[:, :, 1], bgr[:, :, 2]
-            a = np.rint(GREY_WEIGHTS[0] * r + GREY_WEIGHTS[1] * g + GREY_WEIGHTS[2] * b)[:, :, None]
+            b, g, r = bgr[..., 0], bgr[..., 1], bgr[..., 2]
+            a = np.rint(GREY_WEIGHTS[0] * r + GREY_WEIGHTS[1] * g + GREY_WEIGHTS[2] * b)[..., None]
         else:
-            a = bgr if channel_order == "bgr" else bgr[:, :, ::-1]
+            a = bgr if channel_order == "bgr" else bgr[..., ::-1]
     elif mode == "color":
-        a = np.repeat(a, 3, axis=2)
-    if size is not None:
-        a = np.clip(np.rint(resize_bilinear(a, size[0], size[1])), 0, 255)
+        a = np.repeat(a, 3, axis=3)
+    if size is not None and a.shape[1:3] != tuple(size):
+        a = np.clip(np.rint(resize_bilinear_batch(a, size[0], size[1])), 0, 255)
     return (a / 255.0).astype(np.float32)
 
 
+def resize_bilinear_batch(img: np.ndarray, h: int, w: int) -> np.ndarray:
+    """(N, H, W, C) → (N, h, w, C) with :func:`resize_bilinear`'s rule."""
+    _, ih, iw, _ = img.shape
+    y0, y1, wy = _bilinear_axis(ih, h)
+    x0, x1, wx = _bilinear_axis(iw, w)
+    top = img[:, y0][:, :, x0] * (1 - wx)[None, None, :, None] + img[:, y0][:, :, x1] * wx[None, None, :, None]
+    bot = img[:, y1][:, :, x0] * (1 - wx)[None, None, :, None] + img[:, y1][:, :, x1] * wx[None, None, :, None]
+    return top * (1 - wy)[None, :, None, None] + bot * wy[None, :, None, None]
+
+
+def convert_pixels(raw: bytes, height: int, width: int, n_channels: int, size: tuple[int, int] | None, mode: str,
+                   channel_order: str = "rgb") -> np.ndarray:
+    """One decoded image's bytes → float32 HWC in [0, 1] (see :func:`convert_batch`)."""
+    a = np.frombuffer(raw, dtype=np.uint8).reshape(1, height, width, n_channels)
+    return convert_batch(a, size, mode, channel_order)[0]
+
+
 def decode_images(
     spark: SparkSession,
     paths: str | list[str],
@@ -143,23 +161,38 @@ def decode_images(
 
     def run(batches):
         for rb in batches:
-            cols = {name: rb.column(i) for i, name in enumerate(rb.schema.names)}
-            paths_, hs, ws, cs, datas, arrays = [], [], [], [], [], []
-            for i in range(rb.num_rows):
-                hh, ww, nc = cols["height"][i].as_py(), cols["width"][i].as_py(), cols["nChannels"][i].as_py()
-                img = convert_pixels(cols["data"][i].as_py(), hh, ww, nc, size, mode, channel_order)
+            if rb.num_rows == 0:
+                continue
+            names = rb.schema.names
+            hs = rb.column(names.index("height")).to_numpy(zero_copy_only=False)
+            ws = rb.column(names.index("width")).to_numpy(zero_copy_only=False)
+            cs = rb.column(names.index("nChannels")).to_numpy(zero_copy_only=False)
+            raw = rb.column(names.index("data"))
+            bufs = raw.buffers()  # validity, offsets, bytes
+            odt = np.int64 if pa.types.is_large_binary(raw.type) else np.int32
+            offs = np.frombuffer(bufs[1], dtype=odt)[raw.offset:raw.offset + len(raw) + 1]
+            buf = np.frombuffer(bufs[2], dtype=np.uint8)
+            paths = rb.column(names.index("image_path"))
+            out_paths, out_h, out_w, chunks = [], [], [], []
+            shapes = np.stack([hs, ws, cs], axis=1)
+            for shape in np.unique(shapes, axis=0):  # images of one shape are converted together
+                idx = np.flatnonzero((shapes == shape).all(axis=1))
+                h, w, c = (int(v) for v in shape)
+                stack = np.stack([buf[offs[i]:offs[i + 1]] for i in idx]).reshape(len(idx), h, w, c)
+                img = convert_batch(stack, size, mode, channel_order)
                 if not (img.min() >= 0.0 and img.max() <= 1.0):
                     raise ValueError("pixel values must lie in [0, 1]")
-                paths_.append(cols["image_path"][i].as_py())
-                hs.append(img.shape[0])
-                ws.append(img.shape[1])
-                cs.append(out_c)
-                arrays.append(img.ravel())
-            flat = np.concatenate(arrays) if arrays else np.zeros(0, np.float32)
-            offs = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+                out_paths.append(paths.take(pa.array(idx)))
+                out_h += [img.shape[1]] * len(idx)
+                out_w += [img.shape[2]] * len(idx)
+                chunks.append(img.reshape(len(idx), -1))
+            n_vals = [ch.shape[1] for ch in chunks for _ in range(ch.shape[0])]
+            flat = np.concatenate([ch.ravel() for ch in chunks])
+            offsets = np.concatenate([[0], np.cumsum(n_vals)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(paths_, pa.string()), pa.array(hs, pa.int32()), pa.array(ws, pa.int32()), pa.array(cs, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offs), pa.array(flat, pa.float32()))],
+                [pa.concat_arrays(out_paths), pa.array(out_h, pa.int32()), pa.array(out_w, pa.int32()),
+                 pa.array([out_c] * len(out_h), pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.float32()))],
                 names=["image_path", "h", "w", "c", "data"],
             )
 

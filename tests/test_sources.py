@@ -97,3 +97,13 @@ def test_observe_quality_rides_on_the_main_job(spark):
     observed.write.format("noop").mode("overwrite").save()
     got = obs.get
     assert got["rows"] == 3 and got["x__bad"] == 1 and got["s__bad"] == 1 and got["x__max"] == 3.0
+
+
+def test_mixed_shapes_in_one_batch(spark, image_dir):
+    rows = {os.path.basename(r.image_path): r for r in
+            decode_images(spark, f"{image_dir}/images", size=(2, 2), mode="color").collect()}
+    assert set(rows) == {"r.png", "c.png"}
+    assert all((r.h, r.w, r.c, len(r.data)) == (2, 2, 3, 12) for r in rows.values())
+    ramp = np.array([[0, 10, 20, 30], [40, 50, 60, 70], [80, 90, 100, 110]], dtype=float)[:, :, None]
+    want = np.clip(np.rint(resize_bilinear(ramp, 2, 2)), 0, 255) / 255.0
+    assert np.allclose(np.array(rows["r.png"].data).reshape(2, 2, 3)[..., 0], want[..., 0], atol=1e-7)
