@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -86,10 +87,16 @@ def ship_package(spark: SparkSession) -> None:
             info = zipfile.ZipInfo(str(pathlib.Path("tessera") / f.relative_to(root)), date_time=(2020, 1, 1, 0, 0, 0))
             zf.writestr(info, f.read_bytes())
     data = buf.getvalue()
-    path = shared_path(spark, "pyfiles", f"tessera-{hashlib.sha1(data).hexdigest()[:16]}.zip")
+    name = f"tessera-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+    path = shared_path(spark, "pyfiles", name)
     from .sources.png import write_bytes
 
-    write_bytes(path, data)
+    try:
+        write_bytes(path, data)
+    except (OSError, ImportError):  # no client for the shared filesystem in this Python: ship from the driver
+        path = os.path.join(tempfile.mkdtemp(prefix="tessera-pyfiles-"), name)
+        with open(path, "wb") as f:
+            f.write(data)
     sc.addPyFile(path)
     _SHIPPED.add(key)
 
