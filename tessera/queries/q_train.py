@@ -1,8 +1,11 @@
-"""Queries for data-parallel training, optimizers, cross-validation and the model table.
-
-Optimizer steps are checked against SQL on a softmax-regression network (dense 64→10,
-softmax) trained full-batch on all ``embeddings`` rows from formula weights: the gradient
-job runs in Arrow tasks, the update on the driver, and the oracle repeats both in SQL.
+"""Queries for data-parallel training, optimizers, cross-validation, the model table and
+streaming scoring.
+
+The SQL oracles repeat the training arithmetic exactly from fixed formula weights: optimizer
+steps on a softmax-regression network, full CNN steps, mini-batch MLP and CNN+Adam runs over
+the same seeded batches, k-fold CV and grid search, and learning curves. The gradient work runs
+in Arrow tasks on Spark, the updates on the driver. ``train_mlp`` (local mini-batch SGD with
+weight averaging), ``train_cnn`` (Adam from random weights) have no oracle; pytest covers them.
 """
 
 from __future__ import annotations
