@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
-from ..operators import splits
 from ..session import shared_path, ship_package
 from ..sources.images import decode_images, image_batch, list_image_dir, read_manifest_csv
 from ..sources.png import encode_png, write_bytes
@@ -176,12 +175,12 @@ def q_lenet5_image_run(spark, sf):
     from ..plans.scoring import score
     from ..plans.training import cnn_config, train_network
 
+    from ..plans.images import prepare_image_sets
+
     base = image_folder(spark, sf)
-    listing = list_image_dir(spark, base + "/images")
-    imgs = decode_images(spark, base + "/images", size=(32, 32), mode="gray")
-    b = image_batch(listing, imgs).withColumn("id", _vec_id())
-    k = int(b.agg(F.max("label")).first()[0]) + 1
-    s = splits.three_way_split(b.select("id", "label", "data"), "label", "id", 0.2, 0.2, SEED)
+    sets = prepare_image_sets(spark, base + "/images", (32, 32), "gray", 0.2, 0.2, SEED, id_expr=_vec_id())
+    k = int(sets.agg(F.max("label")).first()[0]) + 1
+    s = sets.select("id", "label", "data", "set")
     s = s.coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     layers = lenet5(k)
     cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="local")
