@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, secret_scan, simhash
-from .common import documents, prepare
+from . import bpe, exact_dedup, line_dedup, secret_scan, simhash, token_store
+from .common import documents, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,6 +111,29 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_token_binary")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back: place, count and digest of each one's ids."""
+    folder = scratch_path(spark, "token-files")
+    token_store.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    read = token_store.read_tokens(spark, folder)
+    return read.select(F.col("id").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all texts and the decoded bytes, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    decoded = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), spark, path).alias("back"))
+    return decoded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        sha256_of(F.col("ids")).alias("ids_sha256"),
+        sha256_of(F.col("back")).alias("decoded_sha256"),
+    )
+
+
 @register(
     "op7_exact_dedup",
     """
