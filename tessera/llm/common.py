@@ -37,8 +37,12 @@ def text_hash(col: str) -> Column:
     return F.xxhash64(text_or_empty(col))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 #: Columns that name a row in joins: plain equality works on them, a null id included.

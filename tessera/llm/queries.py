@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, secret_scan, simhash, token_store
-from .common import documents, scratch_path
+from . import bpe, exact_dedup, line_dedup, quality_model, quality_rules, secret_scan, simhash, token_store
+from .common import documents, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,19 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest id stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+ACCEPT = 0.3  # scores below this are predicted 0
+
+
+@register("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every document."""
+    scored = quality_model.score_quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
+
+
+@register("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of base rules and robust outliers."""
+    return quality_rules.quality_rules(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
