@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, quality_model, quality_rules, secret_scan, simhash, token_store
+from . import bpe, exact_dedup, html_text, line_dedup, mixing, quality_model, quality_rules, secret_scan, simhash, token_store
 from .common import documents, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of base rules and robust outliers."""
     return quality_rules.quality_rules(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+#: The mixture that the corpus is brought to, as shares of its tokens.
+TARGETS = {
+    "source": {"src0": 0.25, "src1": 0.05, "src2": 0.05, "src3": 0.05, "*": 0.60},
+    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.12, "*": 0.03},
+    "topic": {"general": 0.85, "legal": 0.04, "contact": 0.04, "tables": 0.04, "settings": 0.03},
+}
+KEEP_SHARE = 0.8
+
+
+@register("op2_mix_sources")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, sampling probability and decision of every document under the target mixture."""
+    return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), TARGETS, keep_share=KEEP_SHARE).select("row.doc_id", *mixing.MARGINS, "n_tokens", "probability", "kept")
+
+
+@register("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
