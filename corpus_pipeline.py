@@ -23,8 +23,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that many documents share; ``n_chars`` follows the text."""
     kept = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs, min_chars=1, min_docs=10))
-    out = kept.select(*docs.columns, "_n_dropped")
-    return out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    # a text that loses nothing, a null one included, stays as it is
+    changed = F.col("row").withField("text", F.col("kept_text")).withField("n_chars", F.length("kept_text").cast("long"))
+    return kept.select(F.when(F.col("n_dropped") > 0, changed).otherwise(F.col("row")).alias("row")).select("row.*")
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -184,22 +185,21 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the kept lines as text, plus ``_n_lines`` and ``_n_dropped`` (longs)."""
+    """``(row, kept_text, n_lines, n_dropped)`` for every input row: ``row`` is the input row as a
+    struct, ``n_lines`` counts before dropping (both counts are longs)."""
 
     @F.pandas_udf("string")
-    def kept(texts, maps):
+    def kept(texts: pd.Series, maps: pd.Series) -> pd.Series:
         out = []
         for t, m in zip(texts, maps):
-            if m is None:
-                out.append(t)
-                continue
-            lines = t.split("\n")
-            bits = np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8), count=len(lines))
-            out.append("\n".join([lines[i] for i in np.flatnonzero(bits)]))
-        return type(texts)(out, dtype=object)
-
-    whole = text_or_empty(text_col)
-    rows = with_row_key(docs, id_col, text_hash(text_col)).join(bitmaps.select(*ROW, "n_dropped", "bitmap"), ROW, "left")
-    # counted in the JVM; only documents that lose lines go through Python
-    counted = rows.withColumn("_n_lines", (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long")).withColumn("_n_dropped", F.coalesce("n_dropped", F.lit(0)).cast("long"))
-    return counted.withColumn(text_col, kept(whole, F.col("bitmap"))).drop(*ROW, "n_dropped", "bitmap")
+            if m is not None:
+                lines = t.split("\n")
+                bits = np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8), count=len(lines))
+                t = "\n".join([lines[i] for i in np.flatnonzero(bits)])
+            out.append(t)
+        return pd.Series(out, dtype=object)
+
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_or_empty(text_col).alias("_text"))
+    rows = with_row_key(whole, "id", text_hash("_text")).join(bitmaps.select(*ROW, F.col("n_dropped").alias("_gone"), "bitmap"), ROW, "left")
+    n_lines = F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1
+    return rows.select("row", kept("_text", "bitmap").alias("kept_text"), n_lines.cast("long").alias("n_lines"), F.coalesce("_gone", F.lit(0)).cast("long").alias("n_dropped"))

@@ -59,7 +59,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in 10 documents or more go everywhere: line counts and the kept text's digest."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs, min_chars=1, min_docs=10))
-    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), sha256_of(F.col("text")).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", sha256_of(F.col("kept_text")).alias("kept_sha256"))
 
 
 def _secret_sql() -> str:

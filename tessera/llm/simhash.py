@@ -157,6 +157,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = simhash_groups(docs, id_col, text_col, words, max_bits)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "text_hash")).alias("k"))
     keep = with_row_key(first.select("k.id", "k.text_hash"), "id", F.col("text_hash")).select(*ROW)
-    rows = with_row_key(docs, id_col, text_hash(text_col))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), text_hash(text_col).alias("text_hash"))
+    rows = with_row_key(whole, "id", F.col("text_hash")).select("row", *ROW)
     # the join leaves rows dealt and sorted by ROW, so dropping repeated rows needs no further shuffle
-    return rows.join(keep, ROW, "left_semi").dropDuplicates(ROW).select(*docs.columns)
+    return rows.join(keep, ROW, "left_semi").dropDuplicates(ROW).select("row.*")
