@@ -11,7 +11,6 @@ table of lengths, finds all starts by one running sum and gathers the bytes with
 from __future__ import annotations
 
 import re
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import prepare, scratch_path, text_hash, text_or_empty
 
 PAGE = 1 << 18  # tokens after which a page ends; a document never spans pages
-REMEMBERED = 500_000  # runs that a worker keeps at most, and half as many words
+REMEMBERED = 1_000_000  # pre-tokens that a worker keeps before it starts anew, and half as many words
 #: Lengths (1 to 4) that each control byte stands for.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
@@ -53,16 +52,19 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-class WordEncoder:
-    """Ids of whole texts from the tokenizers library, remembered by word.
+class TextEncoder:
+    """Ids of whole texts from the tokenizers library, remembered by pre-token.
 
-    White space always separates pre-tokens in the vocabulary's pipeline, so a text's ids are those
-    of its words. Words split further into letter runs, digits and other runs where each run is
-    surely one pre-token; missing runs are encoded together and told apart by the ids that end a
-    pre-token. Anything else (apostrophes, special tokens, marks) is encoded as a word of its own.
+    The vocabulary's pipeline lower-cases, splits by its pattern and merges each pre-token alone, so
+    a pre-token's ids do not depend on its text. In texts of plain Latin letters, digits and marks
+    (``PLAIN``) the pattern is applied here, and unknown pre-tokens are encoded together and told
+    apart by the ids that end a pre-token. Other texts are encoded word by word (white space always
+    ends a pre-token). The memory is bounded and only saves work.
     """
 
-    SIMPLE = re.compile(r"[^\W\d_]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+    LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0101-\u012f\u0133-\u0148\u014b-\u017e"
+    ODD = re.compile("[^\t\n\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u012f\u0132-\u0148\u014a-\u017e]|<[|]")
+    PRE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ \t\n\r0-9{LETTERS}]+")
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -72,58 +74,50 @@ class WordEncoder:
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
         self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self.words: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _parts(self, word: str) -> list[str] | None:
-        """Runs that are pre-tokens each, or None if that is not certain."""
-        if "'" in word or "<|" in word:
-            return None
-        parts = self.SIMPLE.findall(word)
-        if sum(map(len, parts)) != len(word):
-            return None
-        if not word.isascii():
-            for p in parts:
-                if not p.isascii() and not (p.isalpha() and p.lower().isalpha() and unicodedata.is_normalized("NFC", p)):
-                    return None
-            return parts
-        return [p.lower() for p in parts]
-
-    def learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        split = {w: self._parts(w.decode("utf-8")) for w in missing}
-        new = list({p for parts in split.values() if parts for p in parts if p not in self.runs})
-        got: dict[str, bytes] = {}
+    def _learn(self, new: list[str]) -> None:
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) == len(some):
-                got.update(zip(some, [a.tobytes() for a in np.split(ids, cuts[:-1])]))
+                raw, w, at = ids.tobytes(), ids.itemsize, 0
+                for p, c in zip(some, cuts):
+                    self.runs[p] = raw[at : c * w]
+                    at = c * w
             else:
-                got.update((p, self._one(p)) for p in some)
-        if len(self.runs) + len(got) > REMEMBERED:
-            got.update((p, self.runs[p]) for parts in split.values() if parts for p in parts if p not in got)
-            self.runs = {}
-        self.runs.update(got)
-        return {w: b"".join([self.runs[p] for p in parts]) if parts else self._one(w.decode("utf-8")) for w, parts in split.items()}
+                for p in some:
+                    self.runs[p] = self._one(p)
+
+    def _by_word(self, text: str) -> bytes:
+        out = []
+        for raw in text.encode("utf-8").split():  # bytes: ASCII white space only
+            w = raw.decode("utf-8")
+            got = self.words.get(w)
+            if got is None:
+                if len(self.words) >= REMEMBERED // 2:
+                    self.words.clear()
+                got = self.words[w] = self._one(w)
+            out.append(got)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8").split() for t in texts]  # bytes: ASCII white space only
-        words = self.words
-        missing = set().union(*split) - words.keys() if split else set()
-        if missing:
-            got = self.learn(missing)
-            if len(words) + len(got) > REMEMBERED // 2:
-                got.update((w, words[w]) for ws in split for w in ws if w not in got)
-                words = self.words = {}
-            words.update(got)
-        return [b"".join([words[w] for w in ws]) for ws in split]
+        plain = [self.PRE.findall(t.lower()) if not self.ODD.search(t) else None for t in texts]
+        if len(self.runs) > REMEMBERED:
+            self.runs.clear()
+        runs = self.runs
+        new = set().union(*[p for p in plain if p is not None]).difference(runs)
+        if new:
+            self._learn(list(new))
+        return [self._by_word(t) if p is None else b"".join([runs[x] for x in p]) for t, p in zip(texts, plain)]
 
 
-_ENCODERS: dict[int, WordEncoder] = {}
+_ENCODERS: dict[int, TextEncoder] = {}
 
 
 def tokenize(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -133,7 +127,7 @@ def tokenize(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str,
 
     def run(batches):
         key = hash(vocab.value)
-        enc = _ENCODERS.get(key) or _ENCODERS.setdefault(key, WordEncoder(vocab.value))
+        enc = _ENCODERS.get(key) or _ENCODERS.setdefault(key, TextEncoder(vocab.value))
         end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
