@@ -15,7 +15,6 @@ from ..functions.numeric import safe_div
 from .common import bounded_side
 
 CLIP_EPS = 1e-15
-MAX_LABELS = 2_000  # labels per set for the zero-completed matrix (K² cells)
 
 
 def argmax(probs: str | Column) -> Column:
@@ -65,14 +64,11 @@ def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
 
     The data is scanned once for the pair counts; the label union of each group and the
     zero-completed K×K grid (labels exploded twice — a generator, not a cross join) are built
-    from that small table after K is checked against ``MAX_LABELS``.
+    from that table. Scores need no zero cells and use the pair counts instead.
     """
     by = by or []
     counts = counts if counts is not None else pair_counts(df, actual, predicted, by)
     labs = counts.select(*by, F.explode(F.array("actual", "predicted")).alias("lab")).distinct()
-    widest = labs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if widest > MAX_LABELS:
-        raise ValueError(f"{widest} labels in a set (limit {MAX_LABELS}); use the sparse counts instead")
     labels = labs.groupBy(*by).agg(F.array_sort(F.collect_set("lab")).alias("labs"))
     grid = labels.select(*by, F.explode("labs").alias("actual"), F.col("labs")).select(
         *by, "actual", F.explode("labs").alias("predicted")
@@ -83,7 +79,7 @@ def confusion(df: DataFrame, actual: str, predicted: str, by: list[str] | None =
 
 
 def per_class_scores(conf: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Per-class precision, recall, F1 (0 when undefined) from a zero-completed matrix.
+    """Per-class precision, recall, F1 (0 when undefined) from pair counts; zero cells may be missing.
 
     Each cell (actual a, predicted p, n) adds n to class a's actual total, to class p's
     predicted total and, when a = p, to its true positives — one grouped aggregate, no joins.
@@ -116,8 +112,7 @@ def macro_scores(df: DataFrame, actual: str, predicted: str, by: list[str] | Non
         df = df.withColumn("_all", F.lit(0))
         keys = ["_all"]
     counts = pair_counts(df, actual, predicted, keys)
-    conf = confusion(df, actual, predicted, keys, counts=counts)
-    pcs = per_class_scores(conf, keys)
+    pcs = per_class_scores(counts, keys)
     macro = pcs.groupBy(*keys).agg(
         F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1")
     )

@@ -14,8 +14,7 @@ from pyspark.sql import types as T
 from .stats import frequency_extremes, medians, moments, null_counts, quantiles
 
 MAX_INLINE_LEVELS = 64  # levels looked up through a literal array inside the projection
-MAX_LITERAL_LEVELS = 100_000  # collected level list → broadcast (value, code) table; above: rank join
-MAX_ONEHOT_LEVELS = 1_000  # one output column per level, so the level count is checked
+MAX_LITERAL_LEVELS = 100_000  # collected level list → broadcast (value, code) table; above: code table join
 
 
 # ----------------------------------------------------------------------------- kinds
@@ -57,11 +56,11 @@ def drop_null_rows(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None,
                      approx: bool = False) -> dict[str, float | None]:
-    """Fill value per column that has nulls (columns without nulls keep their type)."""
+    """Fill value of every column, so nulls that first come at transform are filled too. With
+    ``nulls`` (counts measured earlier) only columns that had nulls are fitted."""
     if strategy not in ("mean", "median"):
         raise ValueError("strategy must be 'mean' or 'median'")
-    nulls = nulls if nulls is not None else null_counts(df, cols)
-    missing = [c for c in cols if nulls.get(c, 0) > 0]
+    missing = [c for c in cols if nulls is None or nulls.get(c, 0) > 0]
     if not missing:
         return {}
     if strategy == "mean":
@@ -69,11 +68,17 @@ def fit_numeric_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[
     return medians(df, missing, approx=approx)
 
 
-def apply_fill(df: DataFrame, fills: dict[str, object], as_double: bool = True) -> DataFrame:
+def apply_fill(df: DataFrame, fills: dict[str, object], as_double: bool = True, keep_type: list[str] | None = None) -> DataFrame:
+    """Nulls (and NaNs) → the fill value; columns become double, those in ``keep_type`` keep their
+    type (their fill value is rounded to it)."""
     exprs = []
     for f in df.schema.fields:
         c = f.name
-        if c in fills and fills[c] is not None:
+        if c in (keep_type or []) and fills.get(c) is not None:
+            x = F.when(~F.isnan(c), F.col(c)) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(c)
+            value = round(fills[c]) if isinstance(f.dataType, T.IntegralType) else fills[c]
+            exprs.append(F.coalesce(x, F.lit(value).cast(f.dataType)).alias(c))
+        elif c in fills and fills[c] is not None:
             x = F.col(c).cast("double") if as_double else F.col(c)
             if as_double and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
                 x = F.when(F.isnan(x), None).otherwise(x)
@@ -87,13 +92,12 @@ def impute_numeric(df: DataFrame, cols: list[str], strategy: str = "mean") -> Da
     """Numeric nulls: 'drop' the row, or fill with the column 'mean' / 'median' (result double)."""
     if strategy == "drop":
         return drop_null_rows(df, cols)
-    return apply_fill(df, fit_numeric_fill(df, cols, strategy), as_double=True)
+    return apply_fill(df, fit_numeric_fill(df, cols, strategy, null_counts(df, cols)), as_double=True)
 
 
 def fit_categorical_fill(df: DataFrame, cols: list[str], strategy: str, nulls: dict[str, int] | None = None) -> dict[str, object]:
-    """Fill value per column with nulls (``nulls`` may carry counts measured earlier)."""
-    nulls = nulls if nulls is not None else null_counts(df, cols)
-    missing = [c for c in cols if nulls.get(c, 0) > 0]
+    """Fill value of every column; with ``nulls`` (counts measured earlier) of those with nulls."""
+    missing = [c for c in cols if nulls is None or nulls.get(c, 0) > 0]
     return frequency_extremes(df, missing, "most" if strategy == "most" else "less")
 
 
@@ -114,7 +118,7 @@ def impute_categorical(df: DataFrame, cols: list[str], strategy: str = "most") -
         return drop_null_rows(df, cols)
     if strategy not in ("most", "less"):
         raise ValueError("strategy must be 'drop', 'most' or 'less'")
-    return apply_categorical_fill(df, fit_categorical_fill(df, cols, strategy))
+    return apply_categorical_fill(df, fit_categorical_fill(df, cols, strategy, null_counts(df, cols)))
 
 
 # ----------------------------------------------------------------------------- zeros, outliers
@@ -228,34 +232,40 @@ def fit_levels(df: DataFrame, col: str, limit: int | None = None) -> list | None
 
 
 def level_index(col: str, levels: list) -> Column:
-    """0-based position of the value in the sorted level list (stays in codegen)."""
-    return (F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(col)) - 1).cast("bigint")
+    """0-based position of the value in the sorted level list (stays in codegen); NULL if it is not
+    in the list, as with any number of levels."""
+    at = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col(col)) if levels else F.lit(None)
+    return (F.nullif(at, F.lit(0)) - 1).cast("bigint")
+
+
+def level_codes(df: DataFrame, col: str) -> DataFrame:
+    """``(value, code)`` of all distinct values, ranked in Spark: for level lists of any length."""
+    from .ranking import exact_row_number
+
+    ranks = exact_row_number(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out="_rank")
+    return ranks.select(F.col(col).alias("value"), (F.col("_rank") - 1).cast("bigint").alias("code"))
 
 
-def label_encode(df: DataFrame, col: str, out: str | None = None, levels: list | None = None) -> DataFrame:
-    """Value → rank in sorted distinct order (0-based, bigint).
+def label_encode(df: DataFrame, col: str, out: str | None = None, levels: list | DataFrame | None = None) -> DataFrame:
+    """Value → rank in sorted distinct order (0-based, bigint); NULL for a null or unseen value.
 
-    Up to ``MAX_INLINE_LEVELS`` levels are encoded by a literal array lookup inside the
-    projection; up to ``MAX_LITERAL_LEVELS`` by a broadcast hash join with a (value, code)
-    table built from the collected, counted level list; beyond that the distinct values are
-    ranked distributed and joined back with a shuffle join.
+    ``levels`` is a fitted level list or a ``level_codes`` table (default: fitted here). Up to
+    ``MAX_INLINE_LEVELS`` levels are encoded by a literal array lookup inside the projection, longer
+    lists by a broadcast hash join, code tables by a shuffle join; the codes are the same.
     """
     out = out or col
     levels = levels if levels is not None else fit_levels(df, col)
-    if levels is not None and len(levels) <= MAX_INLINE_LEVELS:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), level_index(col, levels)))
-    if levels is not None:
-        spark = df.sparkSession
+    if isinstance(levels, list) and len(levels) <= MAX_INLINE_LEVELS:
+        return df.withColumn(out, level_index(col, levels))
+    if isinstance(levels, list):
         dtype = df.schema[col].dataType
-        codes = spark.createDataFrame([(v, i) for i, v in enumerate(levels)], T.StructType(
+        codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(levels)], T.StructType(
             [T.StructField("_lv", dtype), T.StructField("_code", T.LongType())]))
-        joined = df.join(F.broadcast(codes), F.col(col) == F.col("_lv"), "left")
-        return joined.withColumn(out, F.col("_code")).drop("_lv", "_code")
-    from .ranking import exact_row_number
-
-    ranks = exact_row_number(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out="_lvl")
-    joined = df.join(ranks, on=col, how="left")
-    return joined.withColumn(out, (F.col("_lvl") - 1).cast("bigint")).drop("_lvl")
+        codes = F.broadcast(codes)  # at most MAX_LITERAL_LEVELS rows
+    else:
+        codes = (levels if levels is not None else level_codes(df, col)).select(F.col("value").alias("_lv"), F.col("code").alias("_code"))
+    joined = df.join(codes, F.col(col) == F.col("_lv"), "left")
+    return joined.withColumn(out, F.col("_code")).drop("_lv", "_code")
 
 
 def ordinal_encode(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -270,14 +280,12 @@ def onehot_columns(col: str, levels: list) -> list[Column]:
 
 
 def onehot_encode(df: DataFrame, cols: list[str], levels: dict[str, list] | None = None) -> DataFrame:
-    """Each listed column → one 0/1 double column per sorted level, named ``col_level``."""
+    """Each listed column → one 0/1 double column per sorted level, named ``col_level``. The width
+    is the number of levels; for columns too wide for that use :func:`onehot_sparse`."""
     levels = dict(levels or {})
     for c in cols:
         if c not in levels:
-            lv = fit_levels(df, c, MAX_ONEHOT_LEVELS)
-            if lv is None:
-                raise ValueError(f"{c}: more than {MAX_ONEHOT_LEVELS} levels; one-hot would be too wide")
-            levels[c] = lv
+            levels[c] = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
     exprs = []
     for c in df.columns:
         if c in cols:
@@ -287,6 +295,15 @@ def onehot_encode(df: DataFrame, cols: list[str], levels: dict[str, list] | None
     return df.select(*exprs)
 
 
+def onehot_sparse(df: DataFrame, cols: list[str], levels: dict[str, list | DataFrame] | None = None) -> DataFrame:
+    """Each listed column → ``struct(index, value)``: the one position that is not zero (NULL index
+    and 0.0 for a null or unseen value). Any number of levels; rows keep their width."""
+    for c in cols:
+        df = label_encode(df, c, out=c, levels=(levels or {}).get(c))
+        df = df.withColumn(c, F.struct(F.col(c).alias("index"), F.col(c).isNotNull().cast("double").alias("value")))
+    return df
+
+
 def encode_categoricals(df: DataFrame, cols: list[str], ordinal: list[str] | None = None) -> DataFrame:
     """Ordinal encoding for listed columns, one-hot for the other categorical columns."""
     ordinal = [c for c in (ordinal or []) if c in cols]

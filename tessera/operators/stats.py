@@ -1,22 +1,22 @@
 """Column statistics computed as distributed aggregates.
 
 Every statistic is one aggregate job with map-side partial aggregation; only scalars (or a
-bounded list of value counts) reach the driver. Exact quantiles use iterative bracketing
-(approximate quantile → count → narrower bracket) so no task ever holds all distinct values
-of a column, which Spark's built-in exact ``percentile`` would do on a global aggregate.
+bounded list of counts) reach the driver. Exact quantiles are selected by counting rows in
+ever narrower ranges, so no task ever holds all distinct values of a column, which Spark's
+built-in exact ``percentile`` would do on a global aggregate.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import sys
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_COLLECT = 200_000  # distinct (value, count) pairs we accept on the driver per pass
+SELECT_BINS = 2_048  # parts per open range and round of exact quantile selection
 APPROX_ACCURACY = 20_000
-MAX_ROUNDS = 8
+_LARGEST = sys.float_info.max
 
 
 def _finite(c: str):
@@ -69,124 +69,25 @@ def null_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
     return {c: int(row[f"z{i}"]) for i, c in enumerate(cols)}
 
 
-@dataclass
-class _Target:
-    col: str
-    rank: int  # 0-based rank among non-null values
-    lo: float | None = None  # bracket [lo, hi]; None = unbounded
-    hi: float | None = None
-    below: int = 0  # rows with value < lo
-    inside: int = 0  # rows with lo <= value <= hi
-
-
-def _in_bracket(x, lo, hi):
-    cond = x.isNotNull()
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return cond
-
-
-def _narrow(df, val, targets, max_collect, accuracy):
-    """Shrink brackets that still hold too many rows: approximate quantile inside the bracket,
-    then count below / inside the candidate bracket; repeat (two jobs per round)."""
-    for _ in range(MAX_ROUNDS):
-        pending = [t for t in targets if t.inside > max_collect and not (t.lo is not None and t.lo == t.hi)]
-        if not pending:
-            return
-        d = 3.0 / accuracy
-        aggs = []
-        for j, t in enumerate(pending):
-            x = val(t.col)
-            q = (t.rank - t.below) / max(t.inside - 1, 1)
-            aggs.append(F.percentile_approx(F.when(_in_bracket(x, t.lo, t.hi), x), [max(0.0, q - d), min(1.0, q + d)], accuracy).alias(f"b{j}"))
-        brow = df.agg(*aggs).first()
-        cand = [(t, *brow[f"b{j}"]) for j, t in enumerate(pending)]
-        caggs = []
-        for j, (t, lo, hi) in enumerate(cand):
-            x = val(t.col)
-            caggs += [F.count_if(x < F.lit(lo)).alias(f"u{j}"), F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"i{j}")]
-        crow = df.agg(*caggs).first()
-        progressed = False
-        for j, (t, lo, hi) in enumerate(cand):
-            below, inside = int(crow[f"u{j}"]), int(crow[f"i{j}"])
-            if below <= t.rank < below + inside and inside < t.inside:
-                t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
-                progressed = True
-        if not progressed:
-            return
-
-
-def _resolve(df, val, targets, below_known: bool = False) -> dict[tuple[str, int], float]:
-    """Values at the target ranks from the value counts inside each bracket.
-
-    Rows below each bracket are counted with conditional counts (skipped when the caller
-    already knows them); only rows inside a bracket are emitted, then counted per value with
-    partial aggregation, so repeated values collapse before the shuffle. A target whose rank
-    fell outside its bracket is left out (the caller widens it).
-    """
-    groups: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        groups.setdefault((t.col, t.lo, t.hi), []).append(t)
-    keys = list(groups)
-    below = {}
-    if not below_known:
-        aggs = [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo, hi) in enumerate(keys) if lo is not None]
-        if aggs:
-            row = df.agg(*aggs).first()
-            below = {k: int(row[f"u{k}"]) for k, (c, lo, hi) in enumerate(keys) if lo is not None}
-    tagged = F.array(
-        *[F.when(_in_bracket(val(c), lo, hi), F.struct(F.lit(k).alias("g"), val(c).alias("v"))) for k, (c, lo, hi) in enumerate(keys)]
-    )
-    counts = (
-        df.select(F.explode(F.filter(tagged, lambda s: s.isNotNull())).alias("s"))
-        .select("s.g", "s.v")
-        .groupBy("g", "v")
-        .count()
-        .collect()
-    )
-    by_group: dict[int, list[tuple[float, int]]] = {}
-    for r in counts:
-        by_group.setdefault(r["g"], []).append((r["v"], r["count"]))
-    out = {}
-    for k, (c, lo, hi) in enumerate(keys):
-        vc = sorted(by_group.get(k, []))
-        for t in groups[(c, lo, hi)]:
-            n_below = t.below if below_known else below.get(k, 0)
-            pos, acc = t.rank - n_below, 0
-            if pos < 0:
-                continue
-            for v, cnt in vc:
-                acc += cnt
-                if acc > pos:
-                    out[(t.col, t.rank)] = v
-                    break
-    return out
-
-
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],
     probs: list[float],
     *,
     where: dict[str, object] | None = None,
-    max_collect: int = MAX_COLLECT,
-    accuracy: int = APPROX_ACCURACY,
     means: dict | None = None,
+    bins: int = SELECT_BINS,
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
-    Job 1 measures every column at once: count, approximate distinct count and approximate
-    quantiles just below and above each target. Job 2: columns with few distinct values (or
-    few rows) take Spark's exact ``percentile`` — its value→count buffer is bounded by the
-    distinct count just measured — and for the others the rows below each bracket are
-    counted. Job 3 counts values inside the brackets (about 8·n/accuracy rows each). Columns
-    so large that a bracket would exceed ``max_collect`` rows are narrowed iteratively first.
-    The driver only ever receives bounded value counts. ``where`` maps a column to a predicate
-    restricting which values count (e.g. non-zero only). Nulls are ignored.
-    Returns ``{col: [q(p) for p in probs]}``; when a dict is passed as ``means`` it receives
-    each column's mean from job 1 (no extra pass).
+    Selection by refinement, all columns and ranks together: one job measures count, mean and
+    range; then each round counts the rows of every open range in ``bins`` equal parts (count,
+    smallest and largest value per part, partial aggregation) and keeps the part that holds the
+    rank, until that part is a single value. Per round the driver receives at most ``bins`` rows
+    for each open range, whatever the data; the number of rounds is not limited, and each one
+    shrinks every open range. ``where`` maps a column to a predicate restricting which values
+    count. Nulls and NaNs are ignored. Returns ``{col: [q(p) for p in probs]}``; a dict passed as
+    ``means`` receives each column's mean.
     """
     if not cols:
         return {}
@@ -194,81 +95,79 @@ def exact_quantiles(
 
     def val(c):
         x = _finite(c)
-        if c in where:
-            x = F.when(where[c], x)
-        return x
+        return F.when(where[c], x) if c in where else x
 
-    d = 4.0 / accuracy
-    edges = sorted({min(1.0, max(0.0, p + s * d)) for p in probs for s in (-1, 1)})
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [
-            F.count(val(c)).alias(f"n{i}"),
-            F.approx_count_distinct(val(c)).alias(f"nd{i}"),
-            F.percentile_approx(val(c), edges, accuracy).alias(f"e{i}"),
-            F.avg(val(c)).alias(f"mu{i}"),
-        ]
+        aggs += [F.count(val(c)).alias(f"n{i}"), F.min(val(c)).alias(f"lo{i}"), F.max(val(c)).alias(f"hi{i}"), F.avg(val(c)).alias(f"mu{i}")]
     row = df.agg(*aggs).first()
+    n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
     if means is not None:
         means.update({c: row[f"mu{i}"] for i, c in enumerate(cols)})
-    n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
-    direct, bracketed = [], []
+    found: dict[tuple[str, int], float] = {}
+    open_: dict[tuple[str, float, float, int], set[int]] = {}  # (column, low, high, rows below) -> ranks
     for i, c in enumerate(cols):
-        n = n_of[c]
-        if n == 0:
-            continue
-        if row[f"nd{i}"] <= max_collect // 2 or n <= max_collect:
-            direct.append(c)
-            continue
-        ev = dict(zip(edges, row[f"e{i}"] or []))
-        for p in probs:
-            h = (n - 1) * p
-            lo, hi = ev[min(1.0, max(0.0, p - d))], ev[min(1.0, max(0.0, p + d))]
-            for r in sorted({int(math.floor(h)), int(math.ceil(h))}):
-                bracketed.append(_Target(c, r, lo, hi, 0, int(2 * d * n) + 1))
-
-    # Job 2: exact percentiles of low-cardinality columns + rows below each bracket.
-    aggs2 = [F.percentile(val(c), list(probs)).alias(f"p{j}") for j, c in enumerate(direct)]
-    small = [t for t in bracketed if 2 * d * n_of[t.col] <= max_collect]
-    bkeys = sorted({(t.col, t.lo) for t in small}, key=str)
-    aggs2 += [F.count_if(val(c) < F.lit(lo)).alias(f"u{k}") for k, (c, lo) in enumerate(bkeys)]
-    if aggs2:
-        row2 = df.agg(*aggs2).first()
-        for j, c in enumerate(direct):
-            out[c] = [float(v) for v in row2[f"p{j}"]]
-        below = {key: int(row2[f"u{k}"]) for k, key in enumerate(bkeys)}
-        for t in small:
-            t.below = below[(t.col, t.lo)]
-
-    resolved: dict[tuple[str, int], float] = {}
-    if small:
-        resolved.update(_resolve(df, val, small, below_known=True))
-    retry = [t for t in bracketed if (t.col, t.rank) not in resolved]
-    for _ in range(3):
-        if not retry:
-            break
-        for t in retry:  # huge column, or a rank outside its bracket: narrow from the full range
-            t.lo = t.hi = None
-            t.below, t.inside = 0, n_of[t.col]
-        _narrow(df, val, retry, max_collect, accuracy)
-        resolved.update(_resolve(df, val, retry))
-        retry = [t for t in retry if (t.col, t.rank) not in resolved]
-    if retry:
-        raise RuntimeError("exact quantile selection did not converge")
-
-    for c in {t.col for t in bracketed}:
-        n = n_of[c]
-        vals = []
+        ranks = {r for p in probs for r in (math.floor((n_of[c] - 1) * p), math.ceil((n_of[c] - 1) * p))} if n_of[c] else set()
+        if ranks:
+            _keep(found, open_, c, row[f"lo{i}"], row[f"hi{i}"], 0, ranks)
+    while open_:
+        keys = list(open_)
+        parts = []
+        for k, (c, lo, hi, _) in enumerate(keys):
+            x = val(c)
+            # infinities count as the largest numbers; halves keep the width of such a range finite
+            low, high, x2 = _cap(lo), _cap(hi), _capped(x)
+            if math.isinf(high - low):
+                low, high, x2 = low / 2, high / 2, x2 / 2
+            at = (x2 - F.lit(low)) / F.lit(high - low)
+            part = F.least(F.greatest(F.floor(at * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+            parts.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(k).alias("k"), part.alias("part"), x.alias("v"))))
+        counted = (
+            df.select(F.explode(F.array_compact(F.array(*parts))).alias("s"))
+            .groupBy("s.k", "s.part")
+            .agg(F.count("*").alias("n"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi"))
+            .collect()
+        )
+        by_key: dict[int, list] = {}
+        for r in counted:
+            by_key.setdefault(r["k"], []).append((r["lo"], r["hi"], r["n"]))
+        todo, open_ = open_, {}
+        for k, key in enumerate(keys):
+            below = key[3]
+            for lo, hi, n in sorted(by_key.get(k, [])):
+                inside = {r for r in todo[key] if below <= r < below + n}
+                if inside:
+                    _keep(found, open_, key[0], lo, hi, below, inside)
+                below += n
+    out: dict[str, list[float | None]] = {}
+    for c in cols:
+        out[c] = []
         for p in probs:
-            h = (n - 1) * p
-            lo_r, hi_r = int(math.floor(h)), int(math.ceil(h))
-            a, b = resolved[(c, lo_r)], resolved[(c, hi_r)]
-            vals.append(a + (b - a) * (h - lo_r))
-        out[c] = vals
+            if not n_of[c]:
+                out[c].append(None)
+                continue
+            h = (n_of[c] - 1) * p
+            a, b = found[c, math.floor(h)], found[c, math.ceil(h)]
+            out[c].append(a if a == b else a + (b - a) * (h - math.floor(h)))
     return out
 
 
+def _keep(found, open_, c, lo, hi, below, ranks) -> None:
+    """A range of one value settles its ranks; any other stays open."""
+    if lo == hi:
+        found.update({(c, r): float(lo) for r in ranks})
+    else:
+        open_.setdefault((c, lo, hi, below), set()).update(ranks)
+
+
+def _cap(v: float) -> float:
+    return max(min(v, _LARGEST), -_LARGEST)
+
+
+def _capped(x):
+    return F.least(F.greatest(x, F.lit(-_LARGEST)), F.lit(_LARGEST))
+
+
 def quantiles(
     df: DataFrame,
     cols: list[str],
@@ -282,7 +181,7 @@ def quantiles(
     """Exact quantiles (default) or, with ``approx=True``, one ``percentile_approx`` pass whose
     rank error is at most n/accuracy (no interpolation between neighbours)."""
     if not approx:
-        return exact_quantiles(df, cols, probs, where=where, means=means, accuracy=accuracy)
+        return exact_quantiles(df, cols, probs, where=where, means=means)
     if not cols:
         return {}
     where = where or {}

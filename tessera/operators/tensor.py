@@ -81,9 +81,18 @@ def unflatten(vec: DataFrame, w: int, c: int) -> DataFrame:
     )
 
 
-def pad(cells: DataFrame, p: int) -> DataFrame:
-    """Zero padding as a coordinate shift; absent cells are zeros (sparse form)."""
-    return cells.select("id", (F.col("y") + p).alias("y"), (F.col("x") + p).alias("x"), "c", "v")
+def pad(cells: DataFrame, p: int, h: int, w: int) -> DataFrame:
+    """Zero padding of dense cells: a coordinate shift plus the border cells, which each channel's
+    first cell (y = x = 0) brings along, so no shuffle is needed and every window has its cells."""
+    shifted = cells.select("id", (F.col("y") + p).cast("bigint").alias("y"), (F.col("x") + p).cast("bigint").alias("x"), "c", "v")
+    if p <= 0:
+        return shifted
+    zero = F.lit(0).cast(cells.schema["v"].dataType)
+    at = F.sequence(F.lit(0), F.lit((h + 2 * p) * (w + 2 * p) - 1))
+    y, x = (lambda i: F.floor(i / (w + 2 * p))), (lambda i: i % (w + 2 * p))
+    border = F.filter(at, lambda i: (y(i) < p) | (y(i) >= p + h) | (x(i) < p) | (x(i) >= p + w))
+    corner = cells.where("y = 0 AND x = 0").select("id", "c", F.explode(border).alias("i"))
+    return shifted.unionByName(corner.select("id", y(F.col("i")).cast("bigint").alias("y"), x(F.col("i")).cast("bigint").alias("x"), "c", zero.alias("v")))
 
 
 def pad_dense_packed(df: DataFrame, data_col: str, h: int, w: int, c: int, p: int, out: str = "data") -> DataFrame:

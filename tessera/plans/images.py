@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.splits import label_onehot, three_way_split
-from ..sources.images import decode_images, image_batch, list_image_dir, read_manifest_csv
+from ..sources.images import decode_images, encode_manifest, image_batch, list_image_dir, read_manifest_csv
 
 
 def prepare_image_sets(
@@ -31,14 +31,15 @@ def prepare_image_sets(
 
     Labels are the sorted class names' ranks; the one-hot width is the number of classes in
     the whole data; sets follow :func:`three_way_split` (test first, then validation from the
-    rest). ``id_expr`` gives the row id (default: a hash of the path, stable across runs).
+    rest). ``id_expr`` gives the row id (default: a hash of the path, stable across runs). An
+    image that is missing or cannot be decoded fails the job.
     """
     listing = (
         read_manifest_csv(spark, manifest, root=root, prefix=prefix) if manifest else list_image_dir(spark, root)
     )
-    imgs = decode_images(spark, root, size=size, mode=mode)
-    b = image_batch(listing, imgs)
-    b = b.withColumn("id", id_expr if id_expr is not None else F.xxhash64("image_path"))
-    k = int(b.agg(F.max("label")).first()[0]) + 1
-    s = three_way_split(b, "label", "id", val_size, test_size, seed, stratify)
-    return s.withColumn("y", label_onehot("label", k))
+    # labels, class count and sets need the listing alone; pixels are decoded once, at the end
+    named = encode_manifest(listing).withColumn("id", id_expr if id_expr is not None else F.xxhash64("image_path"))
+    k = int(named.agg(F.max("label")).first()[0]) + 1
+    sets = three_way_split(named, "label", "id", val_size, test_size, seed, stratify)
+    batch = image_batch(sets, decode_images(spark, root, size=size, mode=mode))
+    return batch.withColumn("y", label_onehot("label", k))

@@ -155,15 +155,8 @@ def _act_grad(fn: str, z: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 # ----------------------------------------------------------------------------- windows
 def _windows(x: np.ndarray, k: int, stride: int) -> np.ndarray:
-    """(N, H, W, C) → (N, OH, OW, C, K, K): one strided slice per kernel offset (dy, dx),
-    the same offset-by-offset gathering as the cell-form window generator."""
-    n, h, w, c = x.shape
-    oh, ow = (h - k) // stride + 1, (w - k) // stride + 1
-    out = np.empty((n, oh, ow, c, k, k), dtype=x.dtype)
-    for dy in range(k):
-        for dx in range(k):
-            out[..., dy, dx] = x[:, dy:dy + stride * (oh - 1) + 1:stride, dx:dx + stride * (ow - 1) + 1:stride, :]
-    return out
+    """(N, H, W, C) → (N, OH, OW, C, K, K), NumPy's strided view of all windows (no copy)."""
+    return np.lib.stride_tricks.sliding_window_view(x, (k, k), axis=(1, 2))[:, ::stride, ::stride]
 
 
 def _scatter_windows(shape, dwin: np.ndarray, k: int, stride: int) -> np.ndarray:
@@ -214,8 +207,14 @@ def forward(x: np.ndarray, layers: list[dict], params: list[dict | None]):
     return a, caches
 
 
+SCORE_ROWS = 128  # rows scored at a time: bounds the window matrices, whatever the Arrow batch holds
+
+
 def predict_proba(x: np.ndarray, layers: list[dict], params: list[dict | None]) -> np.ndarray:
-    return forward(x, layers, params)[0]
+    """Forward pass in slices of ``SCORE_ROWS`` rows; caches live for one slice only."""
+    if len(x) <= SCORE_ROWS:
+        return forward(x, layers, params)[0]
+    return np.concatenate([forward(x[i : i + SCORE_ROWS], layers, params)[0] for i in range(0, len(x), SCORE_ROWS)])
 
 
 # ----------------------------------------------------------------------------- backward

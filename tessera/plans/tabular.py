@@ -66,7 +66,10 @@ class TabularPrep:
         if missing_zero_cols:
             raise ValueError(f"invalid-zero columns not numeric: {missing_zero_cols}")
 
-        src = df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_input else df
+        # only the columns in use, and never a caller's own cache
+        used = df.select(*num, *cat)
+        own_cache = self.cache_input and df.storageLevel == StorageLevel.NONE
+        src = used.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else used
         f: dict = {"num": num, "cat": cat, "target": target, "target_numeric": target_numeric}
         try:
             cur = src
@@ -81,8 +84,10 @@ class TabularPrep:
                     cur = prep.drop_null_rows(cur, num_treat)
                     f["num_fill"] = {}
                 else:
-                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, nulls, o.approx_quantiles)
-                    cur = prep.apply_fill(cur, f["num_fill"])
+                    # every column gets a fill value: nulls may first come at transform
+                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, None, o.approx_quantiles)
+                    f["no_nulls"] = [c for c in num_treat if not nulls.get(c)]
+                    cur = prep.apply_fill(cur, {c: v for c, v in f["num_fill"].items() if nulls.get(c)})
                 f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros, o.approx_quantiles) if o.invalid_zeros else {}
                 cur = prep.apply_zero_replace(cur, f["zero_med"])
                 f["fences"] = prep.fit_outliers(cur, num_treat, o.outliers, o.approx_quantiles)
@@ -95,17 +100,18 @@ class TabularPrep:
                     cur = prep.drop_null_rows(cur, cat_treat)
                     f["cat_fill"] = {}
                 else:
-                    f["cat_fill"] = prep.fit_categorical_fill(cur, cat_treat, o.categorical_nulls, nulls)
+                    f["cat_fill"] = prep.fit_categorical_fill(cur, cat_treat, o.categorical_nulls)
                     cur = prep.apply_categorical_fill(cur, f["cat_fill"])
                 f["levels"] = {}
                 for c in cat:
-                    limit = prep.MAX_ONEHOT_LEVELS if (c not in o.ordinal and c != target) else prep.MAX_LITERAL_LEVELS
-                    lv = prep.fit_levels(cur, c, limit)
-                    if lv is None:
-                        raise ValueError(f"{c}: too many levels to encode")
+                    lv = prep.fit_levels(cur, c)
+                    if lv is None and (c == target or c in o.ordinal):
+                        lv = prep.level_codes(cur, c).checkpoint()  # a code table in the shared folder
+                    elif lv is None:
+                        raise ValueError(f"{c}: too many levels for one column each; list it in ordinal, or use onehot_sparse")
                     f["levels"][c] = lv
         finally:
-            if self.cache_input:
+            if own_cache:
                 src.unpersist()
         self.fitted = f
         return self
@@ -122,7 +128,7 @@ class TabularPrep:
             if o.numeric_nulls == "drop":
                 cur = prep.drop_null_rows(cur, [c for c in f["num"] if c not in protect])
             else:
-                cur = prep.apply_fill(cur, f["num_fill"])
+                cur = prep.apply_fill(cur, f["num_fill"], keep_type=f["no_nulls"])
             cur = prep.apply_zero_replace(cur, f["zero_med"])
             cur = prep.apply_outliers(cur, f["fences"])
             cur = prep.apply_scaler(cur, f["scaler"])

@@ -252,33 +252,49 @@ def q_prep_ordinal(spark, sf):
     return prep.ordinal_encode(o, ["o_orderpriority"])
 
 
-def _onehot_sql() -> str:
-    # Level names come from the data, so the oracle pivots the same way: one column per level.
-    return """
-PIVOT (SELECT p_partkey, 'p_type_' || p_type AS lvl, CAST(1.0 AS DOUBLE) AS one FROM part) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE)) GROUP BY p_partkey
-"""
+def _long(df, keys: list[str]):
+    """One row per key and one-hot column, so the levels stay those of the data."""
+    return df.unpivot(keys, [c for c in df.columns if c not in keys], "level", "value")
 
 
-@register("prep_onehot", _onehot_sql())
+@register(
+    "prep_onehot",
+    """
+SELECT p_partkey, 'p_type_' || l.p_type AS level, CAST(p.p_type = l.p_type AS DOUBLE) AS value
+FROM part p, (SELECT DISTINCT p_type FROM part) l
+""",
+)
 def q_prep_onehot(spark, sf):
+    """One 0/1 column per level of the data, returned as rows."""
     p = read_table(spark, sf, "part").select("p_partkey", "p_type")
-    return prep.onehot_encode(p, ["p_type"])
+    return _long(prep.onehot_encode(p, ["p_type"]), ["p_partkey"])
+
+
+@register(
+    "prep_onehot_sparse",
+    """
+SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS idx, CAST(1.0 AS DOUBLE) AS value FROM part
+""",
+)
+def q_prep_onehot_sparse(spark, sf):
+    """Sparse one-hot of a column with as many levels as it likes: position and value."""
+    p = read_table(spark, sf, "part").select("p_partkey", "p_name")
+    return prep.onehot_sparse(p, ["p_name"]).select("p_partkey", F.col("p_name.index").alias("idx"), F.col("p_name.value").alias("value"))
 
 
 @register(
     "prep_encode_categoricals",
     """
 WITH base AS (
-  SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS o_orderpriority,
-         'o_orderstatus_' || o_orderstatus AS lvl
-  FROM orders)
-PIVOT (SELECT o_orderkey, o_orderpriority, lvl, CAST(1.0 AS DOUBLE) AS one FROM base) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE))
-GROUP BY o_orderkey, o_orderpriority
+  SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS o_orderpriority, o_orderstatus FROM orders)
+SELECT o_orderkey, o_orderpriority, 'o_orderstatus_' || l.o_orderstatus AS level, CAST(b.o_orderstatus = l.o_orderstatus AS DOUBLE) AS value
+FROM base b, (SELECT DISTINCT o_orderstatus FROM orders) l
 """,
 )
 def q_prep_encode_categoricals(spark, sf):
+    """Ordinal code of one column and one-hot of another, the latter as rows."""
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    return prep.encode_categoricals(o, ["o_orderpriority", "o_orderstatus"], ordinal=["o_orderpriority"])
+    return _long(prep.encode_categoricals(o, ["o_orderpriority", "o_orderstatus"], ordinal=["o_orderpriority"]), ["o_orderkey", "o_orderpriority"])
 
 
 @register(
@@ -381,6 +397,8 @@ def _lineitem_tabular_sql() -> str:
         f"CASE WHEN {c} < {c}_q1 - 1.5 * ({c}_q3 - {c}_q1) OR {c} > {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) THEN {c}_mu ELSE {c} END AS {c}"
         for c in _LI_NUM
     )
+    # the flags of the table's specification
+    flags = ", ".join(f"CAST(l_returnflag = '{v}' AS DOUBLE) AS l_returnflag_{v}" for v in ("A", "N", "R"))
     mm = ", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in _LI_NUM)
     scaled = ", ".join(
         f"round(({c} - {c}_lo) / CASE WHEN {c}_hi = {c}_lo THEN 1 ELSE {c}_hi - {c}_lo END, 6) + 0.0 AS {c}" for c in _LI_NUM
@@ -394,10 +412,9 @@ s1 AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
 q AS (SELECT {qcols} FROM s1),
 s2 AS (SELECT l_orderkey, l_linenumber, {treat}, l_returnflag, l_linestatus FROM s1, q),
 mm AS (SELECT {mm} FROM s2),
-s3 AS (SELECT l_orderkey, l_linenumber, {scaled}, 'l_returnflag_' || l_returnflag AS lvl,
+s3 AS (SELECT l_orderkey, l_linenumber, {scaled}, l_returnflag,
               CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS BIGINT) AS l_linestatus FROM s2, mm)
-PIVOT (SELECT *, CAST(1.0 AS DOUBLE) AS one FROM s3) ON lvl USING coalesce(max(one), CAST(0.0 AS DOUBLE))
-GROUP BY l_orderkey, l_linenumber, {", ".join(_LI_NUM)}, l_linestatus
+SELECT l_orderkey, l_linenumber, {", ".join(_LI_NUM)}, {flags}, l_linestatus FROM s3
 """
 
 

@@ -98,21 +98,15 @@ def _resize_sql(n_in: int, n_out: int) -> str:
     to even, /255 as float32) for the grey stand-in images."""
     last = n_in - 1
     return f"""
-WITH px AS (SELECT vec_id, CAST(pos AS BIGINT) AS pos,
-                   CAST(greatest(least(floor((CAST(v AS DOUBLE) + 0.6) / 1.2 * 255 + 0.5), 255), 0) AS DOUBLE) AS p
-            FROM (SELECT vec_id, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings)),
+WITH px AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(greatest(least(floor((CAST(v AS DOUBLE) + 0.6) / 1.2 * 255 + 0.5), 255), 0) AS DOUBLE)) AS p
+            FROM embeddings),
 ax AS (SELECT CAST(range AS BIGINT) AS o, (range + 0.5) * (CAST({n_in} AS DOUBLE) / {n_out}) - 0.5 AS f FROM range({n_out})),
 ax2 AS (SELECT o, CAST(least(greatest(floor(f), 0), {last}) AS BIGINT) AS i0, CASE WHEN floor(f) < 0 THEN 0.0 ELSE f - floor(f) END AS w0 FROM ax),
 ax3 AS (SELECT o, i0, least(i0 + 1, {last}) AS i1, CASE WHEN i0 >= {last} THEN 0.0 ELSE w0 END AS w FROM ax2),
-grid AS (SELECT e.vec_id, ya.o AS oy, xa.o AS ox, ya.i0 AS y0, ya.i1 AS y1, ya.w AS wy, xa.i0 AS x0, xa.i1 AS x1, xa.w AS wx
-         FROM (SELECT DISTINCT vec_id FROM px) e, ax3 ya, ax3 xa),
-val AS (SELECT g.vec_id, oy, ox,
-               (a.p * (1 - wx) + b.p * wx) * (1 - wy) + (c.p * (1 - wx) + d.p * wx) * wy AS v
-        FROM grid g
-        JOIN px a ON a.vec_id = g.vec_id AND a.pos = y0 * {n_in} + x0
-        JOIN px b ON b.vec_id = g.vec_id AND b.pos = y0 * {n_in} + x1
-        JOIN px c ON c.vec_id = g.vec_id AND c.pos = y1 * {n_in} + x0
-        JOIN px d ON d.vec_id = g.vec_id AND d.pos = y1 * {n_in} + x1)
+val AS (SELECT vec_id, ya.o AS oy, xa.o AS ox,
+               (p[ya.i0 * {n_in} + xa.i0 + 1] * (1 - xa.w) + p[ya.i0 * {n_in} + xa.i1 + 1] * xa.w) * (1 - ya.w)
+               + (p[ya.i1 * {n_in} + xa.i0 + 1] * (1 - xa.w) + p[ya.i1 * {n_in} + xa.i1 + 1] * xa.w) * ya.w AS v
+        FROM px, ax3 ya, ax3 xa)
 SELECT CAST(vec_id AS BIGINT) AS vec_id, oy AS y, ox AS x, CAST(ch AS BIGINT) AS c,
        round(CAST(CAST(greatest(least(round_even(v, 0), 255), 0) / 255 AS FLOAT) AS DOUBLE), 6) + 0.0 AS v
 FROM val, range(3) t(ch)

@@ -182,10 +182,23 @@ GROUP BY id, oy, ox, f, b""",
 )
 def q_tensor_conv2d_padded(spark, sf):
     wdf, bdf = _conv_tables(spark)
-    padded = T.pad(_cells(spark, sf), 1)
+    padded = T.pad(_cells(spark, sf), 1, IMG_H, IMG_W)
     return _cells_out(T.conv2d(padded, wdf, bdf, 3, 3, 2, IMG_H + 2, IMG_W + 2, n_params=18))
 
 
+@register(
+    "tensor_maxpool_padded",
+    f"""WITH cells0 AS ({CELLS_SQL}),
+grid AS (SELECT id, c, g.range // {IMG_W + 4} AS y, g.range % {IMG_W + 4} AS x FROM (SELECT DISTINCT id, c FROM cells0), range({(IMG_H + 4) * (IMG_W + 4)}) g),
+padded AS (SELECT g.id, g.c, g.y, g.x, coalesce(k.v, 0.0) AS v FROM grid g LEFT JOIN cells0 k ON k.id = g.id AND k.c = g.c AND k.y = g.y - 2 AND k.x = g.x - 2)
+SELECT id, CAST(y // 2 AS BIGINT) AS y, CAST(x // 2 AS BIGINT) AS x, c, {R.format('max(v)')} AS v FROM padded GROUP BY id, y // 2, x // 2, c""",
+)
+def q_tensor_maxpool_padded(spark, sf):
+    """Two rings of padding under a 2×2 kernel: windows made of padding alone give their cells."""
+    padded = T.pad(_cells(spark, sf), 2, IMG_H, IMG_W)
+    return _cells_out(T.pool(padded, 2, 2, IMG_H + 4, IMG_W + 4, "max"))
+
+
 # ----------------------------------------------------------------------------- activations
 def _act_sql(expr: str) -> str:
     return f"WITH cells AS ({CELLS_SQL}) SELECT id, y, x, c, {R.format(expr)} AS v FROM cells"

@@ -29,13 +29,21 @@ def uri_to_path(col) -> F.Column:
     return F.regexp_replace(c, r"^file:/*", "/")
 
 
+def origin_to_path(col) -> F.Column:
+    """An image's origin is a percent-encoded URI; listings have plain paths. '+' stands for itself."""
+    return uri_to_path(F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B"))))
+
+
 # ----------------------------------------------------------------------------- manifests
 def read_manifest_csv(spark: SparkSession, path: str, root: str, prefix: str | None = None) -> DataFrame:
     """Header-less ``image_path,label`` CSV. A known ``prefix`` (e.g. './images/') is dropped when
-    present; each path is rooted at ``root`` and normalised. A missing file gives an empty frame."""
+    present; each path is rooted at ``root`` and normalised. A missing file gives an empty frame;
+    any other failure is raised."""
     try:
         df = spark.read.schema(MANIFEST_SCHEMA).option("header", "false").csv(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     p = F.trim(F.col("image_path"))
     if prefix:
@@ -154,7 +162,7 @@ def decode_images(
     ship_package(spark)
     src = (
         spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(paths)
-        .select(uri_to_path("image.origin").alias("image_path"), "image.height", "image.width", "image.nChannels", "image.data")
+        .select(origin_to_path("image.origin").alias("image_path"), "image.height", "image.width", "image.nChannels", "image.data")
     )
     out_c = 1 if mode == "gray" else 3
     schema = "image_path string, h int, w int, c int, data array<float>"
@@ -199,12 +207,27 @@ def decode_images(
     return src.mapInArrow(run, schema)
 
 
-def image_batch(manifest: DataFrame, images: DataFrame, levels: list | None = None) -> DataFrame:
-    """Join decoded images to their manifest rows on the normalised path and encode labels
-    (0-based rank of the sorted label names). Both sides are data-sized: a shuffle equi-join."""
+def encode_manifest(manifest: DataFrame, levels: list | None = None) -> DataFrame:
+    """Manifest rows with ``label`` (int, 0-based rank of the sorted label names of the whole
+    manifest) and ``label_name``; other columns pass through."""
     from ..operators.prep import label_encode
 
-    m = manifest.select(F.col("image_path"), F.col("label").alias("label_name"))
-    j = m.join(images, on="image_path", how="inner")
-    enc = label_encode(j, "label_name", out="label", levels=levels)
-    return enc.withColumn("label", F.col("label").cast("int"))
+    named = manifest.withColumnRenamed("label", "label_name")
+    return label_encode(named, "label_name", out="label", levels=levels).withColumn("label", F.col("label").cast("int"))
+
+
+def image_batch(manifest: DataFrame, images: DataFrame, levels: list | None = None, unreadable: str = "fail") -> DataFrame:
+    """Manifest rows with their decoded images (``h, w, c, data``), joined on the normalised path.
+
+    Labels are fitted on the manifest before decoding, so a lost image never shifts a code. An image
+    of the manifest that is missing or cannot be decoded fails the job (``unreadable='fail'``) or is
+    returned with null pixels (``'keep'``). Both sides are data-sized: a shuffle equi-join.
+    """
+    if unreadable not in ("fail", "keep"):
+        raise ValueError("unreadable must be 'fail' or 'keep'")
+    enc = manifest if "label_name" in manifest.columns else encode_manifest(manifest, levels)
+    j = enc.join(images, on="image_path", how="left")
+    if unreadable == "fail":
+        why = F.raise_error(F.concat(F.lit("image is missing or cannot be decoded: "), F.col("image_path")))
+        j = j.withColumn("data", F.when(F.col("data").isNull(), why.cast("array<float>")).otherwise(F.col("data")))
+    return j

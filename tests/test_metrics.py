@@ -29,3 +29,11 @@ def test_cross_entropy_modes(spark):
     assert np.isclose(clip, (-np.log(1e-15) - np.log(0.75)) / 2)
     assert np.isclose(add, (-np.log(1e-15) - np.log(0.75 + 1e-15)) / 2)
     assert metrics.accuracy(df.withColumn("pred", metrics.argmax("probs")), "label", "pred").first()[0] == 0.5
+
+
+def test_more_than_two_thousand_labels(spark):
+    from tessera.operators.metrics import macro_scores
+
+    df = spark.range(2001).select(F.col("id").alias("a"), F.when(F.col("id") < 1, F.lit(1)).otherwise(F.col("id")).alias("p"))
+    r = macro_scores(df, "a", "p").first()
+    assert abs(r["accuracy"] - 2000 / 2001) < 1e-12 and abs(r["recall"] - 2000 / 2001) < 1e-12

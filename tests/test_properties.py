@@ -14,10 +14,10 @@ probs = st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(vals=values, ps=probs, max_collect=st.sampled_from([4, 50, 200_000]))
-def test_exact_quantiles_property(spark, vals, ps, max_collect):
+@given(vals=values, ps=probs, bins=st.sampled_from([2, 50, 2048]))
+def test_exact_quantiles_property(spark, vals, ps, bins):
     df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(3)
-    got = exact_quantiles(df, ["v"], ps, max_collect=max_collect, accuracy=100)["v"]
+    got = exact_quantiles(df, ["v"], ps, bins=bins)["v"]
     want = np.quantile(np.array(vals), ps, method="linear")
     assert np.allclose(got, want, rtol=1e-12, atol=1e-9)
 

@@ -107,3 +107,42 @@ def test_mixed_shapes_in_one_batch(spark, image_dir):
     ramp = np.array([[0, 10, 20, 30], [40, 50, 60, 70], [80, 90, 100, 110]], dtype=float)[:, :, None]
     want = np.clip(np.rint(resize_bilinear(ramp, 2, 2)), 0, 255) / 255.0
     assert np.allclose(np.array(rows["r.png"].data).reshape(2, 2, 3)[..., 0], want[..., 0], atol=1e-7)
+
+
+def test_file_names_with_escaped_characters_are_kept(spark, tmp_path):
+    from tessera.plans.images import prepare_image_sets
+    from tessera.sources.images import image_batch
+
+    names = ["a b.png", "c%20d.png", "e+f.png", "g#h.png", "\u00e9.png"]
+    for cls in ("one", "two"):
+        (tmp_path / cls).mkdir()
+        for n in names:
+            (tmp_path / cls / n).write_bytes(encode_png(np.full((2, 2), 7, np.uint8)))
+    listed = list_image_dir(spark, str(tmp_path))
+    batch = image_batch(listed, decode_images(spark, str(tmp_path)))
+    assert sorted(r.image_path for r in batch.collect()) == sorted(str(tmp_path / c / n) for c in ("one", "two") for n in names)
+    sets = prepare_image_sets(spark, str(tmp_path), (2, 2))
+    assert sets.where("data IS NOT NULL").count() == 10
+
+
+def test_unreadable_images_fail_or_are_returned_and_shift_no_label(spark, tmp_path):
+    from tessera.sources.images import image_batch
+
+    for cls, data in (("bad", b"broken"), ("cls", encode_png(np.zeros((2, 2), np.uint8)))):
+        (tmp_path / cls).mkdir()
+        (tmp_path / cls / "x.png").write_bytes(data)
+    listed, images = list_image_dir(spark, str(tmp_path)), decode_images(spark, str(tmp_path))
+    with pytest.raises(Exception, match="cannot be decoded"):
+        image_batch(listed, images).collect()
+    kept = {r.label_name: (r.label, r.data) for r in image_batch(listed, images, unreadable="keep").collect()}
+    assert kept["bad"] == (0, None) and kept["cls"][0] == 1
+
+
+def test_images_are_decoded_once(spark, image_dir, tmp_path):
+    from tessera.plans.images import prepare_image_sets
+
+    (tmp_path / "k").mkdir()
+    for i in range(4):
+        (tmp_path / "k" / f"{i}.png").write_bytes(encode_png(np.zeros((2, 2), np.uint8)))
+    plan = prepare_image_sets(spark, str(tmp_path), (2, 2), stratify=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1

@@ -31,10 +31,18 @@ def test_exact_quantiles_match_pandas(spark):
 
 def test_exact_quantiles_narrowing_path(spark):
     pdf, df = _frame(spark, n=20000, seed=3)
-    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], max_collect=300)
+    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], bins=3)
     assert np.allclose(got["x"], pdf["x"].quantile([0.25, 0.5, 0.75]).tolist(), atol=1e-12)
 
 
+def test_exact_quantiles_of_extreme_values(spark):
+    vals = [float("-inf"), -1.7e308, -1.0, 0.0, 5e-324, 1e-300, 1.0, 1.0, 1.7e308, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [i / 9 for i in range(10)]
+    assert exact_quantiles(df, ["v"], probs, bins=2)["v"] == sorted(vals[:10])
+    assert exact_quantiles(df.where("v IS NULL"), ["v"], [0.5])["v"] == [None]
+
+
 def test_quantiles_ignore_nulls_and_filter(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 0, 1, 2, 3, 10]] + [(None,)], "v double")
     got = exact_quantiles(df, ["v"], [0.5], where={"v": F.col("v") != 0})

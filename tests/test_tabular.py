@@ -3,7 +3,9 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from tessera.operators import prep
 from tessera.plans.tabular import TabularOptions, TabularPrep
 
 
@@ -92,3 +94,41 @@ def test_options_are_validated():
         TabularOptions(outliers="clip")
     with pytest.raises(ValueError):
         TabularOptions(numeric_nulls="zero")
+
+
+@pytest.mark.parametrize("n", [2, 65, 70_000])
+def test_unseen_values_are_null_at_every_size(spark, n):
+    levels = [f"v{i:06d}" for i in range(n)]
+    df = spark.createDataFrame([("v000001",), ("unseen",), (None,)], "c string")
+    assert [r.k for r in prep.label_encode(df, "c", out="k", levels=levels).select("c", "k").orderBy(F.col("c").desc()).collect()] == [1, None, None]
+
+
+def test_code_tables_equal_level_lists(spark):
+    df = spark.range(500).select((F.col("id") % 90).cast("string").alias("c"))
+    by_table = prep.label_encode(df, "c", out="k", levels=prep.level_codes(df, "c"))
+    by_list = prep.label_encode(df, "c", out="k", levels=prep.fit_levels(df, "c"))
+    assert sorted(by_table.collect()) == sorted(by_list.collect())
+
+
+def test_wide_one_hot_and_sparse_one_hot(spark):
+    df = spark.range(1001).select("id", F.format_string("%05d", "id").alias("c"))
+    wide = prep.onehot_encode(df, ["c"])
+    assert len(wide.columns) == 1002
+    assert {(r.id, r.c["index"], r.c["value"]) for r in prep.onehot_sparse(df, ["c"]).collect()} == {(i, i, 1.0) for i in range(1001)}
+
+
+def test_nulls_that_first_come_at_transform_are_filled(spark):
+    rows = [(i, float(i % 5), i % 3, "ab"[i % 2], "t") for i in range(30)]
+    fit = spark.createDataFrame(rows, "rid int, x double, k int, c string, target string")
+    prepared = TabularPrep(TabularOptions(numeric_nulls="median", ordinal=["c"]), key_columns=["rid"]).fit(fit, "target")
+    new = spark.createDataFrame([(99, None, None, None, "t"), (98, float("nan"), 1, "a", "t")], fit.schema)
+    got = prepared.transform(new).collect()
+    assert all(v is not None for r in got for v in r)
+
+
+def test_fit_leaves_a_callers_cache_alone(spark):
+    df = spark.createDataFrame([(i, float(i), "ab"[i % 2]) for i in range(20)], "rid int, x double, target string").cache()
+    df.count()
+    TabularPrep(key_columns=["rid"]).fit(df, "target")
+    assert df.is_cached and df.storageLevel.useMemory
+    df.unpersist()
