@@ -26,17 +26,12 @@ def fold_table(df: DataFrame, k: int, seed: int | None, in_shape: tuple, id_col:
                data_col: str = "data", fold_col: str = "fold", shuffle: bool = True):
     """Stratified fold assignment, persisted once and right-sized for Arrow work.
     Returns (cached table to unpersist later, table to read)."""
-    from pyspark import StorageLevel
-
     from ..operators.splits import kfold
-    from .training import right_size
+    from .training import cache_sized
 
     folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
-    cached = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    # Fewer, fuller partitions over the cache (a narrow coalesce): each training step and
-    # scoring pass costs one Arrow round trip per partition.
-    return cached, right_size(cached, n, int(np.prod(in_shape)))
+    cached, _ = cache_sized(folded, int(np.prod(in_shape)))
+    return cached, cached
 
 
 def _scores_on_folds(folded: DataFrame, k: int, layers, cfg, in_shape, n_classes, init, id_col, label_col, data_col,

@@ -3,16 +3,16 @@
 Two execution modes:
 
 * ``sync`` — synchronous gradient steps. Each step is one Spark job: every partition runs
-  forward + backward on its rows of the step's batch (Arrow batches, NumPy), emits one
-  gradient-sum row, and the driver adds them (directly when partitions × parameters is
-  small, else after a two-level tree reduction on executors) and applies the optimizer.
-  Batches are exact consecutive slices of a seeded per-epoch permutation (a distributed
-  rank), so ``batch_size`` means what it means in the reference; ``batch_size=None`` is one
-  full-batch step per epoch.
-* ``local`` — one job per epoch: each partition runs the reference's mini-batch loop over its
-  own rows from the broadcast weights/optimizer state, then the driver averages weights and
-  state weighted by rows. With one partition this is exactly the reference's algorithm; with
-  many it is model averaging — cheap epochs at scale.
+  forward + backward on its rows of the step's batch (Arrow batches, NumPy) and emits one
+  gradient-sum row; the rows are added on executors in groups of ``FAN_IN`` until at most
+  ``FAN_IN`` are left, which the driver adds before it applies the optimizer. Batches are exact
+  consecutive slices of a seeded per-epoch permutation (a distributed rank), so ``batch_size``
+  means what it means in the reference; ``batch_size=None`` is one full-batch step per epoch.
+* ``replicas`` — ``replicas`` copies of the model each take every ``replicas``-th of the same
+  batches, in order, with their own weights and optimizer state; one Spark job makes a step of
+  all copies. After the epoch weights and state are averaged by rows. The copies follow the
+  seeded order alone, so results do not depend on cores or partitions; one copy is plain
+  mini-batch training.
 
 After each epoch one scoring job measures loss and accuracy on the train and validation sets
 (the learning curves). The model, the optimizer state and the curves live on the driver:
@@ -36,7 +36,7 @@ from ..session import ship_package
 from . import kernels as K
 from .scoring import arrow_list, arrow_matrix, check_model_size
 
-DRIVER_SUM_LIMIT = 20_000_000  # partitions × parameters summed directly on the driver
+FAN_IN = 32  # gradient rows added by one task or by the driver
 
 
 @dataclass
@@ -49,7 +49,8 @@ class TrainConfig:
     lam: float = 0.0
     reduce: str = "sum"  # 'sum' (CNN layers sum over the batch) | 'mean' (MLP divides by m)
     l2: str = "decay"  # 'decay': W -= lr(dW + λW) | 'scaled': dW += λW/m before the step
-    mode: str = "sync"  # sync | local
+    mode: str = "sync"  # sync | replicas
+    replicas: int = 8  # model copies in 'replicas' mode
     eps_mode: str = "clip"  # loss clipping: 'clip' (CNN) | 'add' (MLP)
     gamma: float = 0.9
     beta1: float = 0.9
@@ -60,8 +61,8 @@ class TrainConfig:
     def __post_init__(self):
         if self.optimizer not in ("sgd", "momentum", "adam"):
             raise ValueError("optimizer must be sgd, momentum or adam")
-        if self.mode not in ("sync", "local"):
-            raise ValueError("mode must be sync or local")
+        if self.mode not in ("sync", "replicas") or self.replicas < 1:
+            raise ValueError("mode must be sync or replicas, with at least one replica")
         if self.reduce not in ("sum", "mean") or self.l2 not in ("decay", "scaled"):
             raise ValueError("reduce must be sum|mean and l2 decay|scaled")
         if self.learning_rate <= 0 or self.epochs <= 0 or self.lam < 0:
@@ -123,7 +124,7 @@ class Optimizer:
 
 
 # ----------------------------------------------------------------------------- jobs
-_GRAD_SCHEMA = "n bigint, loss double, correct bigint, grad array<double>"
+_GRAD_SCHEMA = "replica int, part bigint, n bigint, loss double, correct bigint, grad array<double>"
 
 
 def _shape_x(x: np.ndarray, in_shape: tuple) -> np.ndarray:
@@ -134,34 +135,45 @@ def _labels(rb: pa.RecordBatch, col: str) -> np.ndarray:
     return rb.column(rb.schema.get_field_index(col)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def gradient_rows(df: DataFrame, layers, params, in_shape, n_classes, eps_mode, data_col="data", label_col="label",
+def gradient_rows(df: DataFrame, layers, copies: list, in_shape, n_classes, eps_mode, data_col="data", label_col="label",
                   broadcasts: list | None = None) -> DataFrame:
-    """One row per partition: (rows, loss sum, correct, gradient sum). The model broadcast is
-    appended to ``broadcasts`` so the caller can release it once the step has run."""
+    """One row per partition and model copy: (replica, part, rows, loss sum, correct, gradient sum).
+
+    ``copies`` holds one parameter list per model copy; with more than one, column ``replica`` of
+    ``df`` says which copy a row trains. The broadcast is appended to ``broadcasts`` so the caller can
+    release it once the step has run."""
     ship_package(df.sparkSession)
-    bc = df.sparkSession.sparkContext.broadcast((layers, params))
+    bc = df.sparkSession.sparkContext.broadcast((layers, copies))
     if broadcasts is not None:
         broadcasts.append(bc)
     width = int(np.prod(in_shape))
+    several = len(copies) > 1
 
     def run(batches):
-        lys, prm = bc.value
-        acc, n, loss, correct = None, 0, 0.0, 0
+        from pyspark import TaskContext
+
+        lys, cps = bc.value
+        sums: dict[int, list] = {}
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             x = _shape_x(arrow_matrix(rb, data_col, width), in_shape)
             y = _labels(rb, label_col)
-            flat, ls, cr = K.batch_gradients(x, y, lys, prm, n_classes, eps_mode)
-            acc = flat if acc is None else acc + flat
-            n, loss, correct = n + len(y), loss + ls, correct + cr
-        if n:
+            copy = _labels(rb, "replica") if several else np.zeros(len(y), np.int64)
+            for r in np.unique(copy).tolist():
+                at = copy == r
+                flat, ls, cr = K.batch_gradients(x[at], y[at], lys, cps[r], n_classes, eps_mode)
+                n, loss, correct, acc = sums.get(r, (0, 0.0, 0, 0.0))
+                sums[r] = [n + int(at.sum()), loss + ls, correct + cr, acc + flat]
+        part = TaskContext.get().partitionId()
+        for r, (n, loss, correct, acc) in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([loss]), pa.array([correct], pa.int64()), arrow_list(acc[None, :])],
-                names=["n", "loss", "correct", "grad"],
+                [pa.array([r], pa.int32()), pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([loss]),
+                 pa.array([correct], pa.int64()), arrow_list(acc[None, :])],
+                names=["replica", "part", "n", "loss", "correct", "grad"],
             )
 
-    return df.select(label_col, data_col).mapInArrow(run, _GRAD_SCHEMA)
+    return df.select(label_col, data_col, *(["replica"] if several else [])).mapInArrow(run, _GRAD_SCHEMA)
 
 
 def _vectors(table: pa.Table, col: str, size: int) -> np.ndarray:
@@ -173,26 +185,37 @@ def _vectors(table: pa.Table, col: str, size: int) -> np.ndarray:
     return arr.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].reshape(len(arr), size)
 
 
-def _sum_partials(rows: DataFrame, size: int, n_parts: int):
-    """Add per-partition gradient rows. Small: collect (as Arrow) and add. Large: a tree level
-    on executors first (≈√P groups, each adding ≈√P vectors), then collect √P vectors."""
-    if n_parts * max(size, 1) > DRIVER_SUM_LIMIT:
-        groups = max(2, int(math.isqrt(n_parts)))
+def _sum_partials(rows: DataFrame, size: int, n_parts: int) -> dict[int, tuple]:
+    """{replica: (gradient sum, rows, loss, correct)} from the per-partition rows: added on executors,
+    ``FAN_IN`` at a time, until the driver receives at most ``FAN_IN`` vectors per replica."""
+    fan = FAN_IN
 
-        def add(pdf):
-            import pandas as pd
+    def add(pdf):
+        import pandas as pd
 
-            g = np.sum(np.stack(pdf["grad"].to_numpy()), axis=0)
-            return pd.DataFrame({"n": [int(pdf["n"].sum())], "loss": [float(pdf["loss"].sum())],
-                                 "correct": [int(pdf["correct"].sum())], "grad": [g]})
+        g = np.sum(np.stack(pdf.sort_values("part")["grad"].to_numpy()), axis=0)
+        return pd.DataFrame({"replica": pdf["replica"].iloc[:1].astype("int32"), "part": [int(pdf["part"].iloc[0]) // fan],
+                             "n": [int(pdf["n"].sum())], "loss": [float(pdf["loss"].sum())],
+                             "correct": [int(pdf["correct"].sum())], "grad": [g]})
 
-        rows = rows.withColumn("_g", F.spark_partition_id() % groups).groupBy("_g").applyInPandas(add, _GRAD_SCHEMA)
-    t = rows.toArrow()
-    if t.num_rows == 0:
-        return np.zeros(size), 0, 0.0, 0
-    grad = _vectors(t, "grad", size).sum(axis=0)
-    return (grad, int(pa.compute.sum(t.column("n")).as_py()), float(pa.compute.sum(t.column("loss")).as_py()),
-            int(pa.compute.sum(t.column("correct")).as_py()))
+    while n_parts > fan:
+        rows = rows.groupBy("replica", F.floor(F.col("part") / fan)).applyInPandas(add, _GRAD_SCHEMA)
+        n_parts = math.ceil(n_parts / fan)
+    t = rows.toArrow().combine_chunks()
+    replica, part = t.column("replica").to_numpy(), t.column("part").to_numpy()
+    grads, out = _vectors(t, "grad", size), {}
+    for r in np.unique(replica).tolist():
+        at = np.flatnonzero(replica == r)
+        at = at[np.argsort(part[at])]  # one order of addition
+        n, loss, correct = (t.column(c).to_numpy()[at].sum() for c in ("n", "loss", "correct"))
+        out[r] = (grads[at].sum(axis=0), int(n), float(loss), int(correct))
+    return out
+
+
+def _n_partitions(cached: DataFrame) -> int:
+    """Partitions of a cached table that have rows up to the last such one (a job over the cache)."""
+    last = cached.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
+    return 1 if last is None else last + 1
 
 
 def evaluate(df: DataFrame, layers, params, in_shape, eps_mode="clip", data_col="data", label_col="label",
@@ -229,55 +252,6 @@ def _evaluate(df, bc, in_shape, eps_mode, data_col, label_col, set_col) -> dict:
     return {r["set"]: (r["loss"], r["acc"], r["n"]) for r in agg.collect()}
 
 
-def _local_epoch_rows(df, layers, params, opt_state, cfg, in_shape, n_classes, epoch, data_col, label_col, broadcasts):
-    """One job: each partition runs mini-batch steps over its rows; emits its final state."""
-    ship_package(df.sparkSession)
-    bc = df.sparkSession.sparkContext.broadcast((layers, params, opt_state, cfg))
-    broadcasts.append(bc)
-    width = int(np.prod(in_shape))
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        lys, prm, st, c = bc.value
-        xs, ys = [], []
-        for rb in batches:
-            if rb.num_rows:
-                xs.append(arrow_matrix(rb, data_col, width))
-                ys.append(_labels(rb, label_col))
-        if not xs:
-            return
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        pid = TaskContext.get().partitionId()
-        order = np.random.default_rng([c.seed, epoch, pid]).permutation(len(y))
-        x, y = _shape_x(x[order], in_shape), y[order]
-        theta = K.pack(prm)
-        opt = Optimizer(c, theta.size, weight_mask(prm))
-        opt.load({"m": st["m"].copy(), "v": st["v"].copy(), "t": st["t"]})
-        if c.batch_size:
-            bs = c.batch_size
-        elif c.batches_per_epoch:
-            bs = math.ceil(len(y) / c.batches_per_epoch)  # per partition in local mode
-        else:
-            bs = len(y)
-        loss, steps = 0.0, 0
-        for s in range(0, len(y), bs):
-            cur = K.unpack(theta, prm)
-            flat, ls, _ = K.batch_gradients(x[s:s + bs], y[s:s + bs], lys, cur, n_classes, c.eps_mode)
-            theta = opt.step(theta, flat, len(y[s:s + bs]))
-            loss += ls
-            steps += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([len(y)], pa.int64()), pa.array([steps], pa.int64()), pa.array([loss]),
-             arrow_list(theta[None, :]), arrow_list(opt.m[None, :]), arrow_list(opt.v[None, :]),
-             pa.array([opt.t], pa.int64())],
-            names=["n", "steps", "loss", "theta", "m", "v", "t"],
-        )
-
-    schema = "n bigint, steps bigint, loss double, theta array<double>, m array<double>, v array<double>, t bigint"
-    return df.select(label_col, data_col).mapInArrow(run, schema)
-
-
 def _release(broadcasts: list) -> None:
     """Drop a finished step's model broadcast from executors and driver (one per step)."""
     for bc in broadcasts:
@@ -285,23 +259,24 @@ def _release(broadcasts: list) -> None:
     broadcasts.clear()
 
 
-TARGET_PARTITION_BYTES = 64 << 20  # packed rows per training partition (held in memory in 'local' mode)
+TARGET_PARTITION_BYTES = 64 << 20  # packed rows per training partition
 
 
-def right_size(df: DataFrame, n_rows: int, width: int) -> DataFrame:
-    """Partition count for Python-side training work: enough partitions to keep each one
-    ≲ TARGET_PARTITION_BYTES and to give every core a task, no more (each partition costs an
-    Arrow round trip per step). Shrinks with ``coalesce`` (no shuffle), grows with a
-    hash repartition."""
-    sc = df.sparkSession.sparkContext
+def cache_sized(df: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """(cached table, rows) for Python-side training work: at most TARGET_PARTITION_BYTES of packed
+    rows per partition and a task for every core, but not many more (each partition costs an Arrow
+    round trip per step). Fewer partitions come from a narrow ``coalesce`` over the cache, more from a
+    repartition that replaces it."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows, current = cached.count(), _n_partitions(cached)
     by_size = math.ceil(n_rows * (8 * width + 32) / TARGET_PARTITION_BYTES)
-    target = max(1, by_size, min(sc.defaultParallelism, n_rows))
-    current = df.rdd.getNumPartitions()
-    if current > target:
-        return df.coalesce(target)
-    if current < by_size:
-        return df.repartition(target)
-    return df
+    target = max(1, by_size, min(df.sparkSession.sparkContext.defaultParallelism, n_rows))
+    if by_size <= current <= target:
+        return cached, n_rows
+    sized = (cached.coalesce(target) if current > target else cached.repartition(target)).persist(StorageLevel.MEMORY_AND_DISK)
+    sized.count()
+    cached.unpersist()
+    return sized, n_rows
 
 
 # ----------------------------------------------------------------------------- driver loop
@@ -355,66 +330,54 @@ def train_network(
     theta = K.pack(params)
 
     width = int(np.prod(in_shape))
-    cached = train_df.select(id_col, label_col, data_col).persist(StorageLevel.MEMORY_AND_DISK)
-    total = cached.count()
+    data, total = cache_sized(train_df.select(id_col, label_col, data_col), width)
     if total == 0:
-        cached.unpersist()
+        data.unpersist()
         raise ValueError("no training rows")
-    data = right_size(cached, total, width)
-    if data.rdd.getNumPartitions() > cached.rdd.getNumPartitions():  # grown by a shuffle: keep that
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        data.count()
-        cached.unpersist()
-        cached = data
-    val = None
-    if val_df is not None:
-        v = val_df.select(id_col, label_col, data_col)
-        val = right_size(v, max(1, total // 4), width)
-    n_parts = data.rdd.getNumPartitions()
+    val = cache_sized(val_df.select(id_col, label_col, data_col), width)[0] if val_df is not None else None
+    n_parts = _n_partitions(data)
+    bsize = cfg.batch_size if cfg.batches_per_epoch is None else math.ceil(total / cfg.batches_per_epoch)
+    n_batches = 1 if bsize is None else math.ceil(total / bsize)
+    copies = min(cfg.replicas, n_batches) if cfg.mode == "replicas" else 1
     curves, steps = [], 0
     try:
         for epoch in range(start, cfg.epochs):
-            if cfg.mode == "local":
+            batched = data
+            if n_batches > 1:
+                # Sorted by batch inside each partition, the cached column batches carry tight
+                # min/max statistics, so each step's filter skips the other batches' data.
+                batched = (
+                    assign_batches(data, id_col, cfg.seed, epoch, bsize, n_rows=total)
+                    .coalesce(n_parts)  # as many partitions as the training data, not shuffle-sized
+                    .sortWithinPartitions("batch")
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                )
+            thetas, opts, seen = [theta.copy() for _ in range(copies)], [], np.zeros(copies)
+            for _ in range(copies):
+                own = Optimizer(cfg, size, weight_mask(params))
+                own.load({k: np.copy(v) if k != "t" else v for k, v in opt.state().items()})
+                opts.append(own)
+            for first in range(0, n_batches, copies):
+                step = batched
+                if n_batches > 1:
+                    step = batched.where(F.col("batch").between(first, first + copies - 1)).withColumn("replica", (F.col("batch") - first).cast("int"))
                 bcs: list = []
-                t = _local_epoch_rows(data, layers, K.unpack(theta, params), opt.state(), cfg, in_shape, n_classes,
-                                      epoch, data_col, label_col, bcs).toArrow()
+                got = _sum_partials(
+                    gradient_rows(step, layers, [K.unpack(t, params) for t in thetas], in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
+                    size, n_parts,
+                )
                 _release(bcs)
-                w = t.column("n").to_numpy().astype(float)
-                n_tot = w.sum()
-                theta = (_vectors(t, "theta", size) * w[:, None]).sum(axis=0) / n_tot
-                opt.m = (_vectors(t, "m", size) * w[:, None]).sum(axis=0) / n_tot
-                opt.v = (_vectors(t, "v", size) * w[:, None]).sum(axis=0) / n_tot
-                opt.t = int(t.column("t").to_numpy().max())
-                steps += int(t.column("steps").to_numpy().max())
-            else:
-                bsize = cfg.batch_size if cfg.batches_per_epoch is None else math.ceil(total / cfg.batches_per_epoch)
-                if bsize is None or bsize >= total:
-                    batches = [data]
-                    batched = None
-                else:
-                    # Sorted by batch inside each partition, the cached column batches carry tight
-                    # min/max statistics, so each step's filter skips the other batches' data.
-                    batched = (
-                        assign_batches(data, id_col, cfg.seed, epoch, bsize, n_rows=total)
-                        .coalesce(n_parts)  # as many partitions as the training data, not shuffle-sized
-                        .sortWithinPartitions("batch")
-                        .persist(StorageLevel.MEMORY_AND_DISK)
-                    )
-                    n_b = math.ceil(total / bsize)
-                    batches = [batched.where(F.col("batch") == b) for b in range(n_b)]
-                for bdf in batches:
-                    cur = K.unpack(theta, params)
-                    bcs = []
-                    g, m_rows, _, _ = _sum_partials(
-                        gradient_rows(bdf, layers, cur, in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
-                        size, n_parts,
-                    )
-                    _release(bcs)
-                    if m_rows:
-                        theta = opt.step(theta, g, m_rows)
-                        steps += 1
-                if batched is not None:
-                    batched.unpersist()
+                for r, (g, m_rows, _, _) in got.items():
+                    thetas[r] = opts[r].step(thetas[r], g, m_rows)
+                    seen[r] += m_rows
+                steps += 1
+            share = seen / seen.sum()
+            theta = sum(w * t for w, t in zip(share, thetas))
+            opt.m = sum(w * o.m for w, o in zip(share, opts))
+            opt.v = sum(w * o.v for w, o in zip(share, opts))
+            opt.t = max(o.t for o in opts)
+            if batched is not data:
+                batched.unpersist()
             if evaluate_every and ((epoch + 1) % evaluate_every == 0 or epoch == cfg.epochs - 1):
                 cur = K.unpack(theta, params)
                 both = data.withColumn("_set", F.lit("train"))
@@ -430,7 +393,9 @@ def train_network(
                 save_model(spark, f"{checkpoint_path}/epoch={epoch}", layers, K.unpack(theta, params),
                            extra={"m": opt.m, "v": opt.v, "t": [opt.t], "epoch": [epoch]})
     finally:
-        cached.unpersist()
+        data.unpersist()
+        if val is not None:
+            val.unpersist()
     return TrainResult(layers, K.unpack(theta, params), curves, steps, opt.state())
 
 
@@ -457,13 +422,16 @@ def one_step_params(df: DataFrame, layers, params, cfg: TrainConfig, in_shape, n
     size = check_model_size(params)
     theta = K.pack(params)
     opt = Optimizer(cfg, size, weight_mask(params))
-    n_parts = df.rdd.getNumPartitions()
+    data, _ = cache_sized(df.select(label_col, data_col), int(np.prod(in_shape)))
+    n_parts = _n_partitions(data)
     for _ in range(steps):
         bcs: list = []
-        g, m_rows, _, _ = _sum_partials(
-            gradient_rows(df, layers, K.unpack(theta, params), in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
+        got = _sum_partials(
+            gradient_rows(data, layers, [K.unpack(theta, params)], in_shape, n_classes, cfg.eps_mode, data_col, label_col, bcs),
             size, n_parts,
         )
         _release(bcs)
+        g, m_rows, _, _ = got[0]
         theta = opt.step(theta, g, m_rows)
+    data.unpersist()
     return K.unpack(theta, params)

@@ -162,8 +162,8 @@ def q_prep_image_sets(spark, sf):
 @register("lenet5_image_run")
 def q_lenet5_image_run(spark, sf):
     """The reference notebook's flow on Spark: image folder → grey decode resized to 32×32 →
-    stratified 60/20/20 split → LeNet-5 trained with Adam (batch 64, local mini-batches per
-    partition, weights averaged per epoch) → accuracy and macro P/R/F1 per set."""
+    stratified 60/20/20 split → LeNet-5 trained with Adam (batch 64, four model copies on
+    a seeded order, weights averaged per epoch) → accuracy and macro P/R/F1 per set."""
     from ..operators.metrics import metrics_report
     from ..plans.networks import lenet5
     from ..plans.scoring import score
@@ -177,7 +177,7 @@ def q_lenet5_image_run(spark, sf):
     s = sets.select("id", "label", "data", "set")
     s = s.coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     layers = lenet5(k)
-    cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="local")
+    cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="replicas", replicas=4)
     res = train_network(s.where(F.col("set") == "train"), layers, cfg, (32, 32, 1), k, val_df=s.where(F.col("set") == "val"))
     pred = score(s, res.layers, res.params, (32, 32, 1), keep=["id", "label", "set"])
     rep = metrics_report(pred.withColumn("label", F.col("label").cast("bigint")), "label", "predicted")

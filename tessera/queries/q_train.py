@@ -130,7 +130,7 @@ def _mlp_run(spark, sf, epochs=5):
     s = _sets(spark, sf).coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
     tr = s.where(F.col("set") == "train")
     layers = [K.dense(64, 32, "relu"), K.dense(32, 10, "softmax")]
-    cfg = mlp_config(epochs=epochs, learning_rate=0.5, lam=0.01, batch_size=64, mode="local")
+    cfg = mlp_config(epochs=epochs, learning_rate=0.5, lam=0.01, batch_size=64, mode="replicas", replicas=4)
     # Scored once at the end (below); per-epoch curves are the learning_curves query.
     res = train_network(tr, layers, cfg, (64,), 10, init_scheme="mlp_sequential", evaluate_every=0)
     return s, res
@@ -138,7 +138,8 @@ def _mlp_run(spark, sf, epochs=5):
 
 @register("train_mlp")
 def q_train_mlp(spark, sf):
-    """MLP 64→32→10 (ReLU, softmax), mini-batch SGD per partition + weight averaging; final
+    """MLP 64→32→10 (ReLU, softmax), mini-batch SGD of four model copies on
+    a seeded order, weights averaged per epoch; final
     loss / accuracy per set (train, val, test) from one scoring pass."""
     s, res = _mlp_run(spark, sf)
     scored = score(s, res.layers, res.params, (64,), keep=["id", "label", "set"])

@@ -26,9 +26,9 @@ def test_loss_falls_sync_full_batch(spark):
     assert losses[-1] < losses[0]
 
 
-def test_loss_falls_local_cnn(spark):
+def test_loss_falls_replicas_cnn(spark):
     layers = [K.conv(2, 1, 3), K.act("relu"), K.pool(2), K.flatten(), K.dense(18, 10, "softmax")]
-    cfg = cnn_config(epochs=3, optimizer="adam", learning_rate=0.01, batch_size=32, mode="local")
+    cfg = cnn_config(epochs=3, optimizer="adam", learning_rate=0.01, batch_size=32, mode="replicas", replicas=4)
     res = train_network(_emb(spark), layers, cfg, (8, 8, 1), 10)
     losses = [l for _, s, l, _ in res.curves if s == "train"]
     assert losses[-1] < losses[0]
@@ -44,26 +44,47 @@ def test_gradient_step_independent_of_partitions(spark):
     assert np.allclose(a, b, atol=1e-12)
 
 
-def test_local_mode_one_partition_is_reference_loop(spark):
-    """With one partition, local mode is plain mini-batch SGD: replay it in NumPy."""
+def _replay(rows, batches, layers, params, cfg, n_copies):
+    """Plain NumPy: copies take the batches in turn, one epoch, then the average by rows."""
+    from tessera.plans.training import weight_mask
+
+    thetas = [K.pack(params) for _ in range(n_copies)]
+    opts = [Optimizer(cfg, thetas[0].size, weight_mask(params)) for _ in range(n_copies)]
+    seen = [0] * n_copies
+    for b in range(max(batches.values()) + 1):
+        r = b % n_copies
+        own = [x for x in rows if batches[x.id] == b]
+        x = np.array([q.data for q in own], dtype=np.float32).astype(float)
+        g, _, _ = K.batch_gradients(x, np.array([q.label for q in own]), layers, K.unpack(thetas[r], params), 10, "add")
+        thetas[r] = opts[r].step(thetas[r], g, len(own))
+        seen[r] += len(own)
+    return sum(n / sum(seen) * t for n, t in zip(seen, thetas))
+
+
+@pytest.mark.parametrize("n_copies", [1, 3])
+def test_replicas_follow_the_seeded_order_whatever_the_partitions(spark, n_copies):
+    from tessera.operators.splits import assign_batches
+
     layers = [K.dense(64, 10, "softmax")]
     params = K.init_params(layers, 9)
-    cfg = mlp_config(epochs=1, learning_rate=0.1, lam=0.01, batch_size=50, mode="local", seed=4)
-    e = _emb(spark).coalesce(1)
-    res = train_network(e, layers, cfg, (64,), 10, params=params)
+    cfg = mlp_config(epochs=1, learning_rate=0.1, lam=0.01, batch_size=50, mode="replicas", replicas=n_copies, seed=4)
+    e = _emb(spark)
     rows = e.collect()
-    x = np.array([r.data for r in rows], dtype=np.float32).astype(float)
-    y = np.array([r.label for r in rows])
-    order = np.random.default_rng([4, 0, 0]).permutation(len(y))
-    x, y = x[order], y[order]
-    theta = K.pack(params)
-    from tessera.plans.training import weight_mask
+    batches = {r.id: r.batch for r in assign_batches(e, "id", 4, 0, 50).select("id", "batch").collect()}
+    expected = _replay(rows, batches, layers, params, cfg, n_copies)
+    for parts in (1, 4, 9):
+        got = train_network(e.repartition(parts), layers, cfg, (64,), 10, params=params, evaluate_every=0)
+        assert np.allclose(K.pack(got.params), expected, atol=1e-10)
+
+
+def test_driver_receives_a_bounded_number_of_vectors(spark):
+    from tessera.plans import training
 
-    opt = Optimizer(cfg, theta.size, weight_mask(params))
-    for s in range(0, len(y), 50):
-        g, _, _ = K.batch_gradients(x[s:s + 50], y[s:s + 50], layers, K.unpack(theta, params), 10, "add")
-        theta = opt.step(theta, g, len(y[s:s + 50]))
-    assert np.allclose(K.pack(res.params), theta, atol=1e-10)
+    rows = spark.range(5000).select(
+        (F.col("id") % 2).cast("int").alias("replica"), (F.col("id") / 2).cast("bigint").alias("part"), F.lit(1).cast("bigint").alias("n"),
+        F.lit(0.5).alias("loss"), F.lit(1).cast("bigint").alias("correct"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("grad"))
+    got = training._sum_partials(rows, 2, 2500)
+    assert got[0][0].tolist() == [float(sum(range(0, 5000, 2))), 2500.0] and got[1][1:] == (2500, 1250.0, 2500)
 
 
 def test_optimizer_formulas():
@@ -106,7 +127,7 @@ def test_tree_reduction_matches_driver_sum(spark, monkeypatch):
     cfg = cnn_config(optimizer="sgd", learning_rate=0.01)
     e = _emb(spark).repartition(9)
     a = K.pack(one_step_params(e, layers, params, cfg, (64,), 10))
-    monkeypatch.setattr(training, "DRIVER_SUM_LIMIT", 1)  # force the executor-side tree level
+    monkeypatch.setattr(training, "FAN_IN", 2)  # several levels on executors
     b = K.pack(one_step_params(e, layers, params, cfg, (64,), 10))
     assert np.allclose(a, b, atol=1e-12)
 
