@@ -145,8 +145,10 @@ def q_prep_image_batch(spark, sf):
 
 @register(
     "prep_image_sets",
-    "WITH " + split_sql("SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings", "vec_id", "label", 0.2, 0.2, SEED,
-                        "vec_id, label, CAST((SELECT max(label) + 1 FROM embeddings) AS INTEGER) AS n_classes"),
+    "WITH " + split_sql(
+        f"SELECT vec_id, CAST(label AS INTEGER) AS label, list_sum(list_transform(embedding, lambda v: {PIXEL_SQL})) AS px FROM embeddings",
+        "vec_id", "label", 0.2, 0.2, SEED,
+        "vec_id, label, round(px, 6) + 0.0 AS total, CAST((SELECT max(label) + 1 FROM embeddings) AS INTEGER) AS n_classes"),
 )
 def q_prep_image_sets(spark, sf):
     """Image job end to end: manifest → decode → label encode → stratified train/val/test →
@@ -156,7 +158,8 @@ def q_prep_image_sets(spark, sf):
     base = image_folder(spark, sf)
     s = prepare_image_sets(spark, base + "/images", (8, 8), "gray", 0.2, 0.2, SEED,
                            manifest=base + "/manifest", prefix="./images/", id_expr=_vec_id())
-    return s.select(F.col("id").alias("vec_id"), "label", "set", F.size("y").cast("int").alias("n_classes"))
+    total = F.aggregate(F.transform("data", lambda z: z.cast("double")), F.lit(0.0), lambda a, z: a + z)
+    return s.select(F.col("id").alias("vec_id"), "label", "set", r6(total).alias("total"), F.size("y").cast("int").alias("n_classes"))
 
 
 @register("lenet5_image_run")
