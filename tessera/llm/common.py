@@ -28,6 +28,14 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application's operators wrote to the shared folder. For when their
+    results have been used; DataFrames that still read them fail afterwards."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

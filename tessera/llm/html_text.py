@@ -41,6 +41,8 @@ LABELS = frozenset(
     "gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination popup promo promotion related "
     "replies reply share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words of attributes that begin with one of these count as well (cookieBanner, sidebarRight).
+STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "navigation", "newsletter", "popup", "sidebar", "sponsor")
 #: An element of these ends an open one of the same name.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
@@ -57,7 +59,8 @@ def _outside(name: str, attributes: str) -> bool:
     if not attributes or name in ("html", "body", "main"):
         return False
     for m in _ATTRIBUTE.finditer(attributes):
-        if not LABELS.isdisjoint(_WORDS.findall((m[1] or m[2] or m[3] or "").lower())):
+        words = _WORDS.findall((m[1] or m[2] or m[3] or "").lower())
+        if not LABELS.isdisjoint(words) or any(w.startswith(STARTS) for w in words):
             return True
     return bool(_HIDDEN.search(attributes))
 

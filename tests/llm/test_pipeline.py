@@ -152,6 +152,18 @@ def test_pipeline_matches_brute_force(spark, bpe):
         assert (r["lang"], r["source"]) == (meta[d][2], meta[d][3])
 
 
+def test_clear_scratch_deletes_what_was_written(spark):
+    import glob
+
+    from tessera.llm.common import clear_scratch
+    from tessera.session import shared_path
+
+    now = scratch(spark.range(3), "gone")
+    assert now.count() == 3 and glob.glob(shared_path(spark, "llm", "gone-*"))
+    clear_scratch(spark)
+    assert not glob.glob(shared_path(spark, "llm", "*"))
+
+
 def test_stages_take_empty_tables(spark):
     docs = documents(spark, SF_SMALL).limit(0)
     for _, stage in corpus_pipeline.STAGES:
