@@ -75,7 +75,10 @@ def three_way_split(
     out: str = "set",
 ) -> DataFrame:
     """Test first (``test_size`` of all rows), then validation from the rest with fraction
-    ``val_size / (1 − test_size)``; each quota by largest remainder per class."""
+    ``val_size / (1 − test_size)``; each quota by largest remainder per class.
+
+    The plan has no exchange of data rows: each row's digest is compared with its class's cut
+    digests. Rows that repeat an id share a digest and go to the same set."""
     if not (0 <= val_size < 1 and 0 < test_size < 1 and val_size + test_size < 1):
         raise ValueError("sizes must be fractions with val + test < 1")
     seed = resolve_seed(seed)
@@ -89,15 +92,31 @@ def three_way_split(
         q = _quota_table(q, grp, val_size / (1.0 - test_size), n_col="n_rest", out="q_val").drop("n_rest")
     else:
         q = q.withColumn("q_val", F.lit(0).cast("bigint"))
-    ranked = hash_row_number(staged, "_key", id_col, [grp], out="_rn", hex_digits=digits, counts=bcounts)
-    joined = _attach(ranked, q.select(grp, "q_test", "q_val"), [grp])
-    res = joined.withColumn(
-        out,
-        F.when(F.col("_rn") <= F.col("q_test"), "test")
-        .when(F.col("_rn") <= F.col("q_test") + F.col("q_val"), "val")
-        .otherwise("train"),
+    cuts = _cut_keys(staged, bcounts, digits, grp, q.select(grp, F.col("q_test").alias("_c0"), (F.col("q_test") + F.col("q_val")).alias("_c1")))
+    res = _attach(staged, cuts, [grp]).withColumn(
+        out, F.when(F.col("_key") <= F.col("_k0"), "test").when(F.col("_key") <= F.col("_k1"), "val").otherwise("train")
     )
-    return res.drop(grp, "_key", "_rn", "q_test", "q_val")
+    return res.drop(grp, "_key", "_k0", "_k1")
+
+
+def _cut_keys(staged: DataFrame, bcounts: DataFrame, digits: int, grp: str, quotas: DataFrame) -> DataFrame:
+    """``(grp, _k0, _k1)``: the digest of the last row of each quota (``_c0``, ``_c1``), null for an
+    empty one. Bucket counts tell which digest-prefix bucket holds it; only the digests of those
+    buckets (at most two per class) are ranked. The data itself is then compared with the cut,
+    without a shuffle."""
+    before = F.sum("_cnt").over(Window.partitionBy(grp).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = bcounts.withColumn("_off", F.coalesce(before, F.lit(0)))
+    both = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_c{i}").alias("c")) for i in (0, 1)])).alias("e")
+    edges = join_null_safe(offsets, quotas, [grp]).select(grp, "_bkt", "_off", "_cnt", both).where("e.c > _off AND e.c <= _off + _cnt")
+    edges = bounded_side(edges.select(grp, "_bkt", F.col("e.i").alias("_i"), (F.col("e.c") - F.col("_off")).alias("_want")))
+    narrow = staged.select(grp, "_key", F.substring("_key", 1, digits).alias("_bkt"))
+    inside = join_null_safe(narrow, edges.select(grp, "_bkt").distinct(), [grp, "_bkt"])
+    ranked = inside.withColumn("_rn", F.row_number().over(Window.partitionBy(grp, "_bkt").orderBy("_key")))
+    hits = join_null_safe(ranked, edges, [grp, "_bkt"]).where("_rn = _want")
+    found = hits.groupBy(grp).agg(*[F.max(F.when(F.col("_i") == i, F.col("_key"))).alias(f"_k{i}") for i in (0, 1)])
+    # a class whose quotas are both empty has no cut: all its rows come after
+    none = [F.lit(None).cast("string").alias(f"_k{i}") for i in (0, 1)]
+    return found.unionByName(quotas.where("_c1 = 0").select(grp, *none))
 
 
 def split_uniform(id_col: str, seed: int, *extra) -> Column:

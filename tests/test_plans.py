@@ -27,12 +27,11 @@ def test_fitted_tabular_transform_is_one_map_stage_with_pruned_scan(spark):
     assert "l_extendedprice" not in plan  # column pruning reaches the scan
 
 
-def test_split_shuffles_big_side_once_and_broadcasts_small_tables(spark):
+def test_split_has_no_exchange_and_one_broadcast_join(spark):
     e = spark.read.parquet(f"{SF_MID}/embeddings.parquet").select("vec_id", "label")
-    s = splits.three_way_split(e, "label", "vec_id", 0.2, 0.2, 42)
-    plan = _plan(s)
-    assert plan.count("BroadcastHashJoin") >= 2
-    assert "SortMergeJoin" not in plan
+    plan = _plan(splits.three_way_split(e, "label", "vec_id", 0.2, 0.2, 42))
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert plan.count("BroadcastHashJoin") == 1
 
 
 def test_packed_scoring_is_map_only(spark):
@@ -78,3 +77,16 @@ def test_reading_one_set_prunes_partitions(spark):
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(set" in plan and "(set#" in plan
     assert df.count() == 100
+
+
+def test_three_way_split_shuffles_no_data_rows(spark):
+    """The payload meets only broadcast tables; exchanges are of digests in two buckets a class."""
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("label"), F.repeat(F.lit("x"), 50).alias("payload")).cache()
+    out = splits.three_way_split(df, "label", "id", 0.2, 0.2, 42)
+    assert {r["set"]: r["count"] for r in out.groupBy("set").count().collect()} == {"test": 600, "val": 600, "train": 1800}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload" in plan and not [x for x in plan.splitlines() if "Window" in x and "payload" in x]
+    physical = out._jdf.queryExecution().executedPlan().toString()
+    data = [x for x in physical.splitlines() if "Exchange hashpartitioning" in x]
+    assert not any("payload" in x for x in data)
+    df.unpersist()
