@@ -34,14 +34,22 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
-def topic_of(folded: Column, topics: dict[str, tuple[str, ...]]) -> Column:
+def topic_of(text: Column, topics: dict[str, tuple[str, ...]]) -> Column:
     """The topic whose markers occur most often; earlier topics win ties."""
-    counts = {name: sum(((F.length(folded) - F.length(F.replace(folded, F.lit(m), F.lit("")))) / len(m) for m in markers), F.lit(0)) for name, markers in topics.items()}
-    most = F.greatest(*counts.values(), F.lit(0), F.lit(0))
-    out = F.when(most == 0, F.lit("general"))
-    for name, c in counts.items():
-        out = out.when(c == most, F.lit(name))
-    return out
+    names = F.array(*[F.lit(t) for t in topics])
+
+    def found(folded: Column) -> Column:
+        def times(m: str) -> Column:
+            return (F.octet_length(folded) - F.octet_length(F.replace(folded, F.lit(m), F.lit("")))) / len(m.encode())
+
+        return F.array(*[sum((times(m) for m in markers), F.lit(0.0)) for markers in topics.values()])
+
+    def best(counts: Column) -> Column:
+        most = F.array_max(counts)
+        return F.when(most == 0, F.lit("general")).otherwise(F.element_at(names, F.array_position(counts, most).cast("int")))
+
+    # the inner arrays bind the folded text and its counts, so each is worked out once
+    return F.element_at(F.transform(F.transform(F.array(F.lower(text)), found), best), 1)
 
 
 def fill(available: np.ndarray, target: np.ndarray, budget: float) -> np.ndarray:
@@ -111,10 +119,10 @@ def mix(
         F.struct(*docs.columns).alias("row"),
         category(F.col(source_col).cast("string"), "source").alias("source"),
         category(F.col(lang_col).cast("string"), "lang").alias("lang"),
-        F.lower(text).alias("_folded"),
-        n_tokens(text).alias("n_tokens"),
         F.xxhash64(F.col(id_col), text_hash(text_col), F.lit(seed)).alias("_draw"),
-    ).withColumn("topic", category(topic_of(F.col("_folded"), topics), "topic"))
+        # a one-row generator: what is worked out from the text is not pushed into later filters again
+        F.explode(F.array(F.struct(topic_of(text, topics).alias("topic"), n_tokens(text).alias("n_tokens")))).alias("_f"),
+    ).select("row", "source", "lang", "_draw", category(F.col("_f.topic"), "topic").alias("topic"), "_f.n_tokens")
     sums = placed.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n")).collect()  # one row per cell, bounded by the targets
     names = [sorted({*targets[m], REST}) for m in MARGINS]
     cells = np.zeros([len(x) for x in names])
