@@ -221,7 +221,7 @@ def q_train_cnn(spark, sf):
 
 
 CV_GRID = [(0.1, 0.0), (0.1, 0.1), (1.0, 0.0), (1.0, 0.1)]  # (lr, λ) in grid order, lr-major
-CV_FOLDS, CV_STEPS = 3, 2
+CV_FOLDS, CV_STEPS = 5, 2
 
 
 def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42) -> str:
