@@ -27,6 +27,7 @@ SCALES = (0.06, 0.45, 1.5, 1.5, 0.45, 0.45, 0.45)
 PAD = 50  # words of an average text that every text is padded with, so short texts vary less
 BINS = 32  # bins per unit in which medians are counted
 GROUP = ["_lang", "_source"]
+SALTS = 32  # a group's rows meet the table of estimates in so many parts, however hot the group
 
 
 def vector() -> list[Column]:
@@ -108,9 +109,17 @@ def _estimates(moments: DataFrame, d: int, scales: tuple[float, ...], weight: fl
     return moments.select(*GROUP, solve("n", "sums", "products").alias("e")).select(*GROUP, "e.mean", "e.inverse")
 
 
+def _spread(estimates: DataFrame) -> DataFrame:
+    """One copy of each group's row (there is one per group) for every salt."""
+    return estimates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def robust_distances(rows: DataFrame, scales: tuple[float, ...], share: float = 0.75, steps: int = 3, weight: float = 30.0) -> DataFrame:
     """``rows`` (``GROUP`` columns without nulls, ``x`` array of doubles) plus ``distance``: squared
     Mahalanobis distance from the group's minimum covariance determinant estimate."""
+    columns = rows.columns
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
+    key = [*GROUP, "_salt"]
     d = len(scales)
     factor = share / gamma_p((d + 2) / 2, chi2_quantile(share, d) / 2)  # consistency at the normal
     cells = rows.select(*GROUP, F.posexplode("x").alias("k", "v")).withColumn("bin", F.floor(F.col("v") * BINS))
@@ -123,16 +132,16 @@ def robust_distances(rows: DataFrame, scales: tuple[float, ...], share: float =
     now = scratch(start.select(*GROUP, F.transform("s", lambda s: s["m"]).alias("mean"), inverse.alias("inverse")), "estimates")
     at = [(i, j) for i in range(d) for j in range(i, d)]
     for _ in range(steps):
-        far = rows.join(now, GROUP).select(*GROUP, "x", _distance(d).alias("distance"))
+        far = rows.join(_spread(now), key).select(*key, "x", _distance(d).alias("distance"))
         # distances are counted in bins of a sixteenth of a doubling
         binned = far.withColumn("bin", F.floor(F.log2(F.col("distance") + 1e-6) * 16))
         limit = _quantiles(binned, GROUP, "bin", {"cut": share})
-        near = binned.join(limit, GROUP).where("bin <= cut")
+        near = binned.join(_spread(limit), key).where("bin <= cut")
         sums = [F.sum(F.col("x")[i]) for i in range(d)]
         products = [F.sum(F.col("x")[i] * F.col("x")[j]) for i, j in at]
         moments = near.groupBy(*GROUP).agg(F.count("*").alias("n"), F.array(*sums).alias("sums"), F.array(*products).alias("products"))
         now = scratch(_estimates(moments, d, scales, weight, factor), "estimates")
-    return rows.join(now, GROUP).withColumn("distance", _distance(d)).drop("mean", "inverse")
+    return rows.join(_spread(now), key).select(*columns, _distance(d).alias("distance"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", tail: float = 1e-9) -> DataFrame:
