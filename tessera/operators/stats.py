@@ -14,7 +14,7 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SELECT_BINS = 2_048  # parts per open range and round of exact quantile selection
+SELECT_BINS = 8_192  # parts per open range and round of exact quantile selection
 APPROX_ACCURACY = 20_000
 _LARGEST = sys.float_info.max
 
