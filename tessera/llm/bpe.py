@@ -6,20 +6,22 @@ token is resolved there. Tier two merges the rest: bytes in a doubly linked list
 adjacent pairs by (rank, position), so the lowest rank goes first and the leftmost on ties, in
 O(n log n) for a pre-token of any length.
 
-Between white space, the split pattern gives the same pre-tokens whatever stands around, so words
-(with the white space before them) are remembered per worker; the memory is bounded and only
-saves work. Texts with white space beyond ASCII are split as a whole.
+Pre-tokens are remembered per worker; the memory is bounded and only saves work. Texts of plain
+Latin letters, digits and marks are split by the same pattern with its Unicode classes written out
+for these characters, which Python's own ``re`` runs; all others by ``regex``.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import re
+import sys
+from array import array
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
 
-REMEMBERED = 500_000  # pre-tokens that a worker keeps at most, and half as many words
+_LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+REMEMBERED = 1_000_000  # pre-tokens that a worker keeps before it starts anew
 
 
 class PerfectHash:
@@ -85,15 +88,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ranks of one pre-token after all merges: heap over linked bytes."""
-    n = len(piece)
-    if n == 1:
-        return [ranks[piece]]
-    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # a part is piece[i:end[i]]; end[i] is the next part
-    get = ranks.get
+    n, get = len(piece), ranks.get
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # a part is piece[i:end[i]]; end[i] starts the next
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
-    heapq.heapify(heap)
+    heapify(heap)
     while heap:
-        _, i, stop = heapq.heappop(heap)
+        _, i, stop = heappop(heap)
         j = end[i]
         if j <= i or j >= n or end[j] != stop:  # a part of this pair was merged meanwhile
             continue
@@ -101,9 +101,9 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         if stop < n:
             before[stop] = i
             if (r := get(piece[i : end[stop]])) is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
+                heappush(heap, (r, i, end[stop]))
         if (p := before[i]) >= 0 and (r := get(piece[p:stop])) is not None:
-            heapq.heappush(heap, (r, p, stop))
+            heappush(heap, (r, p, stop))
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])
@@ -111,57 +111,63 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f"
+_ODD = re.compile("[^\t\n\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f]")
+_CLASSES = {"\\p{L}": LETTERS, "\\p{N}": "0-9", "\\s": " \t\n\r"}
+
+
+def plain_pattern(pattern: str) -> str | None:
+    """``pattern`` for texts without ``_ODD`` characters, or None if it has other classes."""
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        name = next((c for c in (*_CLASSES, "\\S") if pattern.startswith(c, i)), None)
+        if name == "\\S" and not inside:
+            out.append("[^ \t\n\r]")
+        elif name in _CLASSES:
+            out.append(_CLASSES[name] if inside else f"[{_CLASSES[name]}]")
+        elif pattern[i] == "\\" and pattern[i + 1 : i + 2].isalnum():
+            return None
+        else:
+            name = pattern[i : i + 2] if pattern[i] == "\\" else pattern[i]
+            inside = name == "[" or inside and name != "]"
+            out.append(name)
+        i += len(name)
+    return "".join(out)
+
+
 class Encoder:
     """Texts to packed little-endian uint32 ids."""
 
     def __init__(self, pattern: str, ranks: dict[bytes, int], table: PerfectHash):
-        self.split, self.ranks, self.table = regex.compile(pattern), ranks, table
-        self.words: dict[str, bytes] = {}
+        self.ranks, self.table = ranks, table
+        self.split = regex.compile(pattern).findall
+        plain = plain_pattern(pattern)
+        self.split_plain = re.compile(plain).findall if plain else self.split
         self.tokens: dict[str, bytes] = {}
-        self.chunks = re.compile("[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
-        self.odd = regex.compile("[^\\S \t\n\x0b\x0c\r]")
 
     def token(self, pre: str) -> bytes:
         piece = pre.encode("utf-8")
         whole = self.table.get(piece)
         ids = [whole] if whole is not None else merge(piece, self.ranks)
-        return np.array(ids, "<u4").tobytes()
-
-    def word(self, text: str) -> bytes:
-        out = []
-        for pre in self.split.findall(text):
-            got = self.tokens.get(pre)
-            if got is None:
-                got = self.token(pre)
-                if len(pre) <= 64:
-                    if len(self.tokens) >= REMEMBERED:
-                        self.tokens.clear()
-                    self.tokens[pre] = got
-            out.append(got)
-        return b"".join(out)
+        return array("I", ids).tobytes() if _LITTLE else np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not text.isascii() and self.odd.search(text):
-            return self.word(text)
-        parts, words = self.chunks.findall(text), self.words
+        parts = self.split(text) if _ODD.search(text) else self.split_plain(text)
+        tokens = self.tokens
         try:
-            return b"".join([words[p] for p in parts])
+            return b"".join(map(tokens.__getitem__, parts))
         except KeyError:
             pass
-        out = []
-        for p in parts:
-            got = words.get(p)
-            if got is None:
-                got = self.word(p)
-                if len(p) <= 64:
-                    if len(words) >= REMEMBERED // 2:
-                        words.clear()
-                    words[p] = got
-            out.append(got)
-        return b"".join(out)
+        if len(tokens) >= REMEMBERED:
+            tokens.clear()
+        long = {}  # pre-tokens of unusual length are not kept
+        for p in set(parts).difference(tokens):
+            (tokens if len(p) <= 64 else long)[p] = self.token(p)
+        return b"".join([tokens[p] if p in tokens else long[p] for p in parts]) if long else b"".join(map(tokens.__getitem__, parts))
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
+_TABLES: dict[str, np.ndarray] = {}
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -181,7 +187,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     key = (path, pattern)
 
     @F.pandas_udf("binary")
-    def ids(texts):
+    def ids(texts: pd.Series) -> pd.Series:
         enc = _ENCODERS.get(key)
         if enc is None:
             ranks, table = vocab.value
@@ -196,11 +202,13 @@ def decode(ids: Column, spark: SparkSession, path: str) -> Column:
     vocab = vocabulary(spark, path)
 
     @F.pandas_udf("binary")
-    def text(packed):
-        ranks, _ = vocab.value
-        table: list = [None] * (max(ranks.values()) + 1)
-        for t, r in ranks.items():
-            table[r] = t
-        return packed.map(lambda b: b"".join([table[i] for i in np.frombuffer(b, "<u4").tolist()]))
+    def text(packed: pd.Series) -> pd.Series:
+        table = _TABLES.get(path)
+        if table is None:
+            ranks, _ = vocab.value
+            table = _TABLES[path] = np.full(max(ranks.values()) + 1, None, object)
+            for t, r in ranks.items():
+                table[r] = t
+        return packed.map(lambda b: b"".join(table[np.frombuffer(b, "<u4")].tolist()))
 
     return text(ids)
