@@ -78,11 +78,27 @@ def line_postings(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -
     return keyed.select(*ROW, "_text").mapInArrow(packed, _POSTING)
 
 
+def _one_per_row(batches):
+    """Sorted postings without those equal to the one before in hash and row key (repeated rows of the
+    input). Ranges are cut by these columns too, so equal ones always meet in one task."""
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = [b.column(c).to_numpy(zero_copy_only=False) for c in range(2 + len(ROW))]
+        new = np.ones(b.num_rows, bool)
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        new[0] = last != [k[0] for k in keys]
+        last = [k[-1] for k in keys]
+        if new.any():
+            yield b if new.all() else b.filter(pa.array(new))
+
+
 _STREAMED = "kind string, h1 long, h2 long, _row_id long, _row_null boolean, _row_hash long, n_lines int, at binary, n long, lead boolean"
 
 
 def stream_runs(postings: DataFrame, min_docs: int) -> DataFrame:
-    """Stream the sorted runs. ``kind`` is 'drop' (the line is in ``min_docs`` documents or more),
+    """Stream the sorted runs; a run counts distinct row keys. ``kind`` is 'drop' (the line is in ``min_docs`` documents or more),
     'open' (an undecided row at an end of the range) or 'end' (the count of a run at an end).
     ``lead`` marks the first row of a run in this range."""
 
@@ -98,7 +114,7 @@ def stream_runs(postings: DataFrame, min_docs: int) -> DataFrame:
             if edge and n < min_docs:
                 out.extend(("open", *key, *r, None, j == 0) for j, r in enumerate(held))
 
-        for b in batches:
+        for b in _one_per_row(batches):
             h1, h2 = np.asarray(b.column(0)), np.asarray(b.column(1))
             new = np.ones(len(h1), bool)
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])

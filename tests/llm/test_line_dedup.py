@@ -101,6 +101,30 @@ def test_odd_rows(spark):
     assert got(clashing(frame(spark, odd_rows())), min_docs=3) == expected
 
 
+def test_repeated_rows_are_one_document(spark):
+    """A row repeated 10 times reaches no limit alone; four copies do not lift a line of 7 documents over it."""
+    rows = [(1, "only here\nand here")] * 10 + [(2, "seven hold this\nown")] * 4 + [(i, f"seven hold this\nown {i}") for i in range(3, 9)]
+    rows += [(None, "ten hold this")] * 3 + [(i, "ten hold this") for i in range(20, 29)]
+    expected = brute(rows)
+    assert [r[2] for r in expected if r[0] in (1, 2)] == [0] * 14
+    assert [r[2] for r in expected if r[0] is None] == [1] * 3
+    for parts in (1, 7):
+        assert got(frame(spark, rows, parts)) == expected
+        named = [(29 if d is None else d, t) for d, t in rows]
+        assert got(frame(spark, named, parts), keep_first=True) == brute(named, keep_first=True)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # copies lie in several batches
+    try:
+        assert got(frame(spark, rows)) == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_pipeline_stage_keeps_repeated_rows(spark):
+    rows = [(1, "own a\nown b")] * 10
+    assert rows_of(corpus_pipeline.drop_lines(spark, frame(spark, rows), ""), "doc_id", "text") == rows
+
+
 def test_empty_table(spark):
     assert got(frame(spark, [(1, "a")]).limit(0)) == []
 
