@@ -48,21 +48,38 @@ SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "textarea", "title", "template", "noscript", "iframe", "svg")}
-_ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
 
-def _outside(name: str, attributes: str) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by lower-case name, a bare one as an empty text; the first of equal names counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or "").strip())
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        attributes.get("hidden", "no").lower() in ("", "hidden", "true")
+        or attributes.get("aria-hidden", "").lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
+
+
+def _outside(name: str, text: str) -> bool:
     if name in OUTSIDE:
         return True
-    if not attributes or name in ("html", "body", "main"):
+    if not text or name in ("html", "body", "main"):
         return False
-    for m in _ATTRIBUTE.finditer(attributes):
-        words = _WORDS.findall((m[1] or m[2] or m[3] or "").lower())
+    attributes = _attributes(text)
+    for key in ("class", "id", "role"):
+        words = _WORDS.findall(attributes.get(key, "").lower())
         if not LABELS.isdisjoint(words) or any(w.startswith(STARTS) for w in words):
             return True
-    return bool(_HIDDEN.search(attributes))
+    return _hidden(attributes)
 
 
 def lines(html: str) -> list[tuple[str, int, bool]]:

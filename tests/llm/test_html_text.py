@@ -39,6 +39,13 @@ def test_labels_in_one_word():
     assert H.main_text(f"<article><div class=cookieBanner>c</div><div id='sidebarRight'>s</div><div class='shared column'>{LONG}</div></article>") == LONG.strip()
 
 
+def test_only_hiding_attributes_hide():
+    for shown in ('style="overflow:hidden"', 'style="overflow-x: hidden"', 'data-state="not hidden"', 'aria-hidden="false"', "hidden=until-found", 'title="display:none"', 'data-style="display:none"'):
+        assert H.main_text(f"<article><div {shown}><p>{LONG}</p></div></article>") == LONG.strip(), shown
+    for gone in ("hidden", "hidden=''", "HIDDEN=hidden", 'aria-hidden="true"', 'style="color:red; DISPLAY : none !important"', "style=display:none"):
+        assert H.main_text(f"<article><div {gone}><p>gone</p></div><p>{LONG}</p></article>") == LONG.strip(), gone
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, "own"), (1, "u", PAGE, "own"), (None, None, None, None), (2, "v", "", "own")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
