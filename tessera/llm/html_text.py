@@ -1,7 +1,8 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped to one line per block element; lines inside menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are empty, and so is everything outside
+notices, adverts, forms, scripts, styles and reader comments are empty (a class, id or role names them;
+never one that holds the article or most of the text), and so is everything outside
 an ``article`` or ``main`` element where a page has one. Text lengths are summed over windows of
 ``WINDOW`` lines. A surge is where a window's sum rises from zero, a dive where it falls back to
 zero; the text between a surge and its dive is kept if some window between them reaches ``PEAK``
@@ -41,8 +42,10 @@ LABELS = frozenset(
     "gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination popup promo promotion related "
     "replies reply share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
-#: Words of attributes that begin with one of these count as well (cookieBanner, sidebarRight).
+#: Names that begin with one of these count as well (commentlist, sidebarright).
 STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "navigation", "newsletter", "popup", "sidebar", "sponsor")
+#: A name with one of these tells how a page is laid out or what it lacks (has-comments, no-sidebar, menu-open).
+LAYOUT = frozenset("has no non not with without hide show enable enabled disable disabled open closed collapsed expanded on off".split())
 #: An element of these ends an open one of the same name.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
@@ -50,7 +53,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z
 _RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "textarea", "title", "template", "noscript", "iframe", "svg")}
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -69,38 +72,61 @@ def _hidden(attributes: dict[str, str]) -> bool:
     )
 
 
-def _outside(name: str, text: str) -> bool:
-    if name in OUTSIDE:
-        return True
-    if not text or name in ("html", "body", "main"):
-        return False
-    attributes = _attributes(text)
-    for key in ("class", "id", "role"):
-        words = _WORDS.findall(attributes.get(key, "").lower())
-        if not LABELS.isdisjoint(words) or any(w.startswith(STARTS) for w in words):
+def _labelled(attributes: dict[str, str]) -> bool:
+    """Whether a class, id or role is a label or begins or ends with one (cookie-notice, siteFooter)."""
+    for name in " ".join(attributes.get(key, "") for key in ("class", "id", "role")).split():
+        parts = [p.lower() for p in _PARTS.findall(name)]
+        if not LAYOUT.isdisjoint(parts):
+            continue
+        if any(p in LABELS or p.startswith(STARTS) for p in (*parts[:1], *parts[-1:])):
             return True
-    return _hidden(attributes)
+    return False
+
+
+class _Label:
+    """A labelled element: ``text`` counts its characters outside links, ``own`` those in article
+    elements that it holds. ``up`` is the labelled element around it, ``article`` the article."""
+
+    def __init__(self, up: _Label | None, article: int):
+        self.up, self.article = up, article
+        self.text = self.own = 0
+        self.main = self.gone = False
+
+
+def _judge(labels: list[_Label], total: int, articles: int) -> None:
+    """Mark the labelled elements that drop out: not those with a main element, with half of the
+    page's article text, or with most of the page's text when no article elsewhere has much."""
+    for e in reversed(labels):  # inner ones come later
+        if e.up:
+            e.up.text += e.text
+            e.up.own += e.own if e.article == e.up.article else e.text
+            e.up.main |= e.main
+    for e in labels:
+        stays = e.main or 0 < articles <= 2 * e.own or (2 * e.text > total and 4 * (articles - e.own) < e.text)
+        e.gone = not stays or bool(e.up and e.up.gone)
 
 
 def lines(html: str) -> list[tuple[str, int, bool]]:
     """The page's lines: text (empty where it is outside the content), characters of it that are
     link text, and whether the line lies in an article."""
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int, int, _Label | None]] = []
+    labels: list[_Label] = []
     text: list[str] = []
-    linked = 0
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # name, outside, in article, in link
+    linked = count = 0
+    # name, outside, number of the innermost article, in link, innermost labelled element
+    stack: list[tuple[str, bool, int, bool, _Label | None]] = [("", False, 0, False, None)]
     at, end = 0, len(html)
 
     def flush():
         nonlocal linked
         line = " ".join("".join(text).split())
-        out.append((line, min(linked, len(line)), stack[-1][2]))
+        out.append((line, min(linked, len(line)), stack[-1][2], stack[-1][4]))
         text.clear()
         linked = 0
 
     def add(piece: str):
         nonlocal linked
-        _, outside, _, link = stack[-1]
+        _, outside, _, link, _ = stack[-1]
         if piece and not outside:
             piece = unescape(piece)
             text.append(piece)
@@ -129,15 +155,33 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             continue
         if name in SELF_CLOSING and stack[-1][0] == name:
             stack.pop()
-        _, outside, article, link = stack[-1]
-        outside = outside or _outside(name, m[3])
+        _, outside, article, link, label = stack[-1]
+        outside = outside or name in OUTSIDE
+        if not outside and m[3] and name not in ("html", "body", "main"):
+            attributes = _attributes(m[3])
+            outside = _hidden(attributes)
+            if not outside and name != "article" and _labelled(attributes):
+                label = _Label(label, article)
+                labels.append(label)
         if name in _RAW_END:  # their content is not markup
             close = _RAW_END[name].search(html, at)
             at = close.end() if close else end
             continue
-        stack.append((name, outside, article or (name in MAIN and not outside), link or name == "a"))
+        if name in MAIN and not outside:
+            article = count = count + 1
+            if label and name == "main":
+                label.main = True
+        stack.append((name, outside, article, link or name == "a", label))
     flush()
-    return out
+    total = articles = 0
+    for line, link, article, label in out:
+        total += len(line) - link
+        articles += len(line) - link if article else 0
+        if label:
+            label.text += len(line) - link
+            label.own += len(line) - link if article != label.article else 0
+    _judge(labels, total, articles)
+    return [("", 0, False) if label and label.gone else (line, link, bool(article)) for line, link, article, label in out]
 
 
 def main_text(html: str) -> str:

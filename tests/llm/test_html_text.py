@@ -46,6 +46,19 @@ def test_only_hiding_attributes_hide():
         assert H.main_text(f"<article><div {gone}><p>gone</p></div><p>{LONG}</p></article>") == LONG.strip(), gone
 
 
+def test_labels_never_take_the_article():
+    for around in ('class="content-with-sidebar"', 'id=page class="no-sidebar"', 'class="related-work"', 'class="site-header"'):
+        assert H.main_text(f"<body><div {around}><article><p>{LONG}</p></article></div></body>") == LONG.strip(), around
+        assert H.main_text(f"<body><div {around}><main><p>{LONG}</p></main></div></body>") == LONG.strip(), around
+    for own in ('class="post has-comments"', "class=comments", "id=related-1"):
+        assert H.main_text(f"<article {own}><p>{LONG}</p></article>") == LONG.strip(), own
+    assert H.main_text(f"<div class=related-work><p>{LONG}</p></div><p>x</p>").startswith(LONG.strip())
+    for label in ("main-nav", "siteFooter", "sidebarRight", "comments", "cookie-notice", "top-ads", "ADS"):
+        for body in (f"<div class='{label}'><p>gone {LONG}</p></div>", f"<div id='{label}'><article>gone</article></div>"):
+            assert H.main_text(f"<article><p>{LONG}</p></article>{body}") == LONG.strip(), label
+            assert H.main_text(f"<article><p>{LONG}{LONG}</p>{body}</article>") == f"{LONG}{LONG}".strip(), label
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, "own"), (1, "u", PAGE, "own"), (None, None, None, None), (2, "v", "", "own")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
