@@ -1,13 +1,15 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to one line per block element; lines inside menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are empty (a class, id or role names them;
-never one that holds the article or most of the text), and so is everything outside
-an ``article`` or ``main`` element where a page has one. Text lengths are summed over windows of
-``WINDOW`` lines. A surge is where a window's sum rises from zero, a dive where it falls back to
-zero; the text between a surge and its dive is kept if some window between them reaches ``PEAK``
-characters (inside an article every stretch counts; without one, the largest stretch stays if none
-reaches it). Lines that are mostly link text weigh nothing, so lists of links make no surge.
+Markup is stripped to one line per block element with text; a line break without text is an empty line.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are dropped
+(a class, id or role names them; never one that holds the article or most of the text), and so is everything
+outside an ``article`` or ``main`` element where a page has one. Dropped menus, headers and footers are empty
+lines, other dropped text leaves no gap. Text lengths are summed over windows of ``WINDOW`` lines. A surge is
+where a window's sum rises from zero, a dive where it falls back to zero; the text between a surge and its dive
+is kept if some window between them reaches ``PEAK`` characters, or if it lies in the same container (the
+nearest element that holds several blocks) as such text; inside an article every stretch counts; the
+largest stretch stays if none reaches ``PEAK``. Lines that are mostly link text weigh nothing, so lists of
+links make no surge.
 """
 
 from __future__ import annotations
@@ -46,6 +48,10 @@ LABELS = frozenset(
 STARTS = ("advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "navigation", "newsletter", "popup", "sidebar", "sponsor")
 #: A name with one of these tells how a page is laid out or what it lacks (has-comments, no-sidebar, menu-open).
 LAYOUT = frozenset("has no non not with without hide show enable enabled disable disabled open closed collapsed expanded on off".split())
+#: Dropped text of these sets apart what is before and after it; other dropped text leaves no gap.
+BREAKS = frozenset("nav header footer menu".split())
+#: Blocks that hold text rather than other blocks.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th tr caption figcaption summary address center".split())
 #: An element of these ends an open one of the same name.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
@@ -106,27 +112,34 @@ def _judge(labels: list[_Label], total: int, articles: int) -> None:
         e.gone = not stays or bool(e.up and e.up.gone)
 
 
-def lines(html: str) -> list[tuple[str, int, bool]]:
-    """The page's lines: text (empty where it is outside the content), characters of it that are
-    link text, and whether the line lies in an article."""
-    out: list[tuple[str, int, int, _Label | None]] = []
+def lines(html: str) -> list[tuple[str, int, int, int]]:
+    """The page's lines: text, characters of it that are link text, the number of the innermost
+    article (0 for none), and the number of the line's container. Block boundaries without text
+    make no line, nor does dropped text; line breaks and the text of ``BREAKS`` make empty ones."""
+    out: list[tuple[str, int, int, int, _Label | None]] = []
+    above, holds, boxes = [0], [0], [True]  # per element: the one around it, its lines, whether it groups blocks
     labels: list[_Label] = []
     text: list[str] = []
     linked = count = 0
-    # name, outside, number of the innermost article, in link, innermost labelled element
-    stack: list[tuple[str, bool, int, bool, _Label | None]] = [("", False, 0, False, None)]
+    apart = False  # text of BREAKS since the last line
+    # name, outside, number of the innermost article, in link, innermost labelled element, number, in BREAKS
+    stack: list[tuple[str, bool, int, bool, _Label | None, int, bool]] = [("", False, 0, False, None, 0, False)]
     at, end = 0, len(html)
 
-    def flush():
-        nonlocal linked
+    def flush(tag: str = ""):
+        nonlocal linked, apart
+        _, outside, article, _, label, element, _ = stack[-1]
         line = " ".join("".join(text).split())
-        out.append((line, min(linked, len(line)), stack[-1][2], stack[-1][4]))
+        if line or apart or (tag == "br" and not outside):
+            out.append((line, min(linked, len(line)), article, element, label))
+            holds[element] += bool(line)
         text.clear()
-        linked = 0
+        linked, apart = 0, False
 
     def add(piece: str):
-        nonlocal linked
-        _, outside, _, link, _ = stack[-1]
+        nonlocal linked, apart
+        _, outside, _, link, _, _, breaks = stack[-1]
+        apart = apart or (breaks and bool(piece.strip()))
         if piece and not outside:
             piece = unescape(piece)
             text.append(piece)
@@ -144,7 +157,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         if not name:
             continue
         if name in BLOCKS:
-            flush()
+            flush(name)
         if m[1]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
@@ -155,7 +168,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             continue
         if name in SELF_CLOSING and stack[-1][0] == name:
             stack.pop()
-        _, outside, article, link, label = stack[-1]
+        _, outside, article, link, label, element, breaks = stack[-1]
         outside = outside or name in OUTSIDE
         if not outside and m[3] and name not in ("html", "body", "main"):
             attributes = _attributes(m[3])
@@ -171,40 +184,55 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             article = count = count + 1
             if label and name == "main":
                 label.main = True
-        stack.append((name, outside, article, link or name == "a", label))
+        above.append(element)
+        holds.append(0)
+        boxes.append(name in BLOCKS and name not in LEAVES)
+        stack.append((name, outside, article, link or name == "a", label, len(above) - 1, breaks or name in BREAKS))
     flush()
+    for e in range(len(above) - 1, 0, -1):  # inner ones come later
+        holds[above[e]] += holds[e]
+    box = [0]
+    for e in range(1, len(above)):
+        box.append(e if boxes[e] and holds[e] > 1 else box[above[e]])
     total = articles = 0
-    for line, link, article, label in out:
+    for line, link, article, _, label in out:
         total += len(line) - link
         articles += len(line) - link if article else 0
         if label:
             label.text += len(line) - link
             label.own += len(line) - link if article != label.article else 0
     _judge(labels, total, articles)
-    return [("", 0, False) if label and label.gone else (line, link, bool(article)) for line, link, article, label in out]
+    return [(line, link, article, box[element]) for line, link, article, element, label in out if not (label and label.gone)]
 
 
-def main_text(html: str) -> str:
-    """Text between surge and dive points, lines joined by one space."""
-    page = lines(html)
-    confined = any(inside and line for line, _, inside in page)
-    weight = np.array([0 if confined and not inside else len(line) if inside or 2 * link <= len(line) else 0 for line, link, inside in page], np.int64)
-    if not weight.any():
-        return ""
+def _stretches(page: list[tuple[str, int, int, int]], weight: np.ndarray, always: bool) -> list[int]:
+    """Places of the lines between surge and dive points where a window reaches ``PEAK`` (with
+    ``always`` all of them), and of stretches in the same container as one of these."""
     padded = np.concatenate([np.zeros(WINDOW - 1, np.int64), weight, np.zeros(WINDOW - 1, np.int64)])
     total = np.cumsum(np.concatenate([[0], padded]))
     windows = total[WINDOW:] - total[:-WINDOW]  # window w covers the lines w - WINDOW + 1 .. w
     live = np.concatenate([[False], windows > 0, [False]])
     surges, dives = np.flatnonzero(live[1:] & ~live[:-1]), np.flatnonzero(live[:-1] & ~live[1:])
     peaks = np.array([windows[s:d].max() for s, d in zip(surges, dives)])
-    keep = peaks >= PEAK if not confined else np.ones(len(peaks), bool)
+    keep = peaks >= PEAK
     if not keep.any():
         keep[int(peaks.argmax())] = True
-    kept = []
-    for s, d in zip(surges[keep].tolist(), dives[keep].tolist()):
-        stretch = range(s, d - WINDOW + 1)  # from the first to the last line with weight
-        kept.extend(page[i][0] for i in stretch if page[i][0] and (not confined or page[i][2]))
-    return " ".join(kept)
+    # from the first to the last line with weight
+    stretches = [range(s, d - WINDOW + 1) for s, d in zip(surges.tolist(), dives.tolist())]
+    boxes = [{page[i][3] for i in stretch if weight[i]} for stretch in stretches]
+    held = set().union(*[b for b, k in zip(boxes, keep) if k])
+    return [i for stretch, b, k in zip(stretches, boxes, keep) if always or k or b & held for i in stretch]
+
+
+def main_text(html: str) -> str:
+    """Text between surge and dive points, lines joined by one space."""
+    page = lines(html)
+    confined = any(inside and line for line, _, inside, _ in page)
+    weight = np.array([0 if confined and not inside else len(line) if inside or 2 * link <= len(line) else 0 for line, link, inside, _ in page], np.int64)
+    if not weight.any():
+        return ""
+    found = _stretches(page, weight, always=confined)
+    return " ".join(page[i][0] for i in found if page[i][0] and (not confined or page[i][2]))
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

@@ -59,6 +59,18 @@ def test_labels_never_take_the_article():
             assert H.main_text(f"<article><p>{LONG}{LONG}</p>{body}</article>") == f"{LONG}{LONG}".strip(), label
 
 
+def test_short_blocks_without_article():
+    """Short blocks in elements of their own, split by adverts or far off in the same container, stay."""
+    ad = "<div class=ad>" + "<p>buy now</p>" * 9 + "</div>"
+    short = ["Subheading", "- Yes, they said.", "- No!", "The end."]
+    text = f"{LONG} Subheading - Yes, they said. - No! The end.".replace("  ", " ")
+    for between in ("", "<div></div>" * 5, ad, "<hr>", "<script>x</script><aside><p>a</p><p>b</p><p>c</p><p>d</p></aside>"):
+        wrapped = between.join(f"<div><div><p>{x}</p></div></div>" for x in [LONG, *short])
+        assert H.main_text(f"<body>{wrapped}</body>") == text, between
+    links = "<ul>" + "<li><a href=x>another page</a></li>" * 9 + "</ul>"
+    assert H.main_text(f"<body><div><h2>Head</h2>{links}<p>{LONG}</p>{links}<p>end</p></div><div>{links}<p>x</p><p>y</p></div></body>") == f"Head {LONG}end"
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, "own"), (1, "u", PAGE, "own"), (None, None, None, None), (2, "v", "", "own")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
