@@ -2,14 +2,15 @@
 
 Markup is stripped to one line per block element with text; a line break without text is an empty line.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are dropped
-(a class, id or role names them; never one that holds the article or most of the text), and so is everything
-outside an ``article`` or ``main`` element where a page has one. Dropped menus, headers and footers are empty
-lines, other dropped text leaves no gap. Text lengths are summed over windows of ``WINDOW`` lines. A surge is
-where a window's sum rises from zero, a dive where it falls back to zero; the text between a surge and its dive
-is kept if some window between them reaches ``PEAK`` characters, or if it lies in the same container (the
-nearest element that holds several blocks) as such text; inside an article every stretch counts; the
-largest stretch stays if none reaches ``PEAK``. Lines that are mostly link text weigh nothing, so lists of
-links make no surge.
+(a class, id or role names them; never one that holds the article or most of the text). Dropped menus,
+headers and footers are empty lines, other dropped text leaves no gap. Text lengths are summed over windows
+of ``WINDOW`` lines. A surge is where a window's sum rises from zero, a dive where it falls back to zero; the
+text between a surge and its dive is kept if some window between them reaches ``PEAK`` characters, or if it lies
+in the same article or container (the nearest element that holds several blocks) as such text; the largest
+stretch stays if none reaches ``PEAK``. Lines that are mostly link text weigh nothing, so lists of links make
+no surge; in an article only ``WINDOW`` or more of them in a row do (a linked title is text). Where
+``article`` and ``main`` elements hold most of the text outside links, the lines outside them make stretches
+of their own and weigh ``1 / FAR``; elsewhere all lines weigh alike.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .common import prepare, text_or_empty
 
 WINDOW = 3
 PEAK = 80
+FAR = 4  # where an article holds most of the text, lines outside it weigh a quarter
 
 #: Fixed lists: element names by role, and words of class, id and role attributes.
 BLOCKS = frozenset(
@@ -205,9 +207,11 @@ def lines(html: str) -> list[tuple[str, int, int, int]]:
     return [(line, link, article, box[element]) for line, link, article, element, label in out if not (label and label.gone)]
 
 
-def _stretches(page: list[tuple[str, int, int, int]], weight: np.ndarray, always: bool) -> list[int]:
-    """Places of the lines between surge and dive points where a window reaches ``PEAK`` (with
-    ``always`` all of them), and of stretches in the same container as one of these."""
+def _stretches(page: list[tuple[str, int, int, int]], weight: np.ndarray, largest: bool) -> list[int]:
+    """Places of the lines between surge and dive points where a window reaches ``PEAK`` (or of the
+    ``largest`` such stretch if none does), and of stretches in the same article or container."""
+    if not weight.any():
+        return []
     padded = np.concatenate([np.zeros(WINDOW - 1, np.int64), weight, np.zeros(WINDOW - 1, np.int64)])
     total = np.cumsum(np.concatenate([[0], padded]))
     windows = total[WINDOW:] - total[:-WINDOW]  # window w covers the lines w - WINDOW + 1 .. w
@@ -215,24 +219,33 @@ def _stretches(page: list[tuple[str, int, int, int]], weight: np.ndarray, always
     surges, dives = np.flatnonzero(live[1:] & ~live[:-1]), np.flatnonzero(live[:-1] & ~live[1:])
     peaks = np.array([windows[s:d].max() for s, d in zip(surges, dives)])
     keep = peaks >= PEAK
-    if not keep.any():
+    if largest and not keep.any():
         keep[int(peaks.argmax())] = True
     # from the first to the last line with weight
     stretches = [range(s, d - WINDOW + 1) for s, d in zip(surges.tolist(), dives.tolist())]
-    boxes = [{page[i][3] for i in stretch if weight[i]} for stretch in stretches]
+    boxes = [{-page[i][2] or page[i][3] for i in stretch if weight[i]} for stretch in stretches]
     held = set().union(*[b for b, k in zip(boxes, keep) if k])
-    return [i for stretch, b, k in zip(stretches, boxes, keep) if always or k or b & held for i in stretch]
+    return [i for stretch, b, k in zip(stretches, boxes, keep) if k or b & held for i in stretch]
 
 
 def main_text(html: str) -> str:
     """Text between surge and dive points, lines joined by one space."""
     page = lines(html)
-    confined = any(inside and line for line, _, inside, _ in page)
-    weight = np.array([0 if confined and not inside else len(line) if inside or 2 * link <= len(line) else 0 for line, link, inside, _ in page], np.int64)
-    if not weight.any():
+    if not page:
         return ""
-    found = _stretches(page, weight, always=confined)
-    return " ".join(page[i][0] for i in found if page[i][0] and (not confined or page[i][2]))
+    size, linked, article, _ = (np.array(c) for c in zip(*[(len(p[0]), *p[1:]) for p in page]))
+    inside, links = article > 0, 2 * linked > size
+    cuts = np.flatnonzero(np.diff(links, prepend=not links[0], append=not links[-1]))
+    lists = links & np.repeat(np.diff(cuts) >= WINDOW, np.diff(cuts))  # runs of lines that are mostly links
+    weight = np.where(np.where(inside, lists, links), 0, size)
+    if 2 * (size - linked)[inside].sum() > (size - linked).sum():
+        parts = [(inside, weight, True), (~inside, weight // FAR, False)]
+    else:
+        parts = [(np.ones(len(page), bool), weight, True)]
+    found: set[int] = set()
+    for part, weights, largest in parts:
+        found.update(i for i in _stretches(page, np.where(part, weights, 0), largest) if part[i])
+    return " ".join(page[i][0] for i in sorted(found) if page[i][0])
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

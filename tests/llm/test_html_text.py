@@ -71,6 +71,19 @@ def test_short_blocks_without_article():
     assert H.main_text(f"<body><div><h2>Head</h2>{links}<p>{LONG}</p>{links}<p>end</p></div><div>{links}<p>x</p><p>y</p></div></body>") == f"Head {LONG}end"
 
 
+def test_window_sums_decide_inside_and_outside_articles():
+    cards = "".join(f"<article><p>card {i}</p></article>" for i in range(3))
+    body = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    assert LONG + LONG.strip() in H.main_text(f"<body>{body}{cards}</body>")
+    teasers = "".join(f"<article><p>{LONG}</p></article>" for _ in range(4))
+    prose = "<div>" + f"<p>{LONG}</p>" * 3 + "</div>"  # most of the text is in teasers, yet the body stays
+    assert len(H.main_text(f"<body>{prose}{teasers}</body>")) == 7 * len(LONG) - 1
+    links = "<ul>" + "<li><a href=x>another page</a></li>" * 9 + "</ul>"
+    page = f"<body><p>tagline</p><article><h1><a href=y>Title</a></h1><p>{LONG}</p>{links}<p>end</p></article><p>small print</p></body>"
+    assert H.main_text(page) == f"Title {LONG}end"
+    assert H.main_text("<article><p>short</p></article>") == "short"
+
+
 def test_rows(spark):
     rows = [(1, "u", PAGE, "own"), (1, "u", PAGE, "own"), (None, None, None, None), (2, "v", "", "own")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
