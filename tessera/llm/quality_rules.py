@@ -6,8 +6,10 @@ quartile ranges, the ``share`` of rows with the smallest distances gives the nex
 covariance, ``steps`` times. Rows whose Mahalanobis distance exceeds the chi-square cutoff are
 rejected. Everything is grouped sums, grouped counts of fixed bins, and joins with the table of
 estimates: no group is gathered, however large. The covariance is regularised towards fixed scales
-that weigh as much as ``weight`` rows, so statistics that hardly vary, and small groups, stay
-well-conditioned.
+that weigh as much as ``weight`` rows, and never falls below half of each fixed scale, so statistics
+that hardly vary, and small groups, stay well-conditioned. The floor does not shrink with the group:
+most documents have no symbols or repeats at all, and in a large group their own variance would make
+outliers of the clean documents that have some.
 """
 
 from __future__ import annotations
@@ -144,13 +146,14 @@ def robust_distances(rows: DataFrame, scales: tuple[float, ...], share: float =
     return rows.join(_spread(now), key).select(*columns, _distance(d).alias("distance"))
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", tail: float = 1e-9) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", tail: float = 1e-4) -> DataFrame:
     """``(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance,
     kept)`` per input row.
 
     ``base_failed``: fewer than 10 words, or over 20 % of the words in repeated 5-word windows.
     ``kept`` is false for those and for rows beyond the chi-square quantile of ``1 - tail``; rows that
-    fail the base rules take no part in the estimates. Null texts count as empty, null languages and
+    fail the base rules take no part in the estimates. Repeated words alone stay within the cutoff up to
+    their base limit; each other statistic can reject by itself. Null texts count as empty, null languages and
     sources form groups of their own, null ids are returned, repeated rows repeat, an empty table
     gives an empty one; other columns are not read.
     """

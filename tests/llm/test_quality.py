@@ -68,6 +68,34 @@ def test_rules_separate_junk_from_clean_documents(spark):
     assert sum(r["kept"] for r in junk) <= 0.05 * len(junk)
 
 
+def test_every_statistic_rejects_alone(spark):
+    """In a uniform group a document far off in one statistic is an outlier (repeated words have their base limit)."""
+    rng = random.Random(3)
+    vocabulary = [a + b + c for a in "bdfglmn" for b in "aeiou" for c in ("r", "st", "ng", "lla", "men")]
+
+    def lines(n, tail="", change=lambda w: w):
+        return "\n".join(" ".join(change(rng.choice(vocabulary) + tail + str(rng.randrange(10**4))) for _ in range(12)) for _ in range(n))
+
+    few, last, repeated = [rng.choice(vocabulary) + "1234" for _ in range(20)], None, []
+    for _ in range(2000):  # one word a line, hardly ever five in the same order
+        last = rng.choice([w for w in few if w != last])
+        repeated.append(last)
+    odd = {
+        "length": lines(80, "abcdefghijk"),
+        "symbols": lines(80, change=lambda w: w + "#"),
+        "lines": "\n".join(repeated),
+        "words": lines(60) + "\n" + lines(10) * 3,
+        "upper": lines(80, change=str.upper),
+        "bang": lines(80, change=lambda w: w + "!"),
+        "adjacent": lines(80, change=lambda w: f"{w} {w}"),
+    }
+    plain = [(i, lines(16)) for i in range(1200)]
+    got = {r["id"]: r for r in R.quality_rules(frame(spark, plain + list(enumerate(odd.values(), 5000)))).collect()}
+    assert all(got[i]["kept"] for i, _ in plain)
+    verdicts = {k: (got[i]["kept"], got[i]["base_failed"]) for i, k in enumerate(odd, 5000)}
+    assert verdicts == {k: (False, k == "words") for k in odd}
+
+
 def numpy_distances(x, scales, share=0.75, steps=3, weight=30.0):
     """The estimate of one group, straightforwardly."""
     d, n = x.shape[1], len(x)
