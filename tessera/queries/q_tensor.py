@@ -12,6 +12,7 @@ from ..functions.numeric import r6
 from ..operators import grads as G
 from ..operators import metrics
 from ..operators import tensor as T
+from ..operators.quality import probability_sums
 from ..plans import kernels as K
 from ..plans.scoring import feature_maps, score
 from ..sources.tables import read_table
@@ -344,6 +345,18 @@ def q_net_forward_mlp(spark, sf):
     return s.select("id", F.posexplode("probs").alias("j", "p")).select("id", F.col("j").cast("bigint").alias("j"), r6("p").alias("p"))
 
 
+@register(
+    "dq_probabilities",
+    f"""WITH {MLP},
+per AS (SELECT id, bool_or(p IS NULL OR NOT isfinite(p) OR p < 0 OR p > 1) OR abs(sum(p) - 1) > 1e-6 AS off FROM probs GROUP BY id)
+SELECT count(*) AS n_rows, count_if(coalesce(off, TRUE))::BIGINT AS n_off FROM embeddings LEFT JOIN per ON id = vec_id""",
+)
+def q_dq_probabilities(spark, sf):
+    """Softmax-sum check of the predicted probabilities of all rows."""
+    layers, params = _mlp_net()
+    return probability_sums(score(_emb(spark, sf), layers, params, (64,), keep=["id"]), "probs")
+
+
 def _pred_sql(net: str) -> str:
     return f"""WITH {net},
 rk AS (SELECT id, j, row_number() OVER (PARTITION BY id ORDER BY p DESC, j) AS r FROM probs)

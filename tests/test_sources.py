@@ -146,3 +146,28 @@ def test_images_are_decoded_once(spark, image_dir, tmp_path):
         (tmp_path / "k" / f"{i}.png").write_bytes(encode_png(np.zeros((2, 2), np.uint8)))
     plan = prepare_image_sets(spark, str(tmp_path), (2, 2), stratify=False)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_probability_sums_report_bad_vectors(spark):
+    from tessera.operators.quality import probability_sums
+
+    nan, inf = float("nan"), float("inf")
+    good = [[0.25, 0.75], [1.0, 0.0], [0.1] * 10]
+    bad = [None, [], [0.5, 0.4], [1.5, -0.5], [nan, 1.0], [inf, 0.0], [None, 1.0]]
+    df = spark.createDataFrame([(p,) for p in good + bad], "probs array<double>")
+    assert tuple(probability_sums(df, "probs").first()) == (10, 7)
+
+
+def test_predicted_probabilities_are_checked(spark, monkeypatch):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    from tessera.queries import q_tensor
+
+    from .conftest import SF_SMALL
+
+    rows, off = E.queries()["dq_probabilities"](spark, SF_SMALL).first()
+    assert rows > 0 and off == 0
+    real = q_tensor.score
+    spoilt = lambda *a, **k: real(*a, **k).withColumn("probs", F.transform("probs", lambda p: p * 1.01))
+    monkeypatch.setattr(q_tensor, "score", spoilt)
+    assert tuple(E.queries()["dq_probabilities"](spark, SF_SMALL).first()) == (rows, rows)
