@@ -63,6 +63,46 @@ def test_trigram_queries_never_miss():
     assert [bool(r.clauses()) for r in S.BASE] == [True, True, False]
 
 
+def sample(regex, rng):
+    """A random text that ``regex`` matches, made from its parsed form."""
+    kinds = re._constants
+
+    def one(items):
+        out = ""
+        for op, arg in items:
+            if op is kinds.LITERAL:
+                out += chr(arg)
+            elif op is kinds.IN:
+                kind, of = rng.choice(arg)
+                out += chr(of if kind is kinds.LITERAL else rng.randint(*of))
+            elif op is kinds.MAX_REPEAT:
+                low, high, inner = arg
+                out += "".join(one(inner) for _ in range(rng.randint(low, min(high, low + 9))))
+            elif op is kinds.SUBPATTERN:
+                out += one(arg[3])
+            elif op is kinds.BRANCH:
+                out += one(rng.choice(arg[1]))
+            else:
+                raise ValueError(op)
+        return out
+
+    return one(re._parser.parse(regex))
+
+
+def misses(rule, n=500):
+    """Whether a generated match of the rule satisfies none of its clauses."""
+    rng, clauses = random.Random(11), rule.clauses()
+    found = [sample(rule.regex, rng) for _ in range(n)]
+    assert all(re.fullmatch(rule.regex, t) for t in found)
+    return any(clauses and not any(all(g in t.lower() for g in c) for c in clauses) for t in found)
+
+
+def test_generated_matches_satisfy_the_clauses():
+    """Literals are given by hand beside each regex; no match of it may lack all of them."""
+    assert not [r.kind for r in S.BASE + S.MORE if misses(r)]
+    assert misses(S.Rule("short", r"(?:alpha|beta)=[0-9]+", ("alpha",)))  # an incomplete list is found
+
+
 def test_plan_has_no_python(spark):
     plan = S.secret_spans(frame(spark, texts()[:5]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
