@@ -6,9 +6,11 @@ token is resolved there. Tier two merges the rest: bytes in a doubly linked list
 adjacent pairs by (rank, position), so the lowest rank goes first and the leftmost on ties, in
 O(n log n) for a pre-token of any length.
 
-Pre-tokens are remembered per worker; the memory is bounded and only saves work. Texts of plain
-Latin letters, digits and marks are split by the same pattern with its Unicode classes written out
-for these characters, which Python's own ``re`` runs; all others by ``regex``.
+Pre-tokens are remembered per worker; the memory is bounded and only saves work. Plain
+texts (Latin letters, digits, marks) are cut at their spaces where the pattern allows it, and each
+distinct word of a batch is split and looked up once. Plain words are split by the same pattern with
+its Unicode classes written out for these characters, which Python's own ``re`` runs; texts with
+other characters by ``regex``, as a whole.
 """
 
 from __future__ import annotations
@@ -22,15 +24,17 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
+from .words import Recent, slices, split_at_spaces, spread
 
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-REMEMBERED = 1_000_000  # pre-tokens that a worker keeps before it starts anew
+REMEMBERED = 600_000  # pre-tokens of a generation that a worker remembers
 
 
 class PerfectHash:
@@ -135,6 +139,13 @@ def plain_pattern(pattern: str) -> str | None:
     return "".join(out)
 
 
+#: A pattern that never matches across a space (x20) between two characters that are not white space,
+#: and always begins a match there: texts can be cut at such spaces.
+CUT_AT_SPACES = "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+"
+_INK = "\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f"
+_WORD = re.compile(f"[{_INK}](?:[\t\n\r{_INK}]*[{_INK}])?")
+
+
 class Encoder:
     """Texts to packed little-endian uint32 ids."""
 
@@ -143,7 +154,8 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         plain = plain_pattern(pattern)
         self.split_plain = re.compile(plain).findall if plain else self.split
-        self.tokens: dict[str, bytes] = {}
+        self.by_word = pattern == CUT_AT_SPACES
+        self.tokens = Recent(self.token, REMEMBERED)
 
     def token(self, pre: str) -> bytes:
         piece = pre.encode("utf-8")
@@ -151,19 +163,36 @@ class Encoder:
         ids = [whole] if whole is not None else merge(piece, self.ranks)
         return array("I", ids).tobytes() if _LITTLE else np.array(ids, "<u4").tobytes()
 
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, self.split_plain(text)))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a plain word, the space before it included; none for other words."""
+        bare = word.removeprefix(" ")
+        if bare.isascii() and bare.isalpha():
+            return self.tokens[word]
+        return self._plain(word) if _WORD.fullmatch(bare) else b""
+
     def encode(self, text: str) -> bytes:
-        parts = self.split(text) if _ODD.search(text) else self.split_plain(text)
-        tokens = self.tokens
-        try:
-            return b"".join(map(tokens.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(tokens) >= REMEMBERED:
-            tokens.clear()
-        long = {}  # pre-tokens of unusual length are not kept
-        for p in set(parts).difference(tokens):
-            (tokens if len(p) <= 64 else long)[p] = self.token(p)
-        return b"".join([tokens[p] if p in tokens else long[p] for p in parts]) if long else b"".join(map(tokens.__getitem__, parts))
+        return b"".join(map(self.tokens.__getitem__, self.split(text))) if _ODD.search(text) else self._plain(text)
+
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids of each text; distinct words of plain texts are looked at once."""
+        if not self.by_word:
+            return [self.encode(t) for t in texts.to_pylist()]
+        codes, at, words = split_at_spaces(texts)
+        codes = codes.astype(np.int64)
+        heads = [words[c] for c in codes[at[:-1]].tolist()]  # no space before these
+        place = {w: len(words) + k for k, w in enumerate(dict.fromkeys(heads))}
+        codes[at[:-1]] = [place[w] for w in heads]
+        got = [self._word(" " + w) for w in words] + [self._word(w) for w in place]
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        ids, ends = spread(codes, at, sizes, np.frombuffer(b"".join(got), "<u4"))
+        odd = np.flatnonzero(np.logical_or.reduceat(sizes[codes] == 0, at[:-1])) if len(codes) else []
+        out = [ids[x:y].tobytes() for x, y in zip(ends, ends[1:])]
+        for k in odd:  # other characters, or white space beside a space: the pattern on the whole text
+            out[k] = self.encode(texts[k].as_py())
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -190,9 +219,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     def ids(texts: pd.Series) -> pd.Series:
         enc = _ENCODERS.get(key)
         if enc is None:
-            ranks, table = vocab.value
-            enc = _ENCODERS[key] = Encoder(pattern, ranks, table)
-        return texts.map(enc.encode)
+            enc = _ENCODERS[key] = Encoder(pattern, *vocab.value)
+        texts = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+        return pd.Series([x for part in slices(texts, 0) for x in enc.batch(part.column(0))], dtype=object)
 
     return docs.withColumn(out_col, ids(text_or_empty(text_col)))
 

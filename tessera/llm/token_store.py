@@ -10,6 +10,7 @@ table of lengths, finds all starts by one running sum and gathers the bytes with
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -20,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, scratch_path, text_hash, text_or_empty
+from .words import Recent, slices, split_words, spread
 
+REMEMBERED = 300_000  # words, and pre-tokens, of a generation that a worker remembers
 PAGE = 1 << 18  # tokens after which a page ends; a document never spans pages
-REMEMBERED = 1_000_000  # pre-tokens that a worker keeps before it starts anew, and half as many words
 #: Lengths (1 to 4) that each control byte stands for.
 LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.uint8)
 
@@ -52,90 +54,118 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+#: The normaliser, pre-tokeniser and model settings that ``TextEncoder`` can apply word by word.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 bytes stand for
+    themselves, the others for the letters from U+0100 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class TextEncoder:
-    """Ids of whole texts from the tokenizers library, remembered by pre-token.
+    """Ids of whole texts from the tokenizers library, by distinct word.
 
-    The vocabulary's pipeline lower-cases, splits by its pattern and merges each pre-token alone, so
-    a pre-token's ids do not depend on its text. In texts of plain Latin letters, digits and marks
-    (``PLAIN``) the pattern is applied here, and unknown pre-tokens are encoded together and told
-    apart by the ids that end a pre-token. Other texts are encoded word by word (white space always
-    ends a pre-token). The memory is bounded and only saves work.
+    White space always ends a pre-token, so a word's ids do not depend on its text. In words of plain
+    Latin letters, digits and marks the vocabulary's pattern is applied here and the library's model
+    merges each new pre-token; the library encodes all other words. A vocabulary with another
+    normaliser or pre-tokeniser than ``KNOWN`` gets whole texts encoded by the library.
     """
 
     LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0101-\u012f\u0133-\u0148\u014b-\u017e"
-    ODD = re.compile("[^\t\n\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u012f\u0132-\u0148\u014a-\u017e]|<[|]")
-    PRE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ \t\n\r0-9{LETTERS}]+")
+    ODD = re.compile("[^\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u012f\u0132-\u0148\u014a-\u017e]|<[|]")
+    PRE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(vocabulary)
-        names = self.tok.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(names.values()) + 1, bool)
-        self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
-        self.dtype = "<u2" if len(self.ends) <= 1 << 16 else "<u4"
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _one(self, text: str) -> bytes:
+        self.model = self.tok.model  # after the check below, what the library applies to a pre-token
+        self.dtype = "<u2" if max(self.tok.get_vocab(with_added_tokens=True).values()) < 1 << 16 else "<u4"
+        told = json.loads(vocabulary)
+        model = {k: v for k, v in told["model"].items() if k not in ("vocab", "merges")}
+        plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        odd_names = [t["content"] for t in told["added_tokens"] if not t["content"].startswith("<|")]
+        self.by_word = plain and not odd_names and all(told[k] == v for k, v in KNOWN.items())
+        self.letters = _byte_letters()
+        self.runs, self.words = Recent(self._run, REMEMBERED), Recent(self._word, REMEMBERED)
+
+    def _library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, self.dtype)
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(some):
-                raw, w, at = ids.tobytes(), ids.itemsize, 0
-                for p, c in zip(some, cuts):
-                    self.runs[p] = raw[at : c * w]
-                    at = c * w
-            else:
-                for p in some:
-                    self.runs[p] = self._one(p)
-
-    def _by_word(self, text: str) -> bytes:
-        out = []
-        for raw in text.encode("utf-8").split():  # bytes: ASCII white space only
-            w = raw.decode("utf-8")
-            got = self.words.get(w)
-            if got is None:
-                if len(self.words) >= REMEMBERED // 2:
-                    self.words.clear()
-                got = self.words[w] = self._one(w)
-            out.append(got)
-        return b"".join(out)
+    def _run(self, run: str) -> bytes:
+        if not run.isascii():
+            run = run.encode("utf-8").decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(run)], self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if self.ODD.search(word):
+            return self._library(word)
+        return b"".join([self.runs[x] for x in self.PRE.findall(word.lower())])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.PRE.findall(t.lower()) if not self.ODD.search(t) else None for t in texts]
-        if len(self.runs) > REMEMBERED:
-            self.runs.clear()
-        runs = self.runs
-        new = set().union(*[p for p in plain if p is not None]).difference(runs)
-        if new:
-            self._learn(list(new))
-        return [self._by_word(t) if p is None else b"".join([runs[x] for x in p]) for t, p in zip(texts, plain)]
+        """Packed ids of each text."""
+        ids, at = self.flat(pa.array(texts, pa.string()))
+        return [ids[x:y].tobytes() for x, y in zip(at, at[1:])]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row and where each text's begin (and the end)."""
+        if not self.by_word:
+            each = [self._library(t) for t in texts.to_pylist()]
+            width = np.dtype(self.dtype).itemsize
+            return np.frombuffer(b"".join(each), self.dtype), np.cumsum([0, *[len(x) // width for x in each]])
+        codes, offsets, words = split_words(texts)
+        got = [self.words[w] for w in words]
+        values = np.frombuffer(b"".join(got), self.dtype)
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // values.itemsize
+        return spread(codes, offsets, sizes, values)
 
 
 _ENCODERS: dict[int, TextEncoder] = {}
 
 
+def encoder(vocabulary: str) -> TextEncoder:
+    """The worker's encoder of a vocabulary."""
+    key = hash(vocabulary)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(vocabulary)
+    return _ENCODERS[key]
+
+
+def broadcast_vocabulary(spark: SparkSession, path: str):
+    """The vocabulary's JSON, read on the driver; as large as the vocabulary."""
+    with open(path, encoding="utf-8") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
 def tokenize(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
     """``(id, tie, n, raw)``: token count with the end id, and the zstd-compressed plain ids."""
-    with open(vocabulary_path, encoding="utf-8") as f:  # read on the driver; as large as the vocabulary
-        vocab = docs.sparkSession.sparkContext.broadcast(f.read())
+    vocab = broadcast_vocabulary(docs.sparkSession, vocabulary_path)
 
     def run(batches):
-        key = hash(vocab.value)
-        enc = _ENCODERS.get(key) or _ENCODERS.setdefault(key, TextEncoder(vocab.value))
+        enc = encoder(vocab.value)
         end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                ids = [x + end for x in enc.encode(part.column(2).to_pylist())]
+            for part in slices(b, 2):
+                ids, at = enc.flat(part.column(2))
+                raw, at = ids.tobytes(), (at * width).tolist()
+                packed = [squeeze(raw[x:y] + end) for x, y in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(x) // width for x in ids], pa.int64()), pa.array([squeeze(x) for x in ids], pa.binary())],
+                    [part.column(0), part.column(1), pa.array(np.diff(at) // width + 1), pa.array(packed, pa.binary())],
                     names=["id", "tie", "n", "raw"],
                 )
 
@@ -150,15 +180,21 @@ def _width(vocabulary_path: str) -> tuple[int, str]:
     return n, "<u2" if n <= 1 << 16 else "<u4"
 
 
+def check_end_id(vocabulary_path: str, end_id: int) -> None:
+    if not 0 <= end_id < (size := _width(vocabulary_path)[0]):
+        raise ValueError(f"end id {end_id} is not an id of the vocabulary (0 to {size - 1})")
+
+
 def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id`` and write pages and rank table below ``folder``.
 
     Documents lie in ascending id order (null ids first, ties by text hash; equal rows repeat). A
     null or empty text holds the end id alone. An empty table writes no page. Other columns are not
-    read.
+    read. An ``end_id`` that the vocabulary does not have raises ValueError.
     """
     spark = docs.sparkSession
     prepare(spark)
+    check_end_id(vocabulary_path, end_id)
     size, dtype = _width(vocabulary_path)
     raw_path = scratch_path(spark, "tokens")
     tokens = tokenize(docs, vocabulary_path, id_col, text_col, end_id)
