@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, mixing, quality_model, quality_rules, secret_scan, simhash, token_store
+from . import bpe, exact_dedup, html_text, lexical, line_dedup, mixing, packing, quality_model, quality_rules, secret_scan, simhash, spelling, token_store
 from .common import documents, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,82 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register("op11_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 4,096 tokens, with a digest of their ids."""
+    pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@register(
+    "op12_lexical_search",
+    rf"""
+WITH t AS (
+  SELECT doc_id, unnest(ts) AS term, len(ts) AS n
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS ts FROM documents)
+), p AS (SELECT doc_id, term, n, count(*) AS tf FROM t GROUP BY ALL),
+g AS (SELECT count(DISTINCT doc_id) AS docs, count(*) AS terms FROM t),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, g GROUP BY term, docs),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS term FROM benchmark
+), s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), g GROUP BY item_id, doc_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return lexical.rank_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes by the byte table ``crc`` (column t)."""
+    codes = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce({codes}, lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1]), 4294967295))"
+
+
+@register(
+    "op13_spelling",
+    rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+), per AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), h AS (
+  SELECT run, n, {_crc32_sql("(doc_id || ':' || run)")} AS h FROM per, crc
+), made AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+  SELECT word, n, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, l.n, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, w.n, l.word, l.n FROM less l JOIN words w ON l.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), judged AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form, CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS at FROM judged
+  UNION ALL SELECT way.word, form FROM way JOIN judged ON judged.word = way.at WHERE form IS NOT NULL
+)
+SELECT judged.word, judged.form, way.at AS root, judged.n, judged.n_near, judged.form_n
+FROM judged JOIN way USING (word) JOIN judged last ON last.word = way.at WHERE last.form IS NULL
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling.spelling_groups(documents(spark, sf_dir), least_length=5, least_count=3, factor=2)
