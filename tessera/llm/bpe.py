@@ -146,6 +146,13 @@ _INK = "\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f"
 _WORD = re.compile(f"[{_INK}](?:[\t\n\r{_INK}]*[{_INK}])?")
 
 
+MARKS = frozenset(".,;:!?")
+
+
+def plain_letters(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) < "\u0180")
+
+
 class Encoder:
     """Texts to packed little-endian uint32 ids."""
 
@@ -166,12 +173,13 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, self.split_plain(text)))
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a plain word, the space before it included; none for other words."""
-        bare = word.removeprefix(" ")
-        if bare.isascii() and bare.isalpha():
-            return self.tokens[word]
-        return self._plain(word) if _WORD.fullmatch(bare) else b""
+    def _word(self, space: str, word: str) -> bytes:
+        """Ids of a plain word, of the space before it too; none for other words."""
+        if plain_letters(word):
+            return self.tokens[space + word]
+        if word[-1:] in MARKS and plain_letters(word[:-1]):
+            return self.tokens[space + word[:-1]] + self.tokens[word[-1]]
+        return self._plain(space + word) if _WORD.fullmatch(word) else b""
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, self.split(text))) if _ODD.search(text) else self._plain(text)
@@ -185,7 +193,7 @@ class Encoder:
         heads = [words[c] for c in codes[at[:-1]].tolist()]  # no space before these
         place = {w: len(words) + k for k, w in enumerate(dict.fromkeys(heads))}
         codes[at[:-1]] = [place[w] for w in heads]
-        got = [self._word(" " + w) for w in words] + [self._word(w) for w in place]
+        got = [self._word(" ", w) for w in words] + [self._word("", w) for w in place]
         sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids, ends = spread(codes, at, sizes, np.frombuffer(b"".join(got), "<u4"))
         odd = np.flatnonzero(np.logical_or.reduceat(sizes[codes] == 0, at[:-1])) if len(codes) else []

@@ -112,6 +112,8 @@ class TextEncoder:
         return np.array([t.id for t in self.model.tokenize(run)], self.dtype).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha() and word.isascii():
+            return self.runs[word.lower()]
         if self.ODD.search(word):
             return self._library(word)
         return b"".join([self.runs[x] for x in self.PRE.findall(word.lower())])
