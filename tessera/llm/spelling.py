@@ -6,7 +6,8 @@ are a word's prefix; two disjoint bigrams of the prefix are its pivots, chosen b
 occur in the fewest words. An edit cannot destroy both pivots: of two words one edit apart, the one
 whose prefix ends earlier in the order (bigram, then position) has a pivot in the other's prefix, at
 the same position or moved by the difference in length. So pivots are joined with prefixes on (bigram, length, position), which
-leaves few candidates, and each candidate pair is verified by its edit distance.
+leaves few candidates. A candidate pair is verified by its letters (an edit adds and removes one at
+most) and then by its edit distance.
 """
 
 from __future__ import annotations
@@ -135,28 +136,37 @@ def choose_pivots(grams: list[tuple[int, int]], count: int) -> list[int]:
     return best[-1][count][1]
 
 
+def letter_bits(word: str) -> int:
+    """A bit for every letter that a word has (letters may share one): an edit changes two at most."""
+    bits = 0
+    for c in set(word):
+        bits |= 1 << ord(c) % 61
+    return bits
+
+
 def gram_keys(words: DataFrame, rank: dict[str, tuple[int, int]]) -> DataFrame:
-    """``(word, n, size, pivot, gram, at)``: the prefix of each word, its pivots marked. ``rank`` has each
-    bigram's place in the order and the number of words with it."""
+    """``(word, n, bits, size, pivot, gram, at)``: the prefix of each word, its pivots marked. ``rank`` has
+    each bigram's place in the order and the number of words with it."""
     shared = words.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches):
         known = shared.value
         for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 grams = sorted((known[word[i : i + Q]][0], i) for i in range(len(word) - 1))
                 # equal bigrams go by position, and an edit moves positions by one: the last one's successor belongs to it
                 last = grams[PREFIX - 1]
                 prefix = grams[:PREFIX] + [g for g in grams[PREFIX : PREFIX + 1] if g == (last[0], last[1] + 1)]
                 pivots = choose_pivots([(i, known[word[i : i + Q]][1]) for _, i in grams[:PREFIX]], EDITS + 1)
+                bits = letter_bits(word)
                 for g, i in prefix:
-                    for column, value in zip(out, (word, n, len(word), i in pivots, g, i)):
+                    for column, value in zip(out, (word, n, bits, len(word), i in pivots, g, i)):
                         column.append(value)
-            types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["word", "n", "size", "pivot", "gram", "at"])
+            types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["word", "n", "bits", "size", "pivot", "gram", "at"])
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, size int, pivot boolean, gram int, at int")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, bits long, size int, pivot boolean, gram int, at int")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -166,11 +176,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # bounded by the alphabet: at most one row per pair of letters
     counted = grams.groupBy("gram").agg(F.count("*").alias("n")).orderBy("n", "gram").collect()
     keys = scratch(gram_keys(words, {r["gram"]: (i, r["n"]) for i, r in enumerate(counted)}), "grams")
-    pivots = keys.where("pivot").select(F.col("word").alias("a"), F.col("n").alias("a_n"), "gram", "size", "at")
+    pivots = keys.where("pivot").select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("bits").alias("a_bits"), "gram", "size", "at")
     # where the bigram of a word of another length can stand: in place, or moved by the difference
     seen = "explode(array(struct(size AS size, at AS at), struct(size - 1 AS size, at AS at), struct(size + 1 AS size, at AS at), struct(size - 1 AS size, at - 1 AS at), struct(size + 1 AS size, at + 1 AS at))) AS k"
-    places = keys.selectExpr("word AS b", "n AS b_n", "gram", seen).select("b", "b_n", "gram", "k.size", "k.at")
-    met = pivots.join(places, ["gram", "size", "at"]).where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS))
+    places = keys.selectExpr("word AS b", "n AS b_n", "bits AS b_bits", "gram", seen).select("b", "b_n", "b_bits", "gram", "k.size", "k.at")
+    # most candidates already differ in more letters than the edits can change
+    close = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= 2 * EDITS
+    met = pivots.join(places, ["gram", "size", "at"]).where(close & (F.col("a") != F.col("b")) & (F.levenshtein("a", "b", EDITS) == EDITS))
     pair = F.when(F.col("a") < F.col("b"), F.struct("a", "a_n", "b", "b_n")).otherwise(F.struct(F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))
     once = met.select(pair.alias("p")).select("p.*").distinct()
     both = F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("other"), F.col("b_n").alias("other_n")), F.struct(F.col("b").alias("word"), F.col("b_n").alias("n"), F.col("a").alias("other"), F.col("a_n").alias("other_n"))))
