@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.session import shuffle_partitions
+
 from .common import prepare, scratch, scratch_path, text_hash, text_or_empty
 from .words import slices, split_words, spread
 
@@ -117,7 +119,9 @@ def build_index(docs: DataFrame, folder: str, terms: list[str] | None = None, id
     placed = counted.where(F.size("terms") > 0).select(m, "id", "terms", "tfs")
     # equal documents of a common length are dealt out by id; blocks of one m may lie in several ranges
     sorted_rows = placed.repartitionByRange("m", F.xxhash64("id", "terms")).sortWithinPartitions("m", "id")
-    sorted_rows.mapInArrow(_blocks, "m long, ids array<long>, terms array<string>, tfs array<int>, sizes array<int>, docs array<int>").write.parquet(f"{folder}/strata")
+    blocks = sorted_rows.mapInArrow(_blocks, "m long, ids array<long>, terms array<string>, tfs array<int>, sizes array<int>, docs array<int>")
+    # searching costs most in the blocks of common lengths: they are dealt out evenly
+    blocks.repartition(shuffle_partitions(spark), F.xxhash64("m", "ids")).write.parquet(f"{folder}/strata")
 
 
 class _Queries:
