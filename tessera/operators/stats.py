@@ -1,22 +1,23 @@
 """Column statistics computed as distributed aggregates.
 
 Every statistic is one aggregate job with map-side partial aggregation; only scalars (or a
-bounded list of counts) reach the driver. Exact quantiles are selected by counting rows in
-ever narrower ranges, so no task ever holds all distinct values of a column, which Spark's
-built-in exact ``percentile`` would do on a global aggregate.
+bounded list of counts) reach the driver. Exact quantiles are selected between two values of a
+mergeable sketch, so no task ever holds all distinct values of a column, which Spark's built-in
+exact ``percentile`` would do on a global aggregate.
 """
 
 from __future__ import annotations
 
 import math
-import sys
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SELECT_BINS = 8_192  # parts per open range and round of exact quantile selection
+SELECT_BINS = 8_192  # values of a bracket that exact selection collects
+SELECT_PARTS = 400  # even steps at which the sketch is asked
+SKETCH_ACCURACY = 4_000  # the sketch errs by one in so many ranks
 APPROX_ACCURACY = 20_000
-_LARGEST = sys.float_info.max
 
 
 def _finite(c: str):
@@ -69,6 +70,121 @@ def null_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
     return {c: int(row[f"z{i}"]) for i, c in enumerate(cols)}
 
 
+@dataclass
+class ColumnProfile:
+    """What one scan tells about a numeric column; ``grid`` has approximate quantiles at even steps."""
+
+    n: int
+    mean: float | None
+    low: float | None
+    high: float | None
+    grid: list[float]
+
+
+def _scan(df: DataFrame, aggs: list):
+    """The one place where selection reads the data: a global aggregate of bounded size."""
+    return df.agg(*aggs).first()
+
+
+def _sketch(x, parts: int):
+    """Approximate quantiles of ``x`` at ``parts`` even steps, both ends included (mergeable sketch)."""
+    return F.percentile_approx(x, [i / parts for i in range(parts + 1)], max(SKETCH_ACCURACY, parts))
+
+
+def profile_columns(df: DataFrame, values: dict[str, object], parts: int = SELECT_PARTS, more: list | None = None):
+    """One scan over expressions by name: ``({name: ColumnProfile}, row)``; ``more`` are further aggregates,
+    to be read from the row."""
+    aggs = list(more or [])
+    for i, x in enumerate(values.values()):
+        aggs += [F.count(x).alias(f"_n{i}"), F.avg(x).alias(f"_m{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}"), _sketch(x, parts).alias(f"_q{i}")]
+    row = _scan(df, aggs)
+    return {c: ColumnProfile(int(row[f"_n{i}"]), row[f"_m{i}"], row[f"_lo{i}"], row[f"_hi{i}"], list(row[f"_q{i}"] or [])) for i, c in enumerate(values)}, row
+
+
+@dataclass
+class _Bracket:
+    """Ranks of a column known to lie in ``low`` .. ``high``; about ``size`` values are strictly between."""
+
+    column: str
+    low: float
+    high: float
+    size: float
+    ranks: set[int]
+
+
+def _brackets(c: str, low: float, high: float, grid: list[float], n: int, ranks: dict[int, float], accuracy: int) -> list[_Bracket]:
+    """The parts of ``low`` .. ``high`` that hold the ranks; ``ranks`` has their places among ``n`` values."""
+    parts = len(grid) - 1
+    slack = 1 + math.ceil(2 * parts / accuracy)  # the sketch errs by n / accuracy ranks, at both ends
+    out: dict[tuple[float, float], _Bracket] = {}
+    for r, place in ranks.items():
+        at = place * parts / max(1, n - 1)
+        i, j = math.floor(at) - slack, math.ceil(at) + slack
+        lo, hi = grid[i] if i >= 0 else low, grid[j] if j <= parts else high
+        out.setdefault((lo, hi), _Bracket(c, lo, hi, n * (j - i + 2) / parts, set())).ranks.add(r)
+    return list(out.values())
+
+
+def select_ranks(df: DataFrame, values: dict[str, object], profiles: dict[str, ColumnProfile], ranks: dict[str, set[int]], bins: int = SELECT_BINS, parts: int = SELECT_PARTS) -> dict[str, dict[int, float]]:
+    """Exact order statistics (rank 0 is the smallest value) of profiled columns.
+
+    The profile's sketch brackets each rank between two values of the data. One scan counts the rows
+    below, at and above the ends exactly, which settles ranks at the ends and shows a bracket that
+    missed; it collects the values strictly between if they are few (``bins``), else sketches them,
+    and the next scan goes on inside. A bracket holds a few thousandths of the rows, of any
+    distribution: two scans after the profile reach a billion rows, three a trillion.
+    """
+    accuracy = max(SKETCH_ACCURACY, parts)
+    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    todo: list[_Bracket] = []
+    for c, wanted in ranks.items():
+        if wanted:
+            p = profiles[c]
+            todo += _brackets(c, p.low, p.high, p.grid, p.n, {r: r for r in wanted}, accuracy)
+    while todo:
+        aggs = []
+        for k, b in enumerate(todo):
+            x = values[b.column]
+            inside = F.when((x > F.lit(b.low)) & (x < F.lit(b.high)), x)
+            aggs += [F.count_if(x < F.lit(b.low)).alias(f"b{k}"), F.count_if(x == F.lit(b.low)).alias(f"e{k}"), F.count(inside).alias(f"i{k}"), F.count_if(x <= F.lit(b.high)).alias(f"t{k}")]
+            aggs.append(F.collect_list(inside).alias(f"v{k}") if b.size <= bins else _sketch(inside, parts).alias(f"v{k}"))
+        row = _scan(df, aggs)
+        now, todo = todo, []
+        for k, b in enumerate(now):
+            p = profiles[b.column]
+            first, within, end = row[f"b{k}"] + row[f"e{k}"], row[f"i{k}"], row[f"t{k}"]
+            inner = {r for r in b.ranks if first <= r < first + within}
+            for r in b.ranks - inner:
+                if row[f"b{k}"] <= r < first:
+                    found[b.column][r] = float(b.low)
+                elif first + within <= r < end:
+                    found[b.column][r] = float(b.high)
+                else:  # the sketch missed: look on that side of the bracket
+                    low, high, size = (p.low, b.low, row[f"b{k}"]) if r < first else (b.high, p.high, p.n - end)
+                    todo.append(_Bracket(b.column, low, high, size, {r}))
+            if not inner:
+                continue
+            got = sorted(row[f"v{k}"])
+            if b.size <= bins:
+                found[b.column].update({r: float(got[r - first]) for r in inner})
+            else:
+                todo += _brackets(b.column, b.low, b.high, got, within, {r: r - first for r in inner}, accuracy)
+    return found
+
+
+def _interpolated(order: dict[int, float], n: int, p: float) -> float | None:
+    if not n:
+        return None
+    h = (n - 1) * p
+    a, b = order[math.floor(h)], order[math.ceil(h)]
+    return a if a == b else a + (b - a) * (h - math.floor(h))
+
+
+def quantile_ranks(n: int, probs: list[float]) -> set[int]:
+    """Ranks between which the quantiles of ``n`` values lie."""
+    return {r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))} if n else set()
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],
@@ -80,92 +196,21 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL ``quantile_cont``).
 
-    Selection by refinement, all columns and ranks together: one job measures count, mean and
-    range; then each round counts the rows of every open range in ``bins`` equal parts (count,
-    smallest and largest value per part, partial aggregation) and keeps the part that holds the
-    rank, until that part is a single value. Per round the driver receives at most ``bins`` rows
-    for each open range, whatever the data; the number of rounds is not limited, and each one
-    shrinks every open range. ``where`` maps a column to a predicate restricting which values
-    count. Nulls and NaNs are ignored. Returns ``{col: [q(p) for p in probs]}``; a dict passed as
-    ``means`` receives each column's mean.
+    One scan profiles all columns (``profile_columns``), then ``select_ranks`` takes the order
+    statistics between two sketched values, usually with one more scan, whatever the values' range.
+    The driver receives at most ``bins`` values for each open bracket. ``where`` maps a column to a
+    predicate restricting which values count. Nulls and NaNs are ignored. Returns
+    ``{col: [q(p) for p in probs]}``; a dict passed as ``means`` receives each column's mean.
     """
     if not cols:
         return {}
     where = where or {}
-
-    def val(c):
-        x = _finite(c)
-        return F.when(where[c], x) if c in where else x
-
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(val(c)).alias(f"n{i}"), F.min(val(c)).alias(f"lo{i}"), F.max(val(c)).alias(f"hi{i}"), F.avg(val(c)).alias(f"mu{i}")]
-    row = df.agg(*aggs).first()
-    n_of = {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
+    values = {c: F.when(where[c], _finite(c)) if c in where else _finite(c) for c in cols}
+    profiles, _ = profile_columns(df, values)
     if means is not None:
-        means.update({c: row[f"mu{i}"] for i, c in enumerate(cols)})
-    found: dict[tuple[str, int], float] = {}
-    open_: dict[tuple[str, float, float, int], set[int]] = {}  # (column, low, high, rows below) -> ranks
-    for i, c in enumerate(cols):
-        ranks = {r for p in probs for r in (math.floor((n_of[c] - 1) * p), math.ceil((n_of[c] - 1) * p))} if n_of[c] else set()
-        if ranks:
-            _keep(found, open_, c, row[f"lo{i}"], row[f"hi{i}"], 0, ranks)
-    while open_:
-        keys = list(open_)
-        parts = []
-        for k, (c, lo, hi, _) in enumerate(keys):
-            x = val(c)
-            # infinities count as the largest numbers; halves keep the width of such a range finite
-            low, high, x2 = _cap(lo), _cap(hi), _capped(x)
-            if math.isinf(high - low):
-                low, high, x2 = low / 2, high / 2, x2 / 2
-            at = (x2 - F.lit(low)) / F.lit(high - low)
-            part = F.least(F.greatest(F.floor(at * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-            parts.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(k).alias("k"), part.alias("part"), x.alias("v"))))
-        counted = (
-            df.select(F.explode(F.array_compact(F.array(*parts))).alias("s"))
-            .groupBy("s.k", "s.part")
-            .agg(F.count("*").alias("n"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi"))
-            .collect()
-        )
-        by_key: dict[int, list] = {}
-        for r in counted:
-            by_key.setdefault(r["k"], []).append((r["lo"], r["hi"], r["n"]))
-        todo, open_ = open_, {}
-        for k, key in enumerate(keys):
-            below = key[3]
-            for lo, hi, n in sorted(by_key.get(k, [])):
-                inside = {r for r in todo[key] if below <= r < below + n}
-                if inside:
-                    _keep(found, open_, key[0], lo, hi, below, inside)
-                below += n
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        out[c] = []
-        for p in probs:
-            if not n_of[c]:
-                out[c].append(None)
-                continue
-            h = (n_of[c] - 1) * p
-            a, b = found[c, math.floor(h)], found[c, math.ceil(h)]
-            out[c].append(a if a == b else a + (b - a) * (h - math.floor(h)))
-    return out
-
-
-def _keep(found, open_, c, lo, hi, below, ranks) -> None:
-    """A range of one value settles its ranks; any other stays open."""
-    if lo == hi:
-        found.update({(c, r): float(lo) for r in ranks})
-    else:
-        open_.setdefault((c, lo, hi, below), set()).update(ranks)
-
-
-def _cap(v: float) -> float:
-    return max(min(v, _LARGEST), -_LARGEST)
-
-
-def _capped(x):
-    return F.least(F.greatest(x, F.lit(-_LARGEST)), F.lit(_LARGEST))
+        means.update({c: p.mean for c, p in profiles.items()})
+    order = select_ranks(df, values, profiles, {c: quantile_ranks(p.n, probs) for c, p in profiles.items()}, bins)
+    return {c: [_interpolated(order[c], profiles[c].n, p) for p in probs] for c in cols}
 
 
 def quantiles(

@@ -1,8 +1,8 @@
 """The tabular preparation job: fit statistics step by step, then one fused projection.
 
 Order (as the reference): numeric nulls → invalid zeros → outliers → scaling; categorical
-nulls → encoding. Each fitted step is one aggregate job over the previous steps' lazy
-output; ``transform`` is a single chain of projections/filters that Catalyst collapses into
+nulls → encoding. Numeric statistics take two scans whatever the steps (``plans/profile``), the
+scaler a third, categorical ones a count of (column, value); ``transform`` is a single chain of projections/filters that Catalyst collapses into
 one whole-stage-codegen stage, so applying a fitted job to any volume is a map-only scan.
 """
 
@@ -12,8 +12,11 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import prep
+from ..operators.stats import _finite, null_counts
+from .profile import fit_categories, fit_numeric
 
 
 @dataclass
@@ -42,7 +45,8 @@ class TabularOptions:
 
 
 class TabularPrep:
-    """fit / transform for the tabular job. ``key_columns`` pass through untouched."""
+    """fit / transform for the tabular job. ``key_columns`` pass through untouched. A categorical column
+    of more than ``prep.MAX_LITERAL_LEVELS`` values becomes a sparse one-hot struct (``onehot_sparse``)."""
 
     def __init__(self, options: TabularOptions | None = None, key_columns: list[str] | None = None, cache_input: bool = True):
         self.options = options or TabularOptions()
@@ -73,24 +77,13 @@ class TabularPrep:
         f: dict = {"num": num, "cat": cat, "target": target, "target_numeric": target_numeric}
         try:
             cur = src
-            # One pass counts nulls of every column; numeric steps never drop or fill
-            # categorical values, so these counts serve both halves (a row drop can only
-            # remove nulls, which at worst makes a categorical fill a no-op).
-            from ..operators.stats import null_counts
-
-            nulls = null_counts(cur, num_treat + cat_treat)
             if num:
                 if o.numeric_nulls == "drop":
                     cur = prep.drop_null_rows(cur, num_treat)
-                    f["num_fill"] = {}
-                else:
-                    # every column gets a fill value: nulls may first come at transform
-                    f["num_fill"] = prep.fit_numeric_fill(cur, num_treat, o.numeric_nulls, None, o.approx_quantiles)
-                    f["no_nulls"] = [c for c in num_treat if not nulls.get(c)]
-                    cur = prep.apply_fill(cur, {c: v for c, v in f["num_fill"].items() if nulls.get(c)})
-                f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros, o.approx_quantiles) if o.invalid_zeros else {}
+                self._fit_numeric(cur, f, num, num_treat)
+                if o.numeric_nulls != "drop":
+                    cur = prep.apply_fill(cur, {c: v for c, v in f["num_fill"].items() if c not in f["no_nulls"]})
                 cur = prep.apply_zero_replace(cur, f["zero_med"])
-                f["fences"] = prep.fit_outliers(cur, num_treat, o.outliers, o.approx_quantiles)
                 cur = prep.apply_outliers(cur, f["fences"])
                 scale_cols = [c for c in num if c != target]
                 f["scaler"] = prep.fit_scaler(cur, scale_cols, o.scaling)
@@ -98,24 +91,36 @@ class TabularPrep:
             if cat:
                 if o.categorical_nulls == "drop":
                     cur = prep.drop_null_rows(cur, cat_treat)
-                    f["cat_fill"] = {}
-                else:
-                    f["cat_fill"] = prep.fit_categorical_fill(cur, cat_treat, o.categorical_nulls)
-                    cur = prep.apply_categorical_fill(cur, f["cat_fill"])
-                f["levels"] = {}
+                f["cat_fill"], f["levels"] = fit_categories(cur, cat, cat_treat, o.categorical_nulls)
+                cur = prep.apply_categorical_fill(cur, f["cat_fill"])
                 for c in cat:
-                    lv = prep.fit_levels(cur, c)
-                    if lv is None and (c == target or c in o.ordinal):
-                        lv = prep.level_codes(cur, c).checkpoint()  # a code table in the shared folder
-                    elif lv is None:
-                        raise ValueError(f"{c}: too many levels for one column each; list it in ordinal, or use onehot_sparse")
-                    f["levels"][c] = lv
+                    if f["levels"][c] is None:
+                        f["levels"][c] = prep.level_codes(cur, c).checkpoint()  # a code table in the shared folder
         finally:
             if own_cache:
                 src.unpersist()
         self.fitted = f
         return self
 
+    def _fit_numeric(self, cur: DataFrame, f: dict, num: list[str], treated: list[str]) -> None:
+        """Fills, zero medians and fences: all at once, or step after step for approximate quantiles."""
+        o = self.options
+        nulls = [F.count_if(_finite(c).isNull()).alias(f"_nulls_{i}") for i, c in enumerate(treated)]
+        if not o.approx_quantiles:
+            fill = "none" if o.numeric_nulls == "drop" else o.numeric_nulls
+            f["num_fill"], f["zero_med"], f["fences"], row = fit_numeric(cur, num, treated, fill, o.invalid_zeros, o.outliers, nulls)
+            f["no_nulls"] = [c for i, c in enumerate(treated) if not row[f"_nulls_{i}"]]
+            return
+        f["num_fill"] = {}
+        if o.numeric_nulls != "drop":
+            # every column gets a fill value: nulls may first come at transform
+            f["num_fill"] = prep.fit_numeric_fill(cur, treated, o.numeric_nulls, None, True)
+            found = null_counts(cur, treated)
+            f["no_nulls"] = [c for c in treated if not found.get(c)]
+            cur = prep.apply_fill(cur, {c: v for c, v in f["num_fill"].items() if found.get(c)})
+        f["zero_med"] = prep.fit_zero_medians(cur, o.invalid_zeros, True) if o.invalid_zeros else {}
+        f["fences"] = prep.fit_outliers(prep.apply_zero_replace(cur, f["zero_med"]), treated, o.outliers, True)
+
     # ------------------------------------------------------------------ transform
     def transform(self, df: DataFrame) -> DataFrame:
         if self.fitted is None:
@@ -143,7 +148,9 @@ class TabularPrep:
                     if c in o.ordinal:
                         cur = cur.withColumn(c, cur[c].cast("double"))
             onehot = [c for c in f["cat"] if c != target and c not in o.ordinal]
-            cur = prep.onehot_encode(cur, onehot, {c: f["levels"][c] for c in onehot})
+            wide = [c for c in onehot if not isinstance(f["levels"][c], list)]
+            cur = prep.onehot_sparse(cur, wide, f["levels"])
+            cur = prep.onehot_encode(cur, [c for c in onehot if c not in wide], f["levels"])
         return cur
 
     def fit_transform(self, df: DataFrame, target: str) -> DataFrame:

@@ -130,3 +130,45 @@ def test_nan_is_missing_like_pandas(spark):
     s = pd.Series(vals, dtype=float)
     assert np.isclose(moments(df, ["v"])["v"]["mean"], s.mean())
     assert np.allclose(exact_quantiles(df, ["v"], [0.25, 0.5])["v"], s.quantile([0.25, 0.5]).tolist())
+
+
+def _count_scans(monkeypatch):
+    from tessera.operators import stats
+
+    scans, scan = [], stats._scan
+    monkeypatch.setattr(stats, "_scan", lambda *a: scans.append(1) or scan(*a))
+    return scans
+
+
+def test_quantiles_take_two_scans_for_any_distribution(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    scans = _count_scans(monkeypatch)
+    data = {f"e{e}": 10.0 ** rng.uniform(-e, e, 20_000) * rng.choice([-1, 1], 20_000) for e in (3, 30, 300)}
+    data["hot"] = np.where(rng.random(20_000) < 0.5, 7.0, rng.normal(size=20_000))
+    data["few"] = rng.integers(0, 3, 20_000).astype(float)
+    df = spark.createDataFrame(pd.DataFrame(data)).repartition(8).cache()
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for bins, most in ((8192, 2), (20, 3)):
+        scans.clear()
+        got = exact_quantiles(df, list(data), probs, bins=bins)
+        assert len(scans) <= most
+        for c, v in data.items():
+            assert np.allclose(got[c], np.quantile(v, probs), rtol=1e-12, atol=0), c
+
+
+def test_a_bracket_that_misses_is_found_out(spark, monkeypatch):
+    from tessera.operators import stats
+
+    vals = [float(v) for v in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    sketch, profile = stats._sketch, stats.profile_columns
+
+    def wrong(*a, **k):
+        found, row = profile(*a, **k)
+        for p in found.values():
+            p.grid = [p.grid[0]] * 200 + p.grid[200:300] + [p.grid[-1]] * (len(p.grid) - 300)
+        return found, row
+
+    monkeypatch.setattr(stats, "profile_columns", wrong)
+    assert stats._sketch is sketch
+    assert exact_quantiles(df, ["v"], [0.1, 0.5, 0.95])["v"] == list(np.quantile(vals, [0.1, 0.5, 0.95]))

@@ -132,3 +132,48 @@ def test_fit_leaves_a_callers_cache_alone(spark):
     TabularPrep(key_columns=["rid"]).fit(df, "target")
     assert df.is_cached and df.storageLevel.useMemory
     df.unpersist()
+
+
+def test_two_scan_statistics_equal_step_by_step(spark, monkeypatch):
+    """Fills, zero medians and fences from the raw order statistics are those of fitting each step."""
+    import itertools
+    import math
+    import random
+
+    from tessera.operators import prep, stats
+    from tessera.plans.profile import fit_numeric
+
+    rng = random.Random(4)
+    rows = [tuple(rng.choice([None, 0.0, 0.0, 1.0, float(rng.randint(-3, 30)), rng.gauss(0, 1) * 10**k]) for k in range(4)) + (None,) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(4).cache()
+    cols, treated = df.columns, ["a", "b", "c", "e"]
+    scans, scan = [], stats._scan
+    monkeypatch.setattr(stats, "_scan", lambda *a: scans.append(1) or scan(*a))
+    for fill, zeros, outliers in itertools.product(("mean", "median", "none"), ([], ["a"], ["a", "c", "d", "e"]), ("keep", "mean", "median")):
+        scans.clear()
+        got = fit_numeric(df, cols, treated, fill, zeros, outliers, [])[:3]
+        assert len(scans) <= 2
+        cur, fills = df, {}
+        if fill != "none":
+            fills = prep.fit_numeric_fill(cur, treated, fill)
+            cur = prep.apply_fill(cur, fills)
+        medians = prep.fit_zero_medians(cur, zeros)
+        fences = prep.fit_outliers(prep.apply_zero_replace(cur, medians), treated, outliers)
+        for a, b in zip(got[:2], (fills, medians)):
+            assert a.keys() == b.keys()
+            assert all(a[k] == b[k] or math.isclose(a[k], b[k], rel_tol=1e-12) for k in a)
+        assert got[2].keys() == fences.keys()
+        assert all(math.isclose(got[2][c][k], fences[c][k], rel_tol=1e-12, abs_tol=1e-12) for c in fences for k in fences[c])
+
+
+def test_any_number_of_onehot_levels(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.plans.tabular import TabularOptions, TabularPrep
+
+    n = 100_001
+    df = spark.range(n).select((F.col("id") % 7).cast("double").alias("x"), F.concat(F.lit("v"), "id").alias("wide"), F.concat(F.lit("y"), F.col("id") % 3).alias("y"))
+    out = TabularPrep(TabularOptions()).fit_transform(df, "y")
+    assert dict(out.dtypes)["wide"] == "struct<index:bigint,value:double>"
+    told = out.agg(F.count("*"), F.count_distinct("wide.index"), F.min("wide.index"), F.max("wide.index"), F.sum("wide.value")).first()
+    assert tuple(told) == (n, n, 0, n - 1, float(n))
