@@ -1,10 +1,10 @@
-"""Fitted statistics of the numeric preparation steps from two scans of the raw columns.
+"""Fitted statistics of the numeric preparation steps from three scans of the raw columns.
 
 Filling nulls, replacing zeros and taking fences change a column by putting copies of one known value
 beside values that stay as they are. So no step needs a scan of the step before it: with the raw
 values' order statistics and counts of nulls and zeros, every later median and quartile is an order
-statistic of the raw values with inserted copies. The first scan profiles and counts, the second
-selects all ranks that any step can need, for whatever value the copies get.
+statistic of the raw values with inserted copies. The first scan profiles and counts, the others
+select all ranks that any step can need, for whatever value the copies get.
 """
 
 from __future__ import annotations
@@ -63,21 +63,20 @@ def shifted(ranks: set[int], counts: list[int], n: int) -> set[int]:
     return {r - s for r in ranks for s in sums if 0 <= r - s < n}
 
 
-def fit_numeric(df: DataFrame, num: list[str], treated: list[str], fill: str, zeros: list[str], outliers: str, more: list):
-    """``(fills, zero medians, fences, row)`` as by fitting step after step.
+def fit_numeric(df: DataFrame, num: list[str], treated: list[str], fill: str, zeros: list[str], outliers: str):
+    """``(fills, zero medians, fences, null counts)`` as by fitting step after step.
 
     ``treated`` columns get nulls filled by ``fill`` ("mean", "median"; "none" where rows were dropped)
     and Tukey fences if ``outliers`` is "mean" or "median" (the replacement); zeros of ``zeros``
-    become the median of the column's other values. ``more`` are further aggregates of the first
-    scan, in ``row``.
+    become the median of the column's other values.
     """
     plain = {c: _finite(c) for c in num}
     values = {c: F.when(x != 0, x) if c in zeros else x for c, x in plain.items()}
-    counts = [F.count_if(plain[c].isNull()).alias(f"_null{i}") for i, c in enumerate(num)] + [F.count_if(plain[c] == 0).alias(f"_zero{i}") for i, c in enumerate(num)] + [F.avg(plain[c]).alias(f"_avg{i}") for i, c in enumerate(num)]
-    profiles, row = profile_columns(df, values, more=more + counts)
-    nulls = {c: row[f"_null{i}"] if c in treated and fill != "none" else 0 for i, c in enumerate(num)}
-    n_zero = {c: row[f"_zero{i}"] if c in zeros else 0 for i, c in enumerate(num)}
-    average = {c: row[f"_avg{i}"] for i, c in enumerate(num)}
+    profiles, counted, rows = profile_columns(df, values, plain)
+    n_null = {c: rows - counted[c][0] for c in num}
+    nulls = {c: n_null[c] if c in treated and fill != "none" else 0 for c in num}
+    n_zero = {c: counted[c][0] - profiles[c].n for c in num}
+    average = {c: counted[c][1] for c in num}
     ranks: dict[str, set[int]] = {}
     for c in num:
         n, m, z = profiles[c].n, nulls[c], n_zero[c]
@@ -109,10 +108,10 @@ def fit_numeric(df: DataFrame, num: list[str], treated: list[str], fill: str, ze
             all_values = Multiset(raw, n, copies)
             q1, q2, q3 = [all_values.quantile(p) for p in QUARTILES]
             if q1 is not None:
-                total = (0.0 if profiles[c].mean is None else profiles[c].mean * n) + sum(v * k for v, k in copies)
-                mean = profiles[c].mean if not any(k for _, k in copies) else total / all_values.size
+                total = (average[c] or 0.0) * counted[c][0] + sum(v * k for v, k in copies)  # replaced zeros add nothing to it
+                mean = total / all_values.size if any(k for _, k in copies) else average[c]
                 fences[c] = {"lower": q1 - 1.5 * (q3 - q1), "upper": q3 + 1.5 * (q3 - q1), "centre": mean if outliers == "mean" else q2}
-    return fills, medians, fences, row
+    return fills, medians, fences, n_null
 
 
 def fit_categories(df: DataFrame, cols: list[str], treated: list[str], fill: str) -> tuple[dict, dict]:

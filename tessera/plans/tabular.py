@@ -1,8 +1,8 @@
 """The tabular preparation job: fit statistics step by step, then one fused projection.
 
 Order (as the reference): numeric nulls → invalid zeros → outliers → scaling; categorical
-nulls → encoding. Numeric statistics take two scans whatever the steps (``plans/profile``), the
-scaler a third, categorical ones a count of (column, value); ``transform`` is a single chain of projections/filters that Catalyst collapses into
+nulls → encoding. Numeric statistics take three scans whatever the steps (``plans/profile``), the
+scaler a fourth, categorical ones a count of (column, value); ``transform`` is a single chain of projections/filters that Catalyst collapses into
 one whole-stage-codegen stage, so applying a fitted job to any volume is a map-only scan.
 """
 
@@ -12,10 +12,9 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import prep
-from ..operators.stats import _finite, null_counts
+from ..operators.stats import null_counts
 from .profile import fit_categories, fit_numeric
 
 
@@ -105,11 +104,10 @@ class TabularPrep:
     def _fit_numeric(self, cur: DataFrame, f: dict, num: list[str], treated: list[str]) -> None:
         """Fills, zero medians and fences: all at once, or step after step for approximate quantiles."""
         o = self.options
-        nulls = [F.count_if(_finite(c).isNull()).alias(f"_nulls_{i}") for i, c in enumerate(treated)]
         if not o.approx_quantiles:
             fill = "none" if o.numeric_nulls == "drop" else o.numeric_nulls
-            f["num_fill"], f["zero_med"], f["fences"], row = fit_numeric(cur, num, treated, fill, o.invalid_zeros, o.outliers, nulls)
-            f["no_nulls"] = [c for i, c in enumerate(treated) if not row[f"_nulls_{i}"]]
+            f["num_fill"], f["zero_med"], f["fences"], found = fit_numeric(cur, num, treated, fill, o.invalid_zeros, o.outliers)
+            f["no_nulls"] = [c for c in treated if not found[c]]
             return
         f["num_fill"] = {}
         if o.numeric_nulls != "drop":

@@ -140,7 +140,7 @@ def _count_scans(monkeypatch):
     return scans
 
 
-def test_quantiles_take_two_scans_for_any_distribution(spark, monkeypatch):
+def test_quantiles_take_three_scans_for_any_distribution(spark, monkeypatch):
     rng = np.random.default_rng(0)
     scans = _count_scans(monkeypatch)
     data = {f"e{e}": 10.0 ** rng.uniform(-e, e, 20_000) * rng.choice([-1, 1], 20_000) for e in (3, 30, 300)}
@@ -148,7 +148,7 @@ def test_quantiles_take_two_scans_for_any_distribution(spark, monkeypatch):
     data["few"] = rng.integers(0, 3, 20_000).astype(float)
     df = spark.createDataFrame(pd.DataFrame(data)).repartition(8).cache()
     probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
-    for bins, most in ((8192, 2), (20, 3)):
+    for bins, most in ((8192, 3), (20, 6)):
         scans.clear()
         got = exact_quantiles(df, list(data), probs, bins=bins)
         assert len(scans) <= most
@@ -161,14 +161,15 @@ def test_a_bracket_that_misses_is_found_out(spark, monkeypatch):
 
     vals = [float(v) for v in range(3000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    sketch, profile = stats._sketch, stats.profile_columns
+    profile, wrong_once = stats.profile_columns, [1]
 
     def wrong(*a, **k):
-        found, row = profile(*a, **k)
-        for p in found.values():
-            p.grid = [p.grid[0]] * 200 + p.grid[200:300] + [p.grid[-1]] * (len(p.grid) - 300)
-        return found, row
+        found, *rest = profile(*a, **k)
+        if wrong_once:
+            wrong_once.pop()
+            for p in found.values():
+                p.grid = p.grid[100:300] + [p.grid[300]] * (len(p.grid) - 200)
+        return found, *rest
 
     monkeypatch.setattr(stats, "profile_columns", wrong)
-    assert stats._sketch is sketch
     assert exact_quantiles(df, ["v"], [0.1, 0.5, 0.95])["v"] == list(np.quantile(vals, [0.1, 0.5, 0.95]))
