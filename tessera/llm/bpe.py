@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
-from .words import Recent, slices, split_at_spaces, spread
+from .words import LARGE, Recent, slices, split_at_spaces, spread
 
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 REMEMBERED = 600_000  # pre-tokens of a generation that a worker remembers
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
         if enc is None:
             enc = _ENCODERS[key] = Encoder(pattern, *vocab.value)
         texts = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-        return pd.Series([x for part in slices(texts, 0) for x in enc.batch(part.column(0))], dtype=object)
+        return pd.Series([x for part in slices(texts, 0, LARGE) for x in enc.batch(part.column(0))], dtype=object)
 
     return docs.withColumn(out_col, ids(text_or_empty(text_col)))
 

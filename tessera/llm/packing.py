@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
 from .token_store import broadcast_vocabulary, check_end_id, encoder
-from .words import slices
+from .words import LARGE, slices
 
 TASK = 36  # bits of a sequence id below those of the task's number
 
@@ -120,7 +120,7 @@ def pack_documents(
         packer = Packer(capacity, group, linear, quadratic, TaskContext.get().partitionId() << TASK)
         end = np.array([end_id], enc.dtype)
         for b in batches:
-            for part in slices(b, 1):
+            for part in slices(b, 1, LARGE):
                 ids, at = enc.flat(part.column(1))
                 out = []
                 for doc_id, x, y in zip(part.column(0).to_pylist(), at, at[1:]):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import prepare, scratch_path, text_hash, text_or_empty
-from .words import Recent, slices, split_words, spread
+from .words import LARGE, Recent, slices, split_words, spread
 
 REMEMBERED = 300_000  # words, and pre-tokens, of a generation that a worker remembers
 PAGE = 1 << 18  # tokens after which a page ends; a document never spans pages
@@ -162,7 +162,7 @@ def tokenize(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str,
         end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for part in slices(b, 2):
+            for part in slices(b, 2, LARGE):
                 ids, at = enc.flat(part.column(2))
                 raw, at = ids.tobytes(), (at * width).tolist()
                 packed = [squeeze(raw[x:y] + end) for x, y in zip(at, at[1:])]

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 1 << 23  # bytes of text handled at once; a longer text is a slice of its own
+LARGE = 1 << 25  # the same where little is held for each word
+SPREAD = 1 << 19  # words dealt out at once
 LONGEST = 64  # longer words are not remembered
 
 
@@ -36,13 +38,13 @@ class Recent(dict):
         return got
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about ``SLICE`` bytes of column ``text``."""
+def slices(batch: pa.RecordBatch, text: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``most`` bytes of column ``text``."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         before = size[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(size, before + SLICE, "right")))
+        end = max(at + 1, int(np.searchsorted(size, before + most, "right")))
         yield batch.slice(at, end - at)
         at = end
 
@@ -68,8 +70,14 @@ def spread(codes: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, values: np
     """Every occurrence's values in a row, and where each text's begin: word ``c`` stands for
     ``sizes[c]`` of ``values``, which hold the words' values one after the other."""
     first = np.cumsum(sizes) - sizes
-    count = sizes[codes]
-    ends = np.cumsum(count)
-    at = np.repeat(first[codes] - (ends - count), count)
-    at += np.arange(len(at))
-    return values[at], np.concatenate([np.zeros(1, np.int64), ends])[offsets]
+    out, begins, total = [], [np.zeros(1, np.int64)], 0
+    for k in range(0, len(codes), SPREAD):
+        some = codes[k : k + SPREAD]
+        count = sizes[some]
+        ends = np.cumsum(count)
+        at = np.repeat(first[some] - (ends - count), count)
+        at += np.arange(len(at))
+        out.append(values[at])
+        begins.append(ends + total)
+        total += len(at)
+    return np.concatenate([values[:0], *out]), np.concatenate(begins)[offsets]
