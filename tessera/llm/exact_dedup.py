@@ -95,20 +95,44 @@ def fingerprint_rows(rows: DataFrame) -> DataFrame:
     return short.select(*key, "low", "high").unionByName(joined).selectExpr(*key, fp)
 
 
-def _settle(rows: DataFrame, members: DataFrame) -> DataFrame | None:
-    """Compare the rows of each (fp, size) group with its chosen row, chunk by chunk.
+HOT_SHARE = 1_000  # a group with one in so many rows is hot: there are at most as many of them
+SALTS = 64  # tasks that a hot group's chunks are dealt to
+
+
+def _hot_limit(fps: DataFrame) -> int:
+    """Rows from which a group counts as hot."""
+    return max(HOT_SHARE, fps.count() // HOT_SHARE)
+
+
+def _join_groups(rows: DataFrame, groups: DataFrame, key: list[str], n_col: str, limit: int, how: str) -> DataFrame:
+    """Join rows with one row per group: hot groups, at most ``HOT_SHARE``, by broadcast, so that no task
+    gets all rows of one; the others by shuffle."""
+    hot, cold = F.broadcast(groups.where(F.col(n_col) >= limit)), groups.where(F.col(n_col) < limit)
+    return rows.join(hot, key, how).unionByName(rows.join(hot.select(*key), key, "left_anti").join(cold, key, how))
+
+
+def _salted(rows: DataFrame, hot: DataFrame, salt) -> DataFrame:
+    """``rows`` with ``salt`` where their group is hot, 0 elsewhere."""
+    marked = rows.join(F.broadcast(hot.select("fp", "size", F.lit(True).alias("_hot"))), ["fp", "size"], "left")
+    return marked.withColumn("salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+
+
+def _settle(rows: DataFrame, members: DataFrame, hot: DataFrame) -> DataFrame | None:
+    """Compare the rows of each (fp, size) group with its chosen row, chunk by chunk; ``hot`` has the
+    groups whose chunks are dealt to ``SALTS`` tasks, each with the chosen row's.
 
     Returns ``(ROW, size, fp, level)`` of the rows that are not equal to their group's first chosen
     row, ``level`` 1 and up by round; None if there are none (no collision).
     """
     texts = rows.select(*ROW, "_text").join(members.select(*ROW, "fp").distinct(), ROW)
-    chunks = scratch(_cut(texts), "copies")
+    chunks = scratch(_salted(_cut(texts), hot, F.pmod(F.xxhash64(*ROW), F.lit(SALTS)).cast("int")), "copies")
     todo, moved, level = members.select(*ROW, "size", "fp").distinct(), None, 0
     while True:
         chosen = todo.groupBy("fp", "size").agg(F.max(F.struct(~F.col("_row_null"), *ROW)).alias("k")).select("fp", "size", *[F.col(f"k.{c}").alias(c) for c in ROW])
         mine = chunks if not level else chunks.join(todo, [*ROW, "size", "fp"], "left_semi")
         model = chunks.join(chosen, [*ROW, "size", "fp"], "left_semi").groupBy("fp", "size", "part").agg(F.max("data").alias("model"))
-        same = mine.join(model, ["fp", "size", "part"]).groupBy(*ROW, "size", "fp").agg(F.bool_and(F.col("data") == F.col("model")).alias("same"))
+        copies = _salted(model, hot, F.lit(SALTS)).withColumn("salt", F.explode(F.expr("sequence(0, greatest(salt - 1, 0))")))
+        same = mine.join(copies, ["fp", "size", "part", "salt"]).groupBy(*ROW, "size", "fp").agg(F.bool_and(F.col("data") == F.col("model")).alias("same"))
         todo = scratch(same.where("NOT same").select(*ROW, "size", "fp"), "differing")
         if todo.isEmpty():
             return moved
@@ -128,13 +152,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prepare(docs.sparkSession)
     rows = with_row_key(docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text")), "_id", text_hash("_text")).drop("_id").withColumn("sha", F.sha2(F.col("_text"), 256))
     fps = scratch(fingerprint_rows(rows.select(*ROW, "sha", "_text")), "fingerprints")
-    groups = fps.groupBy("fp", "size").agg(F.count("*").alias("n")).where("n > 1").select("fp", "size")
-    moved = _settle(rows, fps.join(groups, ["fp", "size"], "left_semi"))
+    limit = _hot_limit(fps)
+    groups = scratch(fps.groupBy("fp", "size").agg(F.count("*").alias("n")).where("n > 1"), "groups")
+    moved = _settle(rows, _join_groups(fps, groups, ["fp", "size"], "n", limit, "left_semi"), groups.where(F.col("n") >= limit))
     if moved is None:
         placed = fps.withColumn("level", F.lit(0))
     else:
         placed = fps.join(moved, [*ROW, "size", "fp"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
     key = ["fp", "size", "level"]
     real = F.when(~F.col("_row_null"), F.col("_row_id"))
-    best = placed.groupBy(*key).agg(F.max(real).alias("keep_id"), F.count("*").alias("group_size"))
-    return placed.join(best, key).select(real.alias("id"), "keep_id", "group_size", real.eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    best = scratch(placed.groupBy(*key).agg(F.max(real).alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    return _join_groups(placed, best, key, "group_size", limit, "inner").select(real.alias("id"), "keep_id", "group_size", real.eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))

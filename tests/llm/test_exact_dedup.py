@@ -67,3 +67,14 @@ def test_equal_fingerprints_with_other_bytes_part(spark, monkeypatch):
     monkeypatch.setattr(X, "fingerprint_rows", lambda rows: rows.select("_row_id", "_row_null", "_row_hash", "sha", F.octet_length("_text").cast("long").alias("size"), F.lit(7).cast("long").alias("fp")))
     rows = [(1, "aa"), (2, "bb"), (3, "aa"), (4, "cc"), (5, "bb"), (6, "a" * 100_000), (7, "a" * 99_999 + "b"), (8, "a" * 100_000), (9, "z")]
     assert rows_of(X.exact_groups(frame(spark, rows))) == brute(rows)
+
+
+def test_hot_groups_are_split(spark, monkeypatch):
+    """Groups from two rows on count as hot: broadcast groups and salted chunks give the same rows."""
+    monkeypatch.setattr(X, "HOT_SHARE", 2)
+    monkeypatch.setattr(X, "_hot_limit", lambda fps: 2)
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["a", "b " * 50_000, "c", "b " * 50_000 + "x", f"own {i}"])) for i in range(90)]
+    assert rows_of(X.exact_groups(frame(spark, rows))) == brute(rows)
+    monkeypatch.setattr(X, "fingerprint_rows", lambda rows: rows.select("_row_id", "_row_null", "_row_hash", "sha", F.octet_length("_text").cast("long").alias("size"), F.lit(7).cast("long").alias("fp")))
+    assert rows_of(X.exact_groups(frame(spark, rows))) == brute(rows)
