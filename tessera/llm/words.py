@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 1 << 23  # bytes of text handled at once; a longer text is a slice of its own
-LARGE = 1 << 25  # the same where little is held for each word
+LARGE = 1 << 24  # the same where little is held for each word
 SPREAD = 1 << 19  # words dealt out at once
 LONGEST = 64  # longer words are not remembered
 
