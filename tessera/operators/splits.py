@@ -9,6 +9,8 @@ broadcast only after its size is checked.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,6 +177,59 @@ def assign_batches(df: DataFrame, id_col: str, seed: int, epoch: int, batch_size
     return ordered.withColumn(out, ((F.col("_pos") - 1) / F.lit(batch_size)).cast("bigint")).drop("_pos")
 
 
+FEISTEL_ROUNDS = 6
+MAX_WALK = 64
+
+
+def dense_positions(df: DataFrame, id_col: str, out: str = "at") -> DataFrame:
+    """0-based position in id order: numbered once, permuted by :func:`keyed_order` for every epoch."""
+    return numeric_row_number(df, id_col, out=out).withColumn(out, (F.col(out) - 1).cast("bigint"))
+
+
+def feistel_sides(n_rows: int) -> tuple[int, int]:
+    """The smallest near-square ``a * b`` that holds ``n_rows`` positions."""
+    a = max(1, math.isqrt(max(0, n_rows - 1)) + 1)
+    return a, max(1, -(-n_rows // a))
+
+
+def keyed_order(at: str, n_rows: int, seed: int, epoch: int) -> Column:
+    """A fresh permutation of 0 .. ``n_rows - 1`` per seed and epoch, as an expression of a dense position.
+
+    A keyed Feistel network over ``a * b >= n_rows`` cells: in turn, the row of a cell moves by a digest
+    of its column and the column by a digest of its row, which any key leaves reversible. A cell
+    beyond the rows walks on until it lands inside. Fewer than ``a`` cells lie outside, so a walk
+    ends within ``MAX_WALK`` steps up to 4,096 rows, and beyond that practically always; one that
+    does not raises an error. No row moves: epochs need no shuffle.
+    """
+    a, b = feistel_sides(n_rows)
+
+    def digest(i, x):
+        text = F.concat_ws("-", F.lit(str(seed)), F.lit(str(epoch)), i.cast("string"), x.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+
+    def turn(s, i):
+        by_row = i % 2 == 0
+        return F.struct(
+            F.when(by_row, (s["r"] + digest(i, s["c"])) % a).otherwise(s["r"]).alias("r"),
+            F.when(by_row, s["c"]).otherwise((s["c"] + digest(i, s["r"])) % b).alias("c"),
+        )
+
+    def walk(x):
+        begin = F.struct(F.floor(x / b).cast("bigint").alias("r"), (x % b).alias("c"))
+        rounds = F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1))
+        return F.aggregate(rounds, begin, turn, lambda s: s["r"] * b + s["c"])
+
+    # the first step is taken from the position itself, the others only by cells outside
+    first = walk(F.col(at).cast("bigint"))
+    landed = F.aggregate(F.sequence(F.lit(1), F.lit(min(MAX_WALK, a))), first, lambda x, _: F.when(x < n_rows, x).otherwise(walk(x)))
+    return F.when(landed < n_rows, landed).otherwise(F.raise_error(F.lit("a walk of the epoch order did not end")).cast("bigint"))
+
+
+def keyed_batches(at: str, n_rows: int, seed: int, epoch: int, batch_size: int) -> Column:
+    """Batch of a dense position in the keyed epoch order; the last short batch is kept."""
+    return F.floor(keyed_order(at, n_rows, seed, epoch) / F.lit(batch_size)).cast("bigint")
+
+
 def hash_batches(df: DataFrame, id_col: str, seed: int, epoch: int, n_batches: int, out: str = "batch") -> DataFrame:
     """Scale path for mini-batches: batch = floor(u · n_batches) for a seeded per-epoch uniform u;
     no shuffle, batch sizes equal only in expectation."""

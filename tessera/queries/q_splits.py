@@ -100,6 +100,35 @@ def q_batch_assign(spark, sf):
     return splits.assign_batches(_emb(spark, sf).select("vec_id"), "vec_id", SEED, 3, 32)
 
 
+def _keyed_sql(epoch: int) -> str:
+    """The keyed epoch order: Feistel turns as nested selects, walks of outside cells by recursion."""
+
+    def digest(i: int, x: str) -> str:
+        return f"CAST(('0x' || substr(md5(concat_ws('-', '{SEED}', '{epoch}', '{i}', CAST({x} AS VARCHAR))), 1, 13)) AS BIGINT)"
+
+    def turned(source: str) -> str:
+        sql = f"SELECT vec_id, x // b AS r, x % b AS c, a, b, n FROM {source}"
+        for i in range(splits.FEISTEL_ROUNDS):
+            move = f"(r + {digest(i, 'c')}) % a AS r, c" if i % 2 == 0 else f"r, (c + {digest(i, 'r')}) % b AS c"
+            sql = f"SELECT vec_id, {move}, a, b, n FROM ({sql})"
+        return f"SELECT vec_id, r * b + c AS x, a, b, n FROM ({sql})"
+
+    return f"""
+WITH RECURSIVE g AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) + 1 AS BIGINT) AS a FROM embeddings)),
+places AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS x, a, b, n FROM embeddings, g),
+walk AS ({turned("places")} UNION ALL {turned("(SELECT * FROM walk WHERE x >= n)")})
+SELECT vec_id, CAST(x AS BIGINT) AS pos, CAST(x // 32 AS BIGINT) AS batch FROM walk WHERE x < n
+"""
+
+
+@register("epoch_order_keyed", _keyed_sql(3))
+def q_epoch_order_keyed(spark, sf):
+    """Place and batch of every row in epoch 3, without moving a row after the first numbering."""
+    e = splits.dense_positions(_emb(spark, sf).select("vec_id"), "vec_id")
+    n = e.count()
+    return e.select("vec_id", splits.keyed_order("at", n, SEED, 3).alias("pos"), splits.keyed_batches("at", n, SEED, 3, 32).alias("batch"))
+
+
 @register(
     "label_onehot",
     """

@@ -101,3 +101,27 @@ def test_null_labels_keep_their_rows(spark):
     assert nulls.count() == e.where(F.col("label").isNull()).count() and nulls.where("set = 'test'").count() > 0
     f = splits.kfold(e, "label", "vec_id", 4, 5)
     assert f.count() == 500
+
+
+def test_keyed_order_is_a_permutation_without_a_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import splits
+
+    seen = []
+    for n in (1, 2, 3, 5, 16, 17, 1000, 4099):
+        a, b = splits.feistel_sides(n)
+        assert n <= a * b < n + a
+        at = spark.range(n).withColumnRenamed("id", "at")
+        for epoch in (0, 1):
+            out = at.select("at", splits.keyed_order("at", n, 5, epoch).alias("pos"))
+            assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+            order = [r["pos"] for r in out.orderBy("at").collect()]
+            assert sorted(order) == list(range(n))
+            seen.append((n, tuple(order)))
+    big = [o for n, o in seen if n == 4099]
+    assert big[0] != big[1] and sum(x == i for i, x in enumerate(big[0])) < 30
+    moved = sum(abs(x - y) for x, y in zip(big[0], big[0][1:])) / 4098
+    assert 0.25 * 4099 < moved < 0.42 * 4099  # neighbours are a third of the length apart, as at random
+    batches = spark.range(100).select(splits.keyed_batches("id", 100, 1, 0, 32).alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()
+    assert {r["b"]: r["n"] for r in batches} == {0: 32, 1: 32, 2: 32, 3: 4}
