@@ -34,7 +34,7 @@ from .common import prepare, text_or_empty
 from .words import LARGE, Recent, slices, split_at_spaces, spread
 
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-REMEMBERED = 500_000  # pre-tokens of a generation that a worker remembers
+REMEMBERED = 300_000  # pre-tokens of a generation that a worker remembers
 
 
 class PerfectHash:
