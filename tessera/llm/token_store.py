@@ -162,7 +162,7 @@ def tokenize(docs: DataFrame, vocabulary_path: str, id_col: str, text_col: str,
         end, width = np.array([end_id], enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            for part in slices(b, 2, LARGE):
+            for part in slices(b, 2, 2 * LARGE):
                 ids, at = enc.flat(part.column(2))
                 raw, at = ids.tobytes(), (at * width).tolist()
                 packed = [squeeze(raw[x:y] + end) for x, y in zip(at, at[1:])]
