@@ -135,9 +135,10 @@ def hash_split(df: DataFrame, id_col: str, val_size: float, test_size: float, se
 
 
 def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None = 42, out: str = "fold",
-          shuffle: bool = True) -> DataFrame:
+          shuffle: bool = True, place: str | None = None) -> DataFrame:
     """Stratified k folds: ``(offset(label) + rank − 1) % k`` with ``offset`` = rows of smaller
     labels, so every fold holds a near-equal share of every class and totals differ by ≤ 1.
+    ``place`` names a column for a row's 0-based position within its fold (see :func:`fold_batches`).
 
     Rows are ranked within their class by the seeded hash (``shuffle=True``) or by ``id_col``
     (``shuffle=False``: folds follow the stored order)."""
@@ -157,7 +158,15 @@ def kfold(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int | None =
     else:
         ranked = numeric_row_number(df, id_col, [label], out="_rn")
     joined = _attach(ranked, offs, [label])
-    return joined.withColumn(out, ((F.col("_off") + F.col("_rn") - 1) % k).cast("bigint")).drop("_off", "_rn")
+    at = (F.col("_off") + F.col("_rn") - 1).cast("bigint")
+    if place is not None:
+        joined = joined.withColumn(place, quotient(at, k))
+    return joined.withColumn(out, at % k).drop("_off", "_rn")
+
+
+def quotient(x: Column, n: int) -> Column:
+    """Whole-number division of a non-negative bigint, exact at any size."""
+    return ((x - x % n) / n).cast("bigint")
 
 
 def epoch_order(df: DataFrame, id_col: str, seed: int, epoch: int, out: str = "pos", n_rows: int | None = None) -> DataFrame:
@@ -230,6 +239,42 @@ def keyed_batches(at: str, n_rows: int, seed: int, epoch: int, batch_size: int)
     return F.floor(keyed_order(at, n_rows, seed, epoch) / F.lit(batch_size)).cast("bigint")
 
 
+def fold_sizes(n_rows: int, k: int) -> list[int]:
+    """Rows per fold of :func:`kfold` over ``n_rows`` rows."""
+    return [(n_rows - r + k - 1) // k for r in range(k)]
+
+
+def fold_batch_count(n_rows: int, k: int, batch_size: int | None, batches: int | None) -> int:
+    """Batches per epoch of :func:`fold_batches`."""
+    if batches is not None or batch_size is None:
+        return max(1, min(batches or 1, n_rows // k))
+    return max(1, -(-max(fold_sizes(n_rows, k)) * (k - 1) // batch_size))
+
+
+def fold_batches(fold: str, place: str, n_rows: int, k: int, seed: int, epoch: int, batch_size: int | None = None,
+                 batches: int | None = None) -> Column:
+    """One mini-batch number per row that serves the training sets of all ``k`` folds at once.
+
+    Every fold's rows are put into a keyed order of their own (:func:`keyed_order` of the place within
+    the fold) and cut alike, so a batch holds the same number of rows of each fold. Leaving one fold
+    out leaves ``batch_size`` rows, exactly where ``k - 1`` divides it and to within a row per fold
+    elsewhere; the last batch may be short. ``batches`` asks for so many near-equal batches instead.
+    A map-only expression: no row moves between epochs, and no fold has a copy of the rows.
+    """
+    count = fold_batch_count(n_rows, k, batch_size, batches)
+    out = F.lit(0).cast("bigint")
+    if count == 1:
+        return out
+    for r, size in enumerate(fold_sizes(n_rows, k)):
+        if size == 0:
+            continue
+        pos = keyed_order(place, size, seed, epoch * k + r)
+        by_count = batches is not None or batch_size is None
+        batch = quotient(pos * count, size) if by_count else quotient(pos * (k - 1), batch_size)
+        out = F.when(F.col(fold) == r, batch).otherwise(out)
+    return out
+
+
 def hash_batches(df: DataFrame, id_col: str, seed: int, epoch: int, n_batches: int, out: str = "batch") -> DataFrame:
     """Scale path for mini-batches: batch = floor(u · n_batches) for a seeded per-epoch uniform u;
     no shuffle, batch sizes equal only in expectation."""

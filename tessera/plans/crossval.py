@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,33 +25,26 @@ def best_cell(scores: DataFrame, by: str = "single") -> DataFrame:
 
 
 def fold_table(df: DataFrame, k: int, seed: int | None, in_shape: tuple, id_col: str = "id", label_col: str = "label",
-               data_col: str = "data", fold_col: str = "fold", shuffle: bool = True):
-    """Stratified fold assignment, persisted once and right-sized for Arrow work.
-    Returns (cached table to unpersist later, table to read)."""
+               data_col: str = "data", fold_col: str = "fold", shuffle: bool = True) -> tuple[DataFrame, int]:
+    """(fold table, rows): stratified folds with each row's ``place`` in its fold, persisted once and
+    right-sized for Arrow work. The caller unpersists it."""
     from ..operators.splits import kfold
     from .training import cache_sized
 
-    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle)
-    cached, _ = cache_sized(folded, int(np.prod(in_shape)))
-    return cached, cached
+    folded = kfold(df.select(id_col, label_col, data_col), label_col, id_col, k, seed, out=fold_col, shuffle=shuffle, place="place")
+    return cache_sized(folded, int(np.prod(in_shape)))
 
 
-def _scores_on_folds(folded: DataFrame, k: int, layers, cfg, in_shape, n_classes, init, id_col, label_col, data_col,
-                     fold_col) -> list[tuple]:
-    from .training import evaluate, train_network
+def _cv(df, layers, cfgs, in_shape, n_classes, k, seed, id_col, label_col, data_col, fold_col, shuffle, init) -> list[list[tuple]]:
+    from .stacked import stacked_cv
 
-    out = []
-    for f in range(k):
-        tr = folded.where(F.col(fold_col) != f)
-        va = folded.where(F.col(fold_col) == f)
-        start = None if init is None else [None if p is None else {name: v.copy() for name, v in p.items()} for p in init]
-        res = train_network(tr, layers, cfg, in_shape, n_classes, params=start, id_col=id_col,
-                            label_col=label_col, data_col=data_col, evaluate_every=0)
-        both = tr.withColumn("_set", F.lit("train")).unionByName(va.withColumn("_set", F.lit("val")))
-        ev = evaluate(both, res.layers, res.params, in_shape, cfg.eps_mode, data_col, label_col, "_set")
-        for s in ("train", "val"):
-            out.append((f, s, float(ev[s][0]), float(ev[s][1])))
-    return out
+    folded, n_rows = fold_table(df, k, seed, in_shape, id_col, label_col, data_col, fold_col, shuffle)
+    try:
+        if n_rows == 0:
+            raise ValueError("no rows to cross-validate")
+        return stacked_cv(folded, n_rows, k, layers, cfgs, in_shape, n_classes, init, label_col, data_col, fold_col)
+    finally:
+        folded.unpersist()
 
 
 def cv_scores(
@@ -69,35 +64,20 @@ def cv_scores(
 ) -> list[tuple]:
     """Stratified k-fold: train on k−1 folds, score both sides. Returns (fold, set, loss, accuracy).
 
-    Folds come from one exact distributed rank; the fold table is persisted once and each
-    fold's train/validation sides are filters of it. ``init`` fixes the starting parameters of
-    every fold (default: a fresh seeded initialisation per fold).
+    The ``k`` models train together on mini-batches of one persisted fold table (``cfg.batch_size``,
+    ``cfg.epochs``; the reference runs 100 epochs of 32 rows): one gradient job a step for all folds
+    (:mod:`tessera.plans.stacked`). ``init`` fixes the starting parameters of every fold (default:
+    one seeded initialisation).
     """
-    cached, folded = fold_table(df, k, seed, in_shape, id_col, label_col, data_col, fold_col, shuffle)
-    try:
-        return _scores_on_folds(folded, k, layers, cfg, in_shape, n_classes, init, id_col, label_col, data_col, fold_col)
-    finally:
-        cached.unpersist()
+    return _cv(df, layers, [cfg], in_shape, n_classes, k, seed, id_col, label_col, data_col, fold_col, shuffle, init)[0]
 
 
 def cv_grid_scores(df: DataFrame, layers, base_cfg, in_shape, n_classes, lrs: list[float], lams: list[float],
                    k: int = 5, seed: int = 42, id_col: str = "id", label_col: str = "label", data_col: str = "data",
                    fold_col: str = "fold", shuffle: bool = True, init: list | None = None) -> list[tuple]:
-    """lr × λ grid of k-fold CV, grid order lr-major, on one fold table shared by all cells.
-    Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
-    from dataclasses import replace
-
-    cached, folded = fold_table(df, k, seed, in_shape, id_col, label_col, data_col, fold_col, shuffle)
-    out = []
-    try:
-        g = 0
-        for lr in lrs:
-            for lam in lams:
-                cfg = replace(base_cfg, learning_rate=lr, lam=lam)
-                for fold, s_, loss, acc in _scores_on_folds(folded, k, layers, cfg, in_shape, n_classes, init,
-                                                            id_col, label_col, data_col, fold_col):
-                    out.append((g, lr, lam, fold, s_, loss, acc))
-                g += 1
-    finally:
-        cached.unpersist()
-    return out
+    """lr × λ grid of k-fold CV, grid order lr-major, on one fold table and one gradient job a step
+    for all cells and folds. Rows: (grid_idx, lr, lambda, fold, set, loss, accuracy)."""
+    grid = [(lr, lam) for lr in lrs for lam in lams]
+    cfgs = [replace(base_cfg, learning_rate=lr, lam=lam) for lr, lam in grid]
+    got = _cv(df, layers, cfgs, in_shape, n_classes, k, seed, id_col, label_col, data_col, fold_col, shuffle, init)
+    return [(g, lr, lam, *row) for g, ((lr, lam), rows) in enumerate(zip(grid, got)) for row in rows]

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
-from ..operators.splits import three_way_split
+from ..operators.splits import FEISTEL_ROUNDS, three_way_split
 from ..plans import kernels as K
 from ..plans.crossval import best_cell, cv_grid_scores, cv_scores
 from ..plans.scoring import score
@@ -221,13 +221,37 @@ def q_train_cnn(spark, sf):
 
 
 CV_GRID = [(0.1, 0.0), (0.1, 0.1), (1.0, 0.0), (1.0, 0.1)]  # (lr, λ) in grid order, lr-major
-CV_FOLDS, CV_STEPS = 5, 2
+CV_FOLDS, CV_EPOCHS, CV_BATCHES = 5, 2, 5
+
+
+def _fold_batches_sql(k: int, epochs: int, batches: int, seed: int) -> list[str]:
+    """CTEs of the keyed mini-batches: every fold's places permuted by Feistel turns (cells outside
+    walk on by recursion), cut into ``batches`` near-equal parts."""
+
+    def digest(i: int, x: str) -> str:
+        return f"CAST(('0x' || substr(md5(concat_ws('-', '{seed}', CAST(key AS VARCHAR), '{i}', CAST({x} AS VARCHAR))), 1, 13)) AS BIGINT)"
+
+    def turned(source: str) -> str:
+        keep = "id, e, key, a, b, n"
+        sql = f"SELECT {keep}, x // b AS r, x % b AS c FROM {source}"
+        for i in range(FEISTEL_ROUNDS):
+            move = f"(r + {digest(i, 'c')}) % a AS r, c" if i % 2 == 0 else f"r, (c + {digest(i, 'r')}) % b AS c"
+            sql = f"SELECT {keep}, {move} FROM ({sql})"
+        return f"SELECT {keep}, r * b + c AS x FROM ({sql})"
+
+    return [
+        f"fsz AS (SELECT fold, n, a, (n + a - 1) // a AS b FROM (SELECT fold, count(*) AS n, CAST(floor(sqrt(count(*) - 1)) + 1 AS BIGINT) AS a FROM folds GROUP BY fold))",
+        f"places AS (SELECT id, e, e * {k} + fold AS key, place AS x, a, b, n FROM folds JOIN fsz USING (fold), "
+        f"(SELECT unnest(range({epochs})) AS e))",
+        f"walk AS ({turned('places')} UNION ALL {turned('(SELECT * FROM walk WHERE x >= n)')})",
+        f"bt AS (SELECT id, e, CAST((x * {batches}) // n AS BIGINT) AS batch FROM walk WHERE x < n)",
+    ]
 
 
-def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42) -> str:
-    """SQL of k-fold CV for a softmax-regression MLP: ``steps`` full-batch MLP steps (mean
-    gradient + λW/m) per (grid cell, fold) from the formula weights, then loss (−ln(p+ε)) and
-    accuracy on the training folds and on the held-out fold."""
+def _cv_sql(grid: list[tuple[float, float]], k: int, epochs: int, batches: int, seed: int = 42) -> str:
+    """SQL of k-fold CV for a softmax-regression MLP: ``epochs`` passes of ``batches`` mini-batch MLP
+    steps (mean gradient + λW/m) per (grid cell, fold) from the formula weights, then loss
+    (−ln(p+ε)) and accuracy on the training folds and on the held-out fold."""
     f = lambda v: f"CAST('{float(v)!r}' AS DOUBLE)"
     values = ", ".join(f"({g}, {f(lr)}, {f(lam)})" for g, (lr, lam) in enumerate(grid))
     ctes = [
@@ -238,19 +262,21 @@ def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42)
         "cnt AS (SELECT label, count(*) AS n FROM lab GROUP BY label)",
         "off AS (SELECT label, coalesce(sum(n) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM cnt)",
         f"rk AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws('-', '{seed}', CAST(id AS VARCHAR))), id) AS rn FROM lab)",
-        f"folds AS (SELECT id, label, CAST((o + rn - 1) % {k} AS BIGINT) AS fold FROM rk JOIN off USING (label))",
+        f"folds AS (SELECT id, label, CAST((o + rn - 1) % {k} AS BIGINT) AS fold, CAST((o + rn - 1) // {k} AS BIGINT) AS place FROM rk JOIN off USING (label))",
+        *_fold_batches_sql(k, epochs, batches, seed),
         f"grid AS (SELECT * FROM (VALUES {values}) g(grid_idx, lr, lam))",
         f"fk AS (SELECT CAST(range AS BIGINT) AS f FROM range({k}))",
         "cell AS (SELECT grid_idx, lr, lam, f FROM grid, fk)",
-        "m AS (SELECT f, CAST(count(*) AS DOUBLE) AS m FROM fk JOIN folds ON folds.fold <> fk.f GROUP BY f)",
-        "tr AS (SELECT f, id, label FROM fk JOIN folds ON folds.fold <> fk.f)",
+        "tr AS (SELECT f, id, label, e, batch FROM fk JOIN folds ON folds.fold <> fk.f JOIN bt USING (id))",
         "cw0 AS (SELECT grid_idx, f, i, j, w FROM cell, w0)",
         "cb0 AS (SELECT grid_idx, f, j, b FROM cell, b0)",
     ]
-    for s in range(1, steps + 1):
+    for s in range(1, epochs * batches + 1):
         p = s - 1
         ctes += [
-            f"z{s} AS (SELECT grid_idx, f, id, j, sum(v * w) + b AS z FROM tr JOIN vec USING (id) JOIN cw{p} USING (f, i) "
+            f"t{s} AS (SELECT f, id, label FROM tr WHERE e = {p // batches} AND batch = {p % batches})",
+            f"m{s} AS (SELECT f, CAST(count(*) AS DOUBLE) AS m FROM t{s} GROUP BY f)",
+            f"z{s} AS (SELECT grid_idx, f, id, j, sum(v * w) + b AS z FROM t{s} JOIN vec USING (id) JOIN cw{p} USING (f, i) "
             f"JOIN cb{p} USING (grid_idx, f, j) GROUP BY grid_idx, f, id, j, b)",
             f"e{s} AS (SELECT grid_idx, f, id, j, exp(z - max(z) OVER (PARTITION BY grid_idx, f, id)) AS e FROM z{s})",
             f"d{s} AS (SELECT grid_idx, f, id, j, e / sum(e) OVER (PARTITION BY grid_idx, f, id) - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS g "
@@ -258,11 +284,11 @@ def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42)
             f"gw{s} AS (SELECT grid_idx, f, i, j, sum(v * g) AS g FROM d{s} JOIN vec USING (id) GROUP BY grid_idx, f, i, j)",
             f"gb{s} AS (SELECT grid_idx, f, j, sum(g) AS g FROM d{s} GROUP BY grid_idx, f, j)",
             f"cw{s} AS (SELECT grid_idx, f, i, j, w - lr * (g / m + lam * w / m) AS w FROM cw{p} JOIN gw{s} USING (grid_idx, f, i, j) "
-            "JOIN m USING (f) JOIN grid USING (grid_idx))",
+            f"JOIN m{s} USING (f) JOIN grid USING (grid_idx))",
             f"cb{s} AS (SELECT grid_idx, f, j, b - lr * (g / m) AS b FROM cb{p} JOIN gb{s} USING (grid_idx, f, j) "
-            "JOIN m USING (f) JOIN grid USING (grid_idx))",
+            f"JOIN m{s} USING (f) JOIN grid USING (grid_idx))",
         ]
-    S = steps
+    S = epochs * batches
     ctes += [
         f"zf AS (SELECT grid_idx, f, id, j, sum(v * w) + b AS z FROM cell JOIN cw{S} USING (grid_idx, f) JOIN vec USING (i) "
         f"JOIN cb{S} USING (grid_idx, f, j) GROUP BY grid_idx, f, id, j, b)",
@@ -274,7 +300,7 @@ def _cv_sql(grid: list[tuple[float, float]], k: int, steps: int, seed: int = 42)
         "max(CASE WHEN r = 1 THEN CAST(j = folds.label AS DOUBLE) END) AS ok FROM pf JOIN folds USING (id) GROUP BY grid_idx, f, id, folds.fold)",
         "scores AS (SELECT grid_idx, f, set, avg(loss) AS loss, avg(ok) AS accuracy FROM per GROUP BY grid_idx, f, set)",
     ]
-    return "WITH " + ",\n".join(ctes)
+    return "WITH RECURSIVE " + ",\n".join(ctes)
 
 
 def _cv_select(with_grid: bool) -> str:
@@ -285,18 +311,18 @@ def _cv_select(with_grid: bool) -> str:
 
 def _cv_run(spark, sf, grid):
     layers, params = _softreg()
-    cfg = mlp_config(epochs=CV_STEPS, batch_size=None, mode="sync")
+    cfg = mlp_config(epochs=CV_EPOCHS, batches_per_epoch=CV_BATCHES, mode="sync")
     return cv_grid_scores(_emb(spark, sf), layers, cfg, (64,), 10, sorted({lr for lr, _ in grid}),
                           sorted({lam for _, lam in grid}), k=CV_FOLDS, init=params)
 
 
-@register("cv_scores", _cv_sql(CV_GRID[:1], CV_FOLDS, CV_STEPS) + _cv_select(False))
+@register("cv_scores", _cv_sql(CV_GRID[:1], CV_FOLDS, CV_EPOCHS, CV_BATCHES) + _cv_select(False))
 def q_cv_scores(spark, sf):
-    """Stratified 3-fold CV of the reference MLP (softmax output, mean gradient + λW/m, two
-    full-batch steps from fixed weights): train on two folds, score both sides."""
+    """Stratified 5-fold CV of the reference MLP (softmax output, mean gradient + λW/m, two epochs of
+    five mini-batches from fixed weights): train on four folds, score both sides."""
     layers, params = _softreg()
     lr, lam = CV_GRID[0]
-    cfg = mlp_config(epochs=CV_STEPS, learning_rate=lr, lam=lam, batch_size=None, mode="sync")
+    cfg = mlp_config(epochs=CV_EPOCHS, learning_rate=lr, lam=lam, batches_per_epoch=CV_BATCHES, mode="sync")
     rows = cv_scores(_emb(spark, sf), layers, cfg, (64,), 10, k=CV_FOLDS, init=params)
     return spark.createDataFrame([(f, s, r6_py(l), r6_py(a)) for f, s, l, a in rows],
                                  "fold bigint, set string, loss double, accuracy double")
@@ -306,9 +332,9 @@ def r6_py(x: float) -> float:
     return round(float(x), 6) + 0.0
 
 
-@register("cv_grid_scores", _cv_sql(CV_GRID, CV_FOLDS, CV_STEPS) + _cv_select(True))
+@register("cv_grid_scores", _cv_sql(CV_GRID, CV_FOLDS, CV_EPOCHS, CV_BATCHES) + _cv_select(True))
 def q_cv_grid_scores(spark, sf):
-    """lr × λ grid (2×2) × 3 stratified folds of the MLP; training and validation scores."""
+    """lr × λ grid (2×2) × 5 stratified folds of the MLP, all 20 models in one gradient job a step."""
     rows = _cv_run(spark, sf, CV_GRID)
     return spark.createDataFrame(
         [(g, lr, lam, f, s, r6_py(l), r6_py(a)) for g, lr, lam, f, s, l, a in rows],
@@ -318,7 +344,7 @@ def q_cv_grid_scores(spark, sf):
 
 @register(
     "cv_grid_search",
-    _cv_sql(CV_GRID, CV_FOLDS, CV_STEPS)
+    _cv_sql(CV_GRID, CV_FOLDS, CV_EPOCHS, CV_BATCHES)
     + "\nSELECT CAST(grid_idx AS BIGINT) AS grid_idx, lr, lam AS lambda, f AS fold, round(accuracy, 6) + 0.0 AS accuracy "
     "FROM scores JOIN grid USING (grid_idx) WHERE set = 'val' ORDER BY round(accuracy, 6) DESC, grid_idx, f LIMIT 1",
 )
