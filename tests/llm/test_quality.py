@@ -96,39 +96,71 @@ def test_every_statistic_rejects_alone(spark):
     assert verdicts == {k: (False, k == "words") for k in odd}
 
 
-def numpy_distances(x, scales, share=0.75, steps=3, weight=30.0):
-    """The estimate of one group, straightforwardly."""
-    d, n = x.shape[1], len(x)
+def plain_search(x, target, share=0.75, weight=10.0, starts=60):
+    """Distances by the subset of lowest determinant among many random starts, each improved to its end."""
+    n, d = x.shape
+    h = math.ceil(share * n)
     factor = share / R.gamma_p((d + 2) / 2, R.chi2_quantile(share, d) / 2)
-    bins = np.sort(np.floor(x * R.BINS), axis=0)
-    at = lambda s: bins[math.ceil(n * s) - 1]
-    mean = (at(0.5) + 0.5) / R.BINS
-    inverse = np.diag(1 / np.maximum((at(0.75) - at(0.25)) / (R.BINS * 1.349), scales) ** 2)
-    dist = lambda: np.einsum("ni,ij,nj->n", x - mean, inverse, x - mean)
-    for _ in range(steps):
-        b = np.floor(np.log2(dist() + 1e-6) * 16)
-        near = x[b <= np.sort(b)[math.ceil(n * share) - 1]]
-        mean = near.mean(axis=0)
-        cov = (len(near) * factor * np.cov(near.T, bias=True) + weight * np.diag(np.square(scales))) / (len(near) + weight)
-        inverse = np.linalg.inv(cov + np.diag(np.square(scales)) / 4)
-    return dist()
-
-
-def test_distances_match_brute_force_per_group(spark):
+    rng, best = np.random.default_rng(8), (np.inf,)
+    for _ in range(starts):
+        at, last = rng.permutation(n)[: d + 1], np.inf
+        while True:
+            mean = x[at].mean(axis=0)
+            cov = (len(at) * factor * np.cov(x[at].T, bias=True) + weight * np.diag(target)) / (len(at) + weight)
+            dist = np.einsum("ni,ij,nj->n", x - mean, np.linalg.inv(cov), x - mean)
+            det = np.linalg.slogdet(cov)[1] if len(at) == h else np.inf
+            if len(at) == h and det >= last - 1e-9:
+                break
+            at, last = np.argsort(dist, kind="stable")[:h], det
+        if det < best[0]:
+            best = det, dist
+    return best
+
+
+def test_distances_match_a_plain_determinant_search(spark):
     rng = np.random.default_rng(4)
-    scales = (0.5, 0.3, 0.2)
-    groups = {("a", "s"): rng.normal(0, 1, (400, 3)), ("a", "t"): rng.normal(3, 0.01, (50, 3)), ("b", "s"): np.ones((1, 3))}
-    groups["a", "s"][:40] += 25  # a tenth far away
+    mixed = rng.normal(0, 1, (3, 3))
+    groups = {
+        ("a", "s"): rng.normal(0, 1, (400, 3)) @ mixed,
+        ("a", "t"): 3 + rng.normal(0, 0.2, (150, 3)) * [1, 5, 0.1],
+        ("b", "s"): np.ones((1, 3)),
+        ("c", "s"): np.ones((40, 3)),  # nothing varies
+    }
+    groups["a", "s"][:80] += [25, -25, 25]  # a fifth in one far cluster, which draws the plain covariance to itself
     rows = [(g[0], g[1], [float(v) for v in x], i) for g, xs in groups.items() for i, x in enumerate(xs)]
+    spread = {g: (np.diff(np.quantile(xs, [0.25, 0.75], axis=0), axis=0)[0] / 1.349) ** 2 for g, xs in groups.items()}
+    target = np.maximum(sum(len(groups[g]) * v for g, v in spread.items()) / len(rows), 1e-4)
+    cut = R.chi2_quantile(1 - 1e-6, 3)
     for parts in (1, 7):
         df = spark.createDataFrame(rows, "_lang string, _source string, x array<double>, i int").repartition(parts)
-        got = {(r["_lang"], r["_source"], r["i"]): r["distance"] for r in R.robust_distances(df, scales).collect()}
-        for g, xs in groups.items():
-            if len(xs) > 1:
-                np.testing.assert_allclose([got[(*g, i)] for i in range(len(xs))], numpy_distances(xs, np.array(scales)), rtol=1e-6)
-        assert got["b", "s", 0] == pytest.approx(0)
-        far = R.chi2_quantile(1 - 1e-9, 3)
-        assert all((got["a", "s", i] > far) == (i < 40) for i in range(400))
+        got = {(r["_lang"], r["_source"], r["i"]): r["distance"] for r in R.robust_distances(df, [1e-4] * 3).collect()}
+        assert len(got) == len(rows)
+        for g in (("a", "s"), ("a", "t")):
+            ours = np.array([got[(*g, i)] for i in range(len(groups[g]))])
+            _, plain = plain_search(groups[g], target)
+            near = plain < cut
+            assert ((ours < cut) == near).all()
+            np.testing.assert_allclose(ours[near], plain[near], rtol=0.05, atol=0.05)
+        assert got["b", "s", 0] == pytest.approx(0) and all(got["c", "s", i] == pytest.approx(0) for i in range(40))
+        assert all((got["a", "s", i] > cut) == (i < 80) for i in range(400))
+    classical = groups["a", "s"] - groups["a", "s"].mean(axis=0)
+    plain_cov = np.einsum("ni,ij,nj->n", classical, np.linalg.inv(np.cov(groups["a", "s"].T)), classical)
+    assert (plain_cov[:80] < cut).all()  # the far cluster hides from the covariance of all rows
+
+
+def test_covariance_decides_not_scales(spark):
+    """Two statistics that go together: a row within both ranges, but against their relation, is an outlier;
+    one far out along it is not. A rule on each statistic's scale decides the other way about."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(0, 1, 3000)
+    x = np.stack([base, base + rng.normal(0, 0.05, 3000)], axis=1)
+    x[0], x[1] = (1.5, -1.5), (4.5, 4.5)
+    df = spark.createDataFrame([("a", "s", [float(v) for v in r], i) for i, r in enumerate(x)], "_lang string, _source string, x array<double>, i int")
+    got = {r["i"]: r["distance"] for r in R.robust_distances(df, [1e-4] * 2).where("i < 2").collect()}
+    cut = R.chi2_quantile(1 - 1e-6, 2)
+    assert got[0] > cut > got[1]
+    by_scale = (x / x.std(axis=0)) ** 2
+    assert by_scale[0].sum() < by_scale[1].sum()
 
 
 def test_chi_square_quantiles():
