@@ -3,8 +3,9 @@
 Documents fall into cells of source, language and topic. The values that a target names are
 categories of their own, all others share the category ``*``, so there are no more cells than the
 targets' sizes multiplied, whatever the corpus holds. Token sums per cell are raked: in turn each
-margin is scaled to its target until all fit; a cell can give at most the tokens it has. A cell's
-share of its tokens is the sampling probability of its documents, and a document is kept if the
+margin is scaled to its target until all fit; a cell can give at most the tokens it has. The budget is
+the largest, up to ``keep_share`` of all tokens, at which every margin is met: targets come before
+size. A cell's share of its tokens is the sampling probability of its documents, and a document is kept if the
 hash of its id and text, as a number in [0, 1), lies below.
 """
 
@@ -88,6 +89,40 @@ def rake(cells: np.ndarray, targets: list[np.ndarray], budget: float, sweeps: in
     return kept
 
 
+def largest_gap(kept: np.ndarray, targets: list[np.ndarray]) -> float:
+    """The largest difference between a wanted and a reached share over all margins."""
+    total = kept.sum()
+    if not total:
+        return 0.0
+    reached = [kept.sum(axis=tuple(j for j in range(kept.ndim) if j != k)) / total for k in range(kept.ndim)]
+    return float(max(np.abs(r - t).max() for r, t in zip(reached, targets)))
+
+
+def rake_to_targets(cells: np.ndarray, targets: list[np.ndarray], keep_share: float, close: float = 1e-3, halvings: int = 12) -> np.ndarray:
+    """Kept tokens per cell at the largest budget, up to ``keep_share`` of all tokens, whose reached shares
+    lie within ``close`` of the targets. Values without tokens leave their shares to the others. Targets that no
+    budget meets (a value that occurs only beside another one) are raked at the largest budget that each value
+    alone allows."""
+    sums = [cells.sum(axis=tuple(j for j in range(cells.ndim) if j != k)) for k in range(cells.ndim)]
+    present = [np.where(have > 0, t, 0.0) for have, t in zip(sums, targets)]
+    if not cells.sum() or any(not t.sum() for t in present):
+        return np.zeros_like(cells)
+    present = [t / t.sum() for t in present]
+    limit = min(keep_share * cells.sum(), *[(have[t > 0] / t[t > 0]).min() for have, t in zip(sums, present)])
+    best = rake(cells, present, limit)
+    if largest_gap(best, present) <= close:
+        return best
+    low, high, found = 0.0, limit, None
+    for _ in range(halvings):
+        middle = (low + high) / 2
+        kept = rake(cells, present, middle)
+        if largest_gap(kept, present) <= close:
+            low, found = middle, kept
+        else:
+            high = middle
+    return best if found is None else found
+
+
 def mix(
     docs: DataFrame,
     targets: dict[str, dict[str, float]],
@@ -99,13 +134,14 @@ def mix(
     source_col: str = "source",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """``(row, source, lang, topic, n_tokens, probability, kept)``: ``row`` is the input row as a
-    struct, so any column names are safe; every input row is returned.
+    """``(row, source, lang, topic, n_tokens, probability, kept, largest_gap)``: ``row`` is the input row
+    as a struct, so any column names are safe; every input row is returned. ``largest_gap`` is the largest
+    difference between a wanted and an expected share over all target values, the same in every row.
 
     ``targets`` maps each of ``source``, ``lang`` and ``topic`` to the token share of its values;
     ``*`` stands for all values not named (without it they get nothing); shares of values that the
-    corpus lacks go to the others. ``keep_share`` is the part of all tokens to keep. A value that has
-    fewer tokens than its target gives all it has. Null sources, languages and texts count as not
+    corpus lacks go to the others and show in ``largest_gap``. ``keep_share`` is the most of all tokens to
+    keep; a value with few tokens lowers it until its target is met. Null sources, languages and texts count as not
     named, not named, and empty; a text without words has the probability of its cell. Equal rows
     share one decision. An empty table gives an empty one.
     """
@@ -128,10 +164,13 @@ def mix(
     cells = np.zeros([len(x) for x in names])
     for r in sums:
         cells[tuple(x.index(r[m]) for x, m in zip(names, MARGINS))] = r["n"]
-    kept = rake(cells, [np.array([targets[m].get(v, 0.0) for v in x]) for x, m in zip(names, MARGINS)], keep_share * cells.sum())
+    wanted = [np.array([targets[m].get(v, 0.0) for v in x]) for x, m in zip(names, MARGINS)]
+    wanted = [t / t.sum() if t.sum() else t for t in wanted]
+    kept = rake_to_targets(cells, wanted, keep_share)
+    gap = F.lit(largest_gap(kept, wanted))
     share = np.divide(kept, cells, out=np.zeros_like(kept), where=cells > 0)
     # a literal map in the plan: as many entries as there are cells
     table = F.create_map(*itertools.chain(*[(F.lit("\x00".join(v)), F.lit(float(share[tuple(x.index(y) for x, y in zip(names, v))]))) for v in itertools.product(*names)]))
     probability = F.element_at(table, F.concat_ws("\x00", *MARGINS))
     draw = F.shiftrightunsigned("_draw", 11) / F.lit(float(1 << 53))
-    return placed.withColumn("probability", probability).select("row", *MARGINS, "n_tokens", "probability", (draw < F.col("probability")).alias("kept"))
+    return placed.withColumn("probability", probability).select("row", *MARGINS, "n_tokens", "probability", (draw < F.col("probability")).alias("kept"), gap.alias("largest_gap"))

@@ -174,8 +174,8 @@ KEEP_SHARE = 0.8
 
 @register("op2_mix_sources")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cell, sampling probability and decision of every document under the target mixture."""
-    return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), TARGETS, keep_share=KEEP_SHARE).select("row.doc_id", *mixing.MARGINS, "n_tokens", "probability", "kept")
+    """Cell, sampling probability and decision of every document under the target mixture, and how far it misses."""
+    return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), TARGETS, keep_share=KEEP_SHARE).select("row.doc_id", *mixing.MARGINS, "n_tokens", "probability", "kept", "largest_gap")
 
 
 @register("op8_html_extraction")

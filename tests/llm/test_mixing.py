@@ -8,7 +8,9 @@ import pytest
 import corpus_pipeline
 from tessera.llm import mixing as X
 from tessera.llm import queries as Q
+from tessera.llm.common import documents
 
+from ..conftest import SF_MID
 from .common import clashing, frame, odd_rows
 
 TARGETS = {"source": {"a": 0.5, "*": 0.5}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"general": 0.9, "legal": 0.1}}
@@ -70,6 +72,39 @@ def test_scarce_values_give_all_they_have():
     assert X.rake(np.zeros((2, 2)), [np.ones(2), np.ones(2)], 0).sum() == 0
 
 
+def test_scarce_values_lower_the_budget_until_targets_are_met():
+    cells = np.array([[50.0, 10], [500, 440]])  # the first row has 6 % of the tokens
+    targets = [np.array([0.3, 0.7]), np.array([0.6, 0.4])]
+    kept = X.rake_to_targets(cells, targets, 0.8)
+    assert X.largest_gap(kept, targets) <= 1e-3 and (kept <= cells + 1e-9).all()
+    assert kept.sum() == pytest.approx(200, rel=0.01)  # 60 of 0.3: no larger budget can hold that share
+    easy = [np.array([0.06, 0.94]), np.array([0.55, 0.45])]
+    assert X.rake_to_targets(cells, easy, 0.8).sum() == pytest.approx(800)  # reachable: all that may be kept
+    # a value without tokens leaves its share to the others, which shows
+    none = X.rake_to_targets(np.array([[0.0, 0], [500, 440]]), targets, 0.8)
+    assert none[0].sum() == 0 and X.largest_gap(none, targets) == pytest.approx(0.3)
+    # the first row only occurs beside the first column: no budget meets both
+    tied = X.rake_to_targets(np.array([[100.0, 0], [0, 900]]), [np.array([0.5, 0.5]), np.array([0.2, 0.8])], 0.8)
+    assert tied.sum() > 0 and X.largest_gap(tied, [np.array([0.5, 0.5]), np.array([0.2, 0.8])]) > 0.1
+
+
+def test_registered_targets_are_reached(spark):
+    """On the given documents the query's expected shares lie within 0.01 of every registered target, once the
+    values that the corpus lacks have left their shares to the others; ``largest_gap`` tells the rest."""
+    got = Q.QUERIES["op2_mix_sources"](spark, SF_MID).toPandas()
+    assert len(got) == documents(spark, SF_MID).count()
+    assert ((got.probability >= 0) & (got.probability <= 1 + 1e-9)).all()
+    weight = got.n_tokens * got.probability
+    gaps = []
+    for margin, targets in Q.TARGETS.items():
+        present = {v: t for v, t in targets.items() if (got.n_tokens[got[margin] == v]).sum() > 0}
+        for v, t in targets.items():
+            share = weight[got[margin] == v].sum() / weight.sum()
+            gaps.append(abs(share - t))
+            assert share == pytest.approx(t / sum(present.values()) if v in present else 0.0, abs=0.01), (margin, v)
+    assert got.largest_gap.nunique() == 1 and got.largest_gap[0] == pytest.approx(max(gaps), abs=1e-6)
+
+
 def test_topics(spark):
     rows = [(1, "plain"), (2, "MIT License"), (3, "a@b.c c@d.e license"), (4, "x | y | license"), (5, None)]
     got = {r["doc_id"]: r["topic"] for r in X.mix(frame(spark, rows), Q.TARGETS).select("row.doc_id", "topic").collect()}
