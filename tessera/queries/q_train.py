@@ -376,12 +376,11 @@ def q_stream_score_mlp(spark, sf):
     trained on it; the same scoring operator as the batch path."""
     import uuid
 
-    from ..streaming.scoring import read_parquet_stream, run_available, score_stream
+    from ..streaming.scoring import read_table_stream, run_available, score_stream
 
     layers, params = _softreg()
     trained = one_step_params(_emb(spark, sf), layers, params, cnn_config(learning_rate=LR, lam=LAM), (64,), 10)
-    src = read_table(spark, sf, "embeddings")
-    stream = read_parquet_stream(spark, sf, src.schema, glob="embeddings.parquet")
+    stream = read_table_stream(spark, sf, "embeddings")
     stream = stream.select(F.col("vec_id").cast("bigint").alias("id"), "label", F.col("embedding").alias("data"))
     name = f"stream_score_{uuid.uuid4().hex[:12]}"
     out = run_available(spark, score_stream(stream, layers, trained, (64,), keep=["id", "label"]), name)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.scoring import score
 from ..session import shared_path
+from ..sources.tables import read_table
 
 
 def read_parquet_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
@@ -25,6 +26,16 @@ def read_parquet_stream(spark: SparkSession, directory: str, schema, glob: str |
     return reader.parquet(directory)
 
 
+def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A given table as a stream of its files, be it one file or a folder of files.
+
+    A file source takes a folder or a glob, not one file; the braces make the table's own name a glob,
+    which matches either.
+    """
+    schema = read_table(spark, sf_dir, name).schema
+    return read_parquet_stream(spark, f"{sf_dir.rstrip('/')}/{{{name}.parquet}}", schema, max_files_per_trigger=max_files_per_trigger)
+
+
 def score_stream(stream: DataFrame, layers, params, in_shape, data_col="data", keep=None) -> DataFrame:
     """Class probabilities and predictions for every arriving row."""
     return score(stream, layers, params, in_shape, data_col=data_col, keep=keep)
@@ -40,7 +51,7 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str) -> DataFram
 
     The file sink is exactly-once and its checkpoint lives next to it, so a restarted query
     resumes from the files already processed; the result is read back as a batch table
-    (nothing is held on the driver).
+    (nothing is held on the driver). A stream without files gives an empty table.
     """
     base = shared_path(spark, "streams", name)
     q = (
@@ -49,4 +60,4 @@ def run_available(spark: SparkSession, stream: DataFrame, name: str) -> DataFram
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.parquet(base + "/data")
+    return spark.read.schema(stream.schema).parquet(base + "/data")
