@@ -2,17 +2,23 @@
 
 Two execution modes:
 
-* ``sync`` — synchronous gradient steps. Each step is one Spark job: every partition runs
-  forward + backward on its rows of the step's batch (Arrow batches, NumPy) and emits one
-  gradient-sum row; the rows are added on executors in groups of ``FAN_IN`` until at most
-  ``FAN_IN`` are left, which the driver adds before it applies the optimizer. Batches are exact
-  consecutive slices of a seeded per-epoch permutation (a distributed rank), so ``batch_size``
-  means what it means in the reference; ``batch_size=None`` is one full-batch step per epoch.
+* ``sync`` — synchronous gradient steps. Batches are exact consecutive slices of a seeded
+  per-epoch permutation (a distributed rank), so ``batch_size`` means what it means in the
+  reference; ``batch_size=None`` is one full-batch step per epoch.
 * ``replicas`` — ``replicas`` copies of the model each take every ``replicas``-th of the same
-  batches, in order, with their own weights and optimizer state; one Spark job makes a step of
-  all copies. After the epoch weights and state are averaged by rows. The copies follow the
-  seeded order alone, so results do not depend on cores or partitions; one copy is plain
-  mini-batch training.
+  batches, in order, with their own weights and optimizer state. After the epoch weights and state
+  are averaged by rows. The copies follow the seeded order alone, so results do not depend on cores
+  or partitions; one copy is plain mini-batch training.
+
+A batch of more than ``STEP_BYTES`` is spread over all tasks, and each step (of all copies) is one
+Spark job: every partition runs forward + backward on its rows of the batch (Arrow batches, NumPy)
+and emits one gradient-sum row; the rows are added on executors in groups of ``FAN_IN`` until at
+most ``FAN_IN`` are left, which the driver adds before it applies the optimizer. For smaller batches
+a job and its gradients cost more than the step: the epoch's batches are cut into runs of at most
+``RUN_BYTES`` per copy, in order, and one Spark job takes every copy through a run, a
+task a copy. A task streams its batches one after the other, steps at each, and returns its model and
+optimizer state, with which the next run begins. So jobs and what the driver receives grow with
+the bytes of the data, not with the number of steps, and no task holds more than a run.
 
 After each epoch one scoring job measures loss and accuracy on the train and validation sets
 (the learning curves). The model, the optimizer state and the curves live on the driver:
@@ -37,6 +43,9 @@ from . import kernels as K
 from .scoring import arrow_list, arrow_matrix, check_model_size
 
 FAN_IN = 32  # gradient rows added by one task or by the driver
+STEP_BYTES = 4 << 20  # packed rows of a batch that one task steps through by itself
+RUN_BYTES = 64 << 20  # packed rows of a copy's batches that one task steps through
+STEP_ROWS = 512  # rows of such a batch in one forward and backward pass
 
 
 @dataclass
@@ -212,6 +221,89 @@ def _sum_partials(rows: DataFrame, size: int, n_parts: int) -> dict[int, tuple]:
     return out
 
 
+_COPY_SCHEMA = "replica int, n bigint, t bigint, theta array<double>, m array<double>, v array<double>"
+
+
+def _row_bytes(width: int) -> int:
+    return 8 * width + 32
+
+
+def in_runs(batched: DataFrame, copies: int, batches_per_run: int, n_batches: int, id_col: str) -> DataFrame:
+    """Column ``run`` and the rows of each run and copy in one partition, in batch order."""
+    runs = math.ceil(math.ceil(n_batches / copies) / batches_per_run)
+    turn = (F.col("batch") - F.col("batch") % copies) / copies  # whole: the copies' how-manieth batch
+    placed = batched.withColumn("replica", (F.col("batch") % copies).cast("int")).withColumn("run", F.floor(turn / batches_per_run).cast("int"))
+    return placed.repartitionById(runs * copies, F.col("run") * copies + F.col("replica")).sortWithinPartitions("batch", id_col)
+
+
+def run_steps(rows: DataFrame, layers, like, copies: list, cfg: TrainConfig, in_shape, n_classes, data_col="data", label_col="label") -> dict[int, tuple]:
+    """Take every model copy through its batches of ``rows`` (see :func:`in_runs`), in order, one task a
+    copy: {replica: (theta, optimizer state, rows)}. ``copies`` holds (theta, optimizer state) per copy."""
+    ship_package(rows.sparkSession)
+    bc = rows.sparkSession.sparkContext.broadcast((layers, like, copies))
+    width = int(np.prod(in_shape))
+
+    def run(batches):
+        lys, params, given = bc.value
+        wmask = weight_mask(params)
+        own: dict[int, list] = {}
+        now, xs, ys = None, [], []
+
+        def step():
+            r, x, y = now[1], np.concatenate(xs), np.concatenate(ys)
+            if r not in own:
+                opt = Optimizer(cfg, wmask.size, wmask)
+                opt.load(given[r][1])
+                own[r] = [given[r][0], opt, 0]
+            theta, opt, n = own[r]
+            prm, grad = K.unpack(theta, params), 0.0
+            for i in range(0, len(y), STEP_ROWS):
+                grad = grad + K.batch_gradients(x[i:i + STEP_ROWS], y[i:i + STEP_ROWS], lys, prm, n_classes, cfg.eps_mode)[0]
+            own[r] = [opt.step(theta, grad, len(y)), opt, n + len(y)]
+
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            x, y = _shape_x(arrow_matrix(rb, data_col, width), in_shape), _labels(rb, label_col)
+            batch, replica = _labels(rb, "batch"), _labels(rb, "replica")
+            edges = [0, *(np.flatnonzero(np.diff(batch)) + 1).tolist(), len(batch)]
+            for a, b in zip(edges, edges[1:]):
+                key = (int(batch[a]), int(replica[a]))
+                if now is not None and key != now:
+                    step()
+                    xs, ys = [], []
+                now = key
+                xs.append(x[a:b])
+                ys.append(y[a:b])
+        if now is not None:
+            step()
+        for r, (theta, opt, n) in own.items():
+            # what the optimizer does not use stays zero and is not sent
+            m = opt.m if cfg.optimizer == "adam" else np.zeros(0)
+            v = opt.v if cfg.optimizer != "sgd" else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r], pa.int32()), pa.array([n], pa.int64()), pa.array([opt.t], pa.int64()), *(_one_list(a) for a in (theta, m, v))],
+                names=["replica", "n", "t", "theta", "m", "v"],
+            )
+
+    try:
+        t = rows.select(label_col, data_col, "batch", "replica").mapInArrow(run, _COPY_SCHEMA).toArrow().combine_chunks()
+    finally:
+        bc.destroy()
+    out = {}
+    for k, (r, n, turns) in enumerate(zip(*(t.column(c).to_pylist() for c in ("replica", "n", "t")))):
+        theta, m, v = (t.column(c)[k].values.to_numpy(zero_copy_only=False) for c in ("theta", "m", "v"))
+        if r in out:
+            raise RuntimeError("a model copy's batches must lie in one partition")
+        old = copies[r][1]
+        out[r] = (theta, {"m": m if m.size else old["m"], "v": v if v.size else old["v"], "t": turns}, n)
+    return out
+
+
+def _one_list(a: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, a.size], pa.int32()), pa.array(a, pa.float64()))
+
+
 def _n_partitions(cached: DataFrame) -> int:
     """Partitions of a cached table that have rows up to the last such one (a job over the cache)."""
     last = cached.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
@@ -269,7 +361,7 @@ def cache_sized(df: DataFrame, width: int) -> tuple[DataFrame, int]:
     repartition that replaces it."""
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows, current = cached.count(), _n_partitions(cached)
-    by_size = math.ceil(n_rows * (8 * width + 32) / TARGET_PARTITION_BYTES)
+    by_size = math.ceil(n_rows * _row_bytes(width) / TARGET_PARTITION_BYTES)
     target = max(1, by_size, min(df.sparkSession.sparkContext.defaultParallelism, n_rows))
     if by_size <= current <= target:
         return cached, n_rows
@@ -339,25 +431,38 @@ def train_network(
     bsize = cfg.batch_size if cfg.batches_per_epoch is None else math.ceil(total / cfg.batches_per_epoch)
     n_batches = 1 if bsize is None else math.ceil(total / bsize)
     copies = min(cfg.replicas, n_batches) if cfg.mode == "replicas" else 1
+    # batches that a task steps through in one job; 0: each is spread over tasks, a job a step
+    per_run = 0
+    if n_batches > 1 and bsize * _row_bytes(width) <= STEP_BYTES:
+        per_run = max(1, RUN_BYTES // (bsize * _row_bytes(width)))
     curves, steps = [], 0
     try:
         for epoch in range(start, cfg.epochs):
             batched = data
             if n_batches > 1:
                 # Sorted by batch inside each partition, the cached column batches carry tight
-                # min/max statistics, so each step's filter skips the other batches' data.
-                batched = (
-                    assign_batches(data, id_col, cfg.seed, epoch, bsize, n_rows=total)
-                    .coalesce(n_parts)  # as many partitions as the training data, not shuffle-sized
-                    .sortWithinPartitions("batch")
-                    .persist(StorageLevel.MEMORY_AND_DISK)
-                )
+                # min/max statistics, so a job's filter skips the other batches' data.
+                batched = assign_batches(data, id_col, cfg.seed, epoch, bsize, n_rows=total)
+                if per_run:
+                    batched = in_runs(batched, copies, per_run, n_batches, id_col)
+                else:  # as many partitions as the training data, not shuffle-sized
+                    batched = batched.coalesce(n_parts).sortWithinPartitions("batch")
+                batched = batched.persist(StorageLevel.MEMORY_AND_DISK)
             thetas, opts, seen = [theta.copy() for _ in range(copies)], [], np.zeros(copies)
             for _ in range(copies):
                 own = Optimizer(cfg, size, weight_mask(params))
                 own.load({k: np.copy(v) if k != "t" else v for k, v in opt.state().items()})
                 opts.append(own)
-            for first in range(0, n_batches, copies):
+            turns = math.ceil(n_batches / copies)
+            for k in range(math.ceil(turns / per_run) if per_run else 0):
+                given = [(t, o.state()) for t, o in zip(thetas, opts)]
+                for r, (t, state, m_rows) in run_steps(batched.where(F.col("run") == k), layers, params, given, cfg, in_shape, n_classes, data_col, label_col).items():
+                    thetas[r] = t
+                    opts[r].load(state)
+                    seen[r] += m_rows
+            if per_run:
+                steps += turns
+            for first in range(0, 0 if per_run else n_batches, copies):
                 step = batched
                 if n_batches > 1:
                     step = batched.where(F.col("batch").between(first, first + copies - 1)).withColumn("replica", (F.col("batch") - first).cast("int"))

@@ -77,6 +77,43 @@ def test_replicas_follow_the_seeded_order_whatever_the_partitions(spark, n_copie
         assert np.allclose(K.pack(got.params), expected, atol=1e-10)
 
 
+@pytest.mark.parametrize("optimizer", ["sgd", "momentum", "adam"])
+@pytest.mark.parametrize("mode,replicas", [("sync", 1), ("replicas", 3)])
+def test_steps_in_runs_equal_a_job_a_step(spark, monkeypatch, optimizer, mode, replicas):
+    from tessera.plans import training
+
+    layers = [K.conv(2, 1, 3), K.act("relu"), K.pool(2), K.flatten(), K.dense(18, 10, "softmax")]
+    params = K.init_params(layers, 3)
+    cfg = cnn_config(epochs=2, optimizer=optimizer, learning_rate=0.001, batch_size=30, mode=mode, replicas=replicas, seed=8)
+    e = _emb(spark).repartition(5)
+
+    def run(**limits):
+        for name, value in limits.items():
+            monkeypatch.setattr(training, name, value)
+        return train_network(e, layers, cfg, (8, 8, 1), 10, params=params, evaluate_every=0)
+
+    by_job = run(STEP_BYTES=0)
+    for run_bytes in (3 * 30 * 544, 64 << 20):  # three batches, or all batches of a copy in a run
+        got = run(STEP_BYTES=4 << 20, RUN_BYTES=run_bytes, STEP_ROWS=16)
+        assert np.allclose(K.pack(got.params), K.pack(by_job.params), atol=1e-10) and got.steps == by_job.steps
+        assert got.optimizer_state["t"] == by_job.optimizer_state["t"]
+        for name in ("m", "v"):
+            assert np.allclose(got.optimizer_state[name], by_job.optimizer_state[name], atol=1e-10)
+
+
+@pytest.mark.parametrize("mode", ["sync", "replicas"])
+def test_the_driver_receives_no_gradient_of_a_small_step(spark, monkeypatch, mode):
+    from tessera.plans import training
+
+    calls = []
+    monkeypatch.setattr(training, "_sum_partials", lambda *a: calls.append("step"))
+    runs = training.run_steps
+    monkeypatch.setattr(training, "run_steps", lambda *a, **kw: (calls.append("run"), runs(*a, **kw))[1])
+    cfg = cnn_config(epochs=2, learning_rate=0.001, batch_size=10, mode=mode, replicas=4)
+    res = train_network(_emb(spark), [K.dense(64, 10, "softmax")], cfg, (64,), 10, evaluate_every=0)
+    assert calls == ["run"] * 2 and res.steps >= 10  # one job an epoch, whatever the number of steps
+
+
 def test_driver_receives_a_bounded_number_of_vectors(spark):
     from tessera.plans import training
 
