@@ -221,12 +221,13 @@ def image_batch(manifest: DataFrame, images: DataFrame, levels: list | None = No
 
     Labels are fitted on the manifest before decoding, so a lost image never shifts a code. An image
     of the manifest that is missing or cannot be decoded fails the job (``unreadable='fail'``) or is
-    returned with null pixels (``'keep'``). Both sides are data-sized: a shuffle equi-join.
+    returned with null pixels (``'keep'``). Both sides are data-sized: a shuffle equi-join. The hint keeps
+    it one, as decoded pixels take far more room than the packed files that Spark sees.
     """
     if unreadable not in ("fail", "keep"):
         raise ValueError("unreadable must be 'fail' or 'keep'")
     enc = manifest if "label_name" in manifest.columns else encode_manifest(manifest, levels)
-    j = enc.join(images, on="image_path", how="left")
+    j = enc.join(images.hint("shuffle_merge"), on="image_path", how="left")
     if unreadable == "fail":
         why = F.raise_error(F.concat(F.lit("image is missing or cannot be decoded: "), F.col("image_path")))
         j = j.withColumn("data", F.when(F.col("data").isNull(), why.cast("array<float>")).otherwise(F.col("data")))

@@ -171,3 +171,16 @@ def test_predicted_probabilities_are_checked(spark, monkeypatch):
     spoilt = lambda *a, **k: real(*a, **k).withColumn("probs", F.transform("probs", lambda p: p * 1.01))
     monkeypatch.setattr(q_tensor, "score", spoilt)
     assert tuple(E.queries()["dq_probabilities"](spark, SF_SMALL).first()) == (rows, rows)
+
+
+def test_decoded_images_are_never_broadcast(spark, tmp_path):
+    from tessera.sources.images import decode_images, image_batch, list_image_dir
+    from tessera.sources.png import encode_png, write_bytes
+
+    for i in range(4):
+        write_bytes(f"{tmp_path}/imgs/{i % 2}/{i}.png", encode_png(np.full((8, 8), i, np.uint8)))
+    root = f"{tmp_path}/imgs"
+    got = image_batch(list_image_dir(spark, root), decode_images(spark, root, size=(8, 8)))
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [image_path" in plan and "BroadcastHashJoin [image_path" not in plan
