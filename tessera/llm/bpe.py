@@ -4,9 +4,10 @@ Tier one is a minimal perfect hash over the vocabulary (hash and displace: as ma
 tokens, one candidate slot per key, verified by comparing bytes); a pre-token that is itself a
 token is resolved there. Tier two merges the rest: bytes in a doubly linked list and a heap of
 adjacent pairs by (rank, position), so the lowest rank goes first and the leftmost on ties, in
-O(n log n) for a pre-token of any length.
+O(n log n) for a pre-token of any length. Short pre-tokens of a batch are merged together, by the same
+rule, in numpy (``Merger``).
 
-Pre-tokens are remembered per worker; the memory is bounded and only saves work. Plain
+Pre-tokens of other texts are remembered per worker; the memory is bounded and only saves work. Plain
 texts (Latin letters, digits, marks) are cut at their spaces where the pattern allows it, and each
 distinct word of a batch is split and looked up once. Plain words are split by the same pattern with
 its Unicode classes written out for these characters, which Python's own ``re`` runs; texts with
@@ -21,6 +22,7 @@ import sys
 from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare, text_or_empty
-from .words import LARGE, Recent, slices, split_at_spaces, spread
+from .words import LARGE, LONGEST, Recent, slices, split_at_spaces, spread
 
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 REMEMBERED = 300_000  # pre-tokens of a generation that a worker remembers
@@ -115,6 +117,102 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Merger:
+    """Merges of many short pre-tokens at once, with :func:`merge`'s result.
+
+    Pre-tokens of as many parts stand in the rows of a matrix, with the ranks of their adjacent pairs
+    beside. Each round merges the lowest rank of every row, the leftmost on ties, so all rows lose one
+    part and go on with those that had one part less from the start. Ranks of pairs are found by
+    (left rank, right rank): a vocabulary of n tokens has few more pairs than splits of its tokens.
+    """
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        keys = np.array(sorted(pairs), np.int64)
+        self.first = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        # open addressing: a key lies at its slot or in one of the next
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.full(1 << self.bits, self.NONE, np.int32)
+        at, slot = np.arange(len(keys)), self._slot(keys)
+        while len(at):
+            free = np.flatnonzero(self.keys[slot] == -1)
+            self.keys[slot[free]] = keys[at[free]]  # of several keys for a slot the last stays
+            put = self.keys[slot] == keys[at]
+            self.ranks[slot[put]] = [pairs[k] for k in keys[at[put]].tolist()]
+            at, slot = at[~put], (slot[~put] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair's token, ``NONE`` where there is none."""
+        keys = left.astype(np.int64) << 32 | right
+        slot = self._slot(keys)
+        found, out = self.keys[slot], self.ranks[slot]
+        at = np.flatnonzero((found != keys) & (found != -1))
+        slot = slot[at]
+        while len(at):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            found, out[at] = self.keys[slot], self.ranks[slot]
+            going = (found != keys[at]) & (found != -1)
+            at, slot = at[going], slot[going]
+        return out
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece, as little-endian uint32. All single bytes must be tokens."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
+        begins = np.cumsum(sizes) - sizes
+        out: list[bytes] = [b""] * len(pieces)
+        rows = np.zeros(0, np.int64)
+        parts = ranks = np.zeros((0, 0), np.int32)
+
+        def done(which, matrix):
+            packed, step = matrix.astype("<u4").tobytes(), 4 * matrix.shape[1]
+            for k, r in enumerate(which.tolist()):
+                out[r] = packed[k * step : (k + 1) * step]
+
+        for n in range(int(sizes.max(initial=0)), 0, -1):
+            new = np.flatnonzero(sizes == n)
+            if len(new):
+                fresh = data[begins[new][:, None] + np.arange(n)]
+                fresh_ranks = self.rank(fresh[:, :-1].ravel(), fresh[:, 1:].ravel()).reshape(len(new), n - 1)
+                rows = np.concatenate([rows, new])
+                parts = np.concatenate([parts, fresh]) if len(parts) else fresh
+                ranks = np.concatenate([ranks, fresh_ranks]) if len(ranks) else fresh_ranks
+            if not len(rows):
+                continue
+            if n == 1:
+                done(rows, parts)
+                break
+            at = ranks.argmin(axis=1)  # the first of equals
+            best = ranks[np.arange(len(rows)), at]
+            ended = best == self.NONE
+            if ended.any():
+                done(rows[ended], parts[ended])
+                rows, parts, ranks, at, best = (a[~ended] for a in (rows, parts, ranks, at, best))
+            if not len(rows):
+                parts = ranks = np.zeros((0, 0), np.int32)
+                continue
+            here = np.arange(n - 1)
+            parts = np.where(here <= at[:, None], parts[:, :-1], parts[:, 1:])
+            row = np.arange(len(rows))
+            parts[row, at] = best
+            ranks = np.where(here[:-1] < at[:, None], ranks[:, :-1], ranks[:, 1:])
+            for k, side in ((np.flatnonzero(at > 0), -1), (np.flatnonzero(at < n - 2), 0)):
+                left = at[k] + side
+                ranks[k, left] = self.rank(parts[k, left], parts[k, left + 1])
+        return out
+
+
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f"
 _ODD = re.compile("[^\t\n\r\x20-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u017f]")
 _CLASSES = {"\\p{L}": LETTERS, "\\p{N}": "0-9", "\\s": " \t\n\r"}
@@ -163,6 +261,8 @@ class Encoder:
         self.split_plain = re.compile(plain).findall if plain else self.split
         self.by_word = pattern == CUT_AT_SPACES
         self.tokens = Recent(self.token, REMEMBERED)
+        self.packed = {r: r.to_bytes(4, "little") for r in ranks.values()}
+        self.merger = Merger(ranks) if all(bytes([b]) in ranks for b in range(256)) else None
 
     def token(self, pre: str) -> bytes:
         piece = pre.encode("utf-8")
@@ -173,13 +273,23 @@ class Encoder:
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, self.split_plain(text)))
 
-    def _word(self, space: str, word: str) -> bytes:
-        """Ids of a plain word, of the space before it too; none for other words."""
+    def _pre_tokens(self, space: str, word: str) -> list[str]:
+        """Pre-tokens of a plain word, the space before it included; none for other words."""
         if plain_letters(word):
-            return self.tokens[space + word]
+            return [space + word]
         if word[-1:] in MARKS and plain_letters(word[:-1]):
-            return self.tokens[space + word[:-1]] + self.tokens[word[-1]]
-        return self._plain(space + word) if _WORD.fullmatch(word) else b""
+            return [space + word[:-1], word[-1]]
+        return self.split_plain(space + word) if _WORD.fullmatch(word) else []
+
+    def many(self, pres: list[str]) -> list[bytes]:
+        """Packed ids of each pre-token: tokens by the perfect hash, short others merged together."""
+        pieces = [p.encode("utf-8") for p in pres]
+        out = [None if r is None else self.packed[r] for r in map(self.table.get, pieces)]
+        short = [k for k, got in enumerate(out) if got is None and self.merger and len(pieces[k]) <= LONGEST]
+        if short:
+            for k, got in zip(short, self.merger([pieces[k] for k in short])):
+                out[k] = got
+        return [self.token(p) if got is None else got for p, got in zip(pres, out)]
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, self.split(text))) if _ODD.search(text) else self._plain(text)
@@ -193,7 +303,10 @@ class Encoder:
         heads = [words[c] for c in codes[at[:-1]].tolist()]  # no space before these
         place = {w: len(words) + k for k, w in enumerate(dict.fromkeys(heads))}
         codes[at[:-1]] = [place[w] for w in heads]
-        got = [self._word(" ", w) for w in words] + [self._word("", w) for w in place]
+        pres = [self._pre_tokens(" ", w) for w in words] + [self._pre_tokens("", w) for w in place]
+        distinct = list(dict.fromkeys(chain.from_iterable(pres)))
+        known = dict(zip(distinct, self.many(distinct)))
+        got = [known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for p in pres]
         sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids, ends = spread(codes, at, sizes, np.frombuffer(b"".join(got), "<u4"))
         odd = np.flatnonzero(np.logical_or.reduceat(sizes[codes] == 0, at[:-1])) if len(codes) else []

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -118,3 +119,30 @@ def test_files_hold_all_documents_in_order(spark, monkeypatch):
 def test_empty_table(spark):
     out, _ = read(spark, frame(spark, [(1, "a")]).limit(0))
     assert rows_of(out) == []
+
+
+def test_pre_tokens_merged_together_equal_the_heap():
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    r = random.Random(7)
+    tokens = list(ranks)
+    pieces = [b"".join(r.choice(tokens)[: r.randint(1, 6)] for _ in range(r.randint(1, 5))) for _ in range(5000)]
+    pieces += [bytes(r.randrange(256) for _ in range(r.randint(1, 64))) for _ in range(2000)]
+    pieces += [b"a", b"a" * 64, b"ab" * 30, b" ", b"\x00"]  # ties, single bytes
+    got = bpe.Merger(ranks)(pieces)
+    assert got == [np.array(bpe.merge(p, ranks), "<u4").tobytes() for p in pieces]
+    assert bpe.Merger(ranks)([]) == []
+
+
+def test_unknown_words_of_a_batch_are_merged_together(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefgh\u00e4\u00e9") for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    texts = pa.array([" ".join(words[k : k + 300]) for k in range(0, 3000, 300)] + ["x" * 500, "", "\u4e2d\u6587 words", " a  b\n"], pa.string())
+    encoder = bpe.Encoder(public_tokenizers.PATTERN, ranks, bpe.PerfectHash(list(ranks), list(ranks.values())))
+    expected = [encoder.encode(t) for t in texts.to_pylist()]
+    one_by_one = []
+    heap = bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: (one_by_one.append(piece), heap(piece, ranks))[1])
+    fresh = bpe.Encoder(public_tokenizers.PATTERN, ranks, encoder.table)
+    assert fresh.batch(texts) == expected
+    assert all(len(p) > 64 or not p.isascii() for p in one_by_one) and len(one_by_one) < 10
