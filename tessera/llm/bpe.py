@@ -36,6 +36,7 @@ from .common import prepare, text_or_empty
 from .words import LARGE, LONGEST, Recent, slices, split_at_spaces, spread
 
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+TOGETHER = 1 << 16  # pre-tokens of a batch that are merged together
 REMEMBERED = 300_000  # pre-tokens of a generation that a worker remembers
 
 
@@ -305,8 +306,12 @@ class Encoder:
         codes[at[:-1]] = [place[w] for w in heads]
         pres = [self._pre_tokens(" ", w) for w in words] + [self._pre_tokens("", w) for w in place]
         distinct = list(dict.fromkeys(chain.from_iterable(pres)))
-        known = dict(zip(distinct, self.many(distinct)))
+        known = {}
+        for k in range(0, len(distinct), TOGETHER):
+            some = distinct[k : k + TOGETHER]
+            known.update(zip(some, self.many(some)))
         got = [known[p[0]] if len(p) == 1 else b"".join([known[x] for x in p]) for p in pres]
+        del pres, distinct, known
         sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids, ends = spread(codes, at, sizes, np.frombuffer(b"".join(got), "<u4"))
         odd = np.flatnonzero(np.logical_or.reduceat(sizes[codes] == 0, at[:-1])) if len(codes) else []
