@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.splits import label_onehot, three_way_split
+from ..session import ensure_checkpoint_dir
 from ..sources.images import decode_images, encode_manifest, image_batch, list_image_dir, read_manifest_csv
 
 
@@ -37,7 +38,10 @@ def prepare_image_sets(
     listing = (
         read_manifest_csv(spark, manifest, root=root, prefix=prefix) if manifest else list_image_dir(spark, root)
     )
-    # labels, class count and sets need the listing alone; pixels are decoded once, at the end
+    # labels, class count and sets need the listing alone, which is kept: it is read for each of them, and
+    # listing again would ask the storage for every file. Pixels are decoded once, at the end
+    ensure_checkpoint_dir(spark)
+    listing = listing.checkpoint(eager=True)
     named = encode_manifest(listing).withColumn("id", id_expr if id_expr is not None else F.xxhash64("image_path"))
     k = int(named.agg(F.max("label")).first()[0]) + 1
     sets = three_way_split(named, "label", "id", val_size, test_size, seed, stratify)

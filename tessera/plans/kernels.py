@@ -159,6 +159,16 @@ def _windows(x: np.ndarray, k: int, stride: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(x, (k, k), axis=(1, 2))[:, ::stride, ::stride]
 
 
+def _mean_windows(x: np.ndarray, k: int, stride: int) -> np.ndarray:
+    """Mean of each window, (N, H, W, C) → (N, OH, OW, C), added place by place over whole grids."""
+    oh, ow = (x.shape[1] - k) // stride + 1, (x.shape[2] - k) // stride + 1
+    out = np.zeros((x.shape[0], oh, ow, x.shape[3]))
+    for dy in range(k):
+        for dx in range(k):
+            out += x[:, dy:dy + stride * oh:stride, dx:dx + stride * ow:stride, :]
+    return out / (k * k)
+
+
 def _scatter_windows(shape, dwin: np.ndarray, k: int, stride: int) -> np.ndarray:
     """Add window gradients (N, OH, OW, C, K, K) back onto an (N, H, W, C) grid (overlaps add)."""
     out = np.zeros(shape)
@@ -190,8 +200,7 @@ def forward(x: np.ndarray, layers: list[dict], params: list[dict | None]):
             caches.append(a)
             a = _act(ly["fn"], a)
         elif t == "pool":
-            win = _windows(a, ly["size"], ly["stride"])
-            out = win.mean(axis=(4, 5)) if ly["mode"] == "avg" else win.max(axis=(4, 5))
+            out = _mean_windows(a, ly["size"], ly["stride"]) if ly["mode"] == "avg" else _windows(a, ly["size"], ly["stride"]).max(axis=(4, 5))
             caches.append((a, out))
             a = out
         elif t == "flatten":
@@ -223,14 +232,16 @@ def backward(dout: np.ndarray, layers: list[dict], params: list[dict | None], ca
     output trained with cross-entropy pass ``p − y`` (it goes straight to the logits)."""
     grads: list[dict | None] = [None] * len(layers)
     g = dout
-    for i in range(len(layers) - 1, -1, -1):
+    first = next((i for i, ly in enumerate(layers) if trainable(ly)), len(layers))
+    for i in range(len(layers) - 1, first - 1, -1):  # nothing before the first parameters needs a gradient
         ly, p, cache = layers[i], params[i], caches[i]
         t = ly["type"]
         if t == "dense":
             a_in, z, a_out = cache
             dz = g if ly["act"] == "softmax" else g * _act_grad(ly["act"], z, a_out)
             grads[i] = {"W": a_in.T @ dz, "b": dz.sum(axis=0)}
-            g = dz @ p["W"].T
+            if i > first:
+                g = dz @ p["W"].T
         elif t == "flatten":
             g = g.reshape(cache)
         elif t == "pool":
@@ -252,6 +263,8 @@ def backward(dout: np.ndarray, layers: list[dict], params: list[dict | None], ca
             f = p["W"].shape[0]
             gf = g.reshape(-1, f)
             grads[i] = {"W": (gf.T @ cols).reshape(p["W"].shape), "b": gf.sum(axis=0)}
+            if i == first:
+                break
             dcols = (gf @ p["W"].reshape(f, -1)).reshape(g.shape[:3] + p["W"].shape[1:])
             dxp = _scatter_windows(xp_shape, dcols, ly["size"], ly["stride"])
             pd_ = ly["padding"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import r6
 from ..session import shared_path, ship_package
 from ..sources.images import decode_images, image_batch, list_image_dir, read_manifest_csv
-from ..sources.png import encode_png, write_bytes
+from ..sources.png import encode_png, filesystem
 from ..sources.tables import read_table
 from . import register
 from .q_splits import SEED, split_sql
@@ -36,16 +36,26 @@ def image_folder(spark, sf: str) -> str:
     base = shared_path(spark, "images", uuid.uuid4().hex)
     root = base + "/images"
     e = read_table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    dealt = e.repartition(4 * spark.sparkContext.defaultParallelism)  # a file of the table may be one task's
 
     def write(batches):
+        fs, path = filesystem(root)
+        made = set()
         for pdf in batches:
-            for vid, lab, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
-                v = np.asarray(emb, dtype=np.float32).astype(np.float64)
-                px = np.clip(np.floor((v + 0.6) / 1.2 * 255 + 0.5), 0, 255).astype(np.uint8).reshape(8, 8)
-                write_bytes(f"{root}/{int(lab)}/{int(vid)}.png", encode_png(px))
+            if pdf.empty:
+                continue
+            v = np.stack(pdf["embedding"].to_numpy()).astype(np.float32).astype(np.float64)
+            px = np.clip(np.floor((v + 0.6) / 1.2 * 255 + 0.5), 0, 255).astype(np.uint8).reshape(-1, 8, 8)
+            for vid, lab, p in zip(pdf["vec_id"], pdf["label"], px):
+                folder = f"{path}/{int(lab)}"
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with fs.open_output_stream(f"{folder}/{int(vid)}.png") as f:
+                    f.write(encode_png(p))
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    e.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
+    dealt.mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
     manifest = e.select(
         F.concat(F.lit("./images/"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("p"),
         F.col("label").cast("string").alias("l"),
@@ -176,9 +186,9 @@ def q_lenet5_image_run(spark, sf):
 
     base = image_folder(spark, sf)
     sets = prepare_image_sets(spark, base + "/images", (32, 32), "gray", 0.2, 0.2, SEED, id_expr=_vec_id())
-    k = int(sets.agg(F.max("label")).first()[0]) + 1
     s = sets.select("id", "label", "data", "set")
     s = s.coalesce(spark.sparkContext.defaultParallelism).cache()  # AQE does not resize cached plans
+    k = int(s.agg(F.max("label")).first()[0]) + 1
     layers = lenet5(k)
     cfg = cnn_config(epochs=2, optimizer="adam", learning_rate=0.001, batch_size=64, mode="replicas", replicas=4)
     res = train_network(s.where(F.col("set") == "train"), layers, cfg, (32, 32, 1), k, val_df=s.where(F.col("set") == "val"))

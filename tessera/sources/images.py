@@ -1,13 +1,17 @@
 """Image sources: manifest CSV, class-per-folder listing, decode + resize, labelled batches.
 
-Decoding is Spark's own ``image`` data source (JVM, task-parallel); the only Python is the
-per-image pixel conversion (channel order, grey level, bilinear resize, /255), applied to
-Arrow batches with NumPy. Listing uses ``binaryFile`` with only ``path`` selected, so file
-contents are never read for a listing.
+Plain PNG files (8 bits a channel, no palette, not interlaced) are unpacked in Arrow batches with
+zlib and NumPy, as Spark's ``image`` data source sets up an encoder and a temporary file for each
+image; every other file is decoded by that source. Pixel conversion (channel order, grey level,
+bilinear resize, /255) is NumPy on images of one shape. Listing uses ``binaryFile`` with only ``path``
+selected, so file contents are never read for a listing.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +21,12 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions.strings import normalise_path, strip_prefix
 from ..session import ship_package
+from .png import CHANNELS, PLAIN_KINDS, PLAIN_START, read_scanlines, unfilter
 
+SCANS_PER_TASK = 64  # Spark's scan partitions of small files (some 32 each) that one task takes
+TASKS_PER_CORE = 4  # but not fewer tasks than this a core, where Spark has as many
+SLICE_VALUES = 1 << 21  # pixel values converted at a time, whatever the Arrow batch holds
+LISTED_FILES = 10_000  # files other than plain PNG that are named to Spark's image source one by one
 MANIFEST_SCHEMA = T.StructType([T.StructField("image_path", T.StringType()), T.StructField("label", T.StringType())])
 # ITU-R BT.601 luma weights for R, G, B (grey level of a colour image).
 GREY_WEIGHTS = (0.299, 0.587, 0.114)
@@ -34,6 +43,13 @@ def origin_to_path(col) -> F.Column:
     return uri_to_path(F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B"))))
 
 
+def in_fewer_tasks(files: DataFrame) -> DataFrame:
+    """A scan of many small files with enough files a task. Spark counts the opening of a file as 4 MB, so a
+    task gets some 32 of them, less work than starting it. A narrow ``coalesce``: files are not moved."""
+    scans = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, math.ceil(scans / SCANS_PER_TASK), TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism))
+
+
 # ----------------------------------------------------------------------------- manifests
 def read_manifest_csv(spark: SparkSession, path: str, root: str, prefix: str | None = None) -> DataFrame:
     """Header-less ``image_path,label`` CSV. A known ``prefix`` (e.g. './images/') is dropped when
@@ -60,7 +76,7 @@ def list_image_dir(spark: SparkSession, root: str, glob: str | None = None) -> D
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        files = reader.load(root).select(uri_to_path("path").alias("image_path"))
+        files = in_fewer_tasks(reader.load(root).select(uri_to_path("path").alias("image_path")))
     except AnalysisException as e:
         raise ValueError(f"no images under {root}") from e
     base = root.rstrip("/")
@@ -71,7 +87,7 @@ def list_image_dir(spark: SparkSession, root: str, glob: str | None = None) -> D
     out = files.where(F.col("image_path").startswith(base + "/") & (F.size(parts) == 2)).select(
         "image_path", F.element_at(parts, 1).alias("label")
     )
-    if out.limit(1).count() == 0:
+    if out.isEmpty():
         raise ValueError(f"no images under {root}")
     return out
 
@@ -160,51 +176,96 @@ def decode_images(
     if mode not in ("gray", "color"):
         raise ValueError("mode must be 'gray' or 'color'")
     ship_package(spark)
-    src = (
-        spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(paths)
-        .select(origin_to_path("image.origin").alias("image_path"), "image.height", "image.width", "image.nChannels", "image.data")
-    )
+    files = in_fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content"))
+    plain = is_plain_png("content")
+    n_others = files.where(~plain).count()
+    out = _decode_plain(files.where(plain), size, mode, channel_order)
+    if n_others > LISTED_FILES:  # Spark's image source takes a folder or given files
+        return _decode_others(spark, paths, size, mode, channel_order)
+    if n_others:
+        others = [_as_pattern(r.path) for r in files.where(~plain).select("path").collect()]
+        out = out.unionByName(_decode_others(spark, others, size, mode, channel_order))
+    return out
+
+
+_DECODED = "image_path string, h int, w int, c int, data array<float>"
+
+
+def is_plain_png(col: str) -> F.Column:
+    """Whether a file's bytes begin as a PNG that :mod:`tessera.sources.png` reads."""
+    return (F.substring(col, 1, len(PLAIN_START)) == F.lit(PLAIN_START)) & F.substring(col, 25, 5).isin(PLAIN_KINDS)
+
+
+def _as_pattern(path: str) -> str:
+    """A file's path for a reader that takes patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _decoded_rows(images, size, mode: str, channel_order: str):
+    """(path, (H, W, C) pixels or (H, 1 + W·C) PNG lines, C) of images → Arrow batches of decoded rows. At most
+    ``SLICE_VALUES`` values (or one image) are converted at a time, those of one shape together."""
     out_c = 1 if mode == "gray" else 3
-    schema = "image_path string, h int, w int, c int, data array<float>"
 
-    def run(batches):
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            names = rb.schema.names
-            hs = rb.column(names.index("height")).to_numpy(zero_copy_only=False)
-            ws = rb.column(names.index("width")).to_numpy(zero_copy_only=False)
-            cs = rb.column(names.index("nChannels")).to_numpy(zero_copy_only=False)
-            raw = rb.column(names.index("data"))
-            bufs = raw.buffers()  # validity, offsets, bytes
-            odt = np.int64 if pa.types.is_large_binary(raw.type) else np.int32
-            offs = np.frombuffer(bufs[1], dtype=odt)[raw.offset:raw.offset + len(raw) + 1]
-            buf = np.frombuffer(bufs[2], dtype=np.uint8)
-            paths = rb.column(names.index("image_path"))
-            out_paths, out_h, out_w, chunks = [], [], [], []
-            shapes = np.stack([hs, ws, cs], axis=1)
-            for shape in np.unique(shapes, axis=0):  # images of one shape are converted together
-                idx = np.flatnonzero((shapes == shape).all(axis=1))
-                h, w, c = (int(v) for v in shape)
-                stack = np.stack([buf[offs[i]:offs[i + 1]] for i in idx]).reshape(len(idx), h, w, c)
-                img = convert_batch(stack, size, mode, channel_order)
-                if not (img.min() >= 0.0 and img.max() <= 1.0):
-                    raise ValueError("pixel values must lie in [0, 1]")
-                out_paths.append(paths.take(pa.array(idx)))
-                out_h += [img.shape[1]] * len(idx)
-                out_w += [img.shape[2]] * len(idx)
-                chunks.append(img.reshape(len(idx), -1))
-            n_vals = [ch.shape[1] for ch in chunks for _ in range(ch.shape[0])]
-            flat = np.concatenate([ch.ravel() for ch in chunks])
-            offsets = np.concatenate([[0], np.cumsum(n_vals)]).astype(np.int32)
+    def convert(held):
+        for key in {k: None for k, _, _ in held}:
+            names = [p for k, p, _ in held if k == key]
+            a = np.stack([x for k, _, x in held if k == key])
+            if a.ndim == 3:  # as Spark's image source has them: BGR(A), or grey alone
+                a = unfilter(a, key[-1])
+                a = a[..., :1] if key[-1] < 3 else a[..., 2::-1]
+            img = convert_batch(a, size, mode, channel_order)
+            if not (img.min() >= 0.0 and img.max() <= 1.0):
+                raise ValueError("pixel values must lie in [0, 1]")
+            n, h, w, _ = img.shape
+            offsets = np.arange(n + 1, dtype=np.int32) * (h * w * out_c)
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(out_paths), pa.array(out_h, pa.int32()), pa.array(out_w, pa.int32()),
-                 pa.array([out_c] * len(out_h), pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.float32()))],
+                [pa.array(names, pa.string()), *(pa.array(np.full(n, v, np.int32)) for v in (h, w, out_c)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(img.ravel(), pa.float32()))],
                 names=["image_path", "h", "w", "c", "data"],
             )
 
-    return src.mapInArrow(run, schema)
+    held, values = [], 0
+    for path, x, c in images:
+        more = max(x.size, size[0] * size[1] * out_c if size is not None else x.size // c * out_c)
+        if held and values + more > SLICE_VALUES:
+            yield from convert(held)
+            held, values = [], 0
+        held.append(((*x.shape, c), path, x))
+        values += more
+    yield from convert(held)
+
+
+def _decode_plain(files: DataFrame, size, mode: str, channel_order: str) -> DataFrame:
+    def images(batches):
+        for rb in batches:
+            for path, data in zip(rb.column(rb.schema.names.index("image_path")), rb.column(rb.schema.names.index("content"))):
+                data = data.as_py()
+                lines = read_scanlines(data)
+                if lines is not None:
+                    yield path.as_py(), lines, CHANNELS[data[25]]
+
+    def run(batches):
+        yield from _decoded_rows(images(batches), size, mode, channel_order)
+
+    return files.select(uri_to_path("path").alias("image_path"), "content").mapInArrow(run, _DECODED)
+
+
+def _decode_others(spark: SparkSession, paths, size, mode: str, channel_order: str) -> DataFrame:
+    src = in_fewer_tasks(
+        spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(paths)
+        .select(origin_to_path("image.origin").alias("image_path"), "image.height", "image.width", "image.nChannels", "image.data")
+    )
+
+    def images(batches):
+        for rb in batches:
+            for path, h, w, c, raw in zip(*(rb.column(rb.schema.names.index(k)) for k in ("image_path", "height", "width", "nChannels", "data"))):
+                h, w, c = h.as_py(), w.as_py(), c.as_py()
+                yield path.as_py(), np.frombuffer(raw.as_buffer(), np.uint8).reshape(h, w, c), c
+
+    def run(batches):
+        yield from _decoded_rows(images(batches), size, mode, channel_order)
+
+    return src.mapInArrow(run, _DECODED)
 
 
 def encode_manifest(manifest: DataFrame, levels: list | None = None) -> DataFrame:

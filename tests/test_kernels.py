@@ -101,3 +101,19 @@ def test_mlp_sequential_init_is_one_seeded_stream():
     w2 = np.random.randn(16, 3) * 0.01
     assert np.array_equal(p[0]["W"], w1) and np.array_equal(p[1]["W"], w2)
     assert p[1]["b"].shape == (3,) and not p[1]["b"].any()
+
+
+@pytest.mark.parametrize("shape,k,stride", [((3, 8, 8, 6), 2, 2), ((2, 9, 7, 3), 3, 2), ((2, 5, 6, 1), 2, 1)])
+def test_mean_windows(shape, k, stride):
+    x = np.random.default_rng(2).random(shape)
+    assert np.allclose(K._mean_windows(x, k, stride), K._windows(x, k, stride).mean(axis=(4, 5)), rtol=0, atol=1e-15)
+
+
+def test_no_gradient_is_carried_to_the_input(monkeypatch):
+    layers = [K.conv(2, 1, 3), K.act("relu"), K.pool(2, 2, "avg"), K.flatten(), K.dense(18, 3, "softmax")]
+    params = K.init_params(layers, 1)
+    spread = []
+    real = K._scatter_windows
+    monkeypatch.setattr(K, "_scatter_windows", lambda shape, *a: spread.append(shape) or real(shape, *a))
+    K.batch_gradients(np.random.default_rng(3).random((4, 8, 8, 1)), np.array([0, 1, 2, 0]), layers, params, 3)
+    assert spread == [(4, 6, 6, 2)]  # the pooling alone

@@ -184,3 +184,122 @@ def test_decoded_images_are_never_broadcast(spark, tmp_path):
     assert got.count() == 4
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [image_path" in plan and "BroadcastHashJoin [image_path" not in plan
+
+
+def _filtered_png(img, kinds):
+    """A plain PNG whose lines are filtered by ``kinds``, written pixel by pixel from the PNG rules."""
+    import struct
+    import zlib
+
+    from tessera.sources.png import CHANNELS, PLAIN_START, _chunk
+
+    def nearest(a, b, c):
+        return min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+
+    h, w, n = img.shape
+    p = np.pad(img.astype(int), ((1, 0), (1, 0), (0, 0)))
+    raw = bytearray()
+    for y in range(h):
+        raw.append(kinds[y])
+        for x in range(w):
+            for j in range(n):
+                a, b, c = p[y + 1, x, j], p[y, x + 1, j], p[y, x, j]
+                raw.append(int(p[y + 1, x + 1, j] - [0, a, b, (a + b) // 2, nearest(a, b, c)][kinds[y]]) % 256)
+    kind = {v: k for k, v in CHANNELS.items()}[n]
+    head = struct.pack(">IIBBBBB", w, h, 8, kind, 0, 0, 0)
+    whole = PLAIN_START[:8] + _chunk(b"IHDR", head) + _chunk(b"gAMA", struct.pack(">I", 45455))
+    body = zlib.compress(bytes(raw))
+    return whole + _chunk(b"IDAT", body[:9]) + _chunk(b"IDAT", body[9:]) + _chunk(b"IEND", b"")
+
+
+def _odd_png(kind):
+    import struct
+    import zlib
+
+    from tessera.sources.png import PLAIN_START, _chunk
+
+    if kind == "palette":
+        head, more, raw = (2, 2, 8, 3, 0, 0, 0), _chunk(b"PLTE", bytes([10, 20, 30, 200, 100, 50])), b"\0\0\1\0\1\0"
+    else:  # one bit a pixel
+        head, more, raw = (8, 2, 1, 0, 0, 0, 0), b"", b"\0\xaa\0\x0f"
+    return PLAIN_START[:8] + _chunk(b"IHDR", struct.pack(">IIBBBBB", *head)) + more + _chunk(b"IDAT", zlib.compress(raw)) + _chunk(b"IEND", b"")
+
+
+def test_png_files_are_decoded_as_the_image_source_does(spark, tmp_path, monkeypatch):
+    from tessera.sources import images
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 4):
+        for h, w in ((1, 1), (1, 6), (7, 1), (5, 9), (9, 5)):
+            img = rng.integers(0, 256, (h, w, n), dtype=np.uint8)
+            (tmp_path / f"{n}-{h}x{w}.png").write_bytes(_filtered_png(img, rng.integers(0, 5, h)))
+    real = images._decode_others
+    monkeypatch.setattr(images, "_decode_others", lambda *a: pytest.fail("plain files need no other decoder"))
+
+    def rows(df):
+        return {os.path.basename(r.image_path): (r.h, r.w, r.c, r.data) for r in df.collect()}
+
+    for size, mode, order in ((None, "color", "rgb"), (None, "gray", "rgb"), ((4, 3), "color", "bgr")):
+        got, want = rows(decode_images(spark, str(tmp_path), size, mode, order)), rows(real(spark, str(tmp_path), size, mode, order))
+        assert len(want) == 20 and got == want
+
+
+@pytest.mark.parametrize("listed", [10, 1])
+def test_other_files_beside_png_are_decoded_by_the_image_source(spark, tmp_path, monkeypatch, listed):
+    from tessera.sources import images
+
+    monkeypatch.setattr(images, "LISTED_FILES", listed)
+    (tmp_path / "a [1]{x}").mkdir()
+    whole = encode_png(np.full((3, 3), 9, np.uint8))
+    files = {"plain.png": whole, "a [1]{x}/palette*.png": _odd_png("palette"), "a [1]{x}/bits?.png": _odd_png("bits"), "no.png": b"no"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    got = {os.path.basename(r.image_path): np.rint(np.array(r.data) * 255).astype(int).tolist() for r in decode_images(spark, str(tmp_path)).collect()}
+    want = {r.image_path: r.data for r in images._decode_others(spark, str(tmp_path), None, "gray", "rgb").collect()}
+    assert got == {os.path.basename(p): np.rint(np.array(d) * 255).astype(int).tolist() for p, d in want.items()}
+    assert set(got) == {"plain.png", "palette*.png", "bits?.png"} and got["plain.png"] == [9] * 9 and got["palette*.png"] == [18, 124, 124, 18]
+
+
+def test_a_damaged_png_is_dropped_like_other_invalid_files(spark, tmp_path):
+    whole = encode_png(np.arange(64, dtype=np.uint8).reshape(8, 8))
+    (tmp_path / "whole.png").write_bytes(whole)
+    (tmp_path / "short.png").write_bytes(whole[:45])
+    (tmp_path / "spoilt.png").write_bytes(whole[:41] + b"\xff" * 10 + whole[51:])
+    assert [os.path.basename(r.image_path) for r in decode_images(spark, str(tmp_path)).collect()] == ["whole.png"]
+
+
+def test_many_small_files_take_few_tasks_and_one_listing(spark, tmp_path):
+    from tessera.plans.images import prepare_image_sets
+    from tessera.sources.images import TASKS_PER_CORE
+
+    for cls in ("one", "two"):
+        (tmp_path / cls).mkdir()
+        for i in range(60):
+            (tmp_path / cls / f"{i}.png").write_bytes(encode_png(np.full((2, 2), i, np.uint8)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a scan partition a file
+    try:
+        most = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        assert most < 120 == spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path)).rdd.getNumPartitions()
+        assert list_image_dir(spark, str(tmp_path)).rdd.getNumPartitions() <= most
+        assert decode_images(spark, str(tmp_path)).rdd.getNumPartitions() <= most
+        sets = prepare_image_sets(spark, str(tmp_path), (2, 2))
+        plan = sets._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1  # the decoding alone: labels and sets do not list the folder again
+        assert sets.where("data IS NOT NULL").count() == 120
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_image_slices_of_a_batch_keep_every_row(spark, tmp_path, monkeypatch):
+    from tessera.sources import images
+
+    rng, want = np.random.default_rng(6), {}
+    for i in range(30):
+        img = rng.integers(0, 256, (2 + i % 3, 3), dtype=np.uint8)
+        want[f"{i}.png"] = (img.ravel() / 255.0).astype(np.float32).tolist()
+        (tmp_path / f"{i}.png").write_bytes(encode_png(img))
+    monkeypatch.setattr(images, "SLICE_VALUES", 20)
+    found = ((n, images.read_scanlines((tmp_path / n).read_bytes()), 1) for n in sorted(os.listdir(tmp_path)))
+    held = list(images._decoded_rows(found, None, "gray", "rgb"))
+    got = {p: d for rb in held for p, d in zip(rb.column(0).to_pylist(), rb.column(4).to_pylist())}
+    assert got == want and max(rb.num_rows for rb in held) <= 3
