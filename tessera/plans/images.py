@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.splits import label_onehot, three_way_split
 from ..session import ensure_checkpoint_dir
-from ..sources.images import decode_images, encode_manifest, image_batch, list_image_dir, read_manifest_csv
+from ..sources.images import decode_images, encode_manifest, image_batch, image_files, list_image_dir, read_manifest_csv
 
 
 def prepare_image_sets(
@@ -35,8 +35,9 @@ def prepare_image_sets(
     rest). ``id_expr`` gives the row id (default: a hash of the path, stable across runs). An
     image that is missing or cannot be decoded fails the job.
     """
+    files = image_files(spark, root)
     listing = (
-        read_manifest_csv(spark, manifest, root=root, prefix=prefix) if manifest else list_image_dir(spark, root)
+        read_manifest_csv(spark, manifest, root=root, prefix=prefix) if manifest else list_image_dir(spark, root, files=files)
     )
     # labels, class count and sets need the listing alone, which is kept: it is read for each of them, and
     # listing again would ask the storage for every file. Pixels are decoded once, at the end
@@ -45,5 +46,5 @@ def prepare_image_sets(
     named = encode_manifest(listing).withColumn("id", id_expr if id_expr is not None else F.xxhash64("image_path"))
     k = int(named.agg(F.max("label")).first()[0]) + 1
     sets = three_way_split(named, "label", "id", val_size, test_size, seed, stratify)
-    batch = image_batch(sets, decode_images(spark, root, size=size, mode=mode))
+    batch = image_batch(sets, decode_images(spark, root, size=size, mode=mode, files=files))
     return batch.withColumn("y", label_onehot("label", k))

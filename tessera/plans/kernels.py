@@ -216,14 +216,25 @@ def forward(x: np.ndarray, layers: list[dict], params: list[dict | None]):
     return a, caches
 
 
-SCORE_ROWS = 128  # rows scored at a time: bounds the window matrices, whatever the Arrow batch holds
+SCORE_ROWS = 128  # rows scored at a time, whatever the Arrow batch holds
+PASS_VALUES = 5 << 16  # values of the widest layer's windows in one pass (2.5 MB): they stay in the processor's cache
+
+
+def pass_rows(layers: list[dict], in_shape: tuple) -> int:
+    """Rows of one forward (and backward) pass: as many as keep every layer within ``PASS_VALUES``."""
+    widest, s = 1, tuple(in_shape)
+    for ly, out in zip(layers, output_shapes(layers, s)):
+        windows = s[-1] * ly["size"] ** 2 * out[0] * out[1] if ly["type"] == "conv" else 0
+        widest, s = max(widest, windows, int(np.prod(out))), out
+    return max(1, PASS_VALUES // widest)
 
 
 def predict_proba(x: np.ndarray, layers: list[dict], params: list[dict | None]) -> np.ndarray:
-    """Forward pass in slices of ``SCORE_ROWS`` rows; caches live for one slice only."""
-    if len(x) <= SCORE_ROWS:
+    """Forward pass in slices of at most ``SCORE_ROWS`` rows; caches live for one slice only."""
+    rows = min(SCORE_ROWS, pass_rows(layers, x.shape[1:]))
+    if len(x) <= rows:
         return forward(x, layers, params)[0]
-    return np.concatenate([forward(x[i : i + SCORE_ROWS], layers, params)[0] for i in range(0, len(x), SCORE_ROWS)])
+    return np.concatenate([forward(x[i : i + rows], layers, params)[0] for i in range(0, len(x), rows)])
 
 
 # ----------------------------------------------------------------------------- backward
@@ -289,9 +300,13 @@ def ce_terms(p: np.ndarray, labels: np.ndarray, eps_mode: str = "clip") -> np.nd
 
 
 def batch_gradients(x, labels, layers, params, n_classes, eps_mode="clip"):
-    """Forward + backward on one batch: (flat gradient sum, loss sum, correct count)."""
-    p, caches = forward(x, layers, params)
-    y = onehot(labels, n_classes)
-    grads = backward(p - y, layers, params, caches)
-    flat = pack(grads)
-    return flat, float(ce_terms(p, labels, eps_mode).sum()), int((p.argmax(axis=1) == labels).sum())
+    """Forward + backward on one batch, :func:`pass_rows` rows at a time: (flat gradient sum, loss sum,
+    correct count)."""
+    rows, flat, loss, correct = pass_rows(layers, x.shape[1:]), 0.0, 0.0, 0
+    for i in range(0, max(1, len(x)), rows):
+        p, caches = forward(x[i:i + rows], layers, params)
+        at = labels[i:i + rows]
+        flat = flat + pack(backward(p - onehot(at, n_classes), layers, params, caches))
+        loss += float(ce_terms(p, at, eps_mode).sum())
+        correct += int((p.argmax(axis=1) == at).sum())
+    return flat, loss, correct

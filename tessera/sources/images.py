@@ -67,18 +67,25 @@ def read_manifest_csv(spark: SparkSession, path: str, root: str, prefix: str | N
     return df.select(normalise_path(F.lit(root), p).alias("image_path"), F.trim(F.col("label")).alias("label"))
 
 
-def list_image_dir(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """``root/<class>/<file>`` → (image_path, label) with label = the class folder name.
-
-    Only entries exactly two levels below ``root`` count. Raises when nothing is found.
-    """
+def image_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
+    """(path, content, …) of the files under ``paths``. The driver lists them here, once for all that is made of it."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        files = in_fewer_tasks(reader.load(root).select(uri_to_path("path").alias("image_path")))
+        return reader.load(paths)
     except AnalysisException as e:
-        raise ValueError(f"no images under {root}") from e
+        raise ValueError(f"no images under {paths}") from e
+
+
+def list_image_dir(spark: SparkSession, root: str, glob: str | None = None, files: DataFrame | None = None) -> DataFrame:
+    """``root/<class>/<file>`` → (image_path, label) with label = the class folder name.
+
+    Only entries exactly two levels below ``root`` count. Raises when nothing is found. ``files`` may carry
+    the :func:`image_files` of ``root``.
+    """
+    found = files if files is not None else image_files(spark, root, glob)
+    files = in_fewer_tasks(found.select(uri_to_path("path").alias("image_path")))
     base = root.rstrip("/")
     if base.startswith("file:"):
         base = "/" + base[5:].lstrip("/")
@@ -166,17 +173,18 @@ def decode_images(
     mode: str = "gray",
     channel_order: str = "rgb",
     flatten: bool = False,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Decode image files → (image_path, h, w, c, data array<float>), values in [0, 1].
 
     ``mode`` 'gray' gives C=1, 'color' C=3 (RGB unless ``channel_order='bgr'``). Invalid files
     are dropped by the source. ``flatten`` only records that the array is consumed as H·W
-    (the layout is row-major either way).
+    (the layout is row-major either way). ``files`` may carry the :func:`image_files` of ``paths``.
     """
     if mode not in ("gray", "color"):
         raise ValueError("mode must be 'gray' or 'color'")
     ship_package(spark)
-    files = in_fewer_tasks(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content"))
+    files = in_fewer_tasks((files if files is not None else image_files(spark, paths)).select("path", "content"))
     plain = is_plain_png("content")
     n_others = files.where(~plain).count()
     out = _decode_plain(files.where(plain), size, mode, channel_order)

@@ -117,3 +117,19 @@ def test_no_gradient_is_carried_to_the_input(monkeypatch):
     monkeypatch.setattr(K, "_scatter_windows", lambda shape, *a: spread.append(shape) or real(shape, *a))
     K.batch_gradients(np.random.default_rng(3).random((4, 8, 8, 1)), np.array([0, 1, 2, 0]), layers, params, 3)
     assert spread == [(4, 6, 6, 2)]  # the pooling alone
+
+
+def test_a_pass_is_bounded_by_the_widest_layer(monkeypatch):
+    from tessera.plans.networks import lenet5, mlp
+
+    layers = lenet5(10)
+    assert K.pass_rows(layers, (32, 32, 1)) == K.PASS_VALUES // (28 * 28 * 25) < 64
+    assert K.pass_rows(mlp([64, 32, 10]), (64,)) == K.PASS_VALUES // 32
+    x, y, params = np.random.default_rng(4).random((7, 32, 32, 1)), np.arange(7), K.init_params(layers, 3)
+    whole, probs = K.batch_gradients(x, y, layers, params, 10), K.predict_proba(x, layers, params)
+    seen, real = [], K.forward
+    monkeypatch.setattr(K, "PASS_VALUES", 3 * 28 * 28 * 25)
+    monkeypatch.setattr(K, "forward", lambda x, *a: seen.append(len(x)) or real(x, *a))
+    cut = K.batch_gradients(x, y, layers, params, 10)
+    assert seen == [3, 3, 1] and cut[2] == whole[2] and np.isclose(cut[1], whole[1], rtol=1e-13)
+    assert np.allclose(cut[0], whole[0], rtol=0, atol=1e-11) and np.allclose(K.predict_proba(x, layers, params), probs, rtol=0, atol=1e-14)

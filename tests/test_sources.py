@@ -290,6 +290,22 @@ def test_many_small_files_take_few_tasks_and_one_listing(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_image_sets_list_the_folder_once(spark, tmp_path, monkeypatch):
+    from tessera.plans import images as plan
+    from tessera.sources import images
+
+    for cls in ("one", "two"):
+        (tmp_path / cls).mkdir()
+        for i in range(10):
+            (tmp_path / cls / f"{i}.png").write_bytes(encode_png(np.full((2, 2), i, np.uint8)))
+    listed = []
+    real = images.image_files
+    for where in (images, plan):
+        monkeypatch.setattr(where, "image_files", lambda *a, **k: listed.append(a[1]) or real(*a, **k))
+    sets = plan.prepare_image_sets(spark, str(tmp_path), (2, 2))
+    assert sets.where("data IS NOT NULL").count() == 20 and listed == [str(tmp_path)]
+
+
 def test_image_slices_of_a_batch_keep_every_row(spark, tmp_path, monkeypatch):
     from tessera.sources import images
 
